@@ -139,8 +139,8 @@ def change_pairs(feed: DataFrame, keys: str | Sequence[str], values: Sequence[st
     updates = feed.where(F.col(CHANGE_TYPE).isin(PREIMAGE, POSTIMAGE))
     aggs = []
     for v in values:
-        aggs.append(F.max_by(F.col(v), F.when(F.col(CHANGE_TYPE) == PREIMAGE, F.lit(1))).alias(f"{v}_before"))
-        aggs.append(F.max_by(F.col(v), F.when(F.col(CHANGE_TYPE) == POSTIMAGE, F.lit(1))).alias(f"{v}_after"))
+        aggs.append(F.max(F.when(F.col(CHANGE_TYPE) == PREIMAGE, F.col(v))).alias(f"{v}_before"))
+        aggs.append(F.max(F.when(F.col(CHANGE_TYPE) == POSTIMAGE, F.col(v))).alias(f"{v}_after"))
     return (updates.groupBy(F.col(COMMIT_VERSION).alias("version"), *keys).agg(*aggs))
 
 
