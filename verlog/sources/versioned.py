@@ -59,6 +59,12 @@ class VersionError(ValueError):
     pass
 
 
+# path -> (names of committed version folders, history rows); see VersionedTable._rows
+_HISTORY: dict[str, tuple[frozenset, list]] = {}
+# (path, read schema, latest version, session) -> DataFrame over _changes
+_READS: dict[tuple, DataFrame] = {}
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -130,13 +136,25 @@ class VersionedTable:
 
     # ---------------------------------------------------------------- history
     def _rows(self) -> list:
+        """History rows (small metadata), cached per process.
+
+        The cache is checked against a listing of ``_commits`` (one filesystem
+        call, no Spark job); it is re-read only when a version was added.
+        """
         if self._history_cache is None:
-            if not self.exists():
+            names = frozenset(n for n in list_children(self.spark, self.commits_path) if n.startswith("version="))
+            if not names:
                 raise VersionError(f"no table at {self.path}")
-            self._history_cache = sorted(
-                self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path)
-                .select("version", "timestamp", "schema_json", "properties").collect(),
-                key=lambda r: r.version)
+            cached = _HISTORY.get(self.path)
+            if cached is not None and cached[0] == names:
+                self._history_cache = cached[1]
+            else:
+                rows = sorted(
+                    self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path)
+                    .select("version", "timestamp", "schema_json", "properties").collect(),
+                    key=lambda r: r.version)
+                _HISTORY[self.path] = (names, rows)
+                self._history_cache = rows
         return self._history_cache
 
     def history(self) -> DataFrame:
@@ -187,9 +205,17 @@ class VersionedTable:
                              T.StructField(CHANGE_TYPE, T.StringType()),
                              T.StructField(COMMIT_TIMESTAMP, T.TimestampType()),
                              T.StructField(COMMIT_VERSION, T.LongType())])
-        if not path_exists(self.spark, self.changes_path):
-            return self.spark.createDataFrame([], full)
-        return self.spark.read.schema(full).parquet(self.changes_path)
+        # Committed partitions never change (append-only), so the file listing
+        # behind one read can be reused until a version is added.
+        key = (self.path, full.json(), self._rows()[-1].version, id(self.spark))
+        df = _READS.get(key)
+        if df is None:
+            if not path_exists(self.spark, self.changes_path):
+                df = self.spark.createDataFrame([], full)
+            else:
+                df = self.spark.read.schema(full).parquet(self.changes_path)
+            _READS[key] = df
+        return df
 
     def _base(self, upto: int) -> tuple[int, DataFrame | None]:
         """Newest base snapshot at or below ``upto`` (as insert rows), if any."""
@@ -296,7 +322,7 @@ class VersionedTable:
             rows = _conform_changes(changes, schema)
             id_col = props.get(IDENTITY_COL)
             if id_col:
-                rows = self._fill_identity(rows, id_col, props, v)
+                rows = self._fill_identity(rows, id_col, props, v, check_explicit=enforce)
             (rows.select(*cols, CHANGE_TYPE)
              .withColumn(COMMIT_TIMESTAMP, F.lit(ts.replace(tzinfo=_dt.timezone.utc)).cast("timestamp"))
              .write.mode("overwrite").parquet(part))
@@ -335,7 +361,8 @@ class VersionedTable:
         self._write_commit(v, operation, params or {}, metrics, schema, props, user, ts)
         return v
 
-    def _fill_identity(self, rows: DataFrame, id_col: str, props: Mapping[str, str], v: int) -> DataFrame:
+    def _fill_identity(self, rows: DataFrame, id_col: str, props: Mapping[str, str], v: int,
+                       check_explicit: bool = True) -> DataFrame:
         """Number inserted rows that carry no id, after the high-water mark.
 
         The rows are staged once (so numbering sees one deterministic input) with
@@ -343,7 +370,7 @@ class VersionedTable:
         """
         mode = props.get(IDENTITY_MODE, "ALWAYS")
         inserts = F.col(CHANGE_TYPE) == F.lit(INSERT)
-        if mode == "ALWAYS":
+        if mode == "ALWAYS" and check_explicit:   # a restore re-inserts original ids
             explicit = rows.where(inserts & F.col(id_col).isNotNull()).limit(1).count()
             if explicit:
                 raise rules.RuleViolation(f"{id_col} is GENERATED ALWAYS; explicit values are refused")
