@@ -76,3 +76,35 @@ def recoverable_drops(drops: DataFrame, now: _dt.datetime | str, retention_days:
                         & (F.col("dropped_at") >= now_c - F.expr(f"INTERVAL {int(retention_days)} DAYS")))
             .select("table_name", "dropped_at",
                     (F.lit(retention_days) - F.datediff(now_c, F.col("dropped_at"))).alias("days_left")))
+
+
+DROPS_SCHEMA = "table_name string, path string, dropped_at timestamp, restored_at timestamp, managed boolean"
+
+
+def soft_drop(spark, ledger_path: str, table_name: str, path: str, managed: bool = True,
+              at: _dt.datetime | None = None) -> None:
+    """``DROP TABLE`` for a managed table: the files stay, a ledger row records
+    the drop (one small file per event, appended)."""
+    at = at or _dt.datetime.now(_dt.timezone.utc)
+    spark.createDataFrame([(table_name, path, at, None, managed)], DROPS_SCHEMA) \
+        .coalesce(1).write.mode("append").parquet(ledger_path)
+
+
+def undrop(spark, ledger_path: str, table_name: str, at: _dt.datetime | None = None) -> None:
+    """``UNDROP TABLE``: records the restore of the newest drop of ``table_name``."""
+    at = at or _dt.datetime.now(_dt.timezone.utc)
+    spark.createDataFrame([(table_name, None, None, at, None)], DROPS_SCHEMA) \
+        .coalesce(1).write.mode("append").parquet(ledger_path)
+
+
+def drops_ledger(spark, ledger_path: str) -> DataFrame:
+    """One row per dropped table: its newest drop and whether it was restored since."""
+    events = spark.read.schema(DROPS_SCHEMA).parquet(ledger_path)
+    drops = events.where(F.col("dropped_at").isNotNull()).groupBy("table_name").agg(
+        F.max_by(F.struct("path", "dropped_at", "managed"), F.col("dropped_at")).alias("d"))
+    restores = events.where(F.col("restored_at").isNotNull()).groupBy("table_name") \
+        .agg(F.max("restored_at").alias("restored_at"))
+    return (drops.join(restores, "table_name", "left")
+            .select("table_name", "d.path", "d.dropped_at",
+                    F.when(F.col("restored_at") >= F.col("d.dropped_at"), F.col("restored_at")).alias("restored_at"),
+                    "d.managed"))
