@@ -62,6 +62,30 @@ def as_of(log: DataFrame, keys: str | Sequence[str], version: int | None = None,
     )
 
 
+AS_OF = "_as_of"
+
+
+def as_of_many(log: DataFrame, keys: str | Sequence[str], versions: Sequence[int],
+               columns: Sequence[str] | None = None) -> DataFrame:
+    """Several versions from one scan and one exchange.
+
+    Each change row is fanned out to the requested versions it can serve
+    (``v >= _commit_version``), then the newest row per (key, version) wins.
+    The partial window group limit still runs before the exchange, per
+    (key, version). Output: ``_as_of`` plus the row columns.
+    """
+    keys = _keys(keys)
+    vs = sorted({int(v) for v in versions})
+    cols = list(columns) if columns is not None else row_columns(log)
+    targets = F.array(*[F.lit(v).cast("long") for v in vs])
+    live = (log.where((F.col(COMMIT_VERSION) <= F.lit(vs[-1])) & (F.col(CHANGE_TYPE) != F.lit(PREIMAGE)))
+            .withColumn(AS_OF, F.explode(F.filter(targets, lambda v: v >= F.col(COMMIT_VERSION)))))
+    newest = Window.partitionBy(*keys, AS_OF).orderBy(F.col(COMMIT_VERSION).desc())
+    return (live.withColumn("_rn", F.row_number().over(newest))
+            .where((F.col("_rn") == 1) & (F.col(CHANGE_TYPE) != F.lit(DELETE)))
+            .select(AS_OF, *cols))
+
+
 def change_feed(log: DataFrame, start: int, end: int | None = None) -> DataFrame:
     """``table_changes(t, start[, end])``: change rows with start <= version <= end.
     Both bounds reach the scan as partition filters."""
@@ -122,12 +146,17 @@ ONLY_NEW = "only in new"
 
 
 def diff_except(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Whole-row set difference both ways (distinct ``EXCEPT``), tagged."""
+    """Whole-row set difference both ways (distinct ``EXCEPT``), tagged.
+
+    One aggregate over the union of both sides grouped by every column, instead
+    of two anti-joins that would compute each side twice.
+    """
     cols = old.columns
-    new = new.select(*cols)
-    left = old.subtract(new).select(F.lit(ONLY_OLD).alias("found_in"), *cols)
-    right = new.subtract(old).select(F.lit(ONLY_NEW).alias("found_in"), *cols)
-    return left.unionByName(right)
+    both = old.select(*cols, F.lit(1).alias("_o"), F.lit(0).alias("_n")).unionByName(
+        new.select(*cols, F.lit(0).alias("_o"), F.lit(1).alias("_n")))
+    seen = both.groupBy(*cols).agg(F.max("_o").alias("_o"), F.max("_n").alias("_n"))
+    return (seen.where(F.col("_o") != F.col("_n"))
+            .select(F.when(F.col("_o") == 1, F.lit(ONLY_OLD)).otherwise(F.lit(ONLY_NEW)).alias("found_in"), *cols))
 
 
 def change_pairs(feed: DataFrame, keys: str | Sequence[str], values: Sequence[str]) -> DataFrame:

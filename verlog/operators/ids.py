@@ -39,7 +39,12 @@ def assign_ids(df: DataFrame, id_col: str, start: int = 1, order_by: Sequence |
         return have.unionByName(assign_ids(need, id_col, start, order_by))
     base = df.drop(id_col) if id_col in df.columns else df
     if order_by:
-        base = base.orderBy(*order_by)
+        # Sort once and cut the lineage (reliable checkpoint in the shared
+        # folder): counting and numbering then read the same partitions, and a
+        # lost executor recomputes from the checkpoint, not from a new sort.
+        from verlog.session import work_root
+        work_root(df.sparkSession)  # make sure a checkpoint folder is set
+        base = base.orderBy(*order_by).checkpoint(eager=True)
     tagged = base.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     n_parts = base.rdd.getNumPartitions()

@@ -27,7 +27,8 @@ from pyspark.sql import types as T
 
 from verlog.operators import dml, rules
 from verlog.operators.changes import (
-    CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, DELETE, INSERT, POSTIMAGE, PREIMAGE, as_of, net_changes,
+    CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, DELETE, INSERT, POSTIMAGE, PREIMAGE, as_of, as_of_many,
+    net_changes,
 )
 from verlog.operators.ids import assign_ids
 
@@ -264,6 +265,14 @@ class VersionedTable:
         schema = self.schema(v)
         return as_of(self.log(upto=v, schema=schema, use_snapshot=True), self.keys, None, schema.fieldNames())
 
+    def as_of_many(self, versions: Sequence[int]) -> DataFrame:
+        """Several versions in one scan (``_as_of`` tells which); columns of the newest."""
+        top = max(int(v) for v in versions)
+        for v in versions:
+            self._row(int(v))
+        schema = self.schema(top)
+        return as_of_many(self.log(upto=top, schema=schema), self.keys, versions, schema.fieldNames())
+
     def as_of_timestamp(self, timestamp) -> DataFrame:
         """``t TIMESTAMP AS OF ts``."""
         return self.as_of(self.version_at(timestamp))
