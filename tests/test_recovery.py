@@ -105,3 +105,13 @@ def test_retention_window(spark, payments):
     now = dt.datetime.now(dt.timezone.utc)
     r = layout.reachable_versions(h, now + dt.timedelta(days=10), payments.version(), 30, 7)
     assert {x.version: x.reachable for x in r.collect()} == {0: False, 1: True}
+
+
+def test_swap_names(payments, spark, tmp_table):
+    green = payments.clone(tmp_table("green"))
+    green.update({"region": F.upper(F.col("region"))})
+    live_path, retired = payments.path, tmp_table("retired")
+    recover.swap_names(spark, live_path, green.path, retired)
+    swapped = VersionedTable(spark, live_path)
+    assert {r.region for r in swapped.current().collect()} == {"SOUTH", "WEST", "NORTH"}
+    assert VersionedTable(spark, retired).current().count() == 6

@@ -108,3 +108,23 @@ def drops_ledger(spark, ledger_path: str) -> DataFrame:
             .select("table_name", "d.path", "d.dropped_at",
                     F.when(F.col("restored_at") >= F.col("d.dropped_at"), F.col("restored_at")).alias("restored_at"),
                     "d.managed"))
+
+
+def swap_names(spark, live_path: str, green_path: str, retired_path: str) -> None:
+    """Blue/green swap: live -> retired, green -> live. Two renames (metadata
+    only, no data copied); like ``ALTER TABLE RENAME`` twice, not atomic, so
+    verify first (``totals`` + ``bluegreen_verdict``)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    live, green, retired = (jvm.org.apache.hadoop.fs.Path(p) for p in (live_path, green_path, retired_path))
+    fs = live.getFileSystem(conf)
+    if fs.exists(retired):
+        raise ValueError(f"{retired_path} exists")
+    if not fs.rename(live, retired):
+        raise OSError(f"could not rename {live_path}")
+    if not fs.rename(green, live):
+        fs.rename(retired, live)  # put the live table back
+        raise OSError(f"could not rename {green_path}")
+    from verlog.sources.versioned import forget
+    for p in (live_path, green_path, retired_path):
+        forget(p)

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,9 +65,20 @@ def _steps(src: DataFrame):
     ]
 
 
+_BUILD_LOCK = threading.Lock()
+
+
 def orders_history(spark: SparkSession, sf_dir: str) -> VersionedTable:
     """The versioned ``orders`` table at version 6 (built or resumed on first use)."""
     path = fixture_path(spark, sf_dir, "orders")
+    t = VersionedTable(spark, path)
+    if t.exists() and t.version() >= N_VERSIONS:
+        return t
+    with _BUILD_LOCK:  # one writer per table, also when queries run in threads
+        return _build(spark, sf_dir, path)
+
+
+def _build(spark: SparkSession, sf_dir: str, path: str) -> VersionedTable:
     t = VersionedTable(spark, path)
     if t.exists() and t.version() >= N_VERSIONS:
         return t

@@ -89,6 +89,22 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
+def list_stamped(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, modification time) of the children of ``path``."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [(s.getPath().getName(), int(s.getModificationTime())) for s in fs.listStatus(p)]
+
+
+def forget(path: str) -> None:
+    """Drop the process caches of a table (after it was moved or replaced)."""
+    path = path.rstrip("/")
+    _HISTORY.pop(path, None)
+    for k in [k for k in _READS if k[0] == path]:
+        _READS.pop(k, None)
+
+
 class VersionedTable:
     """Handle on one versioned table at ``path``."""
 
@@ -143,7 +159,7 @@ class VersionedTable:
         call, no Spark job); it is re-read only when a version was added.
         """
         if self._history_cache is None:
-            names = frozenset(n for n in list_children(self.spark, self.commits_path) if n.startswith("version="))
+            names = frozenset(x for x in list_stamped(self.spark, self.commits_path) if x[0].startswith("version="))
             if not names:
                 raise VersionError(f"no table at {self.path}")
             cached = _HISTORY.get(self.path)
@@ -208,7 +224,7 @@ class VersionedTable:
                              T.StructField(COMMIT_VERSION, T.LongType())])
         # Committed partitions never change (append-only), so the file listing
         # behind one read can be reused until a version is added.
-        key = (self.path, full.json(), self._rows()[-1].version, id(self.spark))
+        key = (self.path, full.json(), _HISTORY[self.path][0] if self.path in _HISTORY else None, id(self.spark))
         df = _READS.get(key)
         if df is None:
             if not path_exists(self.spark, self.changes_path):
