@@ -97,3 +97,12 @@ def test_snapshot_read_is_same(stock):
 def test_unknown_version_raises(stock):
     with pytest.raises(VersionError):
         stock.as_of(42)
+
+
+def test_snapshot_interval(spark, tmp_table):
+    t = VersionedTable.create(spark, tmp_table("snap"), SCHEMA, ["sku"], properties={"verlog.snapshotInterval": "2"})
+    for i in range(4):
+        t.insert(spark.createDataFrame([(f"S{i}", "W", i, D("2025-01-01"))], SCHEMA))
+    from verlog.sources.versioned import list_children
+    assert sorted(list_children(spark, t.snapshots_path)) == ["version=2", "version=4"]
+    assert totals(t.as_of(3)) == (3, 3) and totals(t.current()) == (4, 6)

@@ -86,3 +86,32 @@ def conform(df: DataFrame, table: StructType) -> DataFrame:
         raise RuleViolation("schema mismatch: " + "; ".join(problems))
     return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                        for f in table.fields])
+
+
+def conformance(df: DataFrame, table: StructType) -> DataFrame:
+    """Schema enforcement on a batch, row by row: one row per problem with the
+    number of rows it affects, all counted in one aggregate.
+
+    * an unexpected column: rows where it holds a value (the write would drop it)
+    * a type mismatch: rows whose value does not survive the cast to the table type
+    * a missing required column: every row
+    """
+    have = {f.name: f for f in table.fields}
+    checks: list[tuple[str, Column]] = []
+    for f in df.schema.fields:
+        if f.name not in have:
+            checks.append((f"unexpected column {f.name}", F.col(f.name).isNotNull()))
+        elif f.dataType != have[f.name].dataType:
+            target = have[f.name].dataType
+            checks.append((f"column {f.name} is {f.dataType.simpleString()}, table has {target.simpleString()}",
+                           F.col(f.name).isNotNull() & F.col(f.name).try_cast(target).isNull()))
+    names = set(df.columns)
+    for f in table.fields:
+        if f.name not in names and not f.nullable:
+            checks.append((f"missing required column {f.name}", F.lit(True)))
+    if not checks:
+        return df.sparkSession.createDataFrame([], "problem string, rows_affected long")
+    counts = df.agg(*[F.count_if(c).alias(f"_p{i}") for i, (_, c) in enumerate(checks)])
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("problem"), F.col(f"_p{i}").alias("rows_affected"))
+        for i, (name, _) in enumerate(checks)])).alias("p")).select("p.problem", "p.rows_affected")

@@ -51,6 +51,7 @@ IDENTITY_HWM = "verlog.identity.highWaterMark"
 CHECK_PREFIX = "verlog.constraints."
 CLONE_SOURCE = "verlog.clone.source"
 CLONE_VERSION = "verlog.clone.sourceVersion"
+SNAPSHOT_INTERVAL = "verlog.snapshotInterval"  # write a base snapshot every k versions
 FEED_ENABLED = "enableChangeDataFeed"
 LOG_RETENTION = "logRetentionDuration"          # 'interval <n> days'
 FILE_RETENTION = "deletedFileRetentionDuration"
@@ -384,6 +385,9 @@ class VersionedTable:
         elif path_exists(self.spark, part):
             delete_path(self.spark, part)  # orphan files of an earlier failed try
         self._write_commit(v, operation, params or {}, metrics, schema, props, user, ts)
+        every = int(props.get(SNAPSHOT_INTERVAL, "0") or 0)
+        if every > 0 and v % every == 0:
+            self.snapshot(v)
         return v
 
     def _fill_identity(self, rows: DataFrame, id_col: str, props: Mapping[str, str], v: int,
