@@ -106,3 +106,13 @@ def test_snapshot_interval(spark, tmp_table):
     from verlog.sources.versioned import list_children
     assert sorted(list_children(spark, t.snapshots_path)) == ["version=2", "version=4"]
     assert totals(t.as_of(3)) == (3, 3) and totals(t.current()) == (4, 6)
+
+
+def test_restore_drops_later_column_for_good(stock):
+    stock.add_columns([T.StructField("note", T.StringType())])
+    stock.update({"note": F.lit("recount")}, F.col("sku") == "SKU-100")
+    stock.restore(5)
+    assert "note" not in stock.current().columns
+    stock.add_columns([T.StructField("note", T.StringType())])
+    assert stock.current().where(F.col("note").isNotNull()).count() == 0
+    assert totals(stock.current()) == (4, 925)

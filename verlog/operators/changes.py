@@ -186,6 +186,40 @@ def change_counts(feed: DataFrame) -> DataFrame:
     )
 
 
+# Upper bound on touched keys we broadcast for a semi-join (rows, checked by count).
+MAX_BROADCAST_KEYS = 2_000_000
+
+
+def touched_keys(log: DataFrame, keys: str | Sequence[str], after: int, upto: int) -> DataFrame:
+    """Distinct keys with any change in versions ``(after, upto]`` (partition-pruned)."""
+    keys = _keys(keys)
+    return (log.where((F.col(COMMIT_VERSION) > F.lit(int(after))) & (F.col(COMMIT_VERSION) <= F.lit(int(upto))))
+            .select(*keys).distinct())
+
+
+def restrict_to(log: DataFrame, keys: str | Sequence[str], touched: DataFrame,
+                max_broadcast: int = MAX_BROADCAST_KEYS) -> DataFrame:
+    """``log`` rows of the ``touched`` keys only.
+
+    The key set is counted first: up to ``max_broadcast`` keys it is broadcast
+    and the semi-join runs map-side before any exchange; above that the
+    semi-join is a plain shuffled join.
+    """
+    keys = _keys(keys)
+    n = touched.limit(max_broadcast + 1).count()
+    side = F.broadcast(touched) if n <= max_broadcast else touched
+    return log.join(side, keys, "left_semi")
+
+
+def changed_between(log: DataFrame, keys: str | Sequence[str], old: int, new: int,
+                    columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Snapshots at ``old`` and ``new`` limited to the keys that can differ:
+    those changed in ``(min, max]``. Cost follows the changes, not the table."""
+    lo, hi = sorted((int(old), int(new)))
+    part = restrict_to(log.where(F.col(COMMIT_VERSION) <= F.lit(hi)), keys, touched_keys(log, keys, lo, hi))
+    return as_of(part, keys, old, columns), as_of(part, keys, new, columns)
+
+
 def net_changes(current: DataFrame, target: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Change rows that turn ``current`` into ``target`` (used by restore).
 

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from verlog.operators import dml, rules
 from verlog.operators.changes import (
     CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, DELETE, INSERT, POSTIMAGE, PREIMAGE, as_of, as_of_many,
-    net_changes,
+    changed_between, net_changes,
 )
 from verlog.operators.ids import assign_ids
 
@@ -434,7 +434,16 @@ class VersionedTable:
         Costs one key-partitioned full join of two snapshots (not metadata-only).
         """
         target_schema = self.schema(version)
-        changes = net_changes(self.current(), self.as_of(version), self.keys)
+        self._row(version)
+        now = self.version()
+        cols = list(dict.fromkeys([*self.schema(now).fieldNames(), *target_schema.fieldNames()]))
+        union = T.StructType([*self.schema(now).fields,
+                              *[f for f in target_schema.fields if f.name not in self.schema(now).fieldNames()]])
+        log = self.log(upto=now, schema=union)
+        # Only keys changed after ``version`` can differ from it.
+        cur, tgt = changed_between(log, self.keys, now, version, cols)
+        changes = net_changes(cur.select(*self.schema(now).fieldNames()), tgt.select(*target_schema.fieldNames()),
+                              self.keys)
         cols = [*target_schema.fieldNames()]
         # Columns the old version did not have are dropped again.
         return self.commit(changes.select(*cols, CHANGE_TYPE), "RESTORE", {"version": version},
