@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from verlog.operators import dml, rules
 from verlog.operators.changes import (
     CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, DELETE, INSERT, POSTIMAGE, PREIMAGE, as_of, as_of_many,
-    changed_between, net_changes,
+    changed_between, net_changes, restrict_to,
 )
 from verlog.operators.ids import assign_ids
 
@@ -425,7 +425,19 @@ class VersionedTable:
 
     def merge(self, source: DataFrame, on: str | Sequence[str], matched_update=None, not_matched_insert=None,
               user: str | None = None) -> int:
-        changes = dml.merge_changes(self.current(), source, on, matched_update, not_matched_insert)
+        on_cols = [on] if isinstance(on, str) else list(on)
+        target = self.current()
+        if sorted(on_cols) == sorted(self.keys):
+            # Only target rows whose key is in the source can match: filter the
+            # log to those keys before the as-of exchange (size-checked broadcast).
+            keyed = F.lit(True)
+            for k in on_cols:
+                keyed = keyed & F.col(k).isNotNull()
+            schema = self.schema()
+            part = restrict_to(self.log(schema=schema, use_snapshot=True), self.keys,
+                               source.where(keyed).select(*self.keys).distinct())
+            target = as_of(part, self.keys, None, schema.fieldNames())
+        changes = dml.merge_changes(target, source, on, matched_update, not_matched_insert)
         return self.commit(changes, "MERGE", {"on": str(on)}, user=user)
 
     def restore(self, version: int, user: str | None = None) -> int:
