@@ -21,7 +21,7 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -349,11 +349,6 @@ class VersionedTable:
             id_col = props.get(IDENTITY_COL)
             if id_col:
                 rows = self._fill_identity(rows, id_col, props, v, check_explicit=enforce)
-            (rows.select(*cols, CHANGE_TYPE)
-             .withColumn(COMMIT_TIMESTAMP, F.lit(ts.replace(tzinfo=_dt.timezone.utc)).cast("timestamp"))
-             .write.mode("overwrite").parquet(part))
-            written = self.spark.read.schema(
-                T.StructType([*schema.fields, T.StructField(CHANGE_TYPE, T.StringType())])).parquet(part)
             new_rows = F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)
             checks = {k[len(CHECK_PREFIX):]: e for k, e in props.items() if k.startswith(CHECK_PREFIX)}
             rule_preds = rules.table_rules(schema, checks) if enforce else {}
@@ -366,7 +361,15 @@ class VersionedTable:
             aggs += [F.count_if(new_rows & pred).alias(f"_rule{i}") for i, pred in enumerate(rule_preds.values())]
             if id_col:
                 aggs.append(F.max(F.col(id_col)).alias("_max_id"))
-            stats = written.agg(*aggs).first().asDict()
+            # Metrics and every rule are observed while the rows are written:
+            # no second job over the new version.
+            seen = Observation(f"commit_{v}_{uuid.uuid4().hex[:8]}")
+            (rows.select(*cols, CHANGE_TYPE).observe(seen, *aggs)
+             .withColumn(COMMIT_TIMESTAMP, F.lit(ts.replace(tzinfo=_dt.timezone.utc)).cast("timestamp"))
+             .write.mode("overwrite").parquet(part))
+            stats = dict(seen.get)
+            for k in ("numInsertedRows", "numDeletedRows", "numUpdatedRows", "_pre"):
+                stats[k] = int(stats.get(k) or 0)
             broken = {name: stats[f"_rule{i}"] for i, name in enumerate(rule_preds) if stats[f"_rule{i}"]}
             if broken:
                 delete_path(self.spark, part)
