@@ -115,3 +115,16 @@ def test_swap_names(payments, spark, tmp_table):
     swapped = VersionedTable(spark, live_path)
     assert {r.region for r in swapped.current().collect()} == {"SOUTH", "WEST", "NORTH"}
     assert VersionedTable(spark, retired).current().count() == 6
+
+
+def test_surgical_repair_reaches_rows_that_moved(payments, spark):
+    """A damaged row whose region changed after the good version is still repaired
+    (the merge target is every row with a source key)."""
+    payments.update({"amount": F.lit(Decimal("1.00"))}, F.col("region") == "South")
+    payments.update({"region": F.lit("East")}, F.col("payment_id") == 1)
+    south_then = F.col("region") == "South"
+    source = payments.rows_where(south_then, 1)
+    c = recover.surgical_repair_changes(payments.rows_for_keys(source), source, ["payment_id"], south_then, ["amount"])
+    payments.commit(c, "MERGE")
+    cur = {r.payment_id: (r.region, r.amount) for r in payments.current().collect()}
+    assert cur[1] == ("East", Decimal("1500.00")) and cur[2] == ("South", Decimal("890.50"))

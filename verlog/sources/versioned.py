@@ -282,6 +282,39 @@ class VersionedTable:
         schema = self.schema(v)
         return as_of(self.log(upto=v, schema=schema, use_snapshot=True), self.keys, None, schema.fieldNames())
 
+    def rows_where(self, predicate, version: int | None = None) -> DataFrame:
+        """Rows of a version for which ``predicate`` is TRUE, reading only the keys
+        that can qualify.
+
+        The newest row of a key can only match if some change row of that key
+        matches, so the predicate is first pushed into the log scan to find
+        candidate keys; the log is restricted to them (size-checked broadcast
+        semi-join) before the as-of exchange, and the predicate is applied again
+        to the newest rows. Cost follows the matching rows, not the table.
+        """
+        v = self.version() if version is None else int(version)
+        self._row(v)
+        schema = self.schema(v)
+        log = self.log(upto=v, schema=schema, use_snapshot=True)
+        pred = F.coalesce(F.expr(predicate) if isinstance(predicate, str) else predicate, F.lit(False))
+        live = F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)
+        candidates = log.where(live & pred).select(*self.keys).distinct()
+        part = restrict_to(log, self.keys, candidates)
+        return as_of(part, self.keys, None, schema.fieldNames()).where(pred)
+
+    def rows_for_keys(self, keys: DataFrame, version: int | None = None) -> DataFrame:
+        """Rows of a version whose key is in ``keys`` (a frame of the key
+        columns), reading only those keys' change rows."""
+        v = self.version() if version is None else int(version)
+        self._row(v)
+        schema = self.schema(v)
+        keyed = F.lit(True)
+        for k in self.keys:
+            keyed = keyed & F.col(k).isNotNull()
+        part = restrict_to(self.log(upto=v, schema=schema, use_snapshot=True), self.keys,
+                           keys.where(keyed).select(*self.keys).distinct())
+        return as_of(part, self.keys, None, schema.fieldNames())
+
     def as_of_many(self, versions: Sequence[int]) -> DataFrame:
         """Several versions in one scan (``_as_of`` tells which); columns of the newest."""
         top = max(int(v) for v in versions)
@@ -420,26 +453,19 @@ class VersionedTable:
         return self.commit(dml.insert_changes(rows), "WRITE", {"mode": "Append"}, user=user)
 
     def update(self, assignments: Mapping[str, object], where=None, user: str | None = None) -> int:
-        changes = dml.update_changes(self.current(), assignments, where)
+        current = self.current() if where is None else self.rows_where(where)
+        changes = dml.update_changes(current, assignments, where)
         return self.commit(changes, "UPDATE", {"predicate": str(where)}, user=user)
 
     def delete(self, where, user: str | None = None) -> int:
-        return self.commit(dml.delete_changes(self.current(), where), "DELETE", {"predicate": str(where)}, user=user)
+        current = self.current() if where is None else self.rows_where(where)
+        return self.commit(dml.delete_changes(current, where), "DELETE", {"predicate": str(where)}, user=user)
 
     def merge(self, source: DataFrame, on: str | Sequence[str], matched_update=None, not_matched_insert=None,
               user: str | None = None) -> int:
         on_cols = [on] if isinstance(on, str) else list(on)
-        target = self.current()
-        if sorted(on_cols) == sorted(self.keys):
-            # Only target rows whose key is in the source can match: filter the
-            # log to those keys before the as-of exchange (size-checked broadcast).
-            keyed = F.lit(True)
-            for k in on_cols:
-                keyed = keyed & F.col(k).isNotNull()
-            schema = self.schema()
-            part = restrict_to(self.log(schema=schema, use_snapshot=True), self.keys,
-                               source.where(keyed).select(*self.keys).distinct())
-            target = as_of(part, self.keys, None, schema.fieldNames())
+        # On the table key, only target rows whose key is in the source can match.
+        target = self.rows_for_keys(source) if sorted(on_cols) == sorted(self.keys) else self.current()
         changes = dml.merge_changes(target, source, on, matched_update, not_matched_insert)
         return self.commit(changes, "MERGE", {"on": str(on)}, user=user)
 
