@@ -37,3 +37,12 @@ def test_null_merge_keys_never_match(spark):
     out = dml.merge_changes(cur, src, ["k"], matched_update={"v": "s.v"}, not_matched_insert="*")
     kinds = {r[ch.CHANGE_TYPE]: r.n for r in out.groupBy(ch.CHANGE_TYPE).agg(F.count(F.lit(1)).alias("n")).collect()}
     assert kinds == {"update_preimage": 1, "update_postimage": 1, "insert": 50}
+
+
+def test_restriction_is_only_an_optimization(spark):
+    log = hot_log(spark, n_cold=300, hot_updates=50)
+    touched = ch.touched_keys(log, ["k"], 1, 10)
+    small = ch.as_of(ch.restrict_to(log, ["k"], touched), ["k"])
+    big = ch.as_of(ch.restrict_to(log, ["k"], touched, max_broadcast=0), ["k"])   # over the bound: unrestricted
+    assert small.count() == 1 and big.count() == 301
+    assert small.collect() == big.where(F.col("k") == -1).collect()

@@ -199,16 +199,20 @@ def touched_keys(log: DataFrame, keys: str | Sequence[str], after: int, upto: in
 
 def restrict_to(log: DataFrame, keys: str | Sequence[str], touched: DataFrame,
                 max_broadcast: int = MAX_BROADCAST_KEYS) -> DataFrame:
-    """``log`` rows of the ``touched`` keys only.
-
-    The key set is counted first: up to ``max_broadcast`` keys it is broadcast
-    and the semi-join runs map-side before any exchange; above that the
-    semi-join is a plain shuffled join.
+    """``log`` limited to the ``touched`` keys -- an optimization only.
+
+    The key set is counted first. Up to ``max_broadcast`` keys it is broadcast
+    and the semi-join runs map-side, before any exchange, so only those keys'
+    rows are shuffled. Above the bound the log is returned as is: a shuffled
+    semi-join would move the whole log *and* lose the map-side window limit
+    of the as-of read, so every caller must (and does) give the same result
+    on the unrestricted log.
     """
     keys = _keys(keys)
     n = touched.limit(max_broadcast + 1).count()
-    side = F.broadcast(touched) if n <= max_broadcast else touched
-    return log.join(side, keys, "left_semi")
+    if n > max_broadcast:
+        return log
+    return log.join(F.broadcast(touched), keys, "left_semi")
 
 
 def changed_between(log: DataFrame, keys: str | Sequence[str], old: int, new: int,
