@@ -116,3 +116,15 @@ def test_restore_drops_later_column_for_good(stock):
     stock.add_columns([T.StructField("note", T.StringType())])
     assert stock.current().where(F.col("note").isNotNull()).count() == 0
     assert totals(stock.current()) == (4, 925)
+
+
+def test_optimize_zorder_keeps_results(stock, spark):
+    from verlog.operators import layout
+    before = sorted(stock.current().collect())
+    v = stock.optimize(zorder_by="warehouse", files=2)
+    assert v == stock.version()
+    assert sorted(stock.current().collect()) == before
+    snap = spark.read.parquet(f"{stock.snapshots_path}/version={v}")
+    ranges = layout.file_ranges(snap, "warehouse").collect()
+    assert all(r.min_value <= r.max_value for r in ranges)
+    assert len({(r.min_value, r.max_value) for r in ranges}) == len(ranges)   # files do not overlap
