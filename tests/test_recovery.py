@@ -128,3 +128,18 @@ def test_surgical_repair_reaches_rows_that_moved(payments, spark):
     payments.commit(c, "MERGE")
     cur = {r.payment_id: (r.region, r.amount) for r in payments.current().collect()}
     assert cur[1] == ("East", Decimal("1500.00")) and cur[2] == ("South", Decimal("890.50"))
+
+
+def test_purge_plan(payments, spark):
+    payments.update({"amount": F.lit(Decimal("2.00"))}, F.col("region") == "West")
+    payments.snapshot(0)
+    payments.snapshot()                       # base snapshot at version 2
+    payments.delete(F.col("region") == "North")
+    assert payments.purge_plan().count() == 0                 # everything is inside retention
+    later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=10)
+    plan = {(r.path.split("/")[-2], r.reason) for r in payments.purge_plan(later).collect()}
+    reasons = {r for _, r in plan}
+    assert reasons == {"covered by snapshot 2", "superseded by snapshot 2"}
+    assert {p for p, _ in plan} >= {"_commit_version=1", "_commit_version=2", "version=0"}
+    assert not any(p == "_commit_version=3" for p, _ in plan)  # the latest version stays
+    assert sorted(r.payment_id for r in payments.current().collect()) == [1, 2, 3, 4]

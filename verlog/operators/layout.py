@@ -15,10 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def file_inventory(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """``LIST`` / ``ls``: every data file under ``path`` with size and time."""
+def file_inventory(spark: SparkSession, path: str | list[str], glob: str = "*.parquet") -> DataFrame:
+    """``LIST`` / ``ls``: every data file under ``path`` (one or more roots) with
+    size and time. Folders starting with ``_`` are hidden *below* a root by
+    Spark's listing, so pass such folders as roots themselves."""
+    roots = [path] if isinstance(path, str) else list(path)
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", glob).load(path))
+             .option("pathGlobFilter", glob).load(roots))
     # _metadata.file_path, not binaryFile's own path column: it is the same
     # URL-encoded form a row scan reports, so the two can be joined.
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("length"), F.col("modificationTime"))

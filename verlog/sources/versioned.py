@@ -530,6 +530,50 @@ class VersionedTable:
         rows.write.mode("overwrite").parquet(f"{self.snapshots_path}/version={v}")
         return v
 
+    def purge_plan(self, now: _dt.datetime | None = None, log_days: int | None = None,
+                   file_days: int | None = None) -> DataFrame:
+        """``VACUUM t DRY RUN``: data files no reachable version needs.
+
+        Reachable versions are those committed inside the retention window (the
+        smaller of log and file retention) plus the latest. With ``r0`` the
+        oldest reachable version and ``b`` the newest base snapshot at or before
+        ``r0``, no reachable read needs change partitions at or below ``b``
+        (below ``r0``) nor snapshots older than ``b``. Uncommitted partitions
+        (a failed commit's orphans) are never needed. Only files older than the
+        file retention are listed. Nothing is deleted.
+        """
+        from verlog.operators import layout
+
+        props = self.properties()
+        log_days = layout.retention_days(props.get(LOG_RETENTION), layout.LOG_RETENTION_DAYS) \
+            if log_days is None else int(log_days)
+        file_days = layout.retention_days(props.get(FILE_RETENTION), layout.FILE_RETENTION_DAYS) \
+            if file_days is None else int(file_days)
+        now = _naive(now or _dt.datetime.now(_dt.timezone.utc))
+        window = _dt.timedelta(days=min(log_days, file_days))
+        rows = self._rows()
+        latest = int(rows[-1].version)
+        r0 = min([int(r.version) for r in rows if _from_spark(r.timestamp) >= now - window] + [latest])
+        snaps = sorted(int(n.split("=", 1)[1]) for n in list_children(self.spark, self.snapshots_path)
+                       if n.startswith("version=")
+                       and path_exists(self.spark, f"{self.snapshots_path}/{n}/_SUCCESS"))
+        b = max([x for x in snaps if x <= r0], default=-1)
+        roots = [p for p in (self.changes_path, self.snapshots_path, f"{self.path}/_staging")
+                 if path_exists(self.spark, p)]
+        if not roots:
+            return self.spark.createDataFrame([], "path string, length long, modificationTime timestamp, reason string")
+        inv = layout.file_inventory(self.spark, roots)
+        ver = F.regexp_extract("path", r"/_changes/_commit_version=(\d+)/", 1)
+        snap = F.regexp_extract("path", r"/_snapshots/version=(\d+)/", 1)
+        reason = (F.when((ver != "") & (ver.cast("long") > F.lit(latest)), F.lit("uncommitted version"))
+                  .when((ver != "") & (ver.cast("long") <= F.lit(b)) & (ver.cast("long") < F.lit(r0)),
+                        F.lit(f"covered by snapshot {b}"))
+                  .when((snap != "") & (snap.cast("long") < F.lit(b)), F.lit(f"superseded by snapshot {b}"))
+                  .when(F.col("path").contains("/_staging/"), F.lit("staging leftover")))
+        cutoff = F.lit(now.replace(tzinfo=_dt.timezone.utc)).cast("timestamp") - F.expr(f"INTERVAL {file_days} DAYS")
+        return (inv.select("path", "length", "modificationTime", reason.alias("reason"))
+                .where(F.col("reason").isNotNull() & (F.col("modificationTime") < cutoff)))
+
     def optimize(self, zorder_by: str | None = None, files: int | None = None) -> int:
         """``OPTIMIZE t [ZORDER BY (c)]``: a compacted, optionally clustered base
         snapshot of the latest version (no new version; contents unchanged)."""
