@@ -128,3 +128,19 @@ def swap_names(spark, live_path: str, green_path: str, retired_path: str) -> Non
     from verlog.sources.versioned import forget
     for p in (live_path, green_path, retired_path):
         forget(p)
+
+
+def clones_ledger(copies: Mapping[str, "object"]) -> DataFrame:
+    """``clones``(clone_name, kind, source_path, source_version) read from each
+    copy's own version-0 history row (its CLONE parameters)."""
+    parts = []
+    for name, t in copies.items():
+        h = t.history().where(F.col("version") == 0)
+        p = F.col("operationParameters")
+        parts.append(h.select(F.lit(name).alias("clone_name"),
+                              F.when(p["shallow"] == "True", F.lit("SHALLOW")).otherwise(F.lit("DEEP")).alias("kind"),
+                              p["source"].alias("source_path"), p["sourceVersion"].cast("long").alias("source_version")))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
