@@ -36,6 +36,22 @@ def column_inventory(spark: SparkSession, tables: Mapping[str, DataFrame], catal
     return spark.createDataFrame(rows, INVENTORY_SCHEMA)
 
 
+def column_coverage(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Non-null rows of every column: one aggregate pass per table (all columns
+    at once), unpivoted to one row per (table_name, column_name)."""
+    parts = []
+    for name, df in tables.items():
+        counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)])
+        parts.append(counts.select(F.explode(F.array(*[
+            F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"),
+                     F.col(f"c{i}").alias("non_null_rows")) for i, c in enumerate(df.columns)])).alias("x"))
+                     .select("x.*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def catalog_inventory(spark: SparkSession, database: str) -> DataFrame:
     """The same from the session catalog (``spark.catalog.listColumns``)."""
     rows = []
