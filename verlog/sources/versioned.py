@@ -225,7 +225,8 @@ class VersionedTable:
                              T.StructField(COMMIT_VERSION, T.LongType())])
         # Committed partitions never change (append-only), so the file listing
         # behind one read can be reused until a version is added.
-        key = (self.path, full.json(), _HISTORY[self.path][0] if self.path in _HISTORY else None, id(self.spark))
+        key = (self.path, full.json(), _HISTORY[self.path][0] if self.path in _HISTORY else None,
+               id(self.spark), self.spark.sparkContext.applicationId)
         df = _READS.get(key)
         if df is None:
             if not path_exists(self.spark, self.changes_path):
