@@ -86,3 +86,11 @@ def test_assign_ids_contiguous_across_partitions(spark):
     out = assign_ids(df, "rid", 11, order_by=["v"]).collect()
     assert sorted(r.rid for r in out) == list(range(11, 1011))
     assert all(r.rid == r.v + 11 for r in out)
+
+
+def test_catalog_inventory_from_session_catalog(spark):
+    spark.createDataFrame([], customers_schema()).createOrReplaceTempView("verlog_inv_customers")
+    inv = govern.catalog_inventory(spark, "default")
+    mine = inv.where(F.col("table_name") == "verlog_inv_customers")
+    assert [r.column_name for r in mine.orderBy("ordinal_position").collect()][:3] == ["customer_id", "name", "email"]
+    assert [r.column_name for r in govern.pii_columns(mine).collect()] == ["email"]

@@ -128,3 +128,18 @@ def test_optimize_zorder_keeps_results(stock, spark):
     ranges = layout.file_ranges(snap, "warehouse").collect()
     assert all(r.min_value <= r.max_value for r in ranges)
     assert len({(r.min_value, r.max_value) for r in ranges}) == len(ranges)   # files do not overlap
+
+
+def test_keyless_table_refused(spark, tmp_table):
+    with pytest.raises(VersionError):
+        VersionedTable.create(spark, tmp_table("nokey"), SCHEMA, [])
+
+
+def test_replace_with_keeps_history(stock, spark):
+    summary = stock.current().groupBy("warehouse").agg(F.sum("quantity").alias("units")) \
+        .withColumnRenamed("warehouse", "sku")
+    v = stock.replace_with(summary)
+    assert sorted((r.sku, r.units) for r in stock.current().collect()) == [
+        ("Bangalore", 250), ("Chennai", 595), ("Mumbai", 80)]
+    assert stock.current().columns == ["sku", "units"]
+    assert totals(stock.as_of(v - 1)) == (4, 925)

@@ -56,7 +56,8 @@ def catalog_inventory(spark: SparkSession, database: str) -> DataFrame:
     """The same from the session catalog (``spark.catalog.listColumns``)."""
     rows = []
     for t in spark.catalog.listTables(database):
-        for pos, c in enumerate(spark.catalog.listColumns(t.name, database), start=1):
+        cols = spark.catalog.listColumns(t.name) if t.isTemporary else spark.catalog.listColumns(t.name, database)
+        for pos, c in enumerate(cols, start=1):
             rows.append((spark.catalog.currentCatalog(), database, t.name, c.name, pos, c.dataType, c.description))
     return spark.createDataFrame(rows, INVENTORY_SCHEMA)
 

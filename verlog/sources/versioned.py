@@ -133,7 +133,14 @@ class VersionedTable:
                properties: Mapping[str, str] | None = None, identity: str | None = None,
                identity_mode: str = "ALWAYS", checks: Mapping[str, str] | None = None,
                user: str | None = None, if_not_exists: bool = False) -> "VersionedTable":
-        """``CREATE TABLE``: version 0, no rows."""
+        """``CREATE TABLE``: version 0, no rows. A key is required: every
+        versioned read is "newest row per key" (EXCEPT-style diffs of plain
+        DataFrames need none)."""
+        if not keys:
+            raise VersionError("a versioned table needs key columns")
+        missing = [k for k in keys if k not in schema.fieldNames()]
+        if missing:
+            raise VersionError(f"key columns not in the schema: {missing}")
         t = cls(spark, path)
         if t.exists():
             if if_not_exists:
@@ -491,6 +498,19 @@ class VersionedTable:
         return self.commit(changes.select(*cols, CHANGE_TYPE), "RESTORE", {"version": version},
                            schema=target_schema, user=user, enforce=False)
 
+    def replace_with(self, rows: DataFrame, user: str | None = None) -> int:
+        """``CREATE OR REPLACE TABLE t AS SELECT``: a new version holding exactly
+        ``rows`` (and their schema); history is kept, so the old contents stay
+        readable with ``as_of``."""
+        schema = T.StructType([T.StructField(f.name, f.dataType, f.nullable or f.name not in self.keys)
+                               for f in rows.schema.fields])
+        missing = [k for k in self.keys if k not in schema.fieldNames()]
+        if missing:
+            raise VersionError(f"replacement lacks key columns {missing}")
+        changes = net_changes(self.current(), rows, self.keys)
+        return self.commit(changes.select(*schema.fieldNames(), CHANGE_TYPE), "CREATE OR REPLACE TABLE AS SELECT",
+                           {}, schema=schema, user=user)
+
     def add_columns(self, fields: Sequence[T.StructField], user: str | None = None) -> int:
         """``ALTER TABLE ADD COLUMN``: old rows read NULL."""
         schema = self.schema()
