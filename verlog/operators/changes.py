@@ -190,6 +190,12 @@ def change_counts(feed: DataFrame) -> DataFrame:
 MAX_BROADCAST_KEYS = 2_000_000
 
 
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows (counted, stops
+    after ``max_rows + 1``); otherwise ``df`` unhinted, so the planner shuffles."""
+    return F.broadcast(df) if df.limit(int(max_rows) + 1).count() <= int(max_rows) else df
+
+
 def touched_keys(log: DataFrame, keys: str | Sequence[str], after: int, upto: int) -> DataFrame:
     """Distinct keys with any change in versions ``(after, upto]`` (partition-pruned)."""
     keys = _keys(keys)
