@@ -143,3 +143,12 @@ def test_replace_with_keeps_history(stock, spark):
         ("Bangalore", 250), ("Chennai", 595), ("Mumbai", 80)]
     assert stock.current().columns == ["sku", "units"]
     assert totals(stock.as_of(v - 1)) == (4, 925)
+
+
+def test_snapshot_at_version_is_a_plain_scan(stock):
+    before = sorted(stock.current().collect())
+    stock.snapshot()
+    cur = stock.current()
+    assert sorted(cur.collect()) == before
+    plan = cur._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan

@@ -288,6 +288,11 @@ class VersionedTable:
         v = self.version() if version is None else int(version)
         self._row(v)  # raises if unknown
         schema = self.schema(v)
+        b, base = self._base(v)
+        if b == v:
+            # A snapshot of exactly this version already holds one row per key:
+            # a plain scan, no window and no exchange.
+            return base.select(*schema.fieldNames())
         return as_of(self.log(upto=v, schema=schema, use_snapshot=True), self.keys, None, schema.fieldNames())
 
     def rows_where(self, predicate, version: int | None = None) -> DataFrame:
