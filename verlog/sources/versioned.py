@@ -448,12 +448,15 @@ class VersionedTable:
         """
         mode = props.get(IDENTITY_MODE, "ALWAYS")
         inserts = F.col(CHANGE_TYPE) == F.lit(INSERT)
-        if mode == "ALWAYS" and check_explicit:   # a restore re-inserts original ids
-            explicit = rows.where(inserts & F.col(id_col).isNotNull()).limit(1).count()
-            if explicit:
-                raise rules.RuleViolation(f"{id_col} is GENERATED ALWAYS; explicit values are refused")
         stage = f"{self.path}/_staging/v{v}-{uuid.uuid4().hex}"
-        rows.withColumn("_seq", F.monotonically_increasing_id()).write.parquet(stage)
+        # Explicit ids on inserts are counted while staging (no extra pass).
+        seen = Observation(f"ids_{v}_{uuid.uuid4().hex[:8]}")
+        (rows.withColumn("_seq", F.monotonically_increasing_id())
+         .observe(seen, F.count_if(inserts & F.col(id_col).isNotNull()).alias("explicit"))
+         .write.parquet(stage))
+        if mode == "ALWAYS" and check_explicit and (seen.get.get("explicit") or 0):   # restore re-inserts ids
+            delete_path(self.spark, stage)
+            raise rules.RuleViolation(f"{id_col} is GENERATED ALWAYS; explicit values are refused")
         staged = self.spark.read.parquet(stage)
         todo = staged.where(inserts & F.col(id_col).isNull())
         done = staged.where(~(inserts & F.col(id_col).isNull()))
