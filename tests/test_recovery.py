@@ -143,3 +143,8 @@ def test_purge_plan(payments, spark):
     assert {p for p, _ in plan} >= {"_commit_version=1", "_commit_version=2", "version=0"}
     assert not any(p == "_commit_version=3" for p, _ in plan)  # the latest version stays
     assert sorted(r.payment_id for r in payments.current().collect()) == [1, 2, 3, 4]
+
+
+def test_detail(payments):
+    d = payments.detail().first()
+    assert d.version == 1 and d.numFiles >= 1 and d.sizeInBytes > 0 and d["keys"] == "payment_id"

@@ -559,6 +559,29 @@ class VersionedTable:
         rows.write.mode("overwrite").parquet(f"{self.snapshots_path}/version={v}")
         return v
 
+    def detail(self) -> DataFrame:
+        """``DESCRIBE DETAIL``: one row with location, version, file count and
+        bytes of the files the latest version reads (one distributed listing),
+        keys and properties."""
+        from verlog.operators import layout
+
+        v = self.version()
+        roots = [p for p in (self.changes_path, self.snapshots_path) if path_exists(self.spark, p)]
+        files = layout.file_inventory(self.spark, roots) if roots else \
+            self.spark.createDataFrame([], "path string, length long, modificationTime timestamp")
+        ver = F.regexp_extract("path", r"/_changes/_commit_version=(\d+)/", 1)
+        snap = F.regexp_extract("path", r"/_snapshots/version=(\d+)/", 1)
+        b, _ = self._base(v)
+        live = files.where(((ver != "") & (ver.cast("long") <= v) & (ver.cast("long") > b))
+                           | ((snap != "") & (snap.cast("long") == b)))
+        props = self.properties()
+        return live.agg(F.count(F.lit(1)).alias("numFiles"), F.coalesce(F.sum("length"), F.lit(0)).alias("sizeInBytes")) \
+            .select(F.lit("parquet change log").alias("format"), F.lit(self.path).alias("location"),
+                    F.lit(v).cast("long").alias("version"), "numFiles", "sizeInBytes",
+                    F.lit(",".join(self.keys)).alias("keys"),
+                    F.create_map(*[x for k, val in sorted(props.items()) for x in (F.lit(k), F.lit(val))])
+                    .alias("properties"))
+
     def purge_plan(self, now: _dt.datetime | None = None, log_days: int | None = None,
                    file_days: int | None = None) -> DataFrame:
         """``VACUUM t DRY RUN``: data files no reachable version needs.
