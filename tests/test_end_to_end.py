@@ -96,7 +96,7 @@ def test_governed_customers(spark, tmp_table):
                                     for i, tier in enumerate(["gold", "silver", "gold", "bronze", "silver"], 1)],
                                    schema))
     assert t.schema().fields[2].metadata["comment"].startswith("Contact email")
-    inv = govern.column_inventory(spark, {"customers": t.current()}, "demo_uc", "governance")
+    inv = govern.column_inventory(spark, {"customers": t.current()}, "demo_cat", "governance")
     pii = govern.pii_columns(inv, name_patterns=("%phone%",))            # found by its comment alone
     assert [r.column_name for r in pii.collect()] == ["email"]
     public = t.current().drop("email")

@@ -23,7 +23,7 @@ def customers_schema():
 
 def test_pii_and_tags(spark):
     cust = spark.createDataFrame([], customers_schema())
-    inv = govern.column_inventory(spark, {"customers": cust}, "demo_uc", "governance")
+    inv = govern.column_inventory(spark, {"customers": cust}, "demo_cat", "governance")
     assert [r.column_name for r in govern.pii_columns(inv).collect()] == ["email"]
     tags = spark.createDataFrame([("customers", "email", "pii", "true")],
                                  "table_name string, column_name string, tag_name string, tag_value string")
@@ -32,12 +32,12 @@ def test_pii_and_tags(spark):
 
 def grants_ledger(spark, revoke_select: bool):
     rows = [
-        (1, "GRANT", "USE CATALOG", "CATALOG", "demo_uc", "analysts"),
-        (2, "GRANT", "USE SCHEMA", "SCHEMA", "demo_uc.governance", "analysts"),
-        (3, "GRANT", "SELECT", "TABLE", "demo_uc.governance.customers_public", "analysts"),
+        (1, "GRANT", "USE CATALOG", "CATALOG", "demo_cat", "analysts"),
+        (2, "GRANT", "USE SCHEMA", "SCHEMA", "demo_cat.governance", "analysts"),
+        (3, "GRANT", "SELECT", "TABLE", "demo_cat.governance.customers_public", "analysts"),
     ]
     if revoke_select:
-        rows.append((4, "REVOKE", "SELECT", "TABLE", "demo_uc.governance.customers_public", "analysts"))
+        rows.append((4, "REVOKE", "SELECT", "TABLE", "demo_cat.governance.customers_public", "analysts"))
     base = dt.datetime(2025, 1, 1)
     return spark.createDataFrame([(base + dt.timedelta(minutes=i), i, a, p, ot, on, pr) for i, a, p, ot, on, pr in rows],
                                  "ts timestamp, seq long, action string, privilege string, object_type string, "
@@ -46,21 +46,21 @@ def grants_ledger(spark, revoke_select: bool):
 
 def test_effective_access(spark):
     g = govern.current_grants(grants_ledger(spark, False))
-    assert [r.principal for r in govern.effective_access(g, "demo_uc", "governance", "customers_public").collect()] \
+    assert [r.principal for r in govern.effective_access(g, "demo_cat", "governance", "customers_public").collect()] \
         == ["analysts"]
-    assert govern.effective_access(g, "demo_uc", "governance", "customers").count() == 0
+    assert govern.effective_access(g, "demo_cat", "governance", "customers").count() == 0
     g2 = govern.current_grants(grants_ledger(spark, True))
-    assert govern.effective_access(g2, "demo_uc", "governance", "customers_public").count() == 0
+    assert govern.effective_access(g2, "demo_cat", "governance", "customers_public").count() == 0
 
 
 def test_lineage_prefix_is_literal(spark):
     edges = spark.createDataFrame(
-        [(1, "a", "demo_uc.governance.t1", dt.datetime(2025, 1, 2), dt.date(2025, 1, 2)),
+        [(1, "a", "demo_cat.governance.t1", dt.datetime(2025, 1, 2), dt.date(2025, 1, 2)),
          (2, "a", "demoXuc.governance.t2", dt.datetime(2025, 1, 2), dt.date(2025, 1, 2)),
-         (3, "a", "demo_uc.governance.t3", dt.datetime(2024, 1, 2), dt.date(2024, 1, 2))],
+         (3, "a", "demo_cat.governance.t3", dt.datetime(2024, 1, 2), dt.date(2024, 1, 2))],
         "edge_id long, source_table_full_name string, target_table_full_name string, event_time timestamp, "
         "event_date date")
-    got = [r.edge_id for r in govern.recent_lineage(edges, "demo_uc.governance.", "2025-01-01").collect()]
+    got = [r.edge_id for r in govern.recent_lineage(edges, "demo_cat.governance.", "2025-01-01").collect()]
     assert got == [1]
 
 

@@ -52,6 +52,7 @@ CHECK_PREFIX = "verlog.constraints."
 CLONE_SOURCE = "verlog.clone.source"
 CLONE_VERSION = "verlog.clone.sourceVersion"
 SNAPSHOT_INTERVAL = "verlog.snapshotInterval"  # write a base snapshot every k versions
+# Table property names a user of the reference sets (feed switch, retention).
 FEED_ENABLED = "enableChangeDataFeed"
 LOG_RETENTION = "logRetentionDuration"          # 'interval <n> days'
 FILE_RETENTION = "deletedFileRetentionDuration"
