@@ -66,6 +66,8 @@ class VersionError(ValueError):
 _HISTORY: dict[str, tuple[frozenset, list]] = {}
 # (path, read schema, latest version, session) -> DataFrame over _changes
 _READS: dict[tuple, DataFrame] = {}
+# (path, version, history stamp, session) -> as_of DataFrame (committed versions never change)
+_AS_OF: dict[tuple, DataFrame] = {}
 
 
 def _fs(spark: SparkSession, path: str):
@@ -103,8 +105,9 @@ def forget(path: str) -> None:
     """Drop the process caches of a table (after it was moved or replaced)."""
     path = path.rstrip("/")
     _HISTORY.pop(path, None)
-    for k in [k for k in _READS if k[0] == path]:
-        _READS.pop(k, None)
+    for cache in (_READS, _AS_OF):
+        for k in [k for k in cache if k[0] == path]:
+            cache.pop(k, None)
 
 
 class VersionedTable:
@@ -288,13 +291,21 @@ class VersionedTable:
         """``t VERSION AS OF n`` (latest when None)."""
         v = self.version() if version is None else int(version)
         self._row(v)  # raises if unknown
+        snaps = frozenset(n for n in list_children(self.spark, self.snapshots_path))
+        key = (self.path, v, _HISTORY[self.path][0], snaps, id(self.spark), self.spark.sparkContext.applicationId)
+        cached = _AS_OF.get(key)
+        if cached is not None:
+            return cached
         schema = self.schema(v)
         b, base = self._base(v)
         if b == v:
             # A snapshot of exactly this version already holds one row per key:
             # a plain scan, no window and no exchange.
-            return base.select(*schema.fieldNames())
-        return as_of(self.log(upto=v, schema=schema, use_snapshot=True), self.keys, None, schema.fieldNames())
+            df = base.select(*schema.fieldNames())
+        else:
+            df = as_of(self.log(upto=v, schema=schema, use_snapshot=True), self.keys, None, schema.fieldNames())
+        _AS_OF[key] = df
+        return df
 
     def rows_where(self, predicate, version: int | None = None) -> DataFrame:
         """Rows of a version for which ``predicate`` is TRUE, reading only the keys
