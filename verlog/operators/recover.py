@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verlog.operators import dml
-from verlog.operators.changes import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, as_of, net_changes
+from verlog.operators.changes import COMMIT_TIMESTAMP, COMMIT_VERSION, net_changes
 
 
 def stage(log: DataFrame, changes: DataFrame, version: int) -> DataFrame:
