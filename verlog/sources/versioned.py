@@ -21,7 +21,7 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -384,6 +384,20 @@ class VersionedTable:
         (self.spark.createDataFrame([row], COMMITS_SCHEMA).drop("version").coalesce(1)
          .write.mode("overwrite").parquet(f"{self.commits_path}/version={version}"))
         self._history_cache = None
+        # The writer knows the row it just committed: extend the process cache
+        # instead of re-reading the history with a Spark job.
+        cached = _HISTORY.get(self.path)
+        if cached is not None and all(r.version < version for r in cached[1]):
+            names = frozenset(x for x in list_stamped(self.spark, self.commits_path) if x[0].startswith("version="))
+            added = {n for n, _ in names} - {n for n, _ in cached[0]}
+            if added != {f"version={version}"}:
+                _HISTORY.pop(self.path, None)   # someone else committed too: re-read
+                return
+            local_ts = ts.replace(tzinfo=_dt.timezone.utc).astimezone().replace(tzinfo=None)
+            new = Row(version=version, timestamp=local_ts, schema_json=schema.json(), properties=dict(props))
+            _HISTORY[self.path] = (names, [*cached[1], new])
+        else:
+            _HISTORY.pop(self.path, None)
 
     def commit(self, changes: DataFrame | None, operation: str, params: Mapping | None = None,
                schema: T.StructType | None = None, properties: Mapping[str, str] | None = None,
