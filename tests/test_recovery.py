@@ -148,3 +148,18 @@ def test_purge_plan(payments, spark):
 def test_detail(payments):
     d = payments.detail().first()
     assert d.version == 1 and d.numFiles >= 1 and d.sizeInBytes > 0 and d["keys"] == "payment_id"
+
+
+def test_drop_and_undrop(payments, spark, tmp_table):
+    ledger = tmp_table("drops")
+    before = sorted(payments.current().collect())
+    recover.drop_table(spark, ledger, "payments", payments.path)
+    assert not VersionedTable(spark, payments.path).exists()
+    assert [r.table_name for r in recover.recoverable_drops(
+        recover.drops_ledger(spark, ledger), dt.datetime.now(dt.timezone.utc)).collect()] == ["payments"]
+    recover.undrop_table(spark, ledger, "payments")
+    assert sorted(VersionedTable(spark, payments.path).current().collect()) == before
+    assert recover.recoverable_drops(recover.drops_ledger(spark, ledger),
+                                     dt.datetime.now(dt.timezone.utc)).count() == 0
+    with pytest.raises(ValueError):
+        recover.undrop_table(spark, ledger, "payments")

@@ -78,7 +78,8 @@ def recoverable_drops(drops: DataFrame, now: _dt.datetime | str, retention_days:
                     (F.lit(retention_days) - F.datediff(now_c, F.col("dropped_at"))).alias("days_left")))
 
 
-DROPS_SCHEMA = "table_name string, path string, dropped_at timestamp, restored_at timestamp, managed boolean"
+DROPS_SCHEMA = ("table_name string, path string, dropped_at timestamp, restored_at timestamp, managed boolean, "
+                "trash_path string")
 
 
 def soft_drop(spark, ledger_path: str, table_name: str, path: str, managed: bool = True,
@@ -86,14 +87,14 @@ def soft_drop(spark, ledger_path: str, table_name: str, path: str, managed: bool
     """``DROP TABLE`` for a managed table: the files stay, a ledger row records
     the drop (one small file per event, appended)."""
     at = at or _dt.datetime.now(_dt.timezone.utc)
-    spark.createDataFrame([(table_name, path, at, None, managed)], DROPS_SCHEMA) \
+    spark.createDataFrame([(table_name, path, at, None, managed, None)], DROPS_SCHEMA) \
         .coalesce(1).write.mode("append").parquet(ledger_path)
 
 
 def undrop(spark, ledger_path: str, table_name: str, at: _dt.datetime | None = None) -> None:
     """``UNDROP TABLE``: records the restore of the newest drop of ``table_name``."""
     at = at or _dt.datetime.now(_dt.timezone.utc)
-    spark.createDataFrame([(table_name, None, None, at, None)], DROPS_SCHEMA) \
+    spark.createDataFrame([(table_name, None, None, at, None, None)], DROPS_SCHEMA) \
         .coalesce(1).write.mode("append").parquet(ledger_path)
 
 
@@ -101,13 +102,13 @@ def drops_ledger(spark, ledger_path: str) -> DataFrame:
     """One row per dropped table: its newest drop and whether it was restored since."""
     events = spark.read.schema(DROPS_SCHEMA).parquet(ledger_path)
     drops = events.where(F.col("dropped_at").isNotNull()).groupBy("table_name").agg(
-        F.max_by(F.struct("path", "dropped_at", "managed"), F.col("dropped_at")).alias("d"))
+        F.max_by(F.struct("path", "dropped_at", "managed", "trash_path"), F.col("dropped_at")).alias("d"))
     restores = events.where(F.col("restored_at").isNotNull()).groupBy("table_name") \
         .agg(F.max("restored_at").alias("restored_at"))
     return (drops.join(restores, "table_name", "left")
             .select("table_name", "d.path", "d.dropped_at",
                     F.when(F.col("restored_at") >= F.col("d.dropped_at"), F.col("restored_at")).alias("restored_at"),
-                    "d.managed"))
+                    "d.managed", "d.trash_path"))
 
 
 def swap_names(spark, live_path: str, green_path: str, retired_path: str) -> None:
@@ -144,3 +145,46 @@ def clones_ledger(copies: Mapping[str, "object"]) -> DataFrame:
     for x in parts[1:]:
         out = out.unionByName(x)
     return out
+
+
+UNDROP_DAYS = 7
+
+
+def drop_table(spark, ledger_path: str, table_name: str, path: str, managed: bool = True) -> str | None:
+    """``DROP TABLE``. Managed: the folder is moved aside (a metadata-only
+    rename) and the drop recorded, so ``undrop_table`` can bring it back within
+    the window. External: only the ledger row; the files stay where they are."""
+    at = _dt.datetime.now(_dt.timezone.utc)
+    trash = None
+    if managed:
+        jvm = spark.sparkContext._jvm
+        src = jvm.org.apache.hadoop.fs.Path(path)
+        fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        trash = f"{path.rstrip('/')}.dropped-{int(at.timestamp() * 1000)}"
+        if not fs.rename(src, jvm.org.apache.hadoop.fs.Path(trash)):
+            raise OSError(f"could not drop {path}")
+        from verlog.sources.versioned import forget
+        forget(path)
+    spark.createDataFrame([(table_name, path, at, None, managed, trash)], DROPS_SCHEMA) \
+        .coalesce(1).write.mode("append").parquet(ledger_path)
+    return trash
+
+
+def undrop_table(spark, ledger_path: str, table_name: str, window_days: int = UNDROP_DAYS) -> str:
+    """``UNDROP TABLE``: the newest drop of a managed table, inside the window,
+    moved back to its path. Returns the path."""
+    now = _dt.datetime.now(_dt.timezone.utc)
+    live = recoverable_drops(drops_ledger(spark, ledger_path), now, window_days) \
+        .where(F.col("table_name") == table_name)
+    row = drops_ledger(spark, ledger_path).join(live.select("table_name"), "table_name").first()
+    if row is None or not row.trash_path:
+        raise ValueError(f"{table_name} is not a recoverable dropped managed table")
+    jvm = spark.sparkContext._jvm
+    dst = jvm.org.apache.hadoop.fs.Path(row.path)
+    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(dst):
+        raise ValueError(f"{row.path} exists; drop or rename it first")
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(row.trash_path), dst):
+        raise OSError(f"could not undrop {table_name}")
+    undrop(spark, ledger_path, table_name, now)
+    return row.path
