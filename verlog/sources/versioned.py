@@ -249,12 +249,11 @@ class VersionedTable:
 
     def _base(self, upto: int) -> tuple[int, DataFrame | None]:
         """Newest base snapshot at or below ``upto`` (as insert rows), if any."""
-        best = None
-        for name in list_children(self.spark, self.snapshots_path):
-            if name.startswith("version="):
-                b = int(name.split("=", 1)[1])
-                if b <= upto and path_exists(self.spark, f"{self.snapshots_path}/{name}/_SUCCESS"):
-                    best = b if best is None else max(best, b)
+        # Newest first; only probe for completeness until one is found.
+        candidates = sorted((int(n.split("=", 1)[1]) for n in list_children(self.spark, self.snapshots_path)
+                             if n.startswith("version=")), reverse=True)
+        best = next((b for b in candidates
+                     if b <= upto and path_exists(self.spark, f"{self.snapshots_path}/version={b}/_SUCCESS")), None)
         if best is None:
             return -1, None
         schema = self.schema(best)
