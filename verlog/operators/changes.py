@@ -215,10 +215,15 @@ def restrict_to(log: DataFrame, keys: str | Sequence[str], touched: DataFrame,
     on the unrestricted log.
     """
     keys = _keys(keys)
-    n = touched.limit(max_broadcast + 1).count()
-    if n > max_broadcast:
+    from verlog.session import work_root
+    work_root(log.sparkSession)  # make sure a checkpoint folder is set
+    # At most max_broadcast + 1 keys are computed once and checkpointed (a
+    # bounded write in the shared folder): counting and broadcasting then read
+    # that instead of scanning the log again.
+    bounded = touched.limit(max_broadcast + 1).checkpoint(eager=True)
+    if bounded.count() > max_broadcast:
         return log
-    return log.join(F.broadcast(touched), keys, "left_semi")
+    return log.join(F.broadcast(bounded), keys, "left_semi")
 
 
 def changed_between(log: DataFrame, keys: str | Sequence[str], old: int, new: int,

@@ -306,7 +306,7 @@ class VersionedTable:
         _AS_OF[key] = df
         return df
 
-    def rows_where(self, predicate, version: int | None = None) -> DataFrame:
+    def rows_where(self, predicate, version: int | None = None, materialize: bool = False) -> DataFrame:
         """Rows of a version for which ``predicate`` is TRUE, reading only the keys
         that can qualify.
 
@@ -315,6 +315,7 @@ class VersionedTable:
         candidate keys; the log is restricted to them (size-checked broadcast
         semi-join) before the as-of exchange, and the predicate is applied again
         to the newest rows. Cost follows the matching rows, not the table.
+        ``materialize`` checkpoints the (then bounded) result for reuse.
         """
         v = self.version() if version is None else int(version)
         self._row(v)
@@ -324,7 +325,12 @@ class VersionedTable:
         live = F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)
         candidates = log.where(live & pred).select(*self.keys).distinct()
         part = restrict_to(log, self.keys, candidates)
-        return as_of(part, self.keys, None, schema.fieldNames()).where(pred)
+        rows = as_of(part, self.keys, None, schema.fieldNames()).where(pred)
+        if materialize and part is not log:
+            # Bounded by the counted key set: cut lineage so repeated uses
+            # (key set of a merge target, merge source) do not rescan the log.
+            rows = rows.checkpoint(eager=True)
+        return rows
 
     def rows_for_keys(self, keys: DataFrame, version: int | None = None) -> DataFrame:
         """Rows of a version whose key is in ``keys`` (a frame of the key
