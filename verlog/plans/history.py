@@ -32,7 +32,7 @@ from verlog.sources.testdata import ORDERS_ROWS_SQL, orders_rows
 from verlog.sources.versioned import VersionedTable
 
 # Bump when the script below changes, so older fixtures are not reused.
-HISTORY_REV = 4
+HISTORY_REV = 5
 KEYS = ["order_id"]
 N_VERSIONS = 6
 
