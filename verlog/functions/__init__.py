@@ -1,0 +1 @@
+"""Scalar and seed-style column expressions."""

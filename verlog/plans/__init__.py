@@ -1,0 +1 @@
+"""The scripted history on the driver data and the registered query catalogue."""

@@ -1,0 +1 @@
+"""Structured Streaming over a change log."""
