@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verlog.llm.common import others, q
+from verlog.llm.common import others, put_away, q
 from verlog.llm.pretokens import batches, cut
 
 #: Pieces a worker keeps, and the longest of them in bytes.
@@ -245,8 +245,8 @@ def decoded(ids: Column, path: str) -> Column:
 def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Every row of ``docs`` with ``ids`` and ``offsets`` (clashing input columns give way)."""
     kept = others(docs, ["ids", "offsets"])
-    return docs.select(*[q(c) for c in kept], encoded(q(text), path).alias("_coded")).select(
-        *[q(c) for c in kept], "_coded.ids", "_coded.offsets")
+    away, back = put_away(kept)
+    return docs.select(*away, encoded(q(text), path).alias("coded")).select(*back, "coded.ids", "coded.offsets")
 
 
 def round_trip(text: Column, path: str) -> Column:

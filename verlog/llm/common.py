@@ -15,13 +15,10 @@ from verlog.sources.testdata import table  # noqa: F401  (re-exported for the qu
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def fresh(taken, base: str) -> str:
-    """A column name that is not in ``taken`` (case-insensitively, as Spark resolves names)."""
-    low = {c.lower() for c in taken}
-    name = base
-    while name.lower() in low:
-        name = "_" + name
-    return name
+def put_away(names: list[str]) -> tuple[list[Column], list[Column]]:
+    """Columns ``names`` under names that no operator uses, and the way back."""
+    return ([q(c).alias(f"_in_{i}") for i, c in enumerate(names)],
+            [F.col(f"_in_{i}").alias(c) for i, c in enumerate(names)])
 
 
 def others(df: DataFrame, new: list[str], drop: tuple[str, ...] = ()) -> list[str]:

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verlog.llm.common import fresh, others, pieces_for, q, stage
+from verlog.llm.common import others, pieces_for, put_away, q, stage
 
 #: Distinct digests a segment of the index holds on average at most.
 SEGMENT = 65_536
@@ -160,16 +160,16 @@ def exact_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", ca
     so it must hold smaller ids than the rest (default: the lower half of the id range)."""
     new = ["keep_id", "group_size", "kept", "text_sha256"]
     kept = others(docs, new) if carry is None else carry
-    own, dig, at, old = (fresh(docs.columns, x) for x in ("own_id", "digest", "at", "old"))
+    away, back = put_away(kept)
     if history is None:
         ends = docs.agg(F.min(q(id)), F.max(q(id))).first()
         history = q(id) <= F.lit((ends[0] + ends[1]) // 2) if ends[0] is not None else F.lit(False)
-    rows = stage(docs.select(*[q(c) for c in kept], q(id).cast("long").alias(own),
-                             F.unhex(F.sha2(normalised(q(text)), 256)).alias(dig),
-                             F.coalesce(history, F.lit(False)).alias(old),
-                             F.monotonically_increasing_id().alias(at)), "dedup-rows")
-    first = F.min(F.struct(q(own).isNull().alias("none"), q(own).alias("id"), q(at).alias("at")))
-    groups = stage(rows.groupBy(q(dig).alias("digest"), q(old).alias("old"))
+    rows = stage(docs.select(*away, q(id).cast("long").alias("id"),
+                             F.unhex(F.sha2(normalised(q(text)), 256)).alias("digest"),
+                             F.coalesce(history, F.lit(False)).alias("old"),
+                             F.monotonically_increasing_id().alias("at")), "dedup-rows")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at"))
+    groups = stage(rows.groupBy("digest", "old")
                    .agg(first.alias("first"), F.count("*").alias("n"))
                    .select("digest", "old", "first.id", "first.at", "n"), "dedup-groups")
     past, new_groups = groups.where("old").drop("old"), groups.where("not old").drop("old")
@@ -183,12 +183,13 @@ def exact_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", ca
                .unionByName(seen.where("not member").select("digest", "id", "at", "n")))
     found = winners.select(F.col("digest").alias("g_digest"), F.col("id").alias("g_id"), F.col("at").alias("g_at"),
                            F.col("n").alias("g_n"))
-    return (rows.join(found, rows[dig] == found["g_digest"])
-            .select(*[rows[f"`{c}`"] for c in kept], found["g_id"].alias("keep_id"),
-                    found["g_n"].alias("group_size"), (rows[at] == found["g_at"]).alias("kept"),
-                    F.lower(F.hex(rows[dig])).alias("text_sha256")))
+    return (rows.join(found, F.col("digest") == F.col("g_digest"))
+            .select(*back, F.col("g_id").alias("keep_id"), F.col("g_n").alias("group_size"),
+                    (F.col("at") == F.col("g_at")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")))
 
 
 def without_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay."""
-    return exact_duplicates(docs, text, id).where("kept").select(*[q(c) for c in docs.columns])
+    away, back = put_away(docs.columns)
+    text, id = (f"_in_{docs.columns.index(c)}" for c in (text, id))
+    return exact_duplicates(docs.select(*away), text, id).where("kept").select(*back)

@@ -36,10 +36,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verlog.llm.common import WORD, fresh, others, q, stage
+from verlog.llm.common import WORD, others, put_away, q, stage
 
 #: Rows of a seeded bucket on average.
 BUCKET = 4096
+_SWAPS = 8
 
 
 def targets_by_weight(sizes: dict, weights: dict, budget: float, max_repeats: float) -> dict[object, float]:
@@ -144,7 +145,7 @@ def _unit(seed: int, *columns: Column) -> Column:
 
 
 def _pack(part: pd.DataFrame) -> pd.DataFrame:
-    """Takes documents in seeded order as far as they fit the room, then one more if that is nearer."""
+    """Takes documents in seeded order as far as they fit the room, then swaps a few to come nearer."""
     part = part.sort_values(["place", "at"], kind="stable")
     sizes, room = part["size"].to_numpy(), int(part["room"].iloc[0])
     chosen = np.zeros(len(sizes), dtype=bool)
@@ -152,9 +153,26 @@ def _pack(part: pd.DataFrame) -> pd.DataFrame:
         if 0 < n <= room:
             chosen[i] = True
             room -= n
-    over = np.where(chosen | (sizes <= 0), np.iinfo(np.int64).max, sizes)
-    if len(over) and over.min() - room < room:
-        chosen[int(over.argmin())] = True
+    for _ in range(_SWAPS):  # one more document, or one for another, while that comes nearer
+        spare, taken = np.flatnonzero(~chosen & (sizes > 0)), np.flatnonzero(chosen)
+        if not room or not len(spare):
+            break
+        taken = np.concatenate(([-1], taken[np.argsort(sizes[taken], kind="stable")]))
+        less = np.where(taken < 0, 0, sizes[taken])
+        near = np.clip(np.searchsorted(less, sizes[spare] - room), 1, len(less)) - 1
+        best = None
+        for step in (0, 1):
+            other = np.minimum(near + step, len(less) - 1)
+            gap = np.abs(room - (sizes[spare] - less[other]))
+            i = int(gap.argmin())
+            if best is None or gap[i] < best[0]:
+                best = (int(gap[i]), int(spare[i]), int(taken[other[i]]), int(sizes[spare[i]] - less[other[i]]))
+        if best[0] >= abs(room):
+            break
+        chosen[best[1]] = True
+        if best[2] >= 0:
+            chosen[best[2]] = False
+        room -= best[3]
     return pd.DataFrame({"at": part["at"].to_numpy()[chosen]})
 
 
@@ -167,20 +185,20 @@ def mix_sources(docs: DataFrame, text: str = "text", id: str = "doc_id", source:
     new = ["size", "source_size", "target", "taken", "copies"]
     kept = others(docs, new) if carry is None else carry
     spark = docs.sparkSession
-    own = {x: fresh(docs.columns, x) for x in ("members", "words", "place", "at")}
+    away, back = put_away(kept)
     array = isinstance(docs.schema[source].dataType, T.ArrayType)
     members = F.array(q(source).cast("string"))
     if array:
         members = F.when(F.size(q(source)) > 0, F.array_sort(F.array_distinct(q(source)))).otherwise(
             F.array(F.lit(None).cast("string")))
-    rows = stage(docs.select(*[q(c) for c in kept], F.to_json(members).alias(own["members"]),
-                             F.coalesce(F.regexp_count(q(text), F.lit(WORD)), F.lit(0)).cast("long").alias(own["words"]),
-                             _unit(seed, q(id), q(text)).alias(own["place"]),
-                             F.monotonically_increasing_id().alias(own["at"])), "mix-rows")
-    words, place, at = (q(own[x]) for x in ("words", "place", "at"))
-
-    plan = _plan(spark, rows, own, weights, share, max_repeats)
-    joined = rows.join(plan, q(own["members"]) == plan["p_members"])
+    rows = stage(docs.select(*away, F.to_json(members).alias("members"),
+                             F.coalesce(F.regexp_count(q(text), F.lit(WORD)), F.lit(0)).cast("long").alias("words"),
+                             _unit(seed, q(id), q(text)).alias("place"),
+                             F.monotonically_increasing_id().alias("at")), "mix-rows")
+    words, place, at = F.col("words"), F.col("place"), F.col("at")
+
+    plan = _plan(spark, rows, weights, share, max_repeats)
+    joined = rows.join(plan, F.col("members") == F.col("p_members"))
     # Whole buckets of each pattern's seeded order, and the bucket in which its rest ends.
     dealt = joined.withColumn("p_bucket", F.floor(place * F.col("p_buckets")).cast("long"))
     order = Window.partitionBy("p_members").orderBy("p_bucket")
@@ -199,15 +217,14 @@ def mix_sources(docs: DataFrame, text: str = "text", id: str = "doc_id", source:
         F.col("e_bucket").isNull() | (F.col("p_bucket") < F.col("e_bucket")), F.when(words > 0, 1).otherwise(0)).otherwise(
         F.when(F.col("s_at").isNotNull(), 1).otherwise(0))
     copies = (F.col("p_passes") + extra).cast("int")
-    return marked.select(*[q(c) for c in kept], words.alias("size"), F.col("p_source_size").alias("source_size"),
+    return marked.select(*back, words.alias("size"), F.col("p_source_size").alias("source_size"),
                          F.col("p_target").alias("target"), (copies * words).cast("long").alias("taken"),
                          copies.alias("copies"))
 
 
-def _plan(spark, rows: DataFrame, own: dict, weights, share: float, max_repeats: int) -> DataFrame:
+def _plan(spark, rows: DataFrame, weights, share: float, max_repeats: int) -> DataFrame:
     """One row a membership pattern: whole passes, the rest in words, buckets, and its source's facts."""
-    found = rows.groupBy(q(own["members"]).alias("m")).agg(F.sum(q(own["words"])).alias("n"),
-                                                           F.count("*").alias("docs")).collect()
+    found = rows.groupBy(F.col("members").alias("m")).agg(F.sum("words").alias("n"), F.count("*").alias("docs")).collect()
     sets = [tuple(json.loads(r["m"])) for r in found]
     sources = sorted({s for m in sets for s in m}, key=lambda s: (s is None, s or ""))
     number = {s: i for i, s in enumerate(sources)}
@@ -232,7 +249,8 @@ def _plan(spark, rows: DataFrame, own: dict, weights, share: float, max_repeats:
 def mixed_documents(docs: DataFrame, text: str = "text", id: str = "doc_id", source: str = "source", **how) -> DataFrame:
     """The mix itself: every document as many times as it is taken, columns as they came."""
     names = docs.columns
-    safe = {c: f"_in_{i}" for i, c in enumerate(names)}  # no clash with the columns that mixing adds
-    mixed = mix_sources(docs.select(*[q(c).alias(safe[c]) for c in names]), safe[text], safe[id], safe[source], **how)
-    again = F.explode(F.array_repeat(F.lit(1), F.col("copies")))
-    return mixed.select(*[F.col(safe[c]).alias(c) for c in names], again.alias("_in_again")).select(*[q(c) for c in names])
+    away, back = put_away(names)  # no clash with the columns that mixing adds
+    text, id, source = (f"_in_{names.index(c)}" for c in (text, id, source))
+    mixed = mix_sources(docs.select(*away), text, id, source, **how)
+    again = F.explode(F.array_repeat(F.lit(1), F.col("copies"))).alias("again")
+    return mixed.select("*", again).select(*back)

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verlog.llm.common import fresh, others, q, stage
+from verlog.llm.common import others, put_away, q, stage
 
 BUCKETS = 1 << 14
 #: Labelled rows of either class that the target model and the threshold are fitted on at most.
@@ -198,30 +198,28 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", id: s
             out.append((len(found), float(ratio.value[found].mean()) if len(found) else 0.0))
         return pd.DataFrame(out, columns=["n", "mean"])
 
-    own = {x: fresh([*docs.columns, *new], x) for x in ("own_id", "at", "scored", "noise")}
-    rows = stage(docs.select(*[q(c) for c in kept], q(id).cast("long").alias(own["own_id"]),
-                             score(q(text)).alias(own["scored"]),
-                             _noise(seed, q(id), q(text)).alias(own["noise"]),
-                             F.monotonically_increasing_id().alias(own["at"])), "quality-rows")
-    n, mean = F.col(f"`{own['scored']}`.n"), F.col(f"`{own['scored']}`.mean")
-    known = rows.where(n > 0).join(F.broadcast(sample), q(own["own_id"]) == F.col("l_id")).select(mean, "l_good").toPandas()
+    away, back = put_away(kept)
+    rows = stage(docs.select(*away, q(id).cast("long").alias("own_id"), score(q(text)).alias("scored"),
+                             _noise(seed, q(id), q(text)).alias("noise"),
+                             F.monotonically_increasing_id().alias("at")), "quality-rows")
+    n, mean = F.col("scored.n"), F.col("scored.mean")
+    known = rows.where(n > 0).join(F.broadcast(sample), F.col("own_id") == F.col("l_id")).select(mean, "l_good").toPandas()
     threshold = best_threshold(known.iloc[:, 0].to_numpy(dtype=float), known["l_good"].to_numpy(dtype=bool))
     floor = threshold if np.isfinite(threshold) else -1e300
     weight = n * (mean - F.lit(floor)) if np.isfinite(threshold) else F.lit(0.0)
-    keyed = rows.where(n > 0).select(q(own["at"]).alias("at"), mean.alias("mean"), (weight + q(own["noise"])).alias("key"))
+    keyed = rows.where(n > 0).select("at", mean.alias("mean"), (weight + F.col("noise")).alias("key"))
     k = keyed.where(F.col("mean") >= floor).count()
     edge, last = top_k(keyed.select("at", "key"), "key", k, ["at"])
     chosen = last.select(F.col("at").alias("s_at"))
-    return (rows.join(chosen, q(own["at"]) == F.col("s_at"), "left")
-            .select(*[q(c) for c in kept], n.alias("n_grams"), mean.alias("log_ratio"),
-                    ((n > 0) & (F.col("s_at").isNotNull() | (weight + q(own["noise"]) > F.lit(edge)))
+    return (rows.join(chosen, F.col("at") == F.col("s_at"), "left")
+            .select(*back, n.alias("n_grams"), mean.alias("log_ratio"),
+                    ((n > 0) & (F.col("s_at").isNotNull() | (weight + F.col("noise") > F.lit(edge)))
                      & F.lit(k > 0)).alias("kept")))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, columns as they came."""
-    safe = {c: f"_in_{i}" for i, c in enumerate(docs.columns)}
-    inner = docs.select(*[q(c).alias(safe[c]) for c in docs.columns])
-    tied = labels.select(q("doc_id").alias(safe[id]), "quality")
-    scored = quality_scores(inner, tied, safe[text], safe[id])
-    return scored.where("kept").select(*[F.col(safe[c]).alias(c) for c in docs.columns])
+    away, back = put_away(docs.columns)
+    inner_text, inner_id = (f"_in_{docs.columns.index(c)}" for c in (text, id))
+    tied = labels.select(q(id).alias(inner_id), "quality")
+    return quality_scores(docs.select(*away), tied, inner_text, inner_id).where("kept").select(*back)

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verlog.llm.common import fresh, others, q, stage
+from verlog.llm.common import others, put_away, q, stage
 
 # The kinds in their order, their patterns, and the least length of each.
 KINDS = ("assign", "access", "hex")
@@ -90,22 +90,20 @@ def secret_spans(docs: DataFrame, text: str = "text", owner: str = "source", rep
     the pair of ``owner`` and ``repository`` values (the owner alone if None)."""
     new = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_copied"]
     kept = others(docs, new) if carry is None else carry
-    name = {x: fresh([*docs.columns, *new], x) for x in ("whole", "a", "k", "h", "t", "own", "repo", "at")}
-    body = docs.select(*[q(c) for c in kept], F.coalesce(q(text), F.lit("")).alias(name["whole"]),
-                       q(owner).cast("string").alias(name["own"]),
-                       (q(repository or owner)).cast("string").alias(name["repo"]),
-                       F.monotonically_increasing_id().alias(name["at"]))
-    whole = q(name["whole"])
+    away, back = put_away(kept)
+    body = docs.select(*away, F.coalesce(q(text), F.lit("")).alias("whole"), q(owner).cast("string").alias("owner"),
+                       q(repository or owner).cast("string").alias("repository"),
+                       F.monotonically_increasing_id().alias("at"))
+    whole = F.col("whole")
     assign, access, hexes = base_spans(whole)
     wide = F.filter(_matches(whole, TOKEN), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
-    rows = stage(body.select(*[q(c) for c in kept], q(name["own"]), q(name["repo"]), q(name["at"]),
-                             _labelled(assign, 0).alias(name["a"]), _labelled(access, 1).alias(name["k"]),
-                             _labelled(hexes, 2).alias(name["h"]), _labelled(wide, 3).alias(name["t"])), "secret-rows")
-    base = F.concat(q(name["a"]), q(name["k"]), q(name["h"]))
+    rows = stage(body.select(*[f"_in_{i}" for i in range(len(kept))], "owner", "repository", "at",
+                             _labelled(assign, 0).alias("assign"), _labelled(access, 1).alias("access"),
+                             _labelled(hexes, 2).alias("hex"), _labelled(wide, 3).alias("wide")), "secret-rows")
+    base = F.concat("assign", "access", "hex")
     # A token that touches a base span is that span's own text.
-    outside = F.filter(q(name["t"]), lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    each = rows.select(q(name["at"]).alias("at"), q(name["own"]).alias("owner"), q(name["repo"]).alias("repository"),
-                       F.explode(F.concat(base, outside)).alias("s"))
+    outside = F.filter("wide", lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    each = rows.select("at", "owner", "repository", F.explode(F.concat(base, outside)).alias("s"))
     where = F.struct("owner", "repository")
     seen = each.select(F.col("s.hash").alias("hash"), "owner", "repository").distinct()
     verdict = (seen.groupBy("hash")
@@ -117,11 +115,9 @@ def secret_spans(docs: DataFrame, text: str = "text", owner: str = "source", rep
                    F.sum((~F.col("live")).cast("long")).alias("n_copied"),
                    F.collect_list(F.when(F.col("live") & (F.col("s.kind") == 3), F.col("s"))).alias("owned")))
     none = F.expr("CAST(array() AS array<struct<start:int,kind:int,end:int,hash:binary>>)")
-    return (rows.join(judged, q(name["at"]) == F.col("j_at"), "left")
-            .select(*[q(c) for c in kept],
-                    F.size(q(name["a"])).cast("long").alias("n_assign"),
-                    F.size(q(name["k"])).cast("long").alias("n_access"),
-                    F.size(q(name["h"])).cast("long").alias("n_hex"),
+    return (rows.join(judged, F.col("at") == F.col("j_at"), "left")
+            .select(*back, F.size("assign").cast("long").alias("n_assign"), F.size("access").cast("long").alias("n_access"),
+                    F.size("hex").cast("long").alias("n_hex"),
                     F.sha2(_joined(base), 256).alias("base_sha256"),
                     _joined(F.concat(base, F.coalesce("owned", none))).alias("spans"),
                     F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"),

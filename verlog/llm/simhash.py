@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verlog.llm.common import WORD, fresh, others, q, stage
+from verlog.llm.common import WORD, others, put_away, q, stage
 from verlog.llm.components import connected_components
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -180,26 +180,25 @@ def simhash_groups(docs: DataFrame, text: str = "text", id: str = "doc_id", word
     last, the first such row). ``carry`` names the input columns to return (default: all)."""
     new = ["fingerprint", "component_id", "keeper"]
     kept = others(docs, new) if carry is None else carry
-    fp, at, own = fresh(docs.columns, "fp"), fresh(docs.columns, "at"), fresh(docs.columns, "own_id")
-    rows = stage(docs.select(*[q(c) for c in kept], q(id).alias(own),
-                             fingerprint_column(q(text), words).alias(fp),
-                             F.monotonically_increasing_id().alias(at)), "simhash-rows")
-    first = F.min(F.struct(q(own).isNull().alias("none"), q(own).alias("id"), q(at).alias("at")))
-    vertices = stage(rows.groupBy(q(fp).alias("fp")).agg(first.alias("first")), "simhash-vertices")
+    away, back = put_away(kept)
+    rows = stage(docs.select(*away, q(id).alias("id"), fingerprint_column(q(text), words).alias("fp"),
+                             F.monotonically_increasing_id().alias("at")), "simhash-rows")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at"))
+    vertices = stage(rows.groupBy("fp").agg(first.alias("first")), "simhash-vertices")
     edges = stage(links(vertices.select("fp"), vertices.count(), max_bits, hot), "simhash-links")
     roots = connected_components(edges)
     labelled = (vertices.join(roots, vertices["fp"] == roots["node"], "left")
                 .select("fp", "first", F.coalesce("root", "fp").alias("root")))
     groups = labelled.groupBy("root").agg(F.min("first").alias("lead"))
     label = labelled.join(groups, "root").select("fp", "lead")
-    return (rows.join(label, rows[fp] == label["fp"])
-            .select(*[rows[f"`{c}`"] for c in kept],
-                    F.lpad(F.lower(F.hex(rows[fp])), 16, "0").alias("fingerprint"),
-                    F.col("lead.id").alias("component_id"),
-                    (rows[at] == F.col("lead.at")).alias("keeper")))
+    return (rows.join(label, "fp")
+            .select(*back, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                    F.col("lead.id").alias("component_id"), (F.col("at") == F.col("lead.at")).alias("keeper")))
 
 
 def one_per_group(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int = 4,
                   max_bits: int = 4) -> DataFrame:
     """The rows of ``docs`` that stay: one of each near-duplicate group."""
-    return simhash_groups(docs, text, id, words, max_bits).where("keeper").select(*[q(c) for c in docs.columns])
+    away, back = put_away(docs.columns)
+    text, id = (f"_in_{docs.columns.index(c)}" for c in (text, id))
+    return simhash_groups(docs.select(*away), text, id, words, max_bits).where("keeper").select(*back)
