@@ -311,7 +311,13 @@ class Words(dict):
         return np.array(self.tool.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        packed = b"".join(map(self._piece, self.split(word)))
+        stem, last = word[:-1], word[-1]
+        if word.isalpha():
+            packed = self._piece(word)
+        elif last in ".,;:!?" and stem.isalpha():
+            packed = self[stem] + self._piece(last)
+        else:
+            packed = b"".join(map(self._piece, self.split(word)))
         if len(word) <= self.LONGEST:
             if len(self) >= self.KEPT:
                 self.clear()
@@ -346,13 +352,13 @@ def _chunks(block: int, chunk: int):
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids: list = []
         held: list[bytes] = []
-        size = number = 0
+        size = number = before = 0
         part = -1
 
         def row() -> pd.DataFrame:
             run_ids = np.frombuffer(b"".join(held), dtype="<u2")
             return pd.DataFrame({
-                "part": [part], "chunk": [number], "n_docs": [len(ids)], "n_tokens": [len(run_ids)],
+                "part": [part], "chunk": [number], "before": [before], "n_docs": [len(ids)], "n_tokens": [len(run_ids)],
                 "doc_ids": [np.array([0 if x is None else x for x in ids], dtype="<i8").tobytes()],
                 "no_id": [np.array([x is None for x in ids], dtype=np.uint8).tobytes()],
                 "lengths": [np.array([len(x) // 2 for x in held], dtype="<i8").tobytes()],
@@ -366,14 +372,14 @@ def _chunks(block: int, chunk: int):
                 size += len(packed) // 2
                 if size >= chunk:
                     yield row()
-                    ids, held, size, number = [], [], 0, number + 1
+                    ids, held, size, number, before = [], [], 0, number + 1, before + size
         if ids:
             yield row()
 
     return run
 
 
-FILE_SCHEMA = ("part int, chunk int, n_docs long, n_tokens long, doc_ids binary, no_id binary, lengths binary, "
+FILE_SCHEMA = ("part int, chunk int, before long, n_docs long, n_tokens long, doc_ids binary, no_id binary, lengths binary, "
                "blocks binary")
 
 
@@ -399,20 +405,17 @@ def _documents(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for at in range(0, len(lengths), 4096):
                 some = slice(at, at + 4096)
                 yield pd.DataFrame({
-                    "part": row.part, "chunk": row.chunk, "doc_id": names[some], "place": starts[some],
+                    "part": row.part, "doc_id": names[some], "place": starts[some] + row.before,
                     "ids": [ids[a:b].tobytes() for a, b in zip(starts[some], ends[some])]})
 
 
 def read_token_files(files: DataFrame) -> DataFrame:
     """(doc_id, start, ids) of every document: ``ids`` little-endian unsigned 32-bit, ``start`` the
     number of ids before it in all files."""
-    sizes = files.select("part", "chunk", "n_tokens")
-    parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    before = parts.select(F.col("part").alias("b_part"), (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("b"))
-    inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("chunk")) - F.col("n_tokens")
-    first = (sizes.withColumn("inside", inside).join(before, F.col("part") == F.col("b_part"))
-             .select(F.col("part").alias("f_part"), F.col("chunk").alias("f_chunk"), (F.col("b") + F.col("inside")).alias("f")))
-    held = files.select("part", "chunk", "doc_ids", "no_id", "lengths", "blocks").mapInPandas(
-        _documents, "part int, chunk int, doc_id long, place long, ids binary")
-    return (held.join(first, (F.col("part") == F.col("f_part")) & (F.col("chunk") == F.col("f_chunk")))
+    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    first = parts.select(F.col("part").alias("f_part"), (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("f"))
+    held = files.select("part", "before", "doc_ids", "no_id", "lengths", "blocks").mapInPandas(
+        _documents, "part int, doc_id long, place long, ids binary")
+    # One row for each range of ids that was written: as many as there were shuffle partitions.
+    return (held.join(F.broadcast(first), F.col("part") == F.col("f_part"))
             .select("doc_id", (F.col("f") + F.col("place")).alias("start"), "ids"))
