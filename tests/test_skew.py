@@ -39,10 +39,13 @@ def test_null_merge_keys_never_match(spark):
     assert kinds == {"update_preimage": 1, "update_postimage": 1, "insert": 50}
 
 
-def test_restriction_is_only_an_optimization(spark):
+def test_restriction_gives_the_same_rows_at_any_size(spark):
     log = hot_log(spark, n_cold=300, hot_updates=50)
     touched = ch.touched_keys(log, ["k"], 1, 10)
-    small = ch.as_of(ch.restrict_to(log, ["k"], touched), ["k"])
-    big = ch.as_of(ch.restrict_to(log, ["k"], touched, max_broadcast=0), ["k"])   # over the bound: unrestricted
-    assert small.count() == 1 and big.count() == 301
-    assert small.collect() == big.where(F.col("k") == -1).collect()
+    rows = []
+    for limit in ("10485760", "-1"):  # broadcast and shuffled plans
+        old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        rows.append(ch.as_of(ch.restrict_to(log, ["k"], touched), ["k"]).collect())
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(rows[0]) == 1 and rows[0] == rows[1]

@@ -53,7 +53,8 @@ def as_of(log: DataFrame, keys: str | Sequence[str], version: int | None = None,
     if version is not None:
         live = live.where(F.col(COMMIT_VERSION) <= F.lit(int(version)))
     live = live.where(F.col(CHANGE_TYPE) != F.lit(PREIMAGE))
-    newest = Window.partitionBy(*keys).orderBy(F.col(COMMIT_VERSION).desc())
+    # A key that is deleted and inserted again in one version lives.
+    newest = Window.partitionBy(*keys).orderBy(F.col(COMMIT_VERSION).desc(), F.col(CHANGE_TYPE) == F.lit(DELETE))
     cols = list(columns) if columns is not None else row_columns(log)
     return (
         live.withColumn("_rn", F.row_number().over(newest))
@@ -80,7 +81,7 @@ def as_of_many(log: DataFrame, keys: str | Sequence[str], versions: Sequence[int
     targets = F.array(*[F.lit(v).cast("long") for v in vs])
     live = (log.where((F.col(COMMIT_VERSION) <= F.lit(vs[-1])) & (F.col(CHANGE_TYPE) != F.lit(PREIMAGE)))
             .withColumn(AS_OF, F.explode(F.filter(targets, lambda v: v >= F.col(COMMIT_VERSION)))))
-    newest = Window.partitionBy(*keys, AS_OF).orderBy(F.col(COMMIT_VERSION).desc())
+    newest = Window.partitionBy(*keys, AS_OF).orderBy(F.col(COMMIT_VERSION).desc(), F.col(CHANGE_TYPE) == F.lit(DELETE))
     return (live.withColumn("_rn", F.row_number().over(newest))
             .where((F.col("_rn") == 1) & (F.col(CHANGE_TYPE) != F.lit(DELETE)))
             .select(AS_OF, *cols))
@@ -186,16 +187,6 @@ def change_counts(feed: DataFrame) -> DataFrame:
     )
 
 
-# Upper bound on touched keys we broadcast for a semi-join (rows, checked by count).
-MAX_BROADCAST_KEYS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows (counted, stops
-    after ``max_rows + 1``); otherwise ``df`` unhinted, so the planner shuffles."""
-    return F.broadcast(df) if df.limit(int(max_rows) + 1).count() <= int(max_rows) else df
-
-
 def touched_keys(log: DataFrame, keys: str | Sequence[str], after: int, upto: int) -> DataFrame:
     """Distinct keys with any change in versions ``(after, upto]`` (partition-pruned)."""
     keys = _keys(keys)
@@ -203,27 +194,10 @@ def touched_keys(log: DataFrame, keys: str | Sequence[str], after: int, upto: in
             .select(*keys).distinct())
 
 
-def restrict_to(log: DataFrame, keys: str | Sequence[str], touched: DataFrame,
-                max_broadcast: int = MAX_BROADCAST_KEYS) -> DataFrame:
-    """``log`` limited to the ``touched`` keys -- an optimization only.
-
-    The key set is counted first. Up to ``max_broadcast`` keys it is broadcast
-    and the semi-join runs map-side, before any exchange, so only those keys'
-    rows are shuffled. Above the bound the log is returned as is: a shuffled
-    semi-join would move the whole log *and* lose the map-side window limit
-    of the as-of read, so every caller must (and does) give the same result
-    on the unrestricted log.
-    """
-    keys = _keys(keys)
-    from verlog.session import work_root
-    work_root(log.sparkSession)  # make sure a checkpoint folder is set
-    # At most max_broadcast + 1 keys are computed once and checkpointed (a
-    # bounded write in the shared folder): counting and broadcasting then read
-    # that instead of scanning the log again.
-    bounded = touched.limit(max_broadcast + 1).checkpoint(eager=True)
-    if bounded.count() > max_broadcast:
-        return log
-    return log.join(F.broadcast(bounded), keys, "left_semi")
+def restrict_to(log: DataFrame, keys: str | Sequence[str], touched: DataFrame) -> DataFrame:
+    """``log`` limited to the ``touched`` keys: a semi-join without a hint, so the
+    planner broadcasts a small key set from its measured bytes and shuffles a large one."""
+    return log.join(touched.select(*_keys(keys)), _keys(keys), "left_semi")
 
 
 def changed_between(log: DataFrame, keys: str | Sequence[str], old: int, new: int,

@@ -1,6 +1,6 @@
-"""DML as pure functions: each returns the *change rows* a statement emits.
+"""DML as functions: each returns the *change rows* a statement emits.
 
-Nothing is written here; ``VersionedTable.commit`` appends the rows as one
+Nothing is written here (a merge that updates checks its source with one job); ``VersionedTable.commit`` appends the rows as one
 version. Every function reads the current snapshot once: update and merge
 emit both images from a single pass with ``explode`` instead of a union that
 would recompute the snapshot.
@@ -8,6 +8,7 @@ would recompute the snapshot.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -40,17 +41,26 @@ def delete_changes(current: DataFrame, predicate) -> DataFrame:
     return current.where(_pred(predicate)).withColumn(CHANGE_TYPE, F.lit(DELETE))
 
 
-def update_changes(current: DataFrame, assignments: Mapping[str, object], predicate=None) -> DataFrame:
+def update_changes(current: DataFrame, assignments: Mapping[str, object], predicate=None,
+                   keys: Sequence[str] = ()) -> DataFrame:
     """``UPDATE t SET c = e, ... WHERE p``: a preimage and a postimage per matched row.
 
-    Assignments are evaluated against the old row (all at once, like SQL).
+    Assignments are evaluated against the old row (all at once, like SQL). A row
+    whose key (of ``keys``) changes is a delete of the old and an insert of the new one.
     """
     unknown = set(assignments) - set(current.columns)
     if unknown:
         raise ValueError(f"UPDATE sets unknown columns: {sorted(unknown)}")
     matched = current.where(_pred(predicate))
-    images = matched.withColumn(CHANGE_TYPE, F.explode(F.array(F.lit(PREIMAGE), F.lit(POSTIMAGE))))
-    post = F.col(CHANGE_TYPE) == F.lit(POSTIMAGE)
+    pair = F.array(F.lit(PREIMAGE), F.lit(POSTIMAGE))
+    moved = [k for k in keys if k in assignments]
+    if moved:
+        same = F.lit(True)
+        for k in moved:
+            same = same & F.col(k).eqNullSafe(_as_col(assignments[k]).cast(current.schema[k].dataType))
+        pair = F.when(same, pair).otherwise(F.array(F.lit(DELETE), F.lit(INSERT)))
+    images = matched.withColumn(CHANGE_TYPE, F.explode(pair))
+    post = F.col(CHANGE_TYPE).isin(POSTIMAGE, INSERT)
     out = []
     for c in current.columns:
         if c in assignments:
@@ -65,13 +75,16 @@ class DuplicateSourceKeys(ValueError):
     pass
 
 
-def check_unique_source(source: DataFrame, on: Sequence[str]) -> None:
-    """A merge source may hold each key once; raise otherwise (one aggregate job)."""
+def check_unique_source(source: DataFrame, on: Sequence[str], target: DataFrame | None = None) -> None:
+    """A merge source may match each target row once: raise if it holds a key more
+    than once (and, given ``target``, that key matches). One aggregate job."""
     keyed = F.lit(True)
     for k in on:
         keyed = keyed & F.col(k).isNotNull()
-    dup = source.where(keyed).groupBy(*on).count().where(F.col("count") > 1).limit(1).count()
-    if dup:
+    dup = source.where(keyed).groupBy(*on).count().where(F.col("count") > 1)
+    if target is not None:
+        dup = dup.join(target.select(*on), list(on), "left_semi")
+    if dup.take(1):
         raise DuplicateSourceKeys(f"merge source holds a key more than once on {list(on)}")
 
 
@@ -92,7 +105,7 @@ def merge_changes(current: DataFrame, source: DataFrame, on: str | Sequence[str]
     """
     on = [on] if isinstance(on, str) else list(on)
     if check_source and matched_update is not None:
-        check_unique_source(source, on)
+        check_unique_source(source, on, current)
     tcols = current.columns
     scols = source.columns
     t = current.select(*[F.col(c).alias(f"t.{c}") for c in tcols], F.lit(True).alias("_t_hit"))
@@ -166,11 +179,9 @@ def _image_cols(current: DataFrame, matched_update, ref, insert_cols):
 
 
 def _quote_refs(expr: str, tcols, scols) -> str:
-    """Turn ``s.col`` / ``t.col`` in a SQL expression into the joined names."""
-    import re
+    """Turn ``s.col`` / ``t.col`` in a SQL expression into the joined names; text in quotes stays."""
 
     def sub(m):
-        side, name = m.group(1), m.group(2)
-        return f"`{side}.{name}`"
+        return m.group(0) if m.group(1) is None else f"`{m.group(1)}.{m.group(2)}`"
 
-    return re.sub(r"\b([st])\.([A-Za-z_][A-Za-z0-9_]*)\b", sub, expr)
+    return re.sub(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|\b([st])\.([A-Za-z_][A-Za-z0-9_]*)\b""", sub, expr)

@@ -4,8 +4,8 @@ No sequence table and no global window over the rows: each partition numbers
 its own rows (``monotonically_increasing_id`` minus the partition base), one
 small aggregate counts rows per partition, and a running sum over that
 *per-partition* table (one row per partition, so its size is bounded by the
-partition count, not the data) gives each partition its offset. The offsets
-are broadcast back. With ``order_by`` the rows are range-partitioned first, so
+partition count, not the data) gives each partition its offset, joined back
+by partition (the planner broadcasts it from its measured bytes). With ``order_by`` the rows are range-partitioned first, so
 ids follow that order and are contiguous.
 
 The input is evaluated twice (count, then number); it must be deterministic
@@ -22,9 +22,6 @@ from pyspark.sql import functions as F
 _PID = "_ids_pid"
 _MID = "_ids_mid"
 
-# Upper bound on rows of the per-partition offsets table we broadcast.
-MAX_BROADCAST_PARTITIONS = 1_000_000
-
 
 def assign_ids(df: DataFrame, id_col: str, start: int = 1, order_by: Sequence | None = None,
                only_missing: bool = False) -> DataFrame:
@@ -47,12 +44,9 @@ def assign_ids(df: DataFrame, id_col: str, start: int = 1, order_by: Sequence |
         base = base.orderBy(*order_by).checkpoint(eager=True)
     tagged = base.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
-    n_parts = base.rdd.getNumPartitions()
-    if n_parts > MAX_BROADCAST_PARTITIONS:
-        raise ValueError(f"too many partitions ({n_parts}) to broadcast id offsets")
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    numbered = tagged.join(F.broadcast(offsets), _PID)
+    numbered = tagged.join(offsets, _PID)
     local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
     new_id = (F.lit(int(start)) + F.col("_off") + local).cast("long")
     cols = [c for c in df.columns] if id_col in df.columns else [*df.columns, id_col]

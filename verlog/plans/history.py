@@ -96,43 +96,43 @@ def _build(spark: SparkSession, sf_dir: str, path: str) -> VersionedTable:
 # change-log code: each version is computed from the previous one with WHERE
 # and CASE only. ``vN`` are the table states, ``cN`` the change rows.
 HISTORY_SQL = f"""
-src AS ({ORDERS_ROWS_SQL}),
-v1 AS (SELECT * FROM src WHERE order_day < DATE '{V1_BEFORE}'),
-v2 AS (SELECT order_id, cust_id,
+src AS MATERIALIZED ({ORDERS_ROWS_SQL}),
+v1 AS MATERIALIZED (SELECT * FROM src WHERE order_day < DATE '{V1_BEFORE}'),
+v2 AS MATERIALIZED (SELECT order_id, cust_id,
               CASE WHEN status = 'O' AND order_day < DATE '{V2_OPEN_BEFORE}' THEN 'F' ELSE status END AS status,
               total, order_day, priority FROM v1),
-v3 AS (SELECT * FROM v2 WHERE NOT (status = 'P' AND priority = '5-LOW')),
-m4 AS (SELECT order_id, cust_id, 'R' AS status, total, order_day, priority FROM src
+v3 AS MATERIALIZED (SELECT * FROM v2 WHERE NOT (status = 'P' AND priority = '5-LOW')),
+m4 AS MATERIALIZED (SELECT order_id, cust_id, 'R' AS status, total, order_day, priority FROM src
        WHERE order_day >= DATE '{V4_FROM}' AND order_day < DATE '{V4_UNTIL}'),
-v4 AS (SELECT v3.order_id, v3.cust_id,
+v4 AS MATERIALIZED (SELECT v3.order_id, v3.cust_id,
               CASE WHEN m4.order_id IS NOT NULL THEN m4.status ELSE v3.status END AS status,
               v3.total, v3.order_day, v3.priority
        FROM v3 LEFT JOIN m4 ON v3.order_id = m4.order_id
        UNION ALL
        SELECT * FROM m4 WHERE order_id NOT IN (SELECT order_id FROM v3)),
-v5 AS (SELECT order_id, cust_id, status,
+v5 AS MATERIALIZED (SELECT order_id, cust_id, status,
               CASE WHEN priority = '{INCIDENT_PRIORITY}' THEN CAST(0 AS DECIMAL(18,2)) ELSE total END AS total,
               order_day, priority FROM v4),
-v6 AS (SELECT * FROM v5 UNION ALL SELECT * FROM src WHERE order_day >= DATE '{V6_FROM}'),
-c1 AS (SELECT *, 'insert' AS _change_type, CAST(1 AS BIGINT) AS _commit_version FROM v1),
-c2 AS (SELECT *, 'update_preimage' AS _change_type, CAST(2 AS BIGINT) AS _commit_version FROM v1
+v6 AS MATERIALIZED (SELECT * FROM v5 UNION ALL SELECT * FROM src WHERE order_day >= DATE '{V6_FROM}'),
+c1 AS MATERIALIZED (SELECT *, 'insert' AS _change_type, CAST(1 AS BIGINT) AS _commit_version FROM v1),
+c2 AS MATERIALIZED (SELECT *, 'update_preimage' AS _change_type, CAST(2 AS BIGINT) AS _commit_version FROM v1
        WHERE status = 'O' AND order_day < DATE '{V2_OPEN_BEFORE}'
        UNION ALL
        SELECT order_id, cust_id, 'F', total, order_day, priority, 'update_postimage', 2 FROM v1
        WHERE status = 'O' AND order_day < DATE '{V2_OPEN_BEFORE}'),
-v3_gone AS (SELECT * FROM v2 WHERE status = 'P' AND priority = '5-LOW'),
-c3 AS (SELECT *, 'delete' AS _change_type, CAST(3 AS BIGINT) AS _commit_version FROM v3_gone),
-c4 AS (SELECT v3.*, 'update_preimage' AS _change_type, CAST(4 AS BIGINT) AS _commit_version FROM v3 JOIN m4 ON v3.order_id = m4.order_id
+v3_gone AS MATERIALIZED (SELECT * FROM v2 WHERE status = 'P' AND priority = '5-LOW'),
+c3 AS MATERIALIZED (SELECT *, 'delete' AS _change_type, CAST(3 AS BIGINT) AS _commit_version FROM v3_gone),
+c4 AS MATERIALIZED (SELECT v3.*, 'update_preimage' AS _change_type, CAST(4 AS BIGINT) AS _commit_version FROM v3 JOIN m4 ON v3.order_id = m4.order_id
        UNION ALL
        SELECT v3.order_id, v3.cust_id, m4.status, v3.total, v3.order_day, v3.priority, 'update_postimage', 4
        FROM v3 JOIN m4 ON v3.order_id = m4.order_id
        UNION ALL
        SELECT *, 'insert', 4 FROM m4 WHERE order_id NOT IN (SELECT order_id FROM v3)),
-c5 AS (SELECT *, 'update_preimage' AS _change_type, CAST(5 AS BIGINT) AS _commit_version FROM v4 WHERE priority = '{INCIDENT_PRIORITY}'
+c5 AS MATERIALIZED (SELECT *, 'update_preimage' AS _change_type, CAST(5 AS BIGINT) AS _commit_version FROM v4 WHERE priority = '{INCIDENT_PRIORITY}'
        UNION ALL
        SELECT order_id, cust_id, status, CAST(0 AS DECIMAL(18,2)), order_day, priority, 'update_postimage', 5
        FROM v4 WHERE priority = '{INCIDENT_PRIORITY}'),
-c6 AS (SELECT *, 'insert' AS _change_type, CAST(6 AS BIGINT) AS _commit_version FROM src WHERE order_day >= DATE '{V6_FROM}'),
+c6 AS MATERIALIZED (SELECT *, 'insert' AS _change_type, CAST(6 AS BIGINT) AS _commit_version FROM src WHERE order_day >= DATE '{V6_FROM}'),
 feed AS (SELECT * FROM c1 UNION ALL SELECT * FROM c2 UNION ALL SELECT * FROM c3 UNION ALL SELECT * FROM c4
          UNION ALL SELECT * FROM c5 UNION ALL SELECT * FROM c6)
 """

@@ -58,6 +58,10 @@ LOG_RETENTION = "logRetentionDuration"          # 'interval <n> days'
 FILE_RETENTION = "deletedFileRetentionDuration"
 
 
+#: Operations whose inserted rows may meet a live key (the others insert only keys that a join found missing).
+KEY_CHECKED = ("WRITE", "UPDATE", "MERGE")
+
+
 class VersionError(ValueError):
     pass
 
@@ -186,6 +190,10 @@ class VersionedTable:
                 self._history_cache = rows
         return self._history_cache
 
+    def refresh(self) -> None:
+        """Look at the table anew: another handle may have committed meanwhile."""
+        self._history_cache = None
+
     def history(self) -> DataFrame:
         """``DESCRIBE HISTORY``: one row per committed version."""
         return self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path)
@@ -247,17 +255,26 @@ class VersionedTable:
             _READS[key] = df
         return df
 
+    def _snapshots(self) -> list[tuple[int, str]]:
+        """(version, folder) of every snapshot, newest first; ``version=5.2`` is the third one of version 5."""
+        names = [n for n in list_children(self.spark, self.snapshots_path) if n.startswith("version=")]
+
+        def place(name: str) -> tuple[int, int]:
+            version, _, again = name.split("=", 1)[1].partition(".")
+            return int(version), int(again or 0)
+
+        return [(place(n)[0], n) for n in sorted(names, key=place, reverse=True)]
+
     def _base(self, upto: int) -> tuple[int, DataFrame | None]:
         """Newest base snapshot at or below ``upto`` (as insert rows), if any."""
         # Newest first; only probe for completeness until one is found.
-        candidates = sorted((int(n.split("=", 1)[1]) for n in list_children(self.spark, self.snapshots_path)
-                             if n.startswith("version=")), reverse=True)
-        best = next((b for b in candidates
-                     if b <= upto and path_exists(self.spark, f"{self.snapshots_path}/version={b}/_SUCCESS")), None)
-        if best is None:
+        found = next(((b, name) for b, name in self._snapshots()
+                      if b <= upto and path_exists(self.spark, f"{self.snapshots_path}/{name}/_SUCCESS")), None)
+        if found is None:
             return -1, None
+        best, name = found
         schema = self.schema(best)
-        rows = self.spark.read.schema(schema).parquet(f"{self.snapshots_path}/version={best}")
+        rows = self.spark.read.schema(schema).parquet(f"{self.snapshots_path}/{name}")
         return best, rows.select(*schema.fieldNames(), F.lit(INSERT).alias(CHANGE_TYPE),
                                  F.lit(None).cast("timestamp").alias(COMMIT_TIMESTAMP),
                                  F.lit(best).cast("long").alias(COMMIT_VERSION))
@@ -306,16 +323,15 @@ class VersionedTable:
         _AS_OF[key] = df
         return df
 
-    def rows_where(self, predicate, version: int | None = None, materialize: bool = False) -> DataFrame:
+    def rows_where(self, predicate, version: int | None = None) -> DataFrame:
         """Rows of a version for which ``predicate`` is TRUE, reading only the keys
         that can qualify.
 
         The newest row of a key can only match if some change row of that key
         matches, so the predicate is first pushed into the log scan to find
-        candidate keys; the log is restricted to them (size-checked broadcast
-        semi-join) before the as-of exchange, and the predicate is applied again
-        to the newest rows. Cost follows the matching rows, not the table.
-        ``materialize`` checkpoints the (then bounded) result for reuse.
+        candidate keys; the log is semi-joined with them (unhinted: the planner
+        broadcasts from measured bytes) before the as-of read, and the predicate
+        is applied again to the newest rows.
         """
         v = self.version() if version is None else int(version)
         self._row(v)
@@ -325,12 +341,7 @@ class VersionedTable:
         live = F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)
         candidates = log.where(live & pred).select(*self.keys).distinct()
         part = restrict_to(log, self.keys, candidates)
-        rows = as_of(part, self.keys, None, schema.fieldNames()).where(pred)
-        if materialize and part is not log:
-            # Bounded by the counted key set: cut lineage so repeated uses
-            # (key set of a merge target, merge source) do not rescan the log.
-            rows = rows.checkpoint(eager=True)
-        return rows
+        return as_of(part, self.keys, None, schema.fieldNames()).where(pred)
 
     def rows_for_keys(self, keys: DataFrame, version: int | None = None) -> DataFrame:
         """Rows of a version whose key is in ``keys`` (a frame of the key
@@ -386,8 +397,9 @@ class VersionedTable:
         user = user or self.spark.sparkContext.sparkUser()
         row = (version, ts.replace(tzinfo=_dt.timezone.utc), user, operation, {k: str(v) for k, v in params.items()},
                {k: str(v) for k, v in metrics.items()}, schema.json(), dict(props))
+        # A committed version is never overwritten.
         (self.spark.createDataFrame([row], COMMITS_SCHEMA).drop("version").coalesce(1)
-         .write.mode("overwrite").parquet(f"{self.commits_path}/version={version}"))
+         .write.mode("errorifexists").parquet(f"{self.commits_path}/version={version}"))
         self._history_cache = None
         # The writer knows the row it just committed: extend the process cache
         # instead of re-reading the history with a Spark job.
@@ -412,6 +424,7 @@ class VersionedTable:
         Jobs: write the change rows once, then one aggregate over what was
         written (metrics and every rule together), then the history row.
         """
+        self.refresh()
         v = self.version() + 1
         schema = schema or self.schema()
         props = dict(self.properties())
@@ -422,6 +435,7 @@ class VersionedTable:
         part = f"{self.changes_path}/{COMMIT_VERSION}={v}"
         if changes is not None:
             cols = schema.fieldNames()
+            keys = props[KEYS_PROP].split(",")
             rows = _conform_changes(changes, schema)
             id_col = props.get(IDENTITY_COL)
             if id_col:
@@ -434,6 +448,7 @@ class VersionedTable:
                 F.count_if(F.col(CHANGE_TYPE) == DELETE).alias("numDeletedRows"),
                 F.count_if(F.col(CHANGE_TYPE) == POSTIMAGE).alias("numUpdatedRows"),
                 F.count_if(F.col(CHANGE_TYPE) == PREIMAGE).alias("_pre"),
+                F.count_if(new_rows & F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))).alias("_no_key"),
             ]
             aggs += [F.count_if(new_rows & pred).alias(f"_rule{i}") for i, pred in enumerate(rule_preds.values())]
             if id_col:
@@ -445,7 +460,7 @@ class VersionedTable:
              .withColumn(COMMIT_TIMESTAMP, F.lit(ts.replace(tzinfo=_dt.timezone.utc)).cast("timestamp"))
              .write.mode("overwrite").parquet(part))
             stats = dict(seen.get)
-            for k in ("numInsertedRows", "numDeletedRows", "numUpdatedRows", "_pre"):
+            for k in ("numInsertedRows", "numDeletedRows", "numUpdatedRows", "_pre", "_no_key"):
                 stats[k] = int(stats.get(k) or 0)
             broken = {name: stats[f"_rule{i}"] for i, name in enumerate(rule_preds) if stats[f"_rule{i}"]}
             if broken:
@@ -454,6 +469,13 @@ class VersionedTable:
             if stats["_pre"] != stats["numUpdatedRows"]:
                 delete_path(self.spark, part)
                 raise VersionError("preimage and postimage counts differ")
+            if stats["_no_key"]:
+                delete_path(self.spark, part)
+                raise rules.RuleViolation(f"{operation} refused, {stats['_no_key']} rows with a NULL key")
+            taken = self._taken_keys(part, schema, keys, stats["numInsertedRows"], operation in KEY_CHECKED)
+            if taken:
+                delete_path(self.spark, part)
+                raise rules.RuleViolation(f"{operation} refused, key {taken} would be held twice")
             metrics = {
                 "numOutputRows": stats["numInsertedRows"] + stats["numUpdatedRows"],
                 "numInsertedRows": stats["numInsertedRows"],
@@ -470,6 +492,19 @@ class VersionedTable:
             self.snapshot(v)
         return v
 
+    def _taken_keys(self, part: str, schema: T.StructType, keys: list[str], inserted: int, against_table: bool):
+        """A key that the written change rows give to two rows, or to a row beside a live one; None if there is none."""
+        full = T.StructType([*schema.fields, T.StructField(CHANGE_TYPE, T.StringType())])
+        written = self.spark.read.schema(full).parquet(part)
+        twice = (written.where(F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)).groupBy(*keys)
+                 .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
+        found = twice.select(*keys).take(1)
+        if not found and against_table and inserted and self.version() > 0:
+            added = written.where(F.col(CHANGE_TYPE) == INSERT).select(*keys)
+            gone = written.where(F.col(CHANGE_TYPE) == DELETE).select(*keys)
+            found = self.rows_for_keys(added.join(gone, keys, "left_anti")).select(*keys).take(1)
+        return tuple(found[0]) if found else None
+
     def _fill_identity(self, rows: DataFrame, id_col: str, props: Mapping[str, str], v: int,
                        check_explicit: bool = True) -> DataFrame:
         """Number inserted rows that carry no id, after the high-water mark.
@@ -500,16 +535,20 @@ class VersionedTable:
         return self.commit(dml.insert_changes(rows), "WRITE", {"mode": "Append"}, user=user)
 
     def update(self, assignments: Mapping[str, object], where=None, user: str | None = None) -> int:
+        """Rows whose key changes are deleted and inserted under the new key; a key that is taken is refused."""
+        self.refresh()
         current = self.current() if where is None else self.rows_where(where)
-        changes = dml.update_changes(current, assignments, where)
+        changes = dml.update_changes(current, assignments, where, self.keys)
         return self.commit(changes, "UPDATE", {"predicate": str(where)}, user=user)
 
     def delete(self, where, user: str | None = None) -> int:
+        self.refresh()
         current = self.current() if where is None else self.rows_where(where)
         return self.commit(dml.delete_changes(current, where), "DELETE", {"predicate": str(where)}, user=user)
 
     def merge(self, source: DataFrame, on: str | Sequence[str], matched_update=None, not_matched_insert=None,
               user: str | None = None) -> int:
+        self.refresh()
         on_cols = [on] if isinstance(on, str) else list(on)
         # On the table key, only target rows whose key is in the source can match.
         target = self.rows_for_keys(source) if sorted(on_cols) == sorted(self.keys) else self.current()
@@ -521,6 +560,7 @@ class VersionedTable:
 
         Costs one key-partitioned full join of two snapshots (not metadata-only).
         """
+        self.refresh()
         target_schema = self.schema(version)
         self._row(version)
         now = self.version()
@@ -541,6 +581,7 @@ class VersionedTable:
         """``CREATE OR REPLACE TABLE t AS SELECT``: a new version holding exactly
         ``rows`` (and their schema); history is kept, so the old contents stay
         readable with ``as_of``."""
+        self.refresh()
         schema = T.StructType([T.StructField(f.name, f.dataType, f.nullable or f.name not in self.keys)
                                for f in rows.schema.fields])
         missing = [k for k in self.keys if k not in schema.fieldNames()]
@@ -582,12 +623,15 @@ class VersionedTable:
         v = self.version() if version is None else int(version)
         rows = self.as_of(v)
         if cluster_by:
-            rows = rows.repartitionByRange(int(files), F.col(cluster_by)) if files else \
-                rows.repartitionByRange(F.col(cluster_by))
+            # The key splits a value that many rows share.
+            order = [F.col(c) for c in dict.fromkeys([cluster_by, *self.keys])]
+            rows = rows.repartitionByRange(int(files), *order) if files else rows.repartitionByRange(*order)
             rows = rows.sortWithinPartitions(cluster_by)
         elif files:
             rows = rows.repartition(int(files))
-        rows.write.mode("overwrite").parquet(f"{self.snapshots_path}/version={v}")
+        # A fresh folder each time: the rows may be read from the newest snapshot of this very version.
+        taken = sum(b == v for b, _ in self._snapshots())
+        rows.write.parquet(f"{self.snapshots_path}/version={v}" + (f".{taken}" if taken else ""))
         return v
 
     def detail(self) -> DataFrame:
@@ -601,7 +645,7 @@ class VersionedTable:
         files = layout.file_inventory(self.spark, roots) if roots else \
             self.spark.createDataFrame([], "path string, length long, modificationTime timestamp")
         ver = F.regexp_extract("path", r"/_changes/_commit_version=(\d+)/", 1)
-        snap = F.regexp_extract("path", r"/_snapshots/version=(\d+)/", 1)
+        snap = F.regexp_extract("path", r"/_snapshots/version=(\d+)(?:\.\d+)?/", 1)
         b, _ = self._base(v)
         live = files.where(((ver != "") & (ver.cast("long") <= v) & (ver.cast("long") > b))
                            | ((snap != "") & (snap.cast("long") == b)))
@@ -637,9 +681,7 @@ class VersionedTable:
         rows = self._rows()
         latest = int(rows[-1].version)
         r0 = min([int(r.version) for r in rows if _from_spark(r.timestamp) >= now - window] + [latest])
-        snaps = sorted(int(n.split("=", 1)[1]) for n in list_children(self.spark, self.snapshots_path)
-                       if n.startswith("version=")
-                       and path_exists(self.spark, f"{self.snapshots_path}/{n}/_SUCCESS"))
+        snaps = sorted(b for b, n in self._snapshots() if path_exists(self.spark, f"{self.snapshots_path}/{n}/_SUCCESS"))
         b = max([x for x in snaps if x <= r0], default=-1)
         roots = [p for p in (self.changes_path, self.snapshots_path, f"{self.path}/_staging")
                  if path_exists(self.spark, p)]
@@ -647,7 +689,7 @@ class VersionedTable:
             return self.spark.createDataFrame([], "path string, length long, modificationTime timestamp, reason string")
         inv = layout.file_inventory(self.spark, roots)
         ver = F.regexp_extract("path", r"/_changes/_commit_version=(\d+)/", 1)
-        snap = F.regexp_extract("path", r"/_snapshots/version=(\d+)/", 1)
+        snap = F.regexp_extract("path", r"/_snapshots/version=(\d+)(?:\.\d+)?/", 1)
         reason = (F.when((ver != "") & (ver.cast("long") > F.lit(latest)), F.lit("uncommitted version"))
                   .when((ver != "") & (ver.cast("long") <= F.lit(b)) & (ver.cast("long") < F.lit(r0)),
                         F.lit(f"covered by snapshot {b}"))
