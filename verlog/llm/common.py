@@ -42,6 +42,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hold(df: DataFrame) -> DataFrame:
+    """Whole rows made once, by a checkpoint in the shared folder. Where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set, Spark deletes it
+    as soon as nothing refers to it; facts that several jobs read go to ``stage``."""
+    work_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

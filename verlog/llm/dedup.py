@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verlog.llm.common import others, pieces_for, put_away, q, stage
+from verlog.llm.common import hold, others, pieces_for, put_away, q, stage
 
 #: Distinct digests a segment of the index holds on average at most.
 SEGMENT = 65_536
@@ -164,10 +164,10 @@ def exact_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", ca
     if history is None:
         ends = docs.agg(F.min(q(id)), F.max(q(id))).first()
         history = q(id) <= F.lit((ends[0] + ends[1]) // 2) if ends[0] is not None else F.lit(False)
-    rows = stage(docs.select(*away, q(id).cast("long").alias("id"),
+    rows = hold(docs.select(*away, q(id).cast("long").alias("id"),
                              F.unhex(F.sha2(normalised(q(text)), 256)).alias("digest"),
                              F.coalesce(history, F.lit(False)).alias("old"),
-                             F.monotonically_increasing_id().alias("at")), "dedup-rows")
+                             F.monotonically_increasing_id().alias("at")))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at"))
     groups = stage(rows.groupBy("digest", "old")
                    .agg(first.alias("first"), F.count("*").alias("n"))

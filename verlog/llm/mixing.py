@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verlog.llm.common import WORD, others, put_away, q, stage
+from verlog.llm.common import WORD, hold, others, put_away, q, stage
 
 #: Rows of a seeded bucket on average.
 BUCKET = 4096
@@ -191,14 +191,15 @@ def mix_sources(docs: DataFrame, text: str = "text", id: str = "doc_id", source:
     if array:
         members = F.when(F.size(q(source)) > 0, F.array_sort(F.array_distinct(q(source)))).otherwise(
             F.array(F.lit(None).cast("string")))
-    rows = stage(docs.select(*away, F.to_json(members).alias("members"),
+    rows = hold(docs.select(*away, F.to_json(members).alias("members"),
                              F.coalesce(F.regexp_count(q(text), F.lit(WORD)), F.lit(0)).cast("long").alias("words"),
                              _unit(seed, q(id), q(text)).alias("place"),
-                             F.monotonically_increasing_id().alias("at")), "mix-rows")
+                             F.monotonically_increasing_id().alias("at")))
+    facts = stage(rows.select("members", "words", "place", "at"), "mix-facts")
     words, place, at = F.col("words"), F.col("place"), F.col("at")
 
-    plan = _plan(spark, rows, weights, share, max_repeats)
-    joined = rows.join(plan, F.col("members") == F.col("p_members"))
+    plan = _plan(spark, facts, weights, share, max_repeats)
+    joined = facts.join(plan, F.col("members") == F.col("p_members"))
     # Whole buckets of each pattern's seeded order, and the bucket in which its rest ends.
     dealt = joined.withColumn("p_bucket", F.floor(place * F.col("p_buckets")).cast("long"))
     order = Window.partitionBy("p_members").orderBy("p_bucket")
@@ -217,9 +218,10 @@ def mix_sources(docs: DataFrame, text: str = "text", id: str = "doc_id", source:
         F.col("e_bucket").isNull() | (F.col("p_bucket") < F.col("e_bucket")), F.when(words > 0, 1).otherwise(0)).otherwise(
         F.when(F.col("s_at").isNotNull(), 1).otherwise(0))
     copies = (F.col("p_passes") + extra).cast("int")
-    return marked.select(*back, words.alias("size"), F.col("p_source_size").alias("source_size"),
-                         F.col("p_target").alias("target"), (copies * words).cast("long").alias("taken"),
-                         copies.alias("copies"))
+    result = marked.select(at.alias("r_at"), words.alias("size"), F.col("p_source_size").alias("source_size"),
+                           F.col("p_target").alias("target"), (copies * words).cast("long").alias("taken"),
+                           copies.alias("copies"))
+    return rows.join(result, F.col("at") == F.col("r_at")).select(*back, *new)
 
 
 def _plan(spark, rows: DataFrame, weights, share: float, max_repeats: int) -> DataFrame:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verlog.llm.common import others, put_away, q, stage
+from verlog.llm.common import hold, others, put_away, q, stage
 
 BUCKETS = 1 << 14
 #: Labelled rows of either class that the target model and the threshold are fitted on at most.
@@ -199,15 +199,16 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", id: s
         return pd.DataFrame(out, columns=["n", "mean"])
 
     away, back = put_away(kept)
-    rows = stage(docs.select(*away, q(id).cast("long").alias("own_id"), score(q(text)).alias("scored"),
+    rows = hold(docs.select(*away, q(id).cast("long").alias("own_id"), score(q(text)).alias("scored"),
                              _noise(seed, q(id), q(text)).alias("noise"),
-                             F.monotonically_increasing_id().alias("at")), "quality-rows")
+                             F.monotonically_increasing_id().alias("at")))
+    facts = stage(rows.select("own_id", "scored", "noise", "at"), "quality-facts")
     n, mean = F.col("scored.n"), F.col("scored.mean")
-    known = rows.where(n > 0).join(F.broadcast(sample), F.col("own_id") == F.col("l_id")).select(mean, "l_good").toPandas()
+    known = facts.where(n > 0).join(F.broadcast(sample), F.col("own_id") == F.col("l_id")).select(mean, "l_good").toPandas()
     threshold = best_threshold(known.iloc[:, 0].to_numpy(dtype=float), known["l_good"].to_numpy(dtype=bool))
     floor = threshold if np.isfinite(threshold) else -1e300
     weight = n * (mean - F.lit(floor)) if np.isfinite(threshold) else F.lit(0.0)
-    keyed = rows.where(n > 0).select("at", mean.alias("mean"), (weight + F.col("noise")).alias("key"))
+    keyed = facts.where(n > 0).select("at", mean.alias("mean"), (weight + F.col("noise")).alias("key"))
     k = keyed.where(F.col("mean") >= floor).count()
     edge, last = top_k(keyed.select("at", "key"), "key", k, ["at"])
     chosen = last.select(F.col("at").alias("s_at"))

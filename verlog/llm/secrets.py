@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verlog.llm.common import others, put_away, q, stage
+from verlog.llm.common import hold, others, put_away, q
 
 # The kinds in their order, their patterns, and the least length of each.
 KINDS = ("assign", "access", "hex")
@@ -97,9 +97,9 @@ def secret_spans(docs: DataFrame, text: str = "text", owner: str = "source", rep
     whole = F.col("whole")
     assign, access, hexes = base_spans(whole)
     wide = F.filter(_matches(whole, TOKEN), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
-    rows = stage(body.select(*[f"_in_{i}" for i in range(len(kept))], "owner", "repository", "at",
+    rows = hold(body.select(*[f"_in_{i}" for i in range(len(kept))], "owner", "repository", "at",
                              _labelled(assign, 0).alias("assign"), _labelled(access, 1).alias("access"),
-                             _labelled(hexes, 2).alias("hex"), _labelled(wide, 3).alias("wide")), "secret-rows")
+                             _labelled(hexes, 2).alias("hex"), _labelled(wide, 3).alias("wide")))
     base = F.concat("assign", "access", "hex")
     # A token that touches a base span is that span's own text.
     outside = F.filter("wide", lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
