@@ -30,7 +30,7 @@ from verlog.llm.common import others, put_away, q
 from verlog.llm.pretokens import batches, cut
 
 #: Pieces a worker keeps, and the longest of them in bytes.
-_CACHE, _SHORT = 800_000, 48
+_CACHE, _SHORT = 250_000, 48
 
 
 def load_ranks(path: str) -> dict[bytes, int]:

@@ -21,9 +21,9 @@ END, LETTER, NUMBER, SPACE, WHITE, APOSTROPHE, STMD, R, V, L, E, OTHER = range(1
 #: White space beside U+0020 (Unicode White_Space).
 WHITE_POINTS = [*range(0x09, 0x0E), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _CLASSES = 12
-_LANES = 2048
+_LANES = 1024
 #: Code points cut together; a longer text is taken alone.
-TOGETHER = 1 << 21
+TOGETHER = 1 << 20
 
 
 @lru_cache(maxsize=1)

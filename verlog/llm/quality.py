@@ -42,7 +42,7 @@ BUCKETS = 1 << 14
 #: Labelled rows of either class that the target model and the threshold are fitted on at most.
 LABELLED = 5_000
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
-_CACHE = 500_000
+_CACHE = 150_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 

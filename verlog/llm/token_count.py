@@ -36,7 +36,7 @@ from verlog.llm.pretokens import batches, cut
 
 #: Pre-tokens in the broadcast table, and the share of rows they are looked for in.
 TABLE, SHARE = 32_768, 0.02
-_CACHE = 600_000
+_CACHE = 250_000
 _LONGEST = 64  # characters of a pre-token that is worth keeping
 
 

@@ -275,7 +275,7 @@ class Words(dict):
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
     #: Separators for Python's split() that are not white space for the tokenizer.
     ODD = "\x1c\x1d\x1e\x1f"
-    KEPT, LONGEST = 600_000, 64
+    KEPT, LONGEST = 300_000, 64
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
