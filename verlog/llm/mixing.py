@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verlog.llm.common import WORD, hold, others, put_away, q, stage
+from verlog.llm.common import WORD, hold, others, partitions, put_away, q, stage
 
 #: Rows of a seeded bucket on average.
 BUCKET = 4096
@@ -199,21 +199,20 @@ def mix_sources(docs: DataFrame, text: str = "text", id: str = "doc_id", source:
     words, place, at = F.col("words"), F.col("place"), F.col("at")
 
     plan = _plan(spark, facts, weights, share, max_repeats)
-    joined = facts.join(plan, F.col("members") == F.col("p_members"))
     # Whole buckets of each pattern's seeded order, and the bucket in which its rest ends.
-    dealt = joined.withColumn("p_bucket", F.floor(place * F.col("p_buckets")).cast("long"))
+    dealt = _dealt(facts, plan)
     order = Window.partitionBy("p_members").orderBy("p_bucket")
     totals = (dealt.where("p_rest > 0").groupBy("p_members", "p_bucket", "p_rest").agg(F.sum(words).alias("n"))
               .withColumn("upto", F.sum("n").over(order)))
     cuts = (totals.where("upto - n < p_rest and upto > p_rest")
-            .select(F.col("p_members").alias("c_members"), F.col("p_bucket").alias("c_bucket"),
+            .select(F.col("p_members").alias("c_members"), F.col("p_bucket").alias("e_bucket"),
                     (F.col("p_rest") - (F.col("upto") - F.col("n"))).alias("room")))
-    last = (dealt.join(cuts, (F.col("p_members") == F.col("c_members")) & (F.col("p_bucket") == F.col("c_bucket")))
-            .select("c_members", place.alias("place"), at.alias("at"), words.alias("size"), "room"))
-    packed = last.groupBy("c_members").applyInPandas(_pack, "at long").select(F.col("at").alias("s_at"))
-    ends = cuts.select(F.col("c_members").alias("e_members"), F.col("c_bucket").alias("e_bucket"))
-    marked = (dealt.join(ends, F.col("p_members") == F.col("e_members"), "left")
-              .join(packed, at == F.col("s_at"), "left"))
+    cut = _dealt(facts, plan.join(cuts, F.col("p_members") == F.col("c_members"), "left"))
+    last = (cut.where("p_bucket = e_bucket")
+            .select("p_members", "p_bucket", place.alias("place"), at.alias("at"), words.alias("size"), "room"))
+    packed = (last.groupBy("p_members", "p_bucket").applyInPandas(_pack, "at long")
+              .select(F.col("at").alias("s_at")))
+    marked = cut.join(packed, at == F.col("s_at"), "left")
     extra = F.when(F.col("p_rest") == 0, 0).when(
         F.col("e_bucket").isNull() | (F.col("p_bucket") < F.col("e_bucket")), F.when(words > 0, 1).otherwise(0)).otherwise(
         F.when(F.col("s_at").isNotNull(), 1).otherwise(0))
@@ -224,6 +223,16 @@ def mix_sources(docs: DataFrame, text: str = "text", id: str = "doc_id", source:
     return rows.join(result, F.col("at") == F.col("r_at")).select(*back, *new)
 
 
+def _dealt(facts: DataFrame, plan: DataFrame) -> DataFrame:
+    """``facts`` with their pattern's plan and seeded bucket. The join is salted on both
+    sides: a pattern that holds a third of all rows is spread over every partition."""
+    salts = partitions(facts.sparkSession)
+    spread = plan.withColumn("p_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return (facts.join(spread, (F.col("members") == F.col("p_members"))
+                       & (F.pmod(F.hash("at"), F.lit(salts)) == F.col("p_salt"))).drop("p_salt")
+            .withColumn("p_bucket", F.floor(F.col("place") * F.col("p_buckets")).cast("long")))
+
+
 def _plan(spark, rows: DataFrame, weights, share: float, max_repeats: int) -> DataFrame:
     """One row a membership pattern: whole passes, the rest in words, buckets, and its source's facts."""
     found = rows.groupBy(F.col("members").alias("m")).agg(F.sum("words").alias("n"), F.count("*").alias("docs")).collect()
