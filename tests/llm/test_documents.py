@@ -184,6 +184,16 @@ def test_mix_odd_rows(spark, odd):
     assert mixing.mixed_documents(many.withColumnRenamed("doc_id", "copies"), id="copies").columns == ["copies", "text", "source"]
 
 
+@pytest.mark.parametrize("n", [40, 41])
+def test_mix_rest_ends_with_a_bucket(spark, monkeypatch, n):
+    monkeypatch.setattr(mixing, "BUCKET", 1)  # many buckets of one or two rows: rests end at their edges
+    got = rows(mixing.mix_sources(spark.createDataFrame([(i, "w", "a" if i < n else "b") for i in range(3 * n)],
+                                                        "doc_id long, text string, source string")))
+    for s in "ab":
+        mine = [r for r in got if r["source"] == s]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 1
+
+
 # --- tokens ----------------------------------------------------------------
 
 def test_token_counts(odd, docs):

@@ -204,7 +204,7 @@ def mix_sources(docs: DataFrame, text: str = "text", id: str = "doc_id", source:
     order = Window.partitionBy("p_members").orderBy("p_bucket")
     totals = (dealt.where("p_rest > 0").groupBy("p_members", "p_bucket", "p_rest").agg(F.sum(words).alias("n"))
               .withColumn("upto", F.sum("n").over(order)))
-    cuts = (totals.where("upto - n < p_rest and upto > p_rest")
+    cuts = (totals.where("upto - n < p_rest and upto >= p_rest")
             .select(F.col("p_members").alias("c_members"), F.col("p_bucket").alias("e_bucket"),
                     (F.col("p_rest") - (F.col("upto") - F.col("n"))).alias("room")))
     cut = _dealt(facts, plan.join(cuts, F.col("p_members") == F.col("c_members"), "left"))
