@@ -143,8 +143,8 @@ def top_k(table: DataFrame, is_query: Column, id: str = "vec_id", vector: str =
     signs = F.lit(0)
     for d in range(min(_SIGNS, width)):
         signs = signs * 2 + F.when(F.try_element_at("v", F.lit(d + 1)) >= 0, 1).otherwise(0)
-    laid = (vectors.withColumn("order", signs).repartitionByRange(ranges, "order", "id")
-            .sortWithinPartitions("order", "id").withColumn("range", F.spark_partition_id()))
+    laid = (vectors.withColumn("order", signs).repartitionByRange(ranges, "order", "id", "at")
+            .sortWithinPartitions("order", "id", "at").withColumn("range", F.spark_partition_id()))
     packed = "int, number int, ids binary, ats binary, m binary"
     blocks = stage(laid.select("range", "id", "at", "v").mapInPandas(_packed(BLOCK, width, "range"), f"range {packed}"),
                    "search-blocks")
