@@ -1,60 +1,75 @@
 """Structured Streaming over a change log: downstream copies and running totals.
 
-The log directory is a plain partitioned Parquet folder, so the stock file
-source streams it; ``trigger(availableNow=True)`` processes what is there and
-stops, and the checkpoint lets the next run continue from the same place.
-
-* ``stream_sync``: each micro-batch's change rows are written under
-  ``batch=<id>`` (overwrite: a replayed batch replaces itself, so replays are
-  harmless). The downstream table is the latest change per key over all
-  batches -- the same ``as_of`` rule as the source, so the order in which the
-  file source lists commits does not matter.
-* ``stream_totals``: a streaming aggregate of signed counts and sums
-  (insert/postimage add, delete/preimage subtract). Signed sums commute, so
-  file order does not matter either; Spark keeps the per-group state.
+The stream reads the table's history: a history row is written only after its
+version's change rows have passed every rule, so rows of a refused or half-written
+commit never reach a consumer. Each micro-batch takes the versions that its history
+rows name and reads their folders of the change log. ``trigger(availableNow=True)``
+processes what is there and stops, and the checkpoint lets the next run continue
+from the same place.
+
+Both consumers write under ``batch=<id>`` (overwrite: a replayed batch replaces
+itself, so replays are harmless), and no batch rewrites what another one wrote.
+
+* ``stream_sync``: the batch's change rows. The downstream table is the latest
+  change per key over all batches -- the same ``as_of`` rule as the source, so the
+  order in which the file source lists commits does not matter.
+* ``stream_totals``: the batch's signed counts and sums by group (insert/postimage
+  add, delete/preimage subtract); readers add the batches up.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verlog.operators.changes import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, DELETE, PREIMAGE, as_of
+from verlog.sources.versioned import COMMITS_SCHEMA, VersionedTable, path_exists
 
+#: Versions that one micro-batch takes at most.
+COMMITS_PER_BATCH = 64
 
-def change_stream(spark: SparkSession, changes_path: str, row_schema: T.StructType,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    full = T.StructType([*row_schema.fields,
+
+def _log_schema(row_schema: T.StructType, *more: T.StructField) -> T.StructType:
+    return T.StructType([*row_schema.fields,
                          T.StructField(CHANGE_TYPE, T.StringType()),
                          T.StructField(COMMIT_TIMESTAMP, T.TimestampType()),
-                         T.StructField(COMMIT_VERSION, T.LongType())])
-    reader = spark.readStream.schema(full)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(int(max_files_per_trigger)))
-    return reader.parquet(changes_path)
+                         T.StructField(COMMIT_VERSION, T.LongType()), *more])
 
 
-def stream_sync(spark: SparkSession, changes_path: str, row_schema: T.StructType, keys: Sequence[str],
-                target_path: str, checkpoint: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Copy the change feed downstream incrementally; return the downstream table."""
-    stream = change_stream(spark, changes_path, row_schema, max_files_per_trigger)
+def each_commit(table: VersionedTable, checkpoint: str, consume: Callable[[DataFrame, int], None],
+                commits_per_batch: int = COMMITS_PER_BATCH) -> None:
+    """Hands ``consume`` the change rows of versions committed since the last run, a micro-batch at a time."""
+    spark, log = table.spark, _log_schema(table.schema())
+    commits = (spark.readStream.schema(COMMITS_SCHEMA).option("maxFilesPerTrigger", str(int(commits_per_batch)))
+               .parquet(table.commits_path))
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target_path}/batch={batch_id}")
+    def batch_rows(batch: DataFrame, batch_id: int) -> None:
+        versions = [r.version for r in batch.select("version").collect()]  # at most commits_per_batch
+        folders = [f"{table.changes_path}/{COMMIT_VERSION}={v}" for v in versions]
+        folders = [f for f in folders if path_exists(spark, f)]  # some versions change no rows
+        if folders:
+            consume(spark.read.schema(log).option("basePath", table.changes_path).parquet(*folders), batch_id)
 
-    q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    q = (commits.writeStream.foreachBatch(batch_rows).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    full = T.StructType([*row_schema.fields,
-                         T.StructField(CHANGE_TYPE, T.StringType()),
-                         T.StructField(COMMIT_TIMESTAMP, T.TimestampType()),
-                         T.StructField(COMMIT_VERSION, T.LongType()),
-                         T.StructField("batch", T.LongType())])
-    downstream = spark.read.schema(full).parquet(target_path)
-    return as_of(downstream, keys, None, row_schema.fieldNames())
+
+
+def _written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def stream_sync(table: VersionedTable, target_path: str, checkpoint: str,
+                commits_per_batch: int = COMMITS_PER_BATCH) -> DataFrame:
+    """Copy the change feed downstream incrementally; return the downstream table."""
+    each_commit(table, checkpoint,
+                lambda rows, n: rows.write.mode("overwrite").parquet(f"{target_path}/batch={n}"), commits_per_batch)
+    row_schema = table.schema()
+    downstream = _written(table.spark, target_path, _log_schema(row_schema, T.StructField("batch", T.LongType())))
+    return as_of(downstream, table.keys, None, row_schema.fieldNames())
 
 
 def signed(value: str | None = None):
@@ -62,17 +77,17 @@ def signed(value: str | None = None):
     return sign if value is None else sign * F.col(value)
 
 
-def stream_totals(spark: SparkSession, changes_path: str, row_schema: T.StructType, group: str, value: str,
-                  target_path: str, checkpoint: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def stream_totals(table: VersionedTable, group: str, value: str, target_path: str, checkpoint: str,
+                  commits_per_batch: int = COMMITS_PER_BATCH) -> DataFrame:
     """Group counts and sums kept up to date from the change feed."""
-    stream = change_stream(spark, changes_path, row_schema, max_files_per_trigger)
-    agg = stream.groupBy(group).agg(F.sum(signed()).cast("long").alias("row_count"),
-                                    F.sum(signed(value)).alias("value_sum"))
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target_path)
-
-    q = (agg.writeStream.outputMode("complete").foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(target_path).where(F.col("row_count") != 0)
+    def partial(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(group).agg(F.sum(signed()).cast("long").alias("row_count"),
+                                       F.sum(signed(value)).alias("value_sum"))
+
+    each_commit(table, checkpoint,
+                lambda rows, n: partial(rows).write.mode("overwrite").parquet(f"{target_path}/batch={n}"),
+                commits_per_batch)
+    empty = table.spark.createDataFrame([], _log_schema(table.schema()))
+    return (_written(table.spark, target_path, partial(empty).schema)
+            .groupBy(group).agg(F.sum("row_count").alias("row_count"), F.sum("value_sum").alias("value_sum"))
+            .where(F.col("row_count") != 0))
