@@ -63,6 +63,18 @@ def as_of(log: DataFrame, keys: str | Sequence[str], version: int | None = None,
     )
 
 
+def as_of_base(base: DataFrame, delta: DataFrame, keys: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The table as it is after ``delta`` (change rows) on top of ``base`` (one row per key).
+
+    The window runs over the delta only. Base rows that the delta leaves alone come
+    through an unhinted anti-join: a delta that is small by measure is broadcast, and
+    the base is then neither shuffled nor sorted."""
+    keys = _keys(keys)
+    touched = delta.where(F.col(CHANGE_TYPE) != F.lit(PREIMAGE)).select(*keys)
+    return base.select(*columns).join(touched, keys, "left_anti").select(*columns).unionByName(
+        as_of(delta, keys, None, columns))
+
+
 AS_OF = "_as_of"
 
 

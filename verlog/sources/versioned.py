@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from verlog.operators import dml, rules
 from verlog.operators.changes import (
-    CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, DELETE, INSERT, POSTIMAGE, PREIMAGE, as_of, as_of_many,
+    CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, DELETE, INSERT, POSTIMAGE, PREIMAGE, as_of, as_of_base, as_of_many,
     changed_between, net_changes, restrict_to,
 )
 from verlog.operators.ids import assign_ids
@@ -265,15 +265,16 @@ class VersionedTable:
 
         return [(place(n)[0], n) for n in sorted(names, key=place, reverse=True)]
 
-    def _base(self, upto: int) -> tuple[int, DataFrame | None]:
-        """Newest base snapshot at or below ``upto`` (as insert rows), if any."""
+    def _base(self, upto: int, schema: T.StructType | None = None) -> tuple[int, DataFrame | None]:
+        """Newest base snapshot at or below ``upto`` (as insert rows), if any, read with
+        ``schema``: columns added after the snapshot are NULL."""
         # Newest first; only probe for completeness until one is found.
         found = next(((b, name) for b, name in self._snapshots()
                       if b <= upto and path_exists(self.spark, f"{self.snapshots_path}/{name}/_SUCCESS")), None)
         if found is None:
             return -1, None
         best, name = found
-        schema = self.schema(best)
+        schema = schema or self.schema(best)
         rows = self.spark.read.schema(schema).parquet(f"{self.snapshots_path}/{name}")
         return best, rows.select(*schema.fieldNames(), F.lit(INSERT).alias(CHANGE_TYPE),
                                  F.lit(None).cast("timestamp").alias(COMMIT_TIMESTAMP),
@@ -287,7 +288,7 @@ class VersionedTable:
         lo = -1 if since is None else int(since) - 1
         base = None
         if use_snapshot and since is None:
-            b, base = self._base(upto)
+            b, base = self._base(upto, schema)
             lo = max(lo, b)
         df = self._read_changes(schema).where(
             (F.col(COMMIT_VERSION) <= F.lit(upto)) & (F.col(COMMIT_VERSION) > F.lit(lo)))
@@ -313,13 +314,15 @@ class VersionedTable:
         if cached is not None:
             return cached
         schema = self.schema(v)
-        b, base = self._base(v)
+        b, base = self._base(v, schema)
         if b == v:
             # A snapshot of exactly this version already holds one row per key:
             # a plain scan, no window and no exchange.
             df = base.select(*schema.fieldNames())
+        elif base is not None:
+            df = as_of_base(base, self.log(upto=v, since=b + 1, schema=schema), self.keys, schema.fieldNames())
         else:
-            df = as_of(self.log(upto=v, schema=schema, use_snapshot=True), self.keys, None, schema.fieldNames())
+            df = as_of(self.log(upto=v, schema=schema), self.keys, None, schema.fieldNames())
         _AS_OF[key] = df
         return df
 
@@ -336,8 +339,10 @@ class VersionedTable:
         v = self.version() if version is None else int(version)
         self._row(v)
         schema = self.schema(v)
-        log = self.log(upto=v, schema=schema, use_snapshot=True)
         pred = F.coalesce(F.expr(predicate) if isinstance(predicate, str) else predicate, F.lit(False))
+        if self._base(v)[1] is not None:
+            return self.as_of(v).where(pred)  # reaches the scan of the base by itself
+        log = self.log(upto=v, schema=schema)
         live = F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)
         candidates = log.where(live & pred).select(*self.keys).distinct()
         part = restrict_to(log, self.keys, candidates)
@@ -352,8 +357,10 @@ class VersionedTable:
         keyed = F.lit(True)
         for k in self.keys:
             keyed = keyed & F.col(k).isNotNull()
-        part = restrict_to(self.log(upto=v, schema=schema, use_snapshot=True), self.keys,
-                           keys.where(keyed).select(*self.keys).distinct())
+        wanted = keys.where(keyed).select(*self.keys).distinct()
+        if self._base(v)[1] is not None:
+            return restrict_to(self.as_of(v), self.keys, wanted)
+        part = restrict_to(self.log(upto=v, schema=schema), self.keys, wanted)
         return as_of(part, self.keys, None, schema.fieldNames())
 
     def as_of_many(self, versions: Sequence[int]) -> DataFrame:
