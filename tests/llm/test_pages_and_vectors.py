@@ -31,6 +31,31 @@ def test_without_article_element():
         f"Sentence {i}, which has a few words, and then some more of them." for i in range(6))
 
 
+LONG = "A sentence of the text, with a mark, and then some more words to make it long enough. " * 3
+
+
+@pytest.mark.parametrize("around", ["<div id=content>{}</div>", "<div><div id=content>{}</div></div>",
+                                    "<div id=page><nav><a href=/>Home</a></nav><div>{}</div><footer>end</footer></div>", "{}"])
+def test_short_blocks_without_article_element(around):
+    """Lists, cells and references beside long paragraphs stay; links before and after the text go."""
+    body = (f"<h1>Title</h1><p>{LONG}</p><ul><li>one<li>two</ul><p>{LONG}</p><dl><dt>term<dd>sense</dl>"
+            f"<table><tr><th>a<td>1<tr><th>b<td>2</table><p>{LONG}</p><h2>References</h2>"
+            f"<ol><li><a href=r>Ref one</a><li><a href=s>Ref two</a></ol>")
+    page = "<body><div><a href=1>one</a> <a href=2>two</a></div>{}<div><a href=3>more</a></div></body>".format(
+        around.format(body))
+    p = LONG.strip()
+    assert main_text(page).split("\n") == ["Title", p, "one", "two", p, "term", "sense", "a", "1", "b", "2", p,
+                                          "References", "Ref one", "Ref two"]
+
+
+def test_sections_without_article_element():
+    page = (f"<body><div id=content><h1>T</h1><section><h2>A</h2><p>{LONG}</p></section>"
+            f"<section><h2>B</h2><table><tr><td>x<td>y</table></section><section><p>{LONG}</p></section></div></body>")
+    assert main_text(page).split("\n") == ["T", "A", LONG.strip(), "B", "x", "y", LONG.strip()]
+    page = f"<body><div id=a><h1>T</h1><div><p>{LONG}</p></div><ul><li>x</ul></div><div><a href=1>one</a></div></body>"
+    assert main_text(page).split("\n") == ["T", LONG.strip(), "x"]
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<!-- open", "<script>x", "</p></div>", "&amp", "<a><b></a></b>"])
 def test_odd_pages(page):
     assert isinstance(main_text(page), str)
@@ -40,6 +65,7 @@ def test_long_and_deep_pages():
     assert main_text("<article>" + "<p>word, word.</p>" * 20000 + "</article>").count("\n") == 19999
     assert main_text("<article>" + "<div>" * 2000 + "<p>deep text.</p>") == "deep text."
     assert len(main_text("<article><p>" + "a <i>b</i> " * 30000)) == 30000 * 4 - 1
+    assert main_text("<body>" + f"<div><p>{LONG}" * 1500 + "<footer>end").count("\n") == 1499
 
 
 def test_given_pages(spark):

@@ -5,12 +5,19 @@ Per path, text length, punctuation and link text are summed; a path's ratio is
 its text length for each block that has the path, and its punctuation ratio the
 same with punctuation marks. Both are smoothed with the path's parent subtree
 (a short heading beside long paragraphs shares their container), fused as a
-geometric mean, and paths whose fused ratio reaches ``threshold`` times the
-page's text-weighted mean are content. Paths that go through an element that
+geometric mean, and blocks whose path's fused ratio reaches ``threshold`` times
+the page's text-weighted mean are dense. Blocks that go through an element that
 is boilerplate by its tag, role, class or id never are, and where the page has
-an article or main element, only paths through it are candidates and content
+an article or main element, only blocks inside it are candidates and content
 elements inside it (headings, paragraphs, items, cells) are not thresholded.
 
+Dense blocks only find the place of the text: the content container is their
+lowest common ancestor, widened while its parent adds no page furniture, and
+every block under it that is not boilerplate stays, however short or linked. A
+container that is the page itself (body, or an element around nav, header or
+footer) is taken child by child: children without dense blocks stay too, except
+link lists before or after the text that no heading introduces.
+
 Inside a block, white space (line breaks of the markup included) becomes one
 space; blocks are joined in page order by one line feed. Character references
 are decoded. Unclosed and misnested tags are tolerated as browsers do in the
@@ -26,6 +33,8 @@ from __future__ import annotations
 
 import html as _html
 import re
+from itertools import groupby
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -53,6 +62,14 @@ CONTENT = frozenset("h1 h2 h3 h4 h5 h6 p li dd dt blockquote pre td th caption f
 IMPLIED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
            "th": ("td", "th"), "option": ("option",)}
 LISTS = frozenset("ul ol dl table".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold a part of a text, never the whole of it; and those that stand beside it.
+PARTS = (CONTENT - {"article", "main"}) | LISTS | frozenset("tr thead tbody tfoot figure hgroup".split())
+FURNITURE = frozenset("nav header footer".split())
+#: Share of a text's characters in links above which it counts as a list of links.
+LINKED = 0.8
+#: Elements that a container is widened by, and pages within pages, at most (unclosed elements nest without end).
+LEVELS = 20
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|([^\s=/"'>]+)""")
 _SPACE = re.compile(r"\s+")
@@ -76,13 +93,23 @@ def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, bool, bool]]:
-    """(tag path, text, characters in links, boilerplate, inside an article) of each block in page order."""
-    out: list[tuple] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate so far, in article so far
+class Block(NamedTuple):
+    path: tuple[str, ...]  # tags from the root
+    text: str
+    linked: int  # characters in links
+    boilerplate: bool
+    inside: bool  # an article or main element
+    nodes: tuple[int, ...]  # the path's elements, numbered in page order
+
+
+def blocks(page: str) -> list[Block]:
+    """The blocks of text in page order."""
+    out: list[Block] = []
+    stack: list[tuple[str, bool, bool, int]] = []  # tag, boilerplate so far, in article so far, number
     buffer: list[str] = []
     linked, started = 0, False
-    where: tuple = ((), False, False)
+    where: tuple = ((), False, False, ())
+    opened = 0
 
     def state() -> tuple[bool, bool]:
         return (stack[-1][1], stack[-1][2]) if stack else (False, False)
@@ -91,7 +118,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, bool, bool]]:
         nonlocal linked, started
         text = _SPACE.sub(" ", _html.unescape("".join(buffer))).strip()
         if text:
-            out.append((where[0], text, linked, where[1], where[2]))
+            out.append(Block(where[0], text, linked, *where[1:]))
         buffer.clear()
         linked, started = 0, False
 
@@ -102,8 +129,9 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, bool, bool]]:
         if not started and not text.isspace():
             started = True
             bad, inside = state()
-            where = (tuple(t for t, _, _ in stack if t not in INLINE), bad, inside)
-        if any(t == "a" for t, _, _ in stack):
+            around = [e for e in stack if e[0] not in INLINE]
+            where = (tuple(e[0] for e in around), bad, inside, tuple(e[3] for e in around))
+        if any(e[0] == "a" for e in stack):
             linked += len(text)
         # Inline boilerplate inside a block (a hidden span) is left out of it.
         if not state()[0] or where[1]:
@@ -121,7 +149,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, bool, bool]]:
             continue
         tag = m[2].lower()
         if m[1]:  # an end tag
-            if any(t == tag for t, _, _ in stack):
+            if any(e[0] == tag for e in stack):
                 if tag not in INLINE:
                     flush()
                     while stack.pop()[0] != tag:
@@ -149,7 +177,8 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, bool, bool]]:
             continue
         bad, inside = state()
         inside = inside or tag in ("article", "main")
-        stack.append((tag, bad or _is_boilerplate(tag, m[3], inside), inside))
+        opened += 1
+        stack.append((tag, bad or _is_boilerplate(tag, m[3], inside), inside, opened))
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else n
@@ -168,18 +197,13 @@ def _close(stack: list, tags: tuple[str, ...], barrier: frozenset | set) -> None
             return
 
 
-def main_text(page: str | None, threshold: float = 0.1) -> str:
-    found = blocks(page or "")
-    usable = [b for b in found if not b[3]]
-    inside = [b for b in usable if b[4]]
-    candidates = inside or usable
-    if not candidates:
-        return ""
+def _fused(found: list[Block]) -> dict[tuple, float]:
+    """Each tag path's text and punctuation ratio, smoothed with its parent's; 0 for mostly links."""
     sums: dict[tuple, list[float]] = {}
     under: dict[tuple, list[float]] = {}
-    for path, text, linked, _, _ in candidates:
-        facts = (1, len(text), len(_POINTS.findall(text)), linked)
-        for place, key in ((sums, path), (under, path[:-1])):
+    for b in found:
+        facts = (1, len(b.text), len(_POINTS.findall(b.text)), b.linked)
+        for place, key in ((sums, b.path), (under, b.path[:-1])):
             have = place.setdefault(key, [0, 0, 0, 0])
             for i, x in enumerate(facts):
                 have[i] += x
@@ -187,12 +211,99 @@ def main_text(page: str | None, threshold: float = 0.1) -> str:
     for path, (k, length, points, linked) in sums.items():
         pk, plength, ppoints, _ = under[path[:-1]]
         ratio, marks = (length / k + plength / pk) / 2, (points / k + ppoints / pk) / 2
-        fused[path] = 0.0 if linked > 0.8 * length else (ratio * (marks + 0.5)) ** 0.5
-    total = sum(x[1] for x in sums.values())
-    mean = sum(fused[p] * x[1] for p, x in sums.items()) / total
-    keep = [text for path, text, _, _, within in candidates
-            if fused[path] >= threshold * mean or within and path and path[-1] in CONTENT]
-    return "\n".join(keep)
+        fused[path] = 0.0 if linked > LINKED * length else (ratio * (marks + 0.5)) ** 0.5
+    return fused
+
+
+def _only_links(some: list[Block]) -> bool:
+    return sum(b.linked for b in some) > LINKED * sum(len(b.text) for b in some)
+
+
+def _depth(b: Block) -> int:
+    """Depth of the innermost element around a block that can hold a whole text."""
+    n = len(b.path)
+    while n and b.path[n - 1] in PARTS:
+        n -= 1
+    return n
+
+
+def _ancestor(some: list[Block]) -> int:
+    """Depth of the lowest common ancestor of blocks."""
+    first = some[0].nodes
+    depth = min(_depth(b) for b in some)
+    for b in some:
+        while b.nodes[:depth] != first[:depth]:
+            depth -= 1
+    return depth
+
+
+def _under(some: list[Block], holder: tuple[int, ...]) -> list[Block]:
+    return [b for b in some if b.nodes[:len(holder)] == holder]
+
+
+def _is_page(path: tuple[str, ...], holder: tuple[int, ...], found: list[Block]) -> bool:
+    """Whether an element is around the whole page: the root, html, body, or one around nav, header or footer."""
+    return (not path or path[-1] in ("html", "body")
+            or any(b.boilerplate and FURNITURE & set(b.path[len(path):]) for b in _under(found, holder)))
+
+
+def _children(some: list[Block], depth: int):
+    """Runs of blocks with the same child of an element at a depth (text of the element's own is alone)."""
+    for child, run in groupby(some, key=lambda b: b.nodes[depth:depth + 1]):
+        run = list(run)
+        yield from ([run] if child else ([b] for b in run))
+
+
+def _contents(found: list[Block], usable: list[Block], dense: set[int], top: int = 0, level: int = 0) -> list[Block]:
+    """The usable blocks of the containers of the dense ones (given by ``id``), from the depth ``top`` on."""
+    strong = [b for b in usable if id(b) in dense]
+    depth = max(top, _ancestor(strong))
+    path, nodes = strong[0].path, strong[0].nodes
+    for _ in range(LEVELS):
+        if depth <= top or path[depth - 1] in ("article", "main"):
+            break
+        outer = _under(usable, nodes[:depth - 1])
+        if _is_page(path[:depth - 1], nodes[:depth - 1], found) or any(
+                _only_links(x) for x in _children(outer, depth - 1) if not any(id(b) in dense for b in x)):
+            break
+        depth -= 1
+    held = _under(usable, nodes[:depth])
+    if not _is_page(path[:depth], nodes[:depth], found):
+        kept = held
+    else:
+        kept = []
+        runs = list(_children(held, depth))
+        at = [k for k, run in enumerate(runs) if any(id(b) in dense for b in run)]
+        for k, run in enumerate(runs):
+            if k in (at[0], at[-1]) or any(id(b) in dense for b in run):
+                part = run[0].path
+                whole = level == LEVELS or len(part) <= depth or part[depth] in PARTS
+                kept += run if whole else _contents(found, run, dense, depth + 1, level + 1)
+            elif at[0] < k < at[-1] or not _only_links(run) or k > at[0] and (
+                    _is_heading(run[0]) or _is_heading(runs[k - 1][-1])):
+                kept += run
+    # A title above the container, in an element around it.
+    ids = {id(b) for b in kept}
+    end = kept[0].nodes
+    return [b for b in usable if id(b) in ids or _is_heading(b) and b.nodes < end
+            and len(b.nodes) - 1 >= top and b.nodes[:-1] == nodes[:depth][:len(b.nodes) - 1]]
+
+
+def _is_heading(b: Block) -> bool:
+    return bool(b.path) and b.path[-1] in HEADINGS and b.linked <= LINKED * len(b.text)
+
+
+def main_text(page: str | None, threshold: float = 0.1) -> str:
+    found = blocks(page or "")
+    usable = [b for b in found if not b.boilerplate]
+    candidates = [b for b in usable if b.inside] or usable
+    if not candidates:
+        return ""
+    fused = _fused(candidates)
+    mean = sum(fused[b.path] * len(b.text) for b in candidates) / sum(len(b.text) for b in candidates)
+    dense = {id(b) for b in candidates if fused[b.path] >= threshold * mean
+             or b.inside and b.path and b.path[-1] in CONTENT}
+    return "\n".join(b.text for b in _contents(found, candidates, dense))
 
 
 def extracted(page: Column, threshold: float = 0.1) -> Column:
