@@ -56,6 +56,31 @@ def test_sections_without_article_element():
     assert main_text(page).split("\n") == ["T", LONG.strip(), "x"]
 
 
+CARDS = "".join(f"<article><h3><a href={i}>Card {i}</a></h3><p>Teaser {i}, in short.</p></article>" for i in range(4))
+
+
+@pytest.mark.parametrize("page", [
+    "<body><div class=grid>{cards}</div><div id=content>{text}</div></body>",
+    "<body><div id=content>{text}</div>{cards}</body>",
+    "<body><div id=page><nav>x</nav><div id=content>{text}</div><div>{cards}</div></div></body>",
+    "<body><main><div id=content>{text}</div><div>{cards}</div></main></body>"])
+def test_cards_are_not_the_text(page):
+    text = f"<h1>T</h1><p>{LONG}</p><ul><li>x<li>y</ul><p>{LONG}</p>"
+    p = LONG.strip()
+    assert main_text(page.format(text=text, cards=CARDS)).split("\n") == ["T", p, "x", "y", p]
+
+
+@pytest.mark.parametrize("page", ["<body><nav>x</nav>{}<footer>y</footer></body>", "<body><div id=page>{}</div></body>"])
+def test_text_in_and_after_article(page):
+    p = LONG.strip()
+    both = f"<article><h1>T</h1><p>{p}</p><ul><li>x</ul></article><div><h2>U</h2><p>{p}</p><ul><li>y</ul><p>{p}</p></div>"
+    assert main_text(page.format(both)).split("\n") == ["T", p, "x", "U", p, "y", p]
+    alone = f"<article><h1>T</h1><p>{p}</p><p>{p}</p><div>z</div></article><div>Get our letter.</div>"
+    assert main_text(f"<body>{alone}</body>").split("\n") == ["T", p, p, "z"]
+    assert main_text(f"<body><div>{CARDS}</div></body>").count("Teaser") == 4
+    assert main_text("<body><article><h1>T</h1><p>Short.</p></article></body>") == "T\nShort."
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<!-- open", "<script>x", "</p></div>", "&amp", "<a><b></a></b>"])
 def test_odd_pages(page):
     assert isinstance(main_text(page), str)

@@ -7,16 +7,19 @@ same with punctuation marks. Both are smoothed with the path's parent subtree
 (a short heading beside long paragraphs shares their container), fused as a
 geometric mean, and blocks whose path's fused ratio reaches ``threshold`` times
 the page's text-weighted mean are dense. Blocks that go through an element that
-is boilerplate by its tag, role, class or id never are, and where the page has
-an article or main element, only blocks inside it are candidates and content
-elements inside it (headings, paragraphs, items, cells) are not thresholded.
+is boilerplate by its tag, role, class or id never are. An article or main
+element is a weight, not a switch: the threshold is a fifth inside it and, if
+it holds a quarter of the page's text, five times as high outside. Several
+articles that are the smaller part of a page get the higher threshold (cards).
 
 Dense blocks only find the place of the text: the content container is their
 lowest common ancestor, widened while its parent adds no page furniture, and
-every block under it that is not boilerplate stays, however short or linked. A
+every block under it that is not boilerplate stays, however short or linked; an
+article with dense blocks is a container as a whole. A
 container that is the page itself (body, or an element around nav, header or
-footer) is taken child by child: children without dense blocks stay too, except
-link lists before or after the text that no heading introduces.
+footer) is taken child by child: children without dense blocks stay too, except,
+before or after the text, cards, link lists that no heading introduces, and
+whatever stands outside an article that has the text.
 
 Inside a block, white space (line breaks of the markup included) becomes one
 space; blocks are joined in page order by one line feed. Character references
@@ -68,6 +71,9 @@ PARTS = (CONTENT - {"article", "main"}) | LISTS | frozenset("tr thead tbody tfoo
 FURNITURE = frozenset("nav header footer".split())
 #: Share of a text's characters in links above which it counts as a list of links.
 LINKED = 0.8
+#: How much an article or main element divides its blocks' threshold by and multiplies the others' with, and the
+#: share of the page's text (by length and ratio) that it must hold for the latter.
+ARTICLE, HELD = 5, 0.25
 #: Elements that a container is widened by, and pages within pages, at most (unclosed elements nest without end).
 LEVELS = 20
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -221,7 +227,7 @@ def _only_links(some: list[Block]) -> bool:
 
 def _depth(b: Block) -> int:
     """Depth of the innermost element around a block that can hold a whole text."""
-    n = len(b.path)
+    n = b.path.index("article") + 1 if "article" in b.path else len(b.path)
     while n and b.path[n - 1] in PARTS:
         n -= 1
     return n
@@ -244,7 +250,7 @@ def _under(some: list[Block], holder: tuple[int, ...]) -> list[Block]:
 def _is_page(path: tuple[str, ...], holder: tuple[int, ...], found: list[Block]) -> bool:
     """Whether an element is around the whole page: the root, html, body, or one around nav, header or footer."""
     return (not path or path[-1] in ("html", "body")
-            or any(b.boilerplate and FURNITURE & set(b.path[len(path):]) for b in _under(found, holder)))
+            or path[-1] != "article" and any(b.boilerplate and FURNITURE & set(b.path[len(path):]) for b in _under(found, holder)))
 
 
 def _children(some: list[Block], depth: int):
@@ -264,7 +270,8 @@ def _contents(found: list[Block], usable: list[Block], dense: set[int], top: int
             break
         outer = _under(usable, nodes[:depth - 1])
         if _is_page(path[:depth - 1], nodes[:depth - 1], found) or any(
-                _only_links(x) for x in _children(outer, depth - 1) if not any(id(b) in dense for b in x)):
+                _only_links(x) or any("article" in b.path[depth - 1:] for b in x)
+                for x in _children(outer, depth - 1) if not any(id(b) in dense for b in x)):
             break
         depth -= 1
     held = _under(usable, nodes[:depth])
@@ -273,19 +280,22 @@ def _contents(found: list[Block], usable: list[Block], dense: set[int], top: int
     else:
         kept = []
         runs = list(_children(held, depth))
+        articles = any(b.inside for b in strong)
         at = [k for k, run in enumerate(runs) if any(id(b) in dense for b in run)]
         for k, run in enumerate(runs):
             if k in (at[0], at[-1]) or any(id(b) in dense for b in run):
                 part = run[0].path
                 whole = level == LEVELS or len(part) <= depth or part[depth] in PARTS
                 kept += run if whole else _contents(found, run, dense, depth + 1, level + 1)
-            elif at[0] < k < at[-1] or not _only_links(run) or k > at[0] and (
-                    _is_heading(run[0]) or _is_heading(runs[k - 1][-1])):
+            elif at[0] < k < at[-1] or not any("article" in b.path[depth:] for b in run) and (
+                    not articles and not _only_links(run)
+                    or k > at[0] and (_is_heading(run[0]) or _is_heading(runs[k - 1][-1]))):
                 kept += run
     # A title above the container, in an element around it.
     ids = {id(b) for b in kept}
     end = kept[0].nodes
-    return [b for b in usable if id(b) in ids or _is_heading(b) and b.nodes < end
+    titles = "article" not in kept[0].path
+    return [b for b in usable if id(b) in ids or titles and _is_heading(b) and b.nodes < end
             and len(b.nodes) - 1 >= top and b.nodes[:-1] == nodes[:depth][:len(b.nodes) - 1]]
 
 
@@ -293,17 +303,40 @@ def _is_heading(b: Block) -> bool:
     return bool(b.path) and b.path[-1] in HEADINGS and b.linked <= LINKED * len(b.text)
 
 
+def _article(b: Block) -> int | None:
+    """The number of the outermost article element around a block."""
+    return b.nodes[b.path.index("article")] if "article" in b.path else None
+
+
+def _dense(usable: list[Block], threshold: float) -> set[int]:
+    """The blocks (by ``id``) whose path's ratio is that of a text; article and main elements only shift the threshold."""
+    fused = _fused(usable)
+    weight = {id(b): fused[b.path] * len(b.text) for b in usable}
+    total = sum(weight.values())
+    mean = total / sum(len(b.text) for b in usable)
+    each: dict[int | None, float] = {}
+    for b in usable:
+        each[_article(b)] = each.get(_article(b), 0.0) + weight[id(b)]
+    each.pop(None, None)
+    # Several articles that are a small part of the page are cards beside its text, as far as their ratios agree.
+    cards = len(each) > 1 and max(each.values()) < HELD * total and sum(each.values()) < total / 2
+    likely = {id(b) for b in usable if b.inside and not (cards and _article(b))}
+    held = sum(weight[x] for x in likely) >= HELD * total and bool(likely)
+
+    def factor(b: Block) -> float:
+        if id(b) in likely:
+            return 1 / ARTICLE
+        return ARTICLE if held or cards and _article(b) else 1
+
+    return {id(b) for b in usable if fused[b.path] >= threshold * mean * factor(b)} or {id(b) for b in usable}
+
+
 def main_text(page: str | None, threshold: float = 0.1) -> str:
     found = blocks(page or "")
     usable = [b for b in found if not b.boilerplate]
-    candidates = [b for b in usable if b.inside] or usable
-    if not candidates:
+    if not usable:
         return ""
-    fused = _fused(candidates)
-    mean = sum(fused[b.path] * len(b.text) for b in candidates) / sum(len(b.text) for b in candidates)
-    dense = {id(b) for b in candidates if fused[b.path] >= threshold * mean
-             or b.inside and b.path and b.path[-1] in CONTENT}
-    return "\n".join(b.text for b in _contents(found, candidates, dense))
+    return "\n".join(b.text for b in _contents(found, usable, _dense(usable, threshold)))
 
 
 def extracted(page: Column, threshold: float = 0.1) -> Column:
