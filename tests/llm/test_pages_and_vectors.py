@@ -56,6 +56,14 @@ def test_sections_without_article_element():
     assert main_text(page).split("\n") == ["T", LONG.strip(), "x"]
 
 
+@pytest.mark.parametrize("start", ["<body>", "", "<script>x</script>\n<body class=b>", "<meta name=a>\n"])
+@pytest.mark.parametrize("end", ["", "</body></html>"])
+def test_head_without_end_tag(start, end):
+    head = "<!DOCTYPE html><html><head>\n<title>T</title><link rel=x href=y><style>p{}</style>"
+    assert main_text(f"{head}{start}<p>Some words, here.<p>And more, there.{end}") == "Some words, here.\nAnd more, there."
+    assert main_text(f"{head}{start}Some words, here.{end}") == "Some words, here."
+
+
 CARDS = "".join(f"<article><h3><a href={i}>Card {i}</a></h3><p>Teaser {i}, in short.</p></article>" for i in range(4))
 
 

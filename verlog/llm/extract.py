@@ -24,7 +24,8 @@ whatever stands outside an article that has the text.
 Inside a block, white space (line breaks of the markup included) becomes one
 space; blocks are joined in page order by one line feed. Character references
 are decoded. Unclosed and misnested tags are tolerated as browsers do in the
-common cases (implied ends of p, li, option, cells; stray ends ignored).
+common cases (implied ends of p, li, option, cells, and of head at the first
+thing that is not metadata; stray ends ignored).
 
 Nulls and odd rows: a null or empty page and a page without content give an
 empty text; repeated rows and null ids pass through; very long pages are read
@@ -65,6 +66,7 @@ CONTENT = frozenset("h1 h2 h3 h4 h5 h6 p li dd dt blockquote pre td th caption f
 IMPLIED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
            "th": ("td", "th"), "option": ("option",)}
 LISTS = frozenset("ul ol dl table".split())
+METADATA = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that hold a part of a text, never the whole of it; and those that stand beside it.
 PARTS = (CONTENT - {"article", "main"}) | LISTS | frozenset("tr thead tbody tfoot figure hgroup".split())
@@ -134,6 +136,8 @@ def blocks(page: str) -> list[Block]:
             return
         if not started and not text.isspace():
             started = True
+            if stack and stack[-1][0] == "head":
+                stack.pop()
             bad, inside = state()
             around = [e for e in stack if e[0] not in INLINE]
             where = (tuple(e[0] for e in around), bad, inside, tuple(e[3] for e in around))
@@ -170,6 +174,9 @@ def blocks(page: str) -> list[Block]:
             elif tag == "p":
                 flush()
             continue
+        if stack and stack[-1][0] == "head" and tag not in METADATA:  # its end tag may be left out
+            flush()
+            stack.pop()
         if tag == "br":
             add(" ")
             continue
