@@ -64,6 +64,26 @@ def test_head_without_end_tag(start, end):
     assert main_text(f"{head}{start}Some words, here.{end}") == "Some words, here."
 
 
+@pytest.mark.parametrize("name", ["discussion", "related-work", "side-effects", "share-price", "legal", "responses",
+                                  "alert-systems", "comment-period", "ad-hoc-methods"])
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<div id=content>{}</div>"])
+def test_sections_named_like_furniture(name, around):
+    p = LONG.strip()
+    for part in (f"<section id={name}><h2>B</h2><p>{p}</p></section>", f"<h2 id={name} class={name}>B</h2><p>{p}</p>",
+                 f"<div class={name}><h2>B</h2><p>{p}</p></div>", f"<h2>B</h2><p id={name}>{p}</p>"):
+        page = around.format(f"<h1>T</h1><p>{p}</p>{part}<p>{p}</p>")
+        assert main_text(f"<body>{page}</body>").split("\n") == ["T", p, "B", p, p]
+    furniture = "<div class=share-buttons><a href=x>Share it</a></div><div class='related posts'><a href=y>More</a></div>"
+    page = around.format(f"<div class=post-header><h1>T</h1></div><p>{p}</p>{furniture}<div class=ad>Buy, now!</div><ul class=comments><li>Nice.</ul>")
+    assert main_text(f"<body>{page}</body>").split("\n") == ["T", p]
+
+
+def test_formulas():
+    x = "<math><mrow><mi>x</mi><mo>=</mo><mspace/><mn>2</mn></mrow><annotation>x=2</annotation></math>"
+    assert main_text(f"<article><p>Where {x} holds, <svg><text>no</text></svg>all is well.</p></article>") == (
+        "Where x=2 holds, all is well.")
+
+
 CARDS = "".join(f"<article><h3><a href={i}>Card {i}</a></h3><p>Teaser {i}, in short.</p></article>" for i in range(4))
 
 

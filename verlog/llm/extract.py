@@ -11,6 +11,9 @@ is boilerplate by its tag, role, class or id never are. An article or main
 element is a weight, not a switch: the threshold is a fifth inside it and, if
 it holds a quarter of the page's text, five times as high outside. Several
 articles that are the smaller part of a page get the higher threshold (cards).
+Names count by whole words; where a name may also be that of a section, or the
+element is a section or paragraph, its own ratio has to confirm it. Headings are
+not judged by name, and inside an article neither are ids and paragraphs.
 
 Dense blocks only find the place of the text: the content container is their
 lowest common ancestor, widened while its parent adds no page furniture, and
@@ -23,7 +26,7 @@ whatever stands outside an article that has the text.
 
 Inside a block, white space (line breaks of the markup included) becomes one
 space; blocks are joined in page order by one line feed. Character references
-are decoded. Unclosed and misnested tags are tolerated as browsers do in the
+are decoded; formulas (math) are text. Unclosed and misnested tags are tolerated as browsers do in the
 common cases (implied ends of p, li, option, cells, and of head at the first
 thing that is not metadata; stray ends ignored).
 
@@ -37,6 +40,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from functools import lru_cache
 from itertools import groupby
 from typing import NamedTuple
 
@@ -48,18 +52,33 @@ from verlog.llm.common import others, q
 
 # Element names and naming habits.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template xmp svg math select".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr br img".split())
+RAW = frozenset("script style textarea title noscript iframe template xmp svg select annotation annotation-xml".split())
+MATH = frozenset("math maction menclose merror mfenced mfrac mglyph mi mmultiscripts mn mo mover mpadded mphantom "
+                 "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover "
+                 "none semantics".split())
+INLINE = MATH | frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
+                          "samp small span strike strong sub sup time tt u var wbr br img".split())
+#: Elements without text of the page that do not end a block either.
+UNSEEN = frozenset("script style noscript iframe template svg annotation annotation-xml".split())
 DROPPED = frozenset("head nav footer aside form button dialog menu object applet audio video canvas map "
                     "datalist input".split()) | RAW
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
                   "toolbar".split())
-NAMES = re.compile(r"(?:^|[-_\s])(?:ads?|advert\w*|adbox|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|"
-                   r"header|masthead|topbar|foot|footer|sidebar\w*|side|aside|rail|widget\w*|cookies?|consent|gdpr|notices?|alert|"
-                   r"popup|modal|overlay|newsletter|subscri\w*|signup|login|comments?|comment\w*|replies|reply|"
-                   r"responses|disqus|respond|discussion|share|sharing|social|related|recommend\w*|pagination|pager|"
-                   r"copyright|legal|hidden)(?:$|[-_\s])", re.I)
+#: Names of page furniture; names that sections of a text have as well; and words that go with either.
+FIXED = re.compile(r"ads?|advert(?:s|ise\w*|ising)?|adbox|adsense|sponsor(?:s|ed)?|promos?|promotions?|promoted|banners?|"
+                   r"nav|navbar|navigation|menu|menubar|breadcrumbs?|header|masthead|topbar|foot|footer|sidebar\w*|"
+                   r"widgets?|cookies?|consent|gdpr|popup|modal|overlay|newsletters?|subscribe|subscription|signup|login|"
+                   r"comments?|comment(?:list|form|box|area)|disqus|pagination|pager|hidden", re.I)
+LOOSE = re.compile(r"side|aside|rail|share|sharing|social|related|recommend\w*|legal|discussion|responses|respond|reply|replies|"
+                   r"alert|notices?|copyright|comment\w+|nav\w+|menu\w+|promo\w+|advert\w+|sponsor\w+|subscri\w+|widget\w+",
+                   re.I)
+BESIDE = re.compile(r"bars?|box|buttons?|btn|links?|posts?|articles?|stories|story|news|lists?|items?|widgets?|containers?|wrap|"
+                    r"wrapper|block|section|area|tools?|icons?|content|media|form|panel|col|column|top|bottom|left|right|main|"
+                    r"inner|outer|title|more|text|messages?|page|site|global|primary|secondary|js|is|the|my|slot|unit|"
+                    r"toggle|thread|mobile|desktop|count|\d*", re.I)
+#: Words beside which "header" names the head of the text, as it does inside an article.
+OF_TEXT = frozenset("article content entry post section story text title".split())
+FIXED_NAME, LOOSE_NAME = 2, 1
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
                    "h5 h6 header hr main nav ol p pre section table ul".split())
 CONTENT = frozenset("h1 h2 h3 h4 h5 h6 p li dd dt blockquote pre td th caption figcaption article main".split())
@@ -68,6 +87,8 @@ IMPLIED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
 LISTS = frozenset("ul ol dl table".split())
 METADATA = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that are not judged by class and id.
+UNNAMED = HEADINGS | frozenset("html body article main".split())
 #: Elements that hold a part of a text, never the whole of it; and those that stand beside it.
 PARTS = (CONTENT - {"article", "main"}) | LISTS | frozenset("tr thead tbody tfoot figure hgroup".split())
 FURNITURE = frozenset("nav header footer".split())
@@ -76,6 +97,8 @@ LINKED = 0.8
 #: How much an article or main element divides its blocks' threshold by and multiplies the others' with, and the
 #: share of the page's text (by length and ratio) that it must hold for the latter.
 ARTICLE, HELD = 5, 0.25
+#: Share of the text's mean ratio from which on an element is text although its name may be one of furniture.
+CONFIRMED = 0.5
 #: Elements that a container is widened by, and pages within pages, at most (unclosed elements nest without end).
 LEVELS = 20
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -84,21 +107,40 @@ _SPACE = re.compile(r"\s+")
 _POINTS = re.compile(r"[.,;:!?…。、，！？；：]")
 
 
-def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+@lru_cache(maxsize=4096)
+def _named(token: str, in_article: bool = False) -> int:
+    """Whether a class or id is a name of page furniture (FIXED_NAME), may be one (LOOSE_NAME) or is none (0)."""
+    words = [w for w in re.split(r"[-_]+", token.lower()) if w]
+    if "header" in words and (in_article or OF_TEXT & set(words)):
+        return 0
+    fixed = [w for w in words if FIXED.fullmatch(w)]
+    loose = [w for w in words if LOOSE.fullmatch(w)]
+    if all(w in fixed or w in loose or BESIDE.fullmatch(w) for w in words):
+        return FIXED_NAME if fixed else LOOSE_NAME if loose else 0
+    return LOOSE_NAME if fixed else 0
+
+
+def _judged(tag: str, attributes: str, in_article: bool) -> int:
+    """FIXED_NAME for boilerplate, LOOSE_NAME for an element whose name says so but whose ratio has to confirm it."""
     if tag in DROPPED or tag == "header" and not in_article:
-        return True
+        return FIXED_NAME
     if not attributes.strip():
-        return False
+        return 0
+    found = 0
     for m in _ATTRIBUTE.finditer(attributes):
         name = (m[1] or m[3] or "").lower()
         value = (m[2] or "").strip("\"'")
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and NAMES.search(value):
-            return True
         if name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return FIXED_NAME
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return FIXED_NAME
+        if (name == "class" or name == "id" and not in_article) and tag not in UNNAMED:
+            by_name = max((_named(t, in_article) for t in value.split()), default=0)
+            if tag in ("p", "section"):
+                by_name = 0 if in_article and (tag == "p" or by_name < FIXED_NAME) else min(by_name, LOOSE_NAME)
+            found = max(found, by_name)
+    # Inside a block there is no ratio to confirm a name by.
+    return 0 if tag in INLINE and found < FIXED_NAME else found
 
 
 class Block(NamedTuple):
@@ -108,15 +150,16 @@ class Block(NamedTuple):
     boilerplate: bool
     inside: bool  # an article or main element
     nodes: tuple[int, ...]  # the path's elements, numbered in page order
+    suspect: int  # the outermost element that is furniture by name if its ratio confirms it, or 0
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of text in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # tag, boilerplate so far, in article so far, number
+    stack: list[tuple[str, bool, bool, int, int]] = []  # tag, boilerplate so far, in article so far, number, suspect
     buffer: list[str] = []
     linked, started = 0, False
-    where: tuple = ((), False, False, ())
+    where: tuple = ((), False, False, (), 0)
     opened = 0
 
     def state() -> tuple[bool, bool]:
@@ -140,7 +183,7 @@ def blocks(page: str) -> list[Block]:
                 stack.pop()
             bad, inside = state()
             around = [e for e in stack if e[0] not in INLINE]
-            where = (tuple(e[0] for e in around), bad, inside, tuple(e[3] for e in around))
+            where = (tuple(e[0] for e in around), bad, inside, tuple(e[3] for e in around), stack[-1][4] if stack else 0)
         if any(e[0] == "a" for e in stack):
             linked += len(text)
         # Inline boilerplate inside a block (a hidden span) is left out of it.
@@ -180,18 +223,20 @@ def blocks(page: str) -> list[Block]:
         if tag == "br":
             add(" ")
             continue
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in UNSEEN:
             flush()
             if tag in ENDS_P:
                 _close(stack, ("p",), LISTS | {"td", "th", "div", "article", "section", "main", "body"})
             if tag in IMPLIED:
                 _close(stack, IMPLIED[tag], LISTS - ({"table"} if tag == "li" else set()))
-        if tag in VOID or m[3].rstrip().endswith("/") and tag in ("svg", "math", "path"):
+        if tag in VOID or m[3].rstrip().endswith("/") and (tag in ("svg", "path") or tag in MATH):
             continue
         bad, inside = state()
         inside = inside or tag in ("article", "main")
         opened += 1
-        stack.append((tag, bad or _is_boilerplate(tag, m[3], inside), inside, opened))
+        judged = _judged(tag, m[3], inside)
+        suspect = stack[-1][4] if stack else 0
+        stack.append((tag, bad or judged == FIXED_NAME, inside, opened, suspect or (judged == LOOSE_NAME) * opened))
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else n
@@ -338,9 +383,30 @@ def _dense(usable: list[Block], threshold: float) -> set[int]:
     return {id(b) for b in usable if fused[b.path] >= threshold * mean * factor(b)} or {id(b) for b in usable}
 
 
+def _confirmed(some: list[Block]) -> list[Block]:
+    """Without the blocks of suspects that are not as dense as the text, or stand outside an article that has text."""
+    sure = [b for b in some if not b.suspect]
+    if len(sure) in (0, len(some)):
+        return some
+    fused = _fused(sure)
+    mean = sum(fused[b.path] * len(b.text) for b in sure) / sum(len(b.text) for b in sure)
+    articles = any(b.inside for b in sure)
+    by: dict[int, list[Block]] = {}
+    for b in some:
+        if b.suspect:
+            by.setdefault(b.suspect, []).append(b)
+    text = set()
+    for suspect, run in by.items():
+        length, marks = sum(len(b.text) for b in run), sum(len(_POINTS.findall(b.text)) for b in run)
+        ratio = 0.0 if _only_links(run) else (length / len(run) * (marks / len(run) + 0.5)) ** 0.5
+        if ratio >= CONFIRMED * mean and (run[0].inside or not articles):
+            text.add(suspect)
+    return [b for b in some if not b.suspect or b.suspect in text]
+
+
 def main_text(page: str | None, threshold: float = 0.1) -> str:
     found = blocks(page or "")
-    usable = [b for b in found if not b.boilerplate]
+    usable = _confirmed([b for b in found if not b.boilerplate])
     if not usable:
         return ""
     return "\n".join(b.text for b in _contents(found, usable, _dense(usable, threshold)))
