@@ -69,6 +69,16 @@ def test_exact_duplicates(odd, docs):
         assert all(r["doc_id"] == r["keep_id"] for r in kept)
 
 
+def test_winners_of_repeats_come_from_the_slot(spark, monkeypatch):
+    """A locator changed in the slots shows in the repeats' rows, and only there."""
+    frame = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (8, "a"), (9, "c"), (10, "c")], "doc_id long, text string")
+    plain = dedup.look_up
+    monkeypatch.setattr(dedup, "look_up", lambda *a: plain(*a).selectExpr(
+        "digest", "id", "at", "n", "old_id + 100 AS old_id", "old_at", "member"))
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in dedup.exact_duplicates(frame).collect()}
+    assert got == {1: (1, 3, True), 2: (2, 1, True), 3: (1, 3, False), 8: (101, 3, False), 9: (9, 2, True), 10: (9, 2, False)}
+
+
 def test_perfect_hash_finds_members_only():
     digests = [hashlib.sha256(str(i).encode()).digest() for i in range(5000)]
     held = dedup.Segment.load(dedup.Segment.build(digests[:3000], range(3000), range(10, 3010)).dump())

@@ -10,12 +10,12 @@ lower and the upper half of the id range (``history`` may name another split):
    the full digest and the winner's locator (id and row number).
 2. The second arrival, already reduced to one row per digest, is looked up.
    A perfect hash sends strangers to arbitrary slots, so all 32 bytes of the
-   slot's digest are compared. Members are repeats of the slot's winner; the
-   rest group by themselves.
+   slot's digest are compared. Members are repeats of the winner that the slot
+   holds, and take its id and row from there; the rest group by themselves.
 
 No step handles the copies of one text as a group: counts and winners are
-map-side aggregates, and decisions go back to rows by a plain join on the
-digest, which Spark splits where one digest is frequent.
+map-side aggregates, group sizes are joined to winners by digest, and decisions
+go back to rows by a plain join on the digest and the arrival, which Spark splits where one digest is frequent.
 
 Nulls and odd rows: a null text counts as empty; rows with a null id belong to
 the second arrival and win only if no row of their group has an id; equal ids
@@ -166,7 +166,7 @@ def exact_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", ca
         history = q(id) <= F.lit((ends[0] + ends[1]) // 2) if ends[0] is not None else F.lit(False)
     rows = hold(docs.select(*away, q(id).cast("long").alias("id"),
                              F.unhex(F.sha2(normalised(q(text)), 256)).alias("digest"),
-                             F.coalesce(history, F.lit(False)).alias("old"),
+                             (F.coalesce(history, F.lit(False)) & q(id).isNotNull()).alias("old"),
                              F.monotonically_increasing_id().alias("at")))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at"))
     groups = stage(rows.groupBy("digest", "old")
@@ -177,13 +177,16 @@ def exact_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", ca
     index = stage(build_index(past, segments), "dedup-index")
     seen = stage(look_up(new_groups, index, segments), "dedup-seen")
 
-    more = seen.where("member").select("digest", F.col("n").alias("more"))
-    winners = (past.join(more, "digest", "left")
-               .select("digest", "id", "at", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"))
-               .unionByName(seen.where("not member").select("digest", "id", "at", "n")))
-    found = winners.select(F.col("digest").alias("g_digest"), F.col("id").alias("g_id"), F.col("at").alias("g_at"),
-                           F.col("n").alias("g_n"))
-    return (rows.join(found, F.col("digest") == F.col("g_digest"))
+    # Winners: the first arrival's own, a repeat's from its slot, a stranger's own. Only sizes are joined by digest.
+    sizes = groups.groupBy(F.col("digest").alias("s_digest")).agg(F.sum("n").alias("g_n"))
+    winners = (past.select("digest", F.lit(True).alias("old"), "id", "at")
+               .unionByName(seen.select("digest", F.lit(False).alias("old"),
+                                        F.when(F.col("member"), F.col("old_id")).otherwise(F.col("id")).alias("id"),
+                                        F.when(F.col("member"), F.col("old_at")).otherwise(F.col("at")).alias("at"))))
+    found = (winners.join(sizes, F.col("digest") == F.col("s_digest"))
+             .select(F.col("digest").alias("g_digest"), F.col("old").alias("g_old"), F.col("id").alias("g_id"),
+                     F.col("at").alias("g_at"), "g_n"))
+    return (rows.join(found, (F.col("digest") == F.col("g_digest")) & (F.col("old") == F.col("g_old")))
             .select(*back, F.col("g_id").alias("keep_id"), F.col("g_n").alias("group_size"),
                     (F.col("at") == F.col("g_at")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")))
 
