@@ -250,6 +250,21 @@ def test_byte_bpe_random_texts():
         assert np.frombuffer(packed, "<u4").tolist() == tool.encode_ordinary(t), repr(t)
 
 
+def test_round_trip_places_bytes_by_the_slices():
+    tool = bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    texts = ["", "Some words, and 漢字 😀 then  more.", "z" * 300_000, "it's a b " * 40_000]
+    for t, (packed, slices) in zip(texts, tool.encode_placed(texts)):
+        ids = np.frombuffer(packed, "<u4")
+        offsets = tool.placed(ids, slices)
+        assert offsets.tolist() == tool.offsets(ids)[:-1].tolist()
+        assert tool.decode_placed(ids, offsets) == t.encode()
+    # A slice whose place is lost shows in the bytes.
+    packed, slices = next(tool.encode_placed(["one two three"]))
+    slices[0, 1] += 1
+    ids = np.frombuffer(packed, "<u4")
+    assert tool.decode_placed(ids, tool.placed(ids, slices)) != b"one two three"
+
+
 def test_token_files(spark, odd, docs):
     import zlib
 

@@ -6,8 +6,9 @@ expression.
 
 The pieces are byte slices of the text. Each distinct piece is merged once by
 rank (short pieces by repeated scans, long ones with a heap) and kept in a
-bounded cache of the worker. Token byte lengths give the offsets by which the
-ids decode.
+bounded cache of the worker. The slices' byte places are kept: with the tokens'
+byte lengths inside a slice they give the offsets at which a round trip puts
+the decoded bytes.
 
 Nulls and odd rows: a null text counts as empty and gives no ids; repeated rows
 and null ids of documents pass through; very long texts are encoded whole; an
@@ -19,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,6 +33,8 @@ from verlog.llm.pretokens import batches, cut
 
 #: Pieces a worker keeps, and the longest of them in bytes.
 _CACHE, _SHORT = 250_000, 48
+#: Tokens decoded together.
+_TOGETHER = 1 << 16
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -193,16 +197,47 @@ class Codec:
         for piece, rank in ranks.items():
             self.vocabulary[rank] = piece
         self.lengths = np.array([len(p) for p in self.vocabulary], dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(self.vocabulary), dtype=np.uint8)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
-        out: list[bytes] = []
+        return [packed for packed, _ in self.encode_placed(texts, slices=False)]
+
+    def encode_placed(self, texts: list[str], slices: bool = True) -> Iterator[tuple[bytes, np.ndarray | None]]:
+        """The packed ids of each text, and the byte place in the text and token count of each of its slices."""
         get = self.pieces.__getitem__
         for some in batches(texts):
             cuts = cut(some, as_bytes=True)
             self.pieces.learn([p for c in cuts for p in c])
-            out += [b"".join(map(get, c)) for c in cuts]
-        return out
+            for c in cuts:
+                coded = list(map(get, c))
+                yield b"".join(coded), self._slices(c, coded) if slices else None
+
+    @staticmethod
+    def _slices(cuts: list[bytes], coded: list[bytes]) -> np.ndarray:
+        ends = np.cumsum(np.fromiter(map(len, cuts), np.int64, len(cuts)))
+        counts = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        return np.stack([np.concatenate(([0], ends))[:-1] if len(ends) else ends, counts])
+
+    def placed(self, ids: np.ndarray, slices: np.ndarray) -> np.ndarray:
+        """Byte place of each token in the text: its slice's, and after the tokens before it there."""
+        place, counts = slices
+        inside = np.cumsum(self.lengths[ids]) - self.lengths[ids]
+        some = counts > 0
+        first = (np.cumsum(counts) - counts)[some]
+        return inside + np.repeat(place[some] - inside[first], counts[some])
+
+    def decode_placed(self, ids: np.ndarray, offsets: np.ndarray) -> bytes:
+        """The bytes of ids, each token's at its offset; bytes that no token covers are zero."""
+        lengths = self.lengths[ids]
+        out = np.zeros(int((offsets + lengths).max()) if len(ids) else 0, dtype=np.uint8)
+        for at in range(0, len(ids), _TOGETHER):  # the index arrays of a long text stay small
+            i, n, to = ids[at:at + _TOGETHER], lengths[at:at + _TOGETHER], offsets[at:at + _TOGETHER]
+            begin = np.cumsum(n) - n
+            step = np.arange(n.sum())
+            out[step + np.repeat(to - begin, n)] = self.flat[step + np.repeat(self.starts[i] - begin, n)]
+        return out.tobytes()
 
     def offsets(self, ids: np.ndarray) -> np.ndarray:
         """Byte place of each token, and the end of the last."""
@@ -250,15 +285,16 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFram
 
 
 def round_trip(text: Column, path: str) -> Column:
-    """struct(n_tokens, ids_sha256, decoded_sha256): encodes, then decodes the ids by their offsets."""
+    """struct(n_tokens, ids_sha256, decoded_sha256): encodes, then decodes the ids by the offsets kept from the slices."""
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def one(texts: pd.Series) -> pd.DataFrame:
         tool = codec(path)
         rows = []
-        for packed in tool.encode([t or "" for t in texts]):
+        for packed, slices in tool.encode_placed([t or "" for t in texts]):
             ids = np.frombuffer(packed, "<u4")
-            rows.append((len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(tool.decode(ids)).hexdigest()))
+            decoded = tool.decode_placed(ids, tool.placed(ids, slices))
+            rows.append((len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return one(text)
