@@ -218,6 +218,14 @@ def test_token_counts(odd, docs):
             assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(t.encode()), n, n > 1024)
 
 
+def test_frequent_table_is_the_corpus_own(spark):
+    frame = spark.createDataFrame([(1, "one one two"), (2, None), (3, "one three")], "doc_id long, text string")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert set(token_count.frequent_lengths(frame, path)) == {"one", " one", " two", " three"}
+    assert set(token_count.frequent_lengths(frame, path, table=1)) == {"one"}
+    assert token_count.frequent_lengths(frame.limit(0), path) == {}
+
+
 def test_byte_bpe(odd, docs):
     import tiktoken
 

@@ -5,7 +5,7 @@ broadcast once; the second is each worker's cache, which the tokenizer library
 fills for pre-tokens that the table misses. A text's count is the sum over its
 pre-tokens. The table only saves work: whatever it holds, counts are the
 library's. It is bounded to ``TABLE`` pre-tokens, found by bounded counters
-over a share of the rows and merged in a tree.
+over all rows (one a task) and merged in a tree.
 
 Texts are cut by ``pretokens`` (class arrays and scans). Its character classes
 are the library's for every code point that this Python's Unicode tables know;
@@ -24,7 +24,9 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -35,8 +37,9 @@ from verlog.llm.common import others, q
 from verlog.llm.pretokens import batches, cut
 
 #: Pre-tokens in the broadcast table, and the share of rows they are looked for in.
-TABLE, SHARE = 32_768, 0.02
+TABLE, SHARE = 32_768, 1.0
 _CACHE = 250_000
+_ROWS = 256  # rows counted together
 _LONGEST = 64  # characters of a pre-token that is worth keeping
 
 
@@ -131,19 +134,26 @@ def _pruned(counter: Counter, table: int) -> Counter:
 def frequent_lengths(docs: DataFrame, path: str, text: str = "text", table: int = TABLE,
                      share: float = SHARE) -> dict[str, int]:
     """At most ``table`` frequent pre-tokens and their token counts."""
-    def add(counter: Counter, row) -> Counter:
-        counter.update(p for p in cut([row[0]], as_bytes=False)[0] if len(p) <= _LONGEST)
-        return _pruned(counter, table)
+    def of_task(found) -> Iterator[Counter]:
+        counter: Counter = Counter()
+        texts = (row[0] for row in found)
+        while some := list(islice(texts, _ROWS)):
+            for few in batches(some):
+                for pieces in cut(few, as_bytes=False):
+                    counter.update([p for p in pieces if len(p) <= _LONGEST])
+                counter = _pruned(counter, table)
+        yield Counter(dict(counter.most_common(2 * table)))
 
     def both(a: Counter, b: Counter) -> Counter:
         a.update(b)
         return _pruned(a, table)
 
-    rows = docs.select(q(text)).where(q(text).isNotNull()).sample(share, seed=7).rdd
+    rows = docs.select(q(text)).where(q(text).isNotNull())
+    rows = (rows if share >= 1 else rows.sample(share, seed=7)).rdd
     if rows.getNumPartitions() == 0:
         return {}
     # Deep enough that the driver merges a handful of counters, however many tasks there are.
-    found = rows.treeAggregate(Counter(), add, both, depth=4).most_common(table)
+    found = rows.mapPartitions(of_task).treeReduce(both, depth=4).most_common(table)
     tool = counts(path)
     return {piece: tool.library(piece) for piece, _ in found}
 
