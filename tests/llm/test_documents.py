@@ -9,6 +9,8 @@ import public_tokenizers
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 from verlog.llm import bpe, dedup, mixing, quality, secrets, simhash, token_count, token_files
 from verlog.sources.testdata import table
 
@@ -413,3 +415,14 @@ def test_clashing_names_and_empty_tables(spark, name):
     if name in ("near", "exact", "mixed", "good"):
         assert got.columns == clash.columns
     assert step(clash.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("k", [1, 7, 500, 999, 1000])
+def test_top_k_of_equal_keys(spark, k):
+    rows = spark.range(1000).select(F.col("id").alias("at"), (F.col("id") % 2 * 0.0 + 1.5).alias("key"))
+    edge, chosen = quality.top_k(rows, "key", k, ["at"], exact=10)
+    assert edge == 1.5 and sorted(r["at"] for r in chosen.collect()) == list(range(k))
+    rows = rows.withColumn("key", F.when(F.col("at") < 5, 2.5).otherwise(F.col("key")))
+    edge, chosen = quality.top_k(rows, "key", k, ["at"], exact=10)
+    above = [r["at"] for r in rows.where(F.col("key") > edge).collect()]
+    assert sorted(above + [r["at"] for r in chosen.collect()]) == list(range(k))

@@ -25,10 +25,10 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verlog.llm.common import others, put_away, q
+from verlog.llm.common import caches_of, others, put_away, q, small_batches
 from verlog.llm.pretokens import batches, cut
 
 #: Pieces a worker keeps, and the longest of them in bytes.
@@ -249,10 +249,15 @@ class Codec:
 
 
 @lru_cache(maxsize=4)
-def codec(path: str) -> Codec:
+def _codec(path: str) -> Codec:
     return Codec(path)
 
 
+def codec(path: str) -> Codec:
+    caches_of("bpe", _codec.cache_clear)
+    return _codec(path)
+
+
 def encoded(text: Column, path: str) -> Column:
     """struct(ids binary: little-endian unsigned 32-bit, offsets binary: same, one longer)."""
 
@@ -286,6 +291,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFram
 
 def round_trip(text: Column, path: str) -> Column:
     """struct(n_tokens, ids_sha256, decoded_sha256): encodes, then decodes the ids by the offsets kept from the slices."""
+    small_batches(SparkSession.getActiveSession())
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def one(texts: pd.Series) -> pd.DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,29 @@ def hold(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Texts go to Python workers in batches of so many bytes at most (a longer text goes alone).
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what a worker and its task hold of whole texts at once, unless the session has a bound of its own:
+    Spark's own 64 MB are held by the task, by the worker as Arrow data, and again as Python strings."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def caches_of(owner: str, let_go: Callable[[], None]) -> None:
+    """In a worker: ``owner`` is about to fill its caches, so those of other operators are let go. Spark keeps workers
+    for later stages, and a pipeline's operators would hold all their caches side by side."""
+    for other in [o for o in _caches if o != owner]:
+        _caches.pop(other)()
+    _caches[owner] = let_go
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

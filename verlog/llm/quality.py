@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verlog.llm.common import hold, others, put_away, q, stage
+from verlog.llm.common import caches_of, hold, others, put_away, q, small_batches, stage
 
 BUCKETS = 1 << 14
 #: Labelled rows of either class that the target model and the threshold are fitted on at most.
@@ -110,6 +110,7 @@ def labelled_sample(labels: DataFrame, id: str, quality: str, most: int) -> Data
 
 
 def _count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    caches_of("quality", _tokens.cache_clear)
     raw, good = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
     for part in parts:
         for text, label in zip(part["text"], part["good"]):
@@ -172,6 +173,10 @@ def top_k(rows: DataFrame, key: str, k: int, ties: list[str], exact: int = 20_00
                 break
             above += counts[b][0]
     inside = rows.where(F.col(key).between(low, high))
+    if n > exact and low == high and ties:  # equal keys: the first by the next tie, found in the same way
+        tied = inside.withColumn("_next", -F.col(ties[0]))
+        edge, chosen = top_k(tied, "_next", k - above, ties[1:], exact)
+        return high, chosen.unionByName(tied.where(F.col("_next") > edge)).drop("_next")
     rank = F.row_number().over(Window.orderBy(F.col(key).desc(), *[F.col(t) for t in ties]))
     return high, inside.withColumn("_rank", rank).where(F.col("_rank") <= k - above).drop("_rank")
 
@@ -187,11 +192,13 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", id: s
     """Every row of ``docs`` with ``n_grams``, ``log_ratio`` (mean over its n-grams) and ``kept``."""
     new = ["n_grams", "log_ratio", "kept"]
     kept = others(docs, new) if carry is None else carry
+    small_batches(docs.sparkSession)
     sample = stage(labelled_sample(labels, id, quality, labelled), "quality-labels")
     ratio = docs.sparkSession.sparkContext.broadcast(fit(docs, sample, text, id))
 
     @F.pandas_udf("n long, mean double")
     def score(texts: pd.Series) -> pd.DataFrame:
+        caches_of("quality", _tokens.cache_clear)
         out = []
         for t in texts:
             found = buckets(t)
@@ -204,7 +211,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", id: s
                              F.monotonically_increasing_id().alias("at")))
     facts = stage(rows.select("own_id", "scored", "noise", "at"), "quality-facts")
     n, mean = F.col("scored.n"), F.col("scored.mean")
-    known = facts.where(n > 0).join(F.broadcast(sample), F.col("own_id") == F.col("l_id")).select(mean, "l_good").toPandas()
+    # A row for each labelled id, however many documents have it.
+    known = (facts.where(n > 0).join(F.broadcast(sample), F.col("own_id") == F.col("l_id"))
+             .groupBy("l_id").agg(F.avg(mean), F.first("l_good").alias("l_good")).drop("l_id").toPandas())
     threshold = best_threshold(known.iloc[:, 0].to_numpy(dtype=float), known["l_good"].to_numpy(dtype=bool))
     floor = threshold if np.isfinite(threshold) else -1e300
     weight = n * (mean - F.lit(floor)) if np.isfinite(threshold) else F.lit(0.0)

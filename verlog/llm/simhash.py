@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verlog.llm.common import WORD, hold, others, put_away, q, stage
+from verlog.llm.common import WORD, hold, others, put_away, q, small_batches, stage
 from verlog.llm.components import connected_components
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -181,6 +181,7 @@ def simhash_groups(docs: DataFrame, text: str = "text", id: str = "doc_id", word
     new = ["fingerprint", "component_id", "keeper"]
     kept = others(docs, new) if carry is None else carry
     away, back = put_away(kept)
+    small_batches(docs.sparkSession)
     rows = hold(docs.select(*away, q(id).alias("id"), fingerprint_column(q(text), words).alias("fp"),
                              F.monotonically_increasing_id().alias("at")))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at"))
