@@ -63,6 +63,13 @@ def as_of(log: DataFrame, keys: str | Sequence[str], version: int | None = None,
     )
 
 
+def newest_changes(log: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """The newest change row of every key, deletes included: what ``as_of`` needs of a log's past."""
+    newest = Window.partitionBy(*_keys(keys)).orderBy(F.col(COMMIT_VERSION).desc(), F.col(CHANGE_TYPE) == F.lit(DELETE))
+    return (log.where(F.col(CHANGE_TYPE) != F.lit(PREIMAGE)).withColumn("_rn", F.row_number().over(newest))
+            .where(F.col("_rn") == 1).drop("_rn"))
+
+
 def as_of_base(base: DataFrame, delta: DataFrame, keys: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
     """The table as it is after ``delta`` (change rows) on top of ``base`` (one row per key).
 
@@ -75,6 +82,16 @@ def as_of_base(base: DataFrame, delta: DataFrame, keys: str | Sequence[str], col
         as_of(delta, keys, None, columns))
 
 
+def after_changes(current: DataFrame, changes: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """``current`` with one statement's change rows done to it: a preview of the version it would commit. A key has at
+    most one new row among them, so there is no window; the join has no hint."""
+    keys = _keys(keys)
+    cols = current.columns
+    touched = changes.where(F.col(CHANGE_TYPE) != F.lit(PREIMAGE)).select(*keys)
+    new = changes.where(F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)).select(*cols)
+    return current.join(touched, keys, "left_anti").select(*cols).unionByName(new)
+
+
 AS_OF = "_as_of"
 
 

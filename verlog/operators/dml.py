@@ -1,17 +1,17 @@
 """DML as functions: each returns the *change rows* a statement emits.
 
-Nothing is written here (a merge that updates checks its source with one job); ``VersionedTable.commit`` appends the rows as one
-version. Every function reads the current snapshot once: update and merge
+Nothing is written or run here; ``VersionedTable.commit`` appends the rows as one version. Every function reads the current snapshot once: update and merge
 emit both images from a single pass with ``explode`` instead of a union that
 would recompute the snapshot.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verlog.operators.changes import CHANGE_TYPE, DELETE, INSERT, POSTIMAGE, PREIMAGE
@@ -75,17 +75,8 @@ class DuplicateSourceKeys(ValueError):
     pass
 
 
-def check_unique_source(source: DataFrame, on: Sequence[str], target: DataFrame | None = None) -> None:
-    """A merge source may match each target row once: raise if it holds a key more
-    than once (and, given ``target``, that key matches). One aggregate job."""
-    keyed = F.lit(True)
-    for k in on:
-        keyed = keyed & F.col(k).isNotNull()
-    dup = source.where(keyed).groupBy(*on).count().where(F.col("count") > 1)
-    if target is not None:
-        dup = dup.join(target.select(*on), list(on), "left_semi")
-    if dup.take(1):
-        raise DuplicateSourceKeys(f"merge source holds a key more than once on {list(on)}")
+#: What a merge says, while it runs, of a source that matches a row twice.
+TWICE = "merge source matches a target row more than once"
 
 
 def merge_changes(current: DataFrame, source: DataFrame, on: str | Sequence[str],
@@ -100,12 +91,15 @@ def merge_changes(current: DataFrame, source: DataFrame, on: str | Sequence[str]
       ``{target_col: expr}``; target columns left out are NULL (an identity
       column is then filled at commit).
 
+    A source that matches a target row twice fails the job that runs the merge: hits are
+    counted by a window over the source's keys, whose partitioning the join goes on
+    with, so the source is not read for a check of its own. ``check_source=False``
+    is for a source with unique keys, such as a version of a table.
+
     Source rows with a NULL key never match; they are split off before the join
     so they cannot pile into one shuffle partition.
     """
     on = [on] if isinstance(on, str) else list(on)
-    if check_source and matched_update is not None:
-        check_unique_source(source, on, current)
     tcols = current.columns
     scols = source.columns
     t = current.select(*[F.col(c).alias(f"t.{c}") for c in tcols], F.lit(True).alias("_t_hit"))
@@ -115,6 +109,10 @@ def merge_changes(current: DataFrame, source: DataFrame, on: str | Sequence[str]
         key_null = key_null | F.col(f"`s.{k}`").isNull()
     s_keyed = s.where(~key_null)
     s_null = s.where(key_null)
+    once = F.lit(True)
+    if check_source and matched_update is not None:
+        s_keyed = s_keyed.withColumn("_s_rows", F.count(F.lit(1)).over(Window.partitionBy(*[F.col(f"`s.{k}`") for k in on])))
+        once = F.col("_s_rows") == 1
     cond = None
     for k in on:
         c = F.col(f"`s.{k}`") == F.col(f"`t.{k}`")
@@ -144,12 +142,15 @@ def merge_changes(current: DataFrame, source: DataFrame, on: str | Sequence[str]
     if matched_update is not None and not_matched_insert is not None:
         joined = s_keyed.join(t, cond, "left")
         hit = F.col("_t_hit").isNotNull()
-        kinds = F.when(hit, F.array(F.lit(PREIMAGE), F.lit(POSTIMAGE))).otherwise(F.array(F.lit(INSERT)))
+        kinds = (F.when(hit & ~once, F.raise_error(F.lit(TWICE)).cast("array<string>"))
+                 .when(hit, F.array(F.lit(PREIMAGE), F.lit(POSTIMAGE))).otherwise(F.array(F.lit(INSERT))))
         ex = joined.withColumn(CHANGE_TYPE, F.explode(kinds))
         parts.append(ex.select(*_image_cols(current, matched_update, ref, insert_row(named=False)), CHANGE_TYPE))
     elif matched_update is not None:
         joined = s_keyed.join(t, cond, "inner")
-        ex = joined.withColumn(CHANGE_TYPE, F.explode(F.array(F.lit(PREIMAGE), F.lit(POSTIMAGE))))
+        pair = F.when(~once, F.raise_error(F.lit(TWICE)).cast("array<string>")).otherwise(
+            F.array(F.lit(PREIMAGE), F.lit(POSTIMAGE)))
+        ex = joined.withColumn(CHANGE_TYPE, F.explode(pair))
         parts.append(ex.select(*_image_cols(current, matched_update, ref, None), CHANGE_TYPE))
     if not_matched_insert is not None:
         if matched_update is None:
@@ -164,6 +165,32 @@ def merge_changes(current: DataFrame, source: DataFrame, on: str | Sequence[str]
     return out
 
 
+def merged(current: DataFrame, source: DataFrame, on: str | Sequence[str],
+           matched_update: Mapping[str, object] | None = None, insert: bool = False) -> DataFrame:
+    """The table as a merge leaves it, in one join: for previews, with a source of unique keys.
+
+    ``matched_update`` as in ``merge_changes``; ``insert`` adds the source rows that match nothing as they are."""
+    on = [on] if isinstance(on, str) else list(on)
+    cols = current.columns
+    if matched_update is None:
+        missing = source.select(*cols).join(current.select(*on), on, "left_anti")
+        return current.unionByName(missing.select(*cols))
+    t = current.select(*[F.col(c).alias(f"t.{c}") for c in cols], F.lit(True).alias("_t_hit"))
+    s = source.select(*[F.col(c).alias(f"s.{c}") for c in source.columns], F.lit(True).alias("_s_hit"))
+    cond = functools.reduce(lambda a, b: a & b, [F.col(f"`t.{k}`") == F.col(f"`s.{k}`") for k in on])
+    out = []
+    for c in cols:
+        kept = F.col(f"`t.{c}`")
+        if c in matched_update:
+            new = matched_update[c]
+            new = F.expr(_quote_refs(new, cols, source.columns)) if isinstance(new, str) else _as_col(new)
+            kept = F.when(F.col("_s_hit"), new.cast(current.schema[c].dataType)).otherwise(kept)
+        if insert:
+            kept = F.when(F.col("_t_hit"), kept).otherwise(F.col(f"`s.{c}`"))
+        out.append(kept.alias(c))
+    return t.join(s, cond, "full" if insert else "left").select(*out)
+
+
 def _image_cols(current: DataFrame, matched_update, ref, insert_cols):
     """Per target column: preimage = old, postimage = assignment, insert = source."""
     ct = F.col(CHANGE_TYPE)

@@ -1,53 +1,44 @@
 """Distributed generation of identity values (``GENERATED AS IDENTITY``).
 
-No sequence table and no global window over the rows: each partition numbers
-its own rows (``monotonically_increasing_id`` minus the partition base), one
-small aggregate counts rows per partition, and a running sum over that
-*per-partition* table (one row per partition, so its size is bounded by the
-partition count, not the data) gives each partition its offset, joined back
-by partition (the planner broadcasts it from its measured bytes). With ``order_by`` the rows are range-partitioned first, so
-ids follow that order and are contiguous.
-
-The input is evaluated twice (count, then number); it must be deterministic
-(a scan, or a sort on a total order). The caller can cut lineage first.
+Rows are written once, in the order their ids shall follow. A row's id is then the
+start, plus the rows of the files before its own, plus its place in its file
+(``_metadata.row_index``): one count for each file, one row for each file in the
+running sum, and no second sort, checkpoint or window over the rows. What is
+numbered is what was written, so a lost executor sees the same rows again.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_PID = "_ids_pid"
-_MID = "_ids_mid"
+from verlog.session import work_root
 
+_FILE, _ROW = "_ids_file", "_ids_row"
 
-def assign_ids(df: DataFrame, id_col: str, start: int = 1, order_by: Sequence | None = None,
-               only_missing: bool = False) -> DataFrame:
-    """Fill ``id_col`` with ``start, start+1, ...``.
 
-    ``only_missing`` keeps ids already present (identity BY DEFAULT) and
-    numbers only the rows whose id is NULL.
-    """
-    if only_missing and id_col in df.columns:
-        have = df.where(F.col(id_col).isNotNull())
-        need = df.where(F.col(id_col).isNull())
-        return have.unionByName(assign_ids(need, id_col, start, order_by))
-    base = df.drop(id_col) if id_col in df.columns else df
+def number_files(written: DataFrame, id_col: str, start: int = 1) -> DataFrame:
+    """``written`` (a plain read of Parquet files of one write) with ``id_col`` = start, start + 1, ... in the order
+    of its files and of the rows in them."""
+    placed = written.withColumns({_FILE: F.col("_metadata.file_path"), _ROW: F.col("_metadata.row_index")})
+    counts = placed.groupBy(_FILE).agg(F.count(F.lit(1)).alias("_n"))
+    # Tasks number their files; past 99,999 the names are longer.
+    task = F.regexp_extract(_FILE, r"/part-(\d+)[^/]*$", 1).cast("long")
+    before = Window.orderBy(task, _FILE).rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
+    offsets = counts.select(_FILE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    value = (F.lit(int(start)) + F.col("_off") + F.col(_ROW)).cast("long")
+    return placed.join(offsets, _FILE).withColumn(id_col, value).drop(_FILE, _ROW, "_off")
+
+
+def assign_ids(df: DataFrame, id_col: str, start: int = 1, order_by: Sequence | None = None) -> DataFrame:
+    """Fill ``id_col`` with ``start, start+1, ...`` in the order of ``order_by``, or as the rows come."""
+    rows = df.drop(id_col)
     if order_by:
-        # Sort once and cut the lineage (reliable checkpoint in the shared
-        # folder): counting and numbering then read the same partitions, and a
-        # lost executor recomputes from the checkpoint, not from a new sort.
-        from verlog.session import work_root
-        work_root(df.sparkSession)  # make sure a checkpoint folder is set
-        base = base.orderBy(*order_by).checkpoint(eager=True)
-    tagged = base.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    numbered = tagged.join(offsets, _PID)
-    local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
-    new_id = (F.lit(int(start)) + F.col("_off") + local).cast("long")
-    cols = [c for c in df.columns] if id_col in df.columns else [*df.columns, id_col]
-    return numbered.withColumn(id_col, new_id).select(*cols)
+        rows = rows.orderBy(*order_by)
+    path = f"{work_root(df.sparkSession)}/verlog-ids/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    cols = df.columns if id_col in df.columns else [*df.columns, id_col]
+    return number_files(df.sparkSession.read.schema(rows.schema).parquet(path), id_col, start).select(*cols)

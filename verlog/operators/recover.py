@@ -82,15 +82,6 @@ DROPS_SCHEMA = ("table_name string, path string, dropped_at timestamp, restored_
                 "trash_path string")
 
 
-def soft_drop(spark, ledger_path: str, table_name: str, path: str, managed: bool = True,
-              at: _dt.datetime | None = None) -> None:
-    """``DROP TABLE`` for a managed table: the files stay, a ledger row records
-    the drop (one small file per event, appended)."""
-    at = at or _dt.datetime.now(_dt.timezone.utc)
-    spark.createDataFrame([(table_name, path, at, None, managed, None)], DROPS_SCHEMA) \
-        .coalesce(1).write.mode("append").parquet(ledger_path)
-
-
 def undrop(spark, ledger_path: str, table_name: str, at: _dt.datetime | None = None) -> None:
     """``UNDROP TABLE``: records the restore of the newest drop of ``table_name``."""
     at = at or _dt.datetime.now(_dt.timezone.utc)

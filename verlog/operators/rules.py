@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import AtomicType, DataType, StringType, StructType
 
 
 class RuleViolation(ValueError):
@@ -52,13 +52,6 @@ def violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return out
 
 
-def violation_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """One aggregate: a count per rule (one row)."""
-    if not rules:
-        return df.agg(F.count(F.lit(1)).alias("_rows"))
-    return df.agg(*[F.count_if(pred).alias(name) for name, pred in rules.items()])
-
-
 def schema_mismatch(incoming: StructType, table: StructType) -> list[str]:
     """Problems that make a write refused: unknown columns, type changes.
 
@@ -79,13 +72,35 @@ def schema_mismatch(incoming: StructType, table: StructType) -> list[str]:
     return problems
 
 
-def conform(df: DataFrame, table: StructType) -> DataFrame:
-    """Refuse unexpected columns, then order/cast to the table schema (missing -> NULL)."""
-    problems = [p for p in schema_mismatch(df.schema, table) if p.startswith("unexpected")]
-    if problems:
-        raise RuleViolation("schema mismatch: " + "; ".join(problems))
-    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                       for f in table.fields])
+def held_as(value: Column, given: DataType, kept: DataType) -> Column:
+    """``value`` in the type of its column, NULL where that type cannot hold it at all."""
+    return value.try_cast(kept) if _castable(given) and _castable(kept) else value.cast(kept)
+
+
+def not_held(value: Column, given: DataType, kept: DataType) -> Column:
+    """TRUE where ``value`` would not be stored as it is: it does not parse, is out of range, or comes back as another
+    value (a fraction in an integer column, a time of day in a date column). Text is judged by whether it parses."""
+    if not (_castable(given) and _castable(kept)):
+        return F.lit(False)
+    stored = value.try_cast(kept)
+    lost = stored.isNull()
+    if not isinstance(given, StringType) and not isinstance(kept, StringType):
+        lost = lost | ~stored.try_cast(given).eqNullSafe(value)
+    return value.isNotNull() & lost
+
+
+def _castable(kind: DataType) -> bool:
+    return isinstance(kind, AtomicType)
+
+
+def refused_rows(df: DataFrame, table: StructType) -> DataFrame:
+    """The rows that a write would be refused for by their types: one row for each such value, with its column."""
+    out = df.limit(0).select(F.lit("").alias("refused_column"), *df.columns)
+    for f in table.fields:
+        if f.name in df.columns and df.schema[f.name].dataType != f.dataType:
+            bad = df.where(not_held(F.col(f.name), df.schema[f.name].dataType, f.dataType))
+            out = out.unionByName(bad.select(F.lit(f.name).alias("refused_column"), *df.columns))
+    return out
 
 
 def conformance(df: DataFrame, table: StructType) -> DataFrame:
@@ -104,7 +119,7 @@ def conformance(df: DataFrame, table: StructType) -> DataFrame:
         elif f.dataType != have[f.name].dataType:
             target = have[f.name].dataType
             checks.append((f"column {f.name} is {f.dataType.simpleString()}, table has {target.simpleString()}",
-                           F.col(f.name).isNotNull() & F.col(f.name).try_cast(target).isNull()))
+                           not_held(F.col(f.name), f.dataType, target)))
     names = set(df.columns)
     for f in table.fields:
         if f.name not in names and not f.nullable:

@@ -15,7 +15,7 @@ Versions (key ``order_id``):
 
 Every version is a function of the whole table. Building resumes from the
 last committed version, so a run that died half way continues where it
-stopped; rebuilding a version overwrites its partition.
+stopped; rebuilding a version overwrites its partition. A base is written at version 4.
 """
 
 from __future__ import annotations
@@ -29,12 +29,14 @@ from pyspark.sql import functions as F
 
 from verlog.session import work_root
 from verlog.sources.testdata import ORDERS_ROWS_SQL, orders_rows
-from verlog.sources.versioned import VersionedTable
+from verlog.sources.versioned import BASE_INTERVAL, VersionedTable
 
 # Bump when the script below changes, so older fixtures are not reused.
-HISTORY_REV = 5
+HISTORY_REV = 6
 KEYS = ["order_id"]
 N_VERSIONS = 6
+#: Versions between bases: the queries read a base at version 4 and the changes of 5 and 6.
+BASE_EVERY = 4
 
 # The dates and codes that define the scripted history.
 V1_BEFORE = "2001-01-01"
@@ -84,7 +86,7 @@ def _build(spark: SparkSession, sf_dir: str, path: str) -> VersionedTable:
         return t
     src = orders_rows(spark, sf_dir)
     if not t.exists():
-        t = VersionedTable.create(spark, path, src.schema, KEYS)
+        t = VersionedTable.create(spark, path, src.schema, KEYS, {BASE_INTERVAL: str(BASE_EVERY)})
     steps = _steps(src)
     for i in range(t.version(), len(steps)):
         steps[i](t)

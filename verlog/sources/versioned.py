@@ -4,7 +4,13 @@ Layout under the table path::
 
     _changes/_commit_version=<n>/part-*.parquet   change rows of version n
     _commits/version=<n>/part-*.parquet           one history row per version
-    _snapshots/version=<b>/part-*.parquet          optional base snapshot at b
+    _snapshots/version=<b>/part-*.parquet          optional clustered snapshot at b (OPTIMIZE)
+    _bases/version=<b>.buckets=<n>.<id>/_live=1/   states open at version b, bucketed by the key
+                                       /_live=0/   states that ended since the base before
+
+A base (``operators.intervals``) answers every version up to its own by a range filter and no
+exchange, also after the change files below it are gone; later versions take its open
+states and the changes since, which are dealt to its buckets.
 
 A version exists once its history row exists: data first, history row last,
 so readers never see a half-written version and a failed commit is retried
@@ -17,20 +23,27 @@ for version lookups; change rows never are.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
+import hashlib
 import json
 import uuid
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verlog.operators import dml, rules
 from verlog.operators.changes import (
-    CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, DELETE, INSERT, POSTIMAGE, PREIMAGE, as_of, as_of_base, as_of_many,
+    AS_OF, CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, DELETE, INSERT, POSTIMAGE, PREIMAGE, as_of, as_of_base, as_of_many,
     changed_between, net_changes, restrict_to,
 )
-from verlog.operators.ids import assign_ids
+from verlog.operators.ids import number_files
+from verlog.operators.intervals import (
+    VALID_FROM, VALID_TO, diff_states, ended_by, except_states, holding, holding_in, intervals, only_in,
+)
 
 COMMITS_SCHEMA = T.StructType([
     T.StructField("version", T.LongType(), False),
@@ -51,7 +64,8 @@ IDENTITY_HWM = "verlog.identity.highWaterMark"
 CHECK_PREFIX = "verlog.constraints."
 CLONE_SOURCE = "verlog.clone.source"
 CLONE_VERSION = "verlog.clone.sourceVersion"
-SNAPSHOT_INTERVAL = "verlog.snapshotInterval"  # write a base snapshot every k versions
+SNAPSHOT_INTERVAL = "verlog.snapshotInterval"  # write a snapshot every k versions
+BASE_INTERVAL = "verlog.baseInterval"          # write a base every k versions
 # Table property names a user of the reference sets (feed switch, retention).
 FEED_ENABLED = "enableChangeDataFeed"
 LOG_RETENTION = "logRetentionDuration"          # 'interval <n> days'
@@ -66,12 +80,28 @@ class VersionError(ValueError):
     pass
 
 
+class Base(NamedTuple):
+    version: int
+    buckets: int
+    path: str
+
+
 # path -> (names of committed version folders, history rows); see VersionedTable._rows
 _HISTORY: dict[str, tuple[frozenset, list]] = {}
 # (path, read schema, latest version, session) -> DataFrame over _changes
 _READS: dict[tuple, DataFrame] = {}
 # (path, version, history stamp, session) -> as_of DataFrame (committed versions never change)
 _AS_OF: dict[tuple, DataFrame] = {}
+# base folders known to be complete
+_COMPLETE: set[str] = set()
+#: Plans that a process keeps by table and version.
+KEPT_PLANS = 64
+
+
+def _keep(cache: dict, key: tuple, plan: DataFrame) -> None:
+    while len(cache) >= KEPT_PLANS:
+        cache.pop(next(iter(cache)))
+    cache[key] = plan
 
 
 def _fs(spark: SparkSession, path: str):
@@ -184,7 +214,7 @@ class VersionedTable:
             else:
                 rows = sorted(
                     self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path)
-                    .select("version", "timestamp", "schema_json", "properties").collect(),
+                    .select("version", "timestamp", "schema_json", "properties", "operationMetrics").collect(),
                     key=lambda r: r.version)
                 _HISTORY[self.path] = (names, rows)
                 self._history_cache = rows
@@ -252,7 +282,7 @@ class VersionedTable:
                 df = self.spark.createDataFrame([], full)
             else:
                 df = self.spark.read.schema(full).parquet(self.changes_path)
-            _READS[key] = df
+            _keep(_READS, key, df)
         return df
 
     def _snapshots(self) -> list[tuple[int, str]]:
@@ -290,6 +320,9 @@ class VersionedTable:
         if use_snapshot and since is None:
             b, base = self._base(upto, schema)
             lo = max(lo, b)
+        gone = self._gone(lo + 1, upto)
+        if gone:
+            raise VersionError(f"change files of versions {gone} have been purged")
         df = self._read_changes(schema).where(
             (F.col(COMMIT_VERSION) <= F.lit(upto)) & (F.col(COMMIT_VERSION) > F.lit(lo)))
         props = self.properties(upto)
@@ -309,13 +342,19 @@ class VersionedTable:
         v = self.version() if version is None else int(version)
         self._row(v)  # raises if unknown
         snaps = frozenset(n for n in list_children(self.spark, self.snapshots_path))
-        key = (self.path, v, _HISTORY[self.path][0], snaps, id(self.spark), self.spark.sparkContext.applicationId)
+        newest = self._newest_base()
+        key = (self.path, v, _HISTORY[self.path][0], snaps, newest, id(self.spark), self.spark.sparkContext.applicationId)
         cached = _AS_OF.get(key)
         if cached is not None:
             return cached
         schema = self.schema(v)
         b, base = self._base(v, schema)
-        if b == v:
+        if newest and v <= newest.version and b < v:
+            df = holding(self._recorded(schema, after=v), v).select(*schema.fieldNames())
+        elif newest and b <= newest.version < v:
+            df = as_of_base(self._states_of(newest, schema, live=True),
+                            self.log(upto=v, since=newest.version + 1, schema=schema), self.keys, schema.fieldNames())
+        elif b == v:
             # A snapshot of exactly this version already holds one row per key:
             # a plain scan, no window and no exchange.
             df = base.select(*schema.fieldNames())
@@ -323,9 +362,156 @@ class VersionedTable:
             df = as_of_base(base, self.log(upto=v, since=b + 1, schema=schema), self.keys, schema.fieldNames())
         else:
             df = as_of(self.log(upto=v, schema=schema), self.keys, None, schema.fieldNames())
-        _AS_OF[key] = df
+        _keep(_AS_OF, key, df)
         return df
 
+    # ------------------------------------------------------------------ bases
+    @property
+    def bases_path(self) -> str:
+        return f"{self.path}/_bases"
+
+    def _bases(self) -> list[Base]:
+        """Complete bases, newest first."""
+        out = []
+        for name in list_children(self.spark, self.bases_path):
+            path = f"{self.bases_path}/{name}"
+            if path not in _COMPLETE:
+                if not path_exists(self.spark, f"{path}/_SUCCESS"):
+                    continue
+                _COMPLETE.add(path)
+            version, buckets, _ = name.split(".")
+            out.append(Base(int(version.split("=")[1]), int(buckets.split("=")[1]), path))
+        return sorted(out, reverse=True)
+
+    def _newest_base(self) -> Base | None:
+        return next(iter(self._bases()), None)
+
+    def _states_of(self, base: Base, schema: T.StructType, live: bool) -> DataFrame:
+        """States of a base, open or ended ones, read by bucket; columns it does not have are NULL."""
+        path = f"{base.path}/_live={int(live)}"
+        wanted = [*schema.fields, T.StructField(VALID_FROM, T.LongType()), T.StructField(VALID_TO, T.LongType())]
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], T.StructType(wanted))
+        name = f"verlog_states_{hashlib.sha1(path.encode()).hexdigest()[:20]}"
+        if not self.spark.catalog.tableExists(name):
+            kept = [*self._wide_schema(base.version).fields, *wanted[-2:]]
+            ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+            keys = ", ".join(f"`{k}`" for k in self.keys)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet CLUSTERED BY ({keys}) "
+                           f"SORTED BY ({keys}) INTO {base.buckets} BUCKETS LOCATION '{path}'")
+        rows = self.spark.table(name)
+        return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                             for f in wanted])
+
+    def _wide_schema(self, upto: int) -> T.StructType:
+        """Every column that some version up to ``upto`` has."""
+        fields: dict[str, T.StructField] = {}
+        for v in sorted((r.version for r in self._rows() if r.version <= upto), reverse=True):
+            for f in self.schema(v).fields:
+                if fields.setdefault(f.name, T.StructField(f.name, f.dataType)).dataType != f.dataType:
+                    raise VersionError(f"column {f.name} changed its type: versions before that cannot share a base")
+        return T.StructType(list(fields.values()))
+
+    def _recorded(self, schema: T.StructType, after: int = -1) -> DataFrame:
+        """States that the bases hold: open ones of the newest, and ended ones that lasted beyond ``after``."""
+        bases = self._bases()
+        out = self._states_of(bases[0], schema, live=True)
+        for base in bases:
+            if base.version > after:  # earlier ones ended no later than their base
+                out = out.unionByName(self._states_of(base, schema, live=False))
+        return out
+
+    def _states_since(self, base: Base | None, upto: int, schema: T.StructType) -> DataFrame:
+        """States after ``base``: those open in it, ended where a later change ends them, and those that came later."""
+        columns = schema.fieldNames()
+        if base is None:
+            return intervals(self.log(upto=upto, schema=schema), self.keys, columns)
+        delta = self.log(upto=upto, since=base.version + 1, schema=schema)
+        return ended_by(self._states_of(base, schema, live=True), delta, self.keys, columns, base.buckets).unionByName(
+            intervals(delta, self.keys, columns))
+
+    def states(self, upto: int | None = None, schema: T.StructType | None = None, after: int = -1) -> DataFrame:
+        """The table's states up to a version with ``_valid_from`` and ``_valid_to`` (NULL: holds in that version).
+        States that ended at or before version ``after`` may be left out."""
+        v = self.version() if upto is None else int(upto)
+        self._row(v)
+        schema = schema or self.schema(v)
+        base = self._newest_base()
+        if base and v <= base.version:
+            known = self._recorded(schema, after).where(F.col(VALID_FROM) <= v)
+            return known.withColumn(VALID_TO, F.when(F.col(VALID_TO) <= v, F.col(VALID_TO)))
+        out = self._states_since(base, v, schema)
+        for older in self._bases():
+            if older.version > after:
+                out = out.unionByName(self._states_of(older, schema, live=False))
+        return out
+
+    def base(self, version: int | None = None, buckets: int | None = None) -> int:
+        """Write a base at ``version``: the states open in it, bucketed by the key, and those that ended since the base
+        before. Every version up to it is then read without an exchange and without the change files below it.
+
+        ``buckets`` is the first base's; later ones keep its number, so that bases join bucket to bucket."""
+        v = self.version() if version is None else int(version)
+        last = self._newest_base()
+        if last and last.version >= v:
+            return last.version
+        schema = self._wide_schema(v)
+        n = last.buckets if last else buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        ident = uuid.uuid4().hex[:12]
+        rows = self._states_since(last, v, schema).withColumn("_live", F.col(VALID_TO).isNull().cast("int"))
+        name = f"verlog_base_{ident}"
+        # One task a bucket, so that a bucket is one file; the table's name serves the writing only.
+        (rows.repartition(n, *self.keys).write.partitionBy("_live").bucketBy(n, *self.keys).sortBy(*self.keys)
+         .options(path=f"{self.bases_path}/version={v}.buckets={n}.{ident}", partitionOverwriteMode="static").saveAsTable(name))
+        self.spark.sql(f"DROP TABLE {name}")
+        return v
+
+    def _gone(self, lo: int, hi: int) -> list[int]:
+        """Versions from ``lo`` to ``hi`` that wrote change rows whose files are no longer there."""
+        there = set(list_children(self.spark, self.changes_path))
+        return [int(r.version) for r in self._rows() if lo <= r.version <= hi and f"{COMMIT_VERSION}={r.version}" not in there
+                and any(int((r.operationMetrics or {}).get(m) or 0) for m in
+                        ("numInsertedRows", "numUpdatedRows", "numDeletedRows"))]
+
+    def diff(self, old: int, new: int | None = None, compare: Sequence[str] | None = None,
+             changed_only: bool = False) -> DataFrame:
+        """Two versions side by side by key (``changes.diff_versions``), read from the states: rows that hold in both need
+        no join."""
+        new = self.version() if new is None else int(new)
+        shared = [f for f in self.schema(new).fields if f.name in self.schema(old).fieldNames()]
+        compare = list(compare) if compare is not None else [f.name for f in shared if f.name not in self.keys]
+        return diff_states(self._span(old, new, T.StructType(shared)), old, new, self.keys, compare, changed_only)
+
+    def diff_rows(self, old: int, new: int | None = None) -> DataFrame:
+        """Whole rows of one version that the other lacks (``changes.diff_except``)."""
+        new = self.version() if new is None else int(new)
+        names = self.schema(old).fieldNames()
+        shared = T.StructType([f for f in self.schema(new).fields if f.name in names])
+        return except_states(self._span(old, new, shared), old, new, self.keys, shared.fieldNames())
+
+    def _span(self, a: int, b: int, schema: T.StructType) -> DataFrame:
+        """States that hold in version ``a``, ``b`` or between."""
+        self._row(a), self._row(b)
+        lo, hi = sorted((int(a), int(b)))
+        return self.states(hi, schema, after=lo)
+
+    def changed_between(self, a: int, b: int, schema: T.StructType | None = None) -> tuple[DataFrame, DataFrame]:
+        """The rows of version ``a`` that version ``b`` does not have as they are, and the other way round."""
+        schema = schema or self._wide_schema(max(a, b))
+        names = schema.fieldNames()
+        if self._newest_base() is None:
+            if self._gone(0, max(a, b)):
+                return tuple(self._snapshot_rows(v, schema) for v in (a, b))
+            # Without a base the keys that changed are found first, and only their rows dealt.
+            return changed_between(self.log(upto=max(a, b), schema=schema), self.keys, a, b, names)
+        states = self._span(a, b, schema)
+        return only_in(states, a, b).select(*names), only_in(states, b, a).select(*names)
+
+    def _snapshot_rows(self, version: int, schema: T.StructType) -> DataFrame:
+        rows = self.as_of(version)
+        return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                             for f in schema.fields])
+
     def rows_where(self, predicate, version: int | None = None) -> DataFrame:
         """Rows of a version for which ``predicate`` is TRUE, reading only the keys
         that can qualify.
@@ -340,7 +526,7 @@ class VersionedTable:
         self._row(v)
         schema = self.schema(v)
         pred = F.coalesce(F.expr(predicate) if isinstance(predicate, str) else predicate, F.lit(False))
-        if self._base(v)[1] is not None:
+        if self._newest_base() or self._base(v)[1] is not None:
             return self.as_of(v).where(pred)  # reaches the scan of the base by itself
         log = self.log(upto=v, schema=schema)
         live = F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)
@@ -357,10 +543,10 @@ class VersionedTable:
         keyed = F.lit(True)
         for k in self.keys:
             keyed = keyed & F.col(k).isNotNull()
-        wanted = keys.where(keyed).select(*self.keys).distinct()
-        if self._base(v)[1] is not None:
+        wanted = keys.where(keyed).select(*self.keys)
+        if self._newest_base() or self._base(v)[1] is not None:
             return restrict_to(self.as_of(v), self.keys, wanted)
-        part = restrict_to(self.log(upto=v, schema=schema), self.keys, wanted)
+        part = restrict_to(self.log(upto=v, schema=schema), self.keys, wanted.distinct())
         return as_of(part, self.keys, None, schema.fieldNames())
 
     def as_of_many(self, versions: Sequence[int]) -> DataFrame:
@@ -369,6 +555,13 @@ class VersionedTable:
         for v in versions:
             self._row(int(v))
         schema = self.schema(top)
+        if self._newest_base():
+            return holding_in(self.states(top, schema, after=min(int(v) for v in versions)), versions) \
+                .select(AS_OF, *schema.fieldNames())
+        if self._gone(0, top):  # each version from its own snapshot
+            parts = [self._snapshot_rows(v, schema).select(F.lit(v).cast("long").alias(AS_OF), "*")
+                     for v in sorted({int(v) for v in versions})]
+            return functools.reduce(DataFrame.unionByName, parts)
         return as_of_many(self.log(upto=top, schema=schema), self.keys, versions, schema.fieldNames())
 
     def as_of_timestamp(self, timestamp) -> DataFrame:
@@ -418,7 +611,8 @@ class VersionedTable:
                 _HISTORY.pop(self.path, None)   # someone else committed too: re-read
                 return
             local_ts = ts.replace(tzinfo=_dt.timezone.utc).astimezone().replace(tzinfo=None)
-            new = Row(version=version, timestamp=local_ts, schema_json=schema.json(), properties=dict(props))
+            new = Row(version=version, timestamp=local_ts, schema_json=schema.json(), properties=dict(props),
+                      operationMetrics={k: str(v) for k, v in metrics.items()})
             _HISTORY[self.path] = (names, [*cached[1], new])
         else:
             _HISTORY.pop(self.path, None)
@@ -443,10 +637,11 @@ class VersionedTable:
         if changes is not None:
             cols = schema.fieldNames()
             keys = props[KEYS_PROP].split(",")
-            rows = _conform_changes(changes, schema)
+            rows, lossy = _conform_changes(changes, schema)
             id_col = props.get(IDENTITY_COL)
+            stage = f"{self.path}/_staging/v{v}-{uuid.uuid4().hex}"
             if id_col:
-                rows = self._fill_identity(rows, id_col, props, v, check_explicit=enforce)
+                rows = self._fill_identity(rows, id_col, props, stage, check_explicit=enforce)
             new_rows = F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)
             checks = {k[len(CHECK_PREFIX):]: e for k, e in props.items() if k.startswith(CHECK_PREFIX)}
             rule_preds = rules.table_rules(schema, checks) if enforce else {}
@@ -458,14 +653,17 @@ class VersionedTable:
                 F.count_if(new_rows & F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))).alias("_no_key"),
             ]
             aggs += [F.count_if(new_rows & pred).alias(f"_rule{i}") for i, pred in enumerate(rule_preds.values())]
+            aggs += [F.count_if(F.col(c)).alias(c) for c in lossy]
             if id_col:
                 aggs.append(F.max(F.col(id_col)).alias("_max_id"))
             # Metrics and every rule are observed while the rows are written:
             # no second job over the new version.
             seen = Observation(f"commit_{v}_{uuid.uuid4().hex[:8]}")
-            (rows.select(*cols, CHANGE_TYPE).observe(seen, *aggs)
+            (rows.select(*cols, CHANGE_TYPE, *lossy).observe(seen, *aggs).drop(*lossy)
              .withColumn(COMMIT_TIMESTAMP, F.lit(ts.replace(tzinfo=_dt.timezone.utc)).cast("timestamp"))
              .write.mode("overwrite").parquet(part))
+            if id_col:
+                delete_path(self.spark, stage)
             stats = dict(seen.get)
             for k in ("numInsertedRows", "numDeletedRows", "numUpdatedRows", "_pre", "_no_key"):
                 stats[k] = int(stats.get(k) or 0)
@@ -473,6 +671,10 @@ class VersionedTable:
             if broken:
                 delete_path(self.spark, part)
                 raise rules.RuleViolation(f"{operation} refused, rows violating rules: {broken}")
+            lost = {lossy[c]: stats[c] for c in lossy if stats.get(c)}
+            if lost:
+                delete_path(self.spark, part)
+                raise rules.RuleViolation(f"{operation} refused, values that their columns' types do not hold: {lost}")
             if stats["_pre"] != stats["numUpdatedRows"]:
                 delete_path(self.spark, part)
                 raise VersionError("preimage and postimage counts differ")
@@ -494,9 +696,10 @@ class VersionedTable:
         elif path_exists(self.spark, part):
             delete_path(self.spark, part)  # orphan files of an earlier failed try
         self._write_commit(v, operation, params or {}, metrics, schema, props, user, ts)
-        every = int(props.get(SNAPSHOT_INTERVAL, "0") or 0)
-        if every > 0 and v % every == 0:
-            self.snapshot(v)
+        for interval, write in ((SNAPSHOT_INTERVAL, self.snapshot), (BASE_INTERVAL, self.base)):
+            every = int(props.get(interval, "0") or 0)
+            if every > 0 and v % every == 0:
+                write(v)
         return v
 
     def _taken_keys(self, part: str, schema: T.StructType, keys: list[str], inserted: int, against_table: bool):
@@ -512,30 +715,28 @@ class VersionedTable:
             found = self.rows_for_keys(added.join(gone, keys, "left_anti")).select(*keys).take(1)
         return tuple(found[0]) if found else None
 
-    def _fill_identity(self, rows: DataFrame, id_col: str, props: Mapping[str, str], v: int,
+    def _fill_identity(self, rows: DataFrame, id_col: str, props: Mapping[str, str], stage: str,
                        check_explicit: bool = True) -> DataFrame:
         """Number inserted rows that carry no id, after the high-water mark.
 
-        The rows are staged once (so numbering sees one deterministic input) with
-        a sequence column that keeps their incoming order.
+        The rows are written once to ``stage``, those to be numbered apart and in their
+        incoming order; their places in the files are their numbers.
         """
         mode = props.get(IDENTITY_MODE, "ALWAYS")
         inserts = F.col(CHANGE_TYPE) == F.lit(INSERT)
-        stage = f"{self.path}/_staging/v{v}-{uuid.uuid4().hex}"
         # Explicit ids on inserts are counted while staging (no extra pass).
-        seen = Observation(f"ids_{v}_{uuid.uuid4().hex[:8]}")
-        (rows.withColumn("_seq", F.monotonically_increasing_id())
-         .observe(seen, F.count_if(inserts & F.col(id_col).isNotNull()).alias("explicit"))
-         .write.parquet(stage))
+        seen = Observation(f"ids_{uuid.uuid4().hex[:12]}")
+        (rows.observe(seen, F.count_if(inserts & F.col(id_col).isNotNull()).alias("explicit"))
+         .withColumns({"_todo": (inserts & F.col(id_col).isNull()).cast("int"), "_seq": F.monotonically_increasing_id()})
+         .sortWithinPartitions("_todo", "_seq").drop("_seq").write.partitionBy("_todo").parquet(stage))
         if mode == "ALWAYS" and check_explicit and (seen.get.get("explicit") or 0):   # restore re-inserts ids
             delete_path(self.spark, stage)
             raise rules.RuleViolation(f"{id_col} is GENERATED ALWAYS; explicit values are refused")
-        staged = self.spark.read.parquet(stage)
-        todo = staged.where(inserts & F.col(id_col).isNull())
-        done = staged.where(~(inserts & F.col(id_col).isNull()))
-        start = int(props.get(IDENTITY_HWM, "0")) + 1
-        numbered = assign_ids(todo, id_col, start, order_by=["_seq"])
-        return done.unionByName(numbered).drop("_seq")
+        parts = [self.spark.read.schema(rows.schema).parquet(f"{stage}/_todo={k}") if path_exists(self.spark, f"{stage}/_todo={k}")
+                 else self.spark.createDataFrame([], rows.schema) for k in (0, 1)]
+        if path_exists(self.spark, f"{stage}/_todo=1"):
+            parts[1] = number_files(parts[1], id_col, int(props.get(IDENTITY_HWM, "0")) + 1).select(*rows.columns)
+        return parts[0].unionByName(parts[1])
 
     # ------------------------------------------------------------- statements
     def insert(self, rows: DataFrame, user: str | None = None) -> int:
@@ -560,23 +761,26 @@ class VersionedTable:
         # On the table key, only target rows whose key is in the source can match.
         target = self.rows_for_keys(source) if sorted(on_cols) == sorted(self.keys) else self.current()
         changes = dml.merge_changes(target, source, on, matched_update, not_matched_insert)
-        return self.commit(changes, "MERGE", {"on": str(on)}, user=user)
+        try:
+            return self.commit(changes, "MERGE", {"on": str(on)}, user=user)
+        except PySparkException as failed:
+            if dml.TWICE not in str(failed):
+                raise
+            raise dml.DuplicateSourceKeys(f"{dml.TWICE} on {on_cols}") from None
 
     def restore(self, version: int, user: str | None = None) -> int:
         """``RESTORE TABLE t TO VERSION AS OF n``: a new version equal to version n.
 
-        Costs one key-partitioned full join of two snapshots (not metadata-only).
+        Costs one full join, by key, of the rows that differ (not metadata-only).
         """
         self.refresh()
         target_schema = self.schema(version)
         self._row(version)
         now = self.version()
-        cols = list(dict.fromkeys([*self.schema(now).fieldNames(), *target_schema.fieldNames()]))
         union = T.StructType([*self.schema(now).fields,
                               *[f for f in target_schema.fields if f.name not in self.schema(now).fieldNames()]])
-        log = self.log(upto=now, schema=union)
-        # Only keys changed after ``version`` can differ from it.
-        cur, tgt = changed_between(log, self.keys, now, version, cols)
+        # Only states that end or begin after ``version`` can differ from it.
+        cur, tgt = self.changed_between(now, version, union)
         changes = net_changes(cur.select(*self.schema(now).fieldNames()), tgt.select(*target_schema.fieldNames()),
                               self.keys)
         cols = [*target_schema.fieldNames()]
@@ -594,6 +798,10 @@ class VersionedTable:
         missing = [k for k in self.keys if k not in schema.fieldNames()]
         if missing:
             raise VersionError(f"replacement lacks key columns {missing}")
+        types = {f.name: f.dataType for f in schema.fields}
+        retyped = [f.name for f in self._wide_schema(self.version()).fields if types.get(f.name, f.dataType) != f.dataType]
+        if retyped:
+            raise VersionError(f"replacement changes the type of {retyped}: old versions could not be read with it")
         changes = net_changes(self.current(), rows, self.keys)
         return self.commit(changes.select(*schema.fieldNames(), CHANGE_TYPE), "CREATE OR REPLACE TABLE AS SELECT",
                            {}, schema=schema, user=user)
@@ -670,9 +878,11 @@ class VersionedTable:
 
         Reachable versions are those committed inside the retention window (the
         smaller of log and file retention) plus the latest. With ``r0`` the
-        oldest reachable version and ``b`` the newest base snapshot at or before
-        ``r0``, no reachable read needs change partitions at or below ``b``
-        (below ``r0``) nor snapshots older than ``b``. Uncommitted partitions
+        oldest reachable version, no reachable read needs change partitions below
+        ``r0`` that the newest base covers, nor open states of older bases;
+        likewise what the newest snapshot ``b`` at or before ``r0`` covers, and
+        snapshots older than ``b``. The feed of reachable versions keeps its files.
+        Uncommitted partitions
         (a failed commit's orphans) are never needed. Only files older than the
         file retention are listed. Nothing is deleted.
         """
@@ -690,7 +900,9 @@ class VersionedTable:
         r0 = min([int(r.version) for r in rows if _from_spark(r.timestamp) >= now - window] + [latest])
         snaps = sorted(b for b, n in self._snapshots() if path_exists(self.spark, f"{self.snapshots_path}/{n}/_SUCCESS"))
         b = max([x for x in snaps if x <= r0], default=-1)
-        roots = [p for p in (self.changes_path, self.snapshots_path, f"{self.path}/_staging")
+        base = self._newest_base()
+        upto = base.version if base else -1
+        roots = [p for p in (self.changes_path, self.snapshots_path, self.bases_path, f"{self.path}/_staging")
                  if path_exists(self.spark, p)]
         if not roots:
             return self.spark.createDataFrame([], "path string, length long, modificationTime timestamp, reason string")
@@ -698,8 +910,13 @@ class VersionedTable:
         ver = F.regexp_extract("path", r"/_changes/_commit_version=(\d+)/", 1)
         snap = F.regexp_extract("path", r"/_snapshots/version=(\d+)(?:\.\d+)?/", 1)
         reason = (F.when((ver != "") & (ver.cast("long") > F.lit(latest)), F.lit("uncommitted version"))
+                  .when((ver != "") & (ver.cast("long") <= F.lit(upto)) & (ver.cast("long") < F.lit(r0)),
+                        F.lit(f"covered by base {upto}"))
                   .when((ver != "") & (ver.cast("long") <= F.lit(b)) & (ver.cast("long") < F.lit(r0)),
                         F.lit(f"covered by snapshot {b}"))
+                  .when(F.col("path").contains("/_bases/") & F.col("path").contains("/_live=1/")
+                        & ~F.col("path").contains(f"/{base.path.rsplit('/', 1)[1]}/" if base else "/-/"),
+                        F.lit(f"superseded by base {upto}"))
                   .when((snap != "") & (snap.cast("long") < F.lit(b)), F.lit(f"superseded by snapshot {b}"))
                   .when(F.col("path").contains("/_staging/"), F.lit("staging leftover")))
         cutoff = F.lit(now.replace(tzinfo=_dt.timezone.utc)).cast("timestamp") - F.expr(f"INTERVAL {file_days} DAYS")
@@ -737,13 +954,19 @@ class VersionedTable:
         return t
 
 
-def _conform_changes(changes: DataFrame, schema: T.StructType) -> DataFrame:
+def _conform_changes(changes: DataFrame, schema: T.StructType) -> tuple[DataFrame, dict[str, str]]:
+    """The change rows in the table's types, with a flag column for each column whose values those types may not hold."""
     row_part = changes.drop(CHANGE_TYPE, COMMIT_VERSION, COMMIT_TIMESTAMP)
     problems = [p for p in rules.schema_mismatch(row_part.schema, schema) if p.startswith("unexpected")]
     if problems:
         raise rules.RuleViolation("schema mismatch: " + "; ".join(problems))
-    return changes.select(*[(F.col(f.name) if f.name in changes.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                            for f in schema.fields], CHANGE_TYPE)
+    retyped = [f for f in schema.fields if f.name in changes.columns and changes.schema[f.name].dataType != f.dataType]
+    flags = {f"_lossy{i}": f.name for i, f in enumerate(retyped)}
+    return changes.select(
+        *[(rules.held_as(F.col(f.name), changes.schema[f.name].dataType, f.dataType) if f in retyped
+           else F.col(f.name) if f.name in changes.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields],
+        CHANGE_TYPE, *[rules.not_held(F.col(f.name), changes.schema[f.name].dataType, f.dataType).alias(flag)
+                       for flag, f in zip(flags, retyped)]), flags
 
 
 def _from_spark(ts: _dt.datetime) -> _dt.datetime:
