@@ -122,6 +122,39 @@ def effective_access(grants: DataFrame, catalog: str, schema: str, obj: str) ->
             .select("principal", F.lit(full).alias("object_name")))
 
 
+def access(grants: DataFrame, objects: DataFrame) -> DataFrame:
+    """Who can read what: every principal and object (``catalog``, ``schema``, ``object``) such that the principal holds
+    SELECT on the object, its schema or its catalog, USE SCHEMA on the schema or the catalog, and USE CATALOG.
+
+    Privileges are inherited downwards. The work starts from SELECT grants, each joined to the objects under what it names,
+    and is as large as the answer; what the principal may use is then looked up by schema and by catalog, all with
+    equijoins. ``object_name`` of a grant is ``catalog``, ``catalog.schema`` or ``catalog.schema.object``."""
+    named = objects.select("catalog", F.concat_ws(".", "catalog", "schema").alias("in_schema"),
+                           F.concat_ws(".", "catalog", "schema", "object").alias("object_name")).distinct()
+    under = named.select("*", F.explode(F.array("catalog", "in_schema", "object_name")).alias("granted_on"))
+
+    def held(privilege: str, *types: str) -> DataFrame:
+        return (grants.where((F.col("privilege") == privilege) & F.col("object_type").isin(*types))
+                .select("principal", F.col("object_name").alias("granted_on")).distinct())
+
+    select = under.join(held("SELECT", "CATALOG", "SCHEMA", "TABLE"), "granted_on") \
+        .select("principal", "object_name", "in_schema", "catalog").distinct()
+    schemas = held("USE SCHEMA", "CATALOG", "SCHEMA")
+    containers = named.select("catalog", "in_schema").distinct()
+    usable = (containers.select("in_schema", F.explode(F.array("catalog", "in_schema")).alias("granted_on"))
+              .join(schemas, "granted_on").select("principal", "in_schema"))
+    return (select.join(usable, ["principal", "in_schema"], "left_semi")
+            .join(held("USE CATALOG", "CATALOG").withColumnRenamed("granted_on", "catalog"), ["principal", "catalog"], "left_semi")
+            .select("principal", "object_name"))
+
+
+def data_dictionary(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Every column with its place, type, comment and number of values."""
+    inventory = column_inventory(spark, tables)
+    return inventory.join(column_coverage(tables), ["table_name", "column_name"]).select(
+        "table_name", "column_name", "ordinal_position", "data_type", "comment", "non_null_rows")
+
+
 def recent_lineage(edges: DataFrame, target_prefix: str, since, top: int = 20) -> DataFrame:
     """Newest lineage edges into a schema (prefix match, not ``LIKE``: ``_`` is
     literal) since a date; top-k by time with a unique tiebreak."""

@@ -10,9 +10,14 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampType
+
+from verlog.operators.ids import assign_ids
 
 
 def file_inventory(spark: SparkSession, path: str | list[str], glob: str = "*.parquet") -> DataFrame:
@@ -27,40 +32,101 @@ def file_inventory(spark: SparkSession, path: str | list[str], glob: str = "*.pa
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("length"), F.col("modificationTime"))
 
 
-def file_stats(df: DataFrame) -> DataFrame:
-    """``DESCRIBE DETAIL``-style facts of the files behind ``df``: count and bytes."""
-    files = df.select(F.col("_metadata.file_path").alias("path"),
-                      F.col("_metadata.file_size").alias("size")).distinct()
-    return files.agg(F.count(F.lit(1)).alias("num_files"), F.sum("size").alias("size_in_bytes"))
-
-
-def compact(df: DataFrame, path: str, target_files: int) -> DataFrame:
-    """``OPTIMIZE``: rewrite into ``target_files`` files (no shuffle; merges
-    neighbouring partitions) and return the rewritten data."""
-    df.coalesce(max(1, int(target_files))).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def cluster(df: DataFrame, path: str, column: str, files: int) -> DataFrame:
-    """``ZORDER BY (c)`` for one column: range-partition on c and sort inside
-    each file, so each file covers a narrow min/max range of c."""
-    (df.repartitionByRange(int(files), F.col(column)).sortWithinPartitions(column)
-     .write.mode("overwrite").parquet(path))
+#: Bytes of a compacted file.
+TARGET_BYTES = 128 << 20
+
+
+@contextmanager
+def _packed_reads(spark: SparkSession, target: int) -> Iterator[None]:
+    """While it holds, scans pack whole files into partitions of about ``target`` bytes, by their measured sizes."""
+    wanted = {"spark.sql.files.maxPartitionBytes": str(target), "spark.sql.files.openCostInBytes": "0",
+              "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def compact(spark: SparkSession, source: str, path: str, target: int = TARGET_BYTES) -> DataFrame:
+    """``OPTIMIZE``: rewrite the files under ``source`` into files of about ``target`` bytes.
+
+    Spark's own packing of files into scan partitions does the binning, and each partition is
+    one written file: no shuffle, and the number of files follows the bytes at any size."""
+    with _packed_reads(spark, int(target)):
+        spark.read.parquet(source).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def group_hashes(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of every group and an order-free hash of all their columns: equal for equal bags of rows."""
+    cols = [F.col(c) for c in sorted(df.columns)]
+    # Two sums of independent hashes; decimals do not overflow at any row count.
+    parts = [F.sum(F.xxhash64(F.lit(seed), *cols).cast("decimal(38,0)")).alias(f"h{seed}") for seed in (0, 1)]
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *parts)
+
+
+#: Buckets of a column in a Z-value (a power of two).
+Z_BUCKETS = 64
+
+
+def z_value(df: DataFrame, columns: Sequence[str], buckets: int = Z_BUCKETS) -> Column:
+    """The Z-value of a row: the buckets of its columns (by quantiles of ``df``, one aggregate; nulls first) with their
+    bits interleaved, so that rows near in every column are near in it."""
+    shares = [i / buckets for i in range(1, buckets)]
+    exprs = [F.percentile_approx(_as_number(df, c), shares, 100 * buckets).alias(f"q{i}") for i, c in enumerate(columns)]
+    bounds = df.agg(*exprs).first()  # buckets - 1 numbers a column
+    z = F.lit(0).cast("long")
+    for i, c in enumerate(columns):
+        place = F.lit(0)
+        for b in bounds[i] or []:
+            place = place + F.coalesce((_as_number(df, c) > F.lit(b)).cast("int"), F.lit(0))
+        for bit in range(buckets.bit_length() - 1):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(place, bit).bitwiseAND(F.lit(1)).cast("long"), bit * len(columns) + i))
+    return z
+
+
+def _as_number(df: DataFrame, column: str) -> Column:
+    kind = df.schema[column].dataType
+    value = F.col(column)
+    if isinstance(kind, DateType):
+        return F.unix_date(value).cast("double")
+    return (F.unix_micros(value) if isinstance(kind, TimestampType) else value).cast("double")
+
+
+def cluster(df: DataFrame, path: str, columns: Sequence[str], files: int) -> DataFrame:
+    """``ZORDER BY (a, b)``: range-partition on the Z-value and write sorted by it, so that each file covers a narrow
+    range of every column. Beside the Z-value a hash of the row decides the range, so rows of one
+    heavy value fill as many files as they need instead of one."""
+    salt = F.xxhash64(*[F.col(c) for c in df.columns])
+    z = z_value(df, columns)
+    (df.withColumns({"_z": z, "_salt": salt}).repartitionByRange(int(files), "_z", "_salt")
+     .sortWithinPartitions("_z", *columns).drop("_z", "_salt").write.mode("overwrite").parquet(path))
     return df.sparkSession.read.parquet(path)
 
 
 def file_ranges(df: DataFrame, column: str) -> DataFrame:
-    """Per file: min and max of ``column`` (what row-group skipping uses)."""
+    """Per file: rows, and min and max of ``column`` (what row-group skipping uses)."""
     return (df.groupBy(F.col("_metadata.file_path").alias("path"))
-            .agg(F.min(column).alias("min_value"), F.max(column).alias("max_value")))
+            .agg(F.min(column).alias("min_value"), F.max(column).alias("max_value"), F.count(F.lit(1)).alias("n")))
 
 
-def files_touched(df: DataFrame, column: str, value) -> DataFrame:
-    """How many files an equality filter on ``column`` must open (min/max overlap)."""
-    r = file_ranges(df, column)
-    v = F.lit(value)
-    return r.agg(F.count(F.lit(1)).alias("files_total"),
-                 F.count_if((F.col("min_value") <= v) & (F.col("max_value") >= v)).alias("files_touched"))
+def skipping(df: DataFrame, column: str) -> DataFrame:
+    """What an equality filter on ``column`` opens, over every value it has: one row with ``values``, ``files``, ``probes``
+    (pairs of a value and a file whose range covers it) and ``largest_share`` (rows of the fullest file, of all rows).
+
+    The values are numbered in order; a file's range covers as many of them as the numbers of its ends say."""
+    ranks = assign_ids(df.select(F.col(column).alias("value")).where("value IS NOT NULL").distinct(), "rank",
+                       order_by=["value"])
+    low = ranks.select(F.col("value").alias("min_value"), F.col("rank").alias("first"))
+    high = ranks.select(F.col("value").alias("max_value"), F.col("rank").alias("last"))
+    covered = file_ranges(df, column).join(low, "min_value", "left").join(high, "max_value", "left")
+    seen = covered.agg(F.count(F.lit(1)).alias("files"), F.sum(F.col("last") - F.col("first") + 1).alias("probes"),
+                       (F.max("n") / F.sum("n")).alias("largest_share"))
+    return seen.withColumn("values", F.lit(ranks.count()).cast("long"))
 
 
 _INTERVAL = re.compile(r"^\s*(?:interval\s+)?(\d+)\s+days?\s*$", re.I)
@@ -93,16 +159,6 @@ def reachable_versions(history: DataFrame, now, latest: int, log_days: int = LOG
          | (F.col("version") == F.lit(int(latest)))).alias("reachable"))
 
 
-def purge_candidates(inventory: DataFrame, referenced: DataFrame, now, file_days: int = FILE_RETENTION_DAYS) -> DataFrame:
-    """``VACUUM ... DRY RUN``: files not referenced and older than retention.
-
-    ``inventory``: path, length, modificationTime. ``referenced``: path.
-    """
-    cutoff = F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {int(file_days)} DAYS")
-    return (inventory.join(referenced.select("path").distinct(), "path", "left_anti")
-            .where(F.col("modificationTime") < cutoff))
-
-
 def purge_impact(clones: DataFrame, reachable: DataFrame) -> DataFrame:
     """Shallow copies whose pinned source version a purge would make unreadable.
 

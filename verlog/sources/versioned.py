@@ -31,7 +31,7 @@ from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -228,6 +228,21 @@ class VersionedTable:
         """``DESCRIBE HISTORY``: one row per committed version."""
         return self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path)
 
+    def audit(self) -> DataFrame:
+        """The history as an audit log: when and by whom, the commit time before (NULL for the first), and rows written,
+        updated and deleted."""
+        before = F.lag("timestamp").over(Window.orderBy("version"))  # a row for each version
+        metric = F.col("operationMetrics")
+        return self.history().select(
+            "version", "timestamp", before.alias("timestamp_before"), "userName", "operation",
+            *[F.coalesce(metric[m].cast("long"), F.lit(0)).alias(c) for c, m in
+              (("rows_written", "numOutputRows"), ("rows_updated", "numUpdatedRows"), ("rows_deleted", "numDeletedRows"))])
+
+    def described(self, version: int | None = None) -> DataFrame:
+        """The rows of a version with its columns' comments in their metadata."""
+        rows = self.as_of(version)
+        return rows.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in self.schema(version).fields])
+
     def version(self) -> int:
         return int(self._rows()[-1].version)
 
@@ -788,7 +803,8 @@ class VersionedTable:
         return self.commit(changes.select(*cols, CHANGE_TYPE), "RESTORE", {"version": version},
                            schema=target_schema, user=user, enforce=False)
 
-    def replace_with(self, rows: DataFrame, user: str | None = None) -> int:
+    def replace_with(self, rows: DataFrame, user: str | None = None,
+                     operation: str = "CREATE OR REPLACE TABLE AS SELECT", params: Mapping | None = None) -> int:
         """``CREATE OR REPLACE TABLE t AS SELECT``: a new version holding exactly
         ``rows`` (and their schema); history is kept, so the old contents stay
         readable with ``as_of``."""
@@ -803,8 +819,7 @@ class VersionedTable:
         if retyped:
             raise VersionError(f"replacement changes the type of {retyped}: old versions could not be read with it")
         changes = net_changes(self.current(), rows, self.keys)
-        return self.commit(changes.select(*schema.fieldNames(), CHANGE_TYPE), "CREATE OR REPLACE TABLE AS SELECT",
-                           {}, schema=schema, user=user)
+        return self.commit(changes.select(*schema.fieldNames(), CHANGE_TYPE), operation, params or {}, schema=schema, user=user)
 
     def add_columns(self, fields: Sequence[T.StructField], user: str | None = None) -> int:
         """``ALTER TABLE ADD COLUMN``: old rows read NULL."""
@@ -856,14 +871,18 @@ class VersionedTable:
         from verlog.operators import layout
 
         v = self.version()
-        roots = [p for p in (self.changes_path, self.snapshots_path) if path_exists(self.spark, p)]
+        roots = [p for p in (self.changes_path, self.snapshots_path, self.bases_path) if path_exists(self.spark, p)]
         files = layout.file_inventory(self.spark, roots) if roots else \
             self.spark.createDataFrame([], "path string, length long, modificationTime timestamp")
         ver = F.regexp_extract("path", r"/_changes/_commit_version=(\d+)/", 1)
         snap = F.regexp_extract("path", r"/_snapshots/version=(\d+)(?:\.\d+)?/", 1)
         b, _ = self._base(v)
-        live = files.where(((ver != "") & (ver.cast("long") <= v) & (ver.cast("long") > b))
-                           | ((snap != "") & (snap.cast("long") == b)))
+        newest = self._newest_base()
+        if newest and newest.version >= b:
+            start, from_start = newest.version, F.col("path").contains(f"/{newest.path.rsplit('/', 1)[1]}/_live=1/")
+        else:
+            start, from_start = b, (snap != "") & (snap.cast("long") == b)
+        live = files.where(((ver != "") & (ver.cast("long") <= v) & (ver.cast("long") > start)) | from_start)
         props = self.properties()
         return live.agg(F.count(F.lit(1)).alias("numFiles"), F.coalesce(F.sum("length"), F.lit(0)).alias("sizeInBytes")) \
             .select(F.lit("parquet change log").alias("format"), F.lit(self.path).alias("location"),
@@ -929,15 +948,24 @@ class VersionedTable:
         return self.snapshot(None, cluster_by=zorder_by, files=files)
 
     def clone(self, path: str, version: int | None = None, shallow: bool = False,
-              user: str | None = None) -> "VersionedTable":
+              user: str | None = None, replace: bool = False) -> "VersionedTable":
         """``DEEP CLONE`` (rows copied, own history from version 0) or ``SHALLOW CLONE``
-        (reads the source's files pinned at ``version``)."""
+        (reads the source's files pinned at ``version``).
+
+        ``replace`` (``CREATE OR REPLACE ... CLONE``, deep): a table that is there gets one more version with exactly
+        these rows, written as the changes against what it holds; its earlier versions stay."""
         v = self.version() if version is None else int(version)
         schema = self.schema(v)
         props = {k: x for k, x in self.properties(v).items() if not k.startswith("verlog.clone.")}
         t = VersionedTable(self.spark, path)
         if t.exists():
-            raise VersionError(f"table already exists at {path}")
+            if not replace:
+                raise VersionError(f"table already exists at {path}")
+            if shallow:
+                raise VersionError("a table with rows of its own cannot become a shallow copy")
+            t.replace_with(self.as_of(v), user=user, operation="CREATE OR REPLACE TABLE CLONE",
+                           params={"source": self.path, "sourceVersion": v})
+            return t
         params = {"source": self.path, "sourceVersion": v, "shallow": shallow}
         if shallow:
             props[CLONE_SOURCE] = self.path
