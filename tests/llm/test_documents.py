@@ -426,3 +426,25 @@ def test_top_k_of_equal_keys(spark, k):
     edge, chosen = quality.top_k(rows, "key", k, ["at"], exact=10)
     above = [r["at"] for r in rows.where(F.col("key") > edge).collect()]
     assert sorted(above + [r["at"] for r in chosen.collect()]) == list(range(k))
+
+
+def test_secrets_of_texts_with_many_matches(spark):
+    """Thousands of matches of every kind in one text, tokens that touch them and tokens that do not."""
+    rnd = random.Random(6)
+    kinds = [lambda: "token=" + "".join(rnd.choices("abc123", k=rnd.randint(8, 30))), lambda: "AKIA" + "A1" * 8,
+             lambda: f"{rnd.getrandbits(80):020x}", lambda: "Zz9" * 8 + str(rnd.randint(0, 99)), lambda: "word é😀"]
+    text = "".join(rnd.choice(kinds)() + rnd.choice([" ", "\n", "/", ""]) for _ in range(6000))
+    data = [(1, text, "a"), (2, text[: 40_000], "a"), (3, "AKIA" * 10, None)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, source string").withColumn("lang", F.lit(None).cast("string"))
+    want = brute_secrets([(t, s, None) for _, t, s in data])
+    got = rows(secrets.secret_spans(frame))
+    assert key(tuple(r[c] for c in ("n_assign", "n_access", "n_hex", "base_sha256", "spans")) for r in got) == key(want)
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 200])
+def test_running_values(spark, n):
+    row = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(n)) if n else F.expr("CAST(array() AS array<int>)"),
+                                            lambda x: (x * 37 % 11).cast("long")).alias("x"))
+    x = [k * 37 % 11 for k in range(1, n + 1)]
+    got = row.select(secrets._running(F.col("x"), 0, lambda a, b: a + b).alias("s"), secrets._running(F.col("x"), 0, F.greatest).alias("m")).first()
+    assert got["s"] == [sum(x[:k + 1]) for k in range(n)] and got["m"] == [max(x[:k + 1]) for k in range(n)]

@@ -3,7 +3,8 @@
 Base spans are the leftmost non-overlapping matches of three kinds (assign,
 access, hex). Offsets come without any Python: ``split`` gives the gaps between
 matches and ``regexp_extract_all`` the matches, both in order, so a running sum
-of their lengths is each match's place in code points.
+of their lengths is each match's place in code points. Running sums go through an
+array in stretches, so the work on a text grows with its matches, not their square.
 
 The method then asks who owns each candidate value. Candidates are the base
 values and every other token of 20 or more key characters with letters and
@@ -26,6 +27,8 @@ gives way to it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,21 +43,69 @@ TOKEN = r"[A-Za-z0-9+/_-]{20,}"
 LEAST_ASSIGNED = 12
 
 
+#: Elements that a running value is carried through at a time; see ``_running``.
+_STRETCH = 64
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, not anew for every element that a lambda in it goes over."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(values: Column, start: int, merge: Callable[[Column, Column], Column]) -> Column:
+    """Each element of a long array merged with all before it. Stretches of the array are carried through one by one,
+    from what all stretches before them come to, so that no list grows with the array while it is built."""
+    long = F.lit(start).cast("long")
+
+    def carried(some: Column, first: Column, before: bool) -> Column:
+        empty = F.struct(first.alias("now"), F.expr("CAST(array() AS array<long>)").alias("out"))
+
+        def step(acc: Column, x: Column) -> Column:
+            now = merge(acc["now"], x)
+            return F.struct(now.alias("now"), F.concat(acc["out"], F.array(acc["now"] if before else now)).alias("out"))
+
+        return F.aggregate(some, empty, step, lambda acc: acc["out"])
+
+    def whole(array: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.size(array) - 1, F.lit(0)), F.lit(_STRETCH)),
+                           lambda i: F.slice(array, i + 1, F.lit(_STRETCH)))
+
+    def joined(stretches: Column) -> Column:
+        starts = carried(F.transform(stretches, lambda some: F.aggregate(some, long, lambda a, b: merge(a, b))), long, True)
+        return F.flatten(F.zip_with(stretches, starts, lambda some, first: carried(some, first, False)))
+
+    return _let(values, lambda array: _let(whole(array), joined))
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """array<struct(start, end, value)>: every leftmost non-overlapping match, ends exclusive, in code points."""
-    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    nothing = F.expr("struct(0 AS pos, CAST(array() AS array<struct<start:int,end:int,value:string>>) AS out)")
+    def placed(found: Column) -> Column:
+        # The gap after the last match has no match of its own.
+        lengths = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(found)), found,
+                             lambda gap, value: (F.length(gap) + F.length(value)).cast("long"))
+        return F.zip_with(_running(lengths, 0, lambda a, b: a + b), found, lambda end, value: F.struct(
+            (end - F.length(value)).cast("int").alias("start"), end.cast("int").alias("end"), value.alias("value")))
+
+    nothing = F.expr("CAST(array() AS array<struct<start:int,end:int,value:string>>)")
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                lambda found: F.when(F.size(found) == 0, nothing).otherwise(placed(found)))
+
+
+def _outside(wide: Column, base: Column) -> Column:
+    """The ``wide`` spans (kind 3) that overlap none of ``base``: of all spans by start, those before end no later than
+    it starts, and those after start no sooner than it ends."""
+    far = (1 << 31) - 1
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["pos"] + F.length(x["gap"])
-        end = start + F.length(x["value"])
-        one = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(one)).alias("out"))
+    def free(spans: Column) -> Column:
+        ended = _running(F.transform(spans, lambda s: F.when(s["kind"] < 3, s["end"]).otherwise(0).cast("long")), 0, F.greatest)
+        begins = F.reverse(_running(F.reverse(F.transform(
+            spans, lambda s: F.when(s["kind"] < 3, s["start"]).otherwise(far).cast("long"))), far, F.least))
+        open_ = F.filter(F.arrays_zip(spans.alias("s"), ended.alias("ended"), begins.alias("begins")), lambda z:
+                         (z["s"]["kind"] == 3) & (z["ended"] <= z["s"]["start"]) & (z["begins"] >= z["s"]["end"]))
+        return F.transform(open_, lambda z: z["s"])
 
-    # The gap after the last match has no match of its own.
-    pairs = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("value"))
-    return F.when(F.size(found) == 0, F.expr("CAST(array() AS array<struct<start:int,end:int,value:string>>)")).otherwise(
-        F.aggregate(pairs, nothing, step, lambda acc: acc["out"]))
+    return F.when((F.size(wide) == 0) | (F.size(base) == 0), wide).otherwise(
+        _let(F.array_sort(F.concat(base, wide)), free))
 
 
 def _assigned(spans: Column) -> Column:
@@ -102,8 +153,7 @@ def secret_spans(docs: DataFrame, text: str = "text", owner: str = "source", rep
                              _labelled(hexes, 2).alias("hex"), _labelled(wide, 3).alias("wide")))
     base = F.concat("assign", "access", "hex")
     # A token that touches a base span is that span's own text.
-    outside = F.filter("wide", lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    each = rows.select("at", "owner", "repository", F.explode(F.concat(base, outside)).alias("s"))
+    each = rows.select("at", "owner", "repository", F.explode(F.concat(base, _outside(F.col("wide"), base))).alias("s"))
     where = F.struct("owner", "repository")
     seen = each.select(F.col("s.hash").alias("hash"), "owner", "repository").distinct()
     verdict = (seen.groupBy("hash")
