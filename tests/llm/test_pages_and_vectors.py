@@ -121,6 +121,32 @@ def test_long_and_deep_pages():
     assert main_text("<body>" + f"<div><p>{LONG}" * 1500 + "<footer>end").count("\n") == 1499
 
 
+@pytest.mark.parametrize("piece", ["<a ", "<a x='>'", "<a \"", "</b", "<b>", "</i><b>", "<i><u></b>", "<!-", "<", "<p", "<!x", "'<a '>"])
+def test_broken_pages_take_linear_time(piece):
+    import time
+
+    page = "<p>Some text, words. " + piece * (1_000_000 // len(piece))
+    before = time.process_time()
+    assert main_text(page).startswith("Some text, words.")
+    assert time.process_time() - before < 8
+
+
+def test_reader_comments_and_notices():
+    p = LONG.strip()
+    start = f"<article><h1>T</h1><p>{p}</p>"
+    for beside in ('<div class="notice">This site uses cookies, see our policy.</div>',
+                   '<section id="reader-feedback"><h2>Comments</h2><p>I like it, really.</p><div><p>So do I, and more.</p></div></section>',
+                   '<div class="alert">Subscribe to our letter, it is free.</div>'):
+        assert main_text(f"<body>{start}{beside}<p>{p}</p></article></body>").split("\n") == ["T", p, p], beside
+    after = "<div class=opinions><h3>12 Comments</h3><p>What a text, thanks.</p><p>No, it is not, sorry.</p></div>"
+    assert main_text(f"<body><main><h1>T</h1><p>{p}</p><p>{p}</p></main>{after}</body>").split("\n") == ["T", p, p]
+    # A section of the text about comments, and one after them, stay.
+    own = f"<h2>Comments on the treaty</h2><p>{p}</p><h2>Discussion</h2><p>{p}</p>"
+    assert main_text(f"<body>{start}{own}</article></body>").split("\n") == ["T", p, "Comments on the treaty", p, "Discussion", p]
+    flat = f"<h2>Comments</h2><p>Nice, I think.</p><h2>Sources</h2><p>{p}</p>"
+    assert main_text(f"<body>{start}{flat}</article></body>").split("\n") == ["T", p, "Sources", p]
+
+
 def test_given_pages(spark):
     """The article region of the given pages, cut by its tags alone."""
     pages = table(spark, "/root/testdata/sf0.01", "pages")

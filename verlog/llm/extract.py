@@ -7,7 +7,8 @@ same with punctuation marks. Both are smoothed with the path's parent subtree
 (a short heading beside long paragraphs shares their container), fused as a
 geometric mean, and blocks whose path's fused ratio reaches ``threshold`` times
 the page's text-weighted mean are dense. Blocks that go through an element that
-is boilerplate by its tag, role, class or id never are. An article or main
+is boilerplate by its tag, role, class or id never are, nor are what a heading of
+reader comments introduces and short notices (by name and words). An article or main
 element is a weight, not a switch: the threshold is a fifth inside it and, if
 it holds a quarter of the page's text, five times as high outside. Several
 articles that are the smaller part of a page get the higher threshold (cards).
@@ -40,6 +41,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 from functools import lru_cache
 from itertools import groupby
 from typing import NamedTuple
@@ -101,7 +103,8 @@ ARTICLE, HELD = 5, 0.25
 CONFIRMED = 0.5
 #: Elements that a container is widened by, and pages within pages, at most (unclosed elements nest without end).
 LEVELS = 20
-_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_MARK = re.compile(r"<(?:!--|[!?]|(/?)([A-Za-z][^\s/>]*))", re.S)
+_REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|([^\s=/"'>]+)""")
 _SPACE = re.compile(r"\s+")
 _POINTS = re.compile(r"[.,;:!?…。、，！？；：]")
@@ -120,6 +123,33 @@ def _named(token: str, in_article: bool = False) -> int:
     return LOOSE_NAME if fixed else 0
 
 
+class _Marks:
+    """The tags of a page in order; each character is looked at a bounded number of times, whatever is left open."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.unclosed = False  # some tag ran to the end of the page for an open quote
+
+    def next(self, at: int) -> tuple[int, int, bool, str | None, str] | None:
+        """Where the next mark starts and ends, whether it is an end tag, its tag (None: a comment) and attributes."""
+        page = self.page
+        while (m := _MARK.search(page, at)) is not None:
+            if m[2] is None:
+                close = "-->" if m[0] == "<!--" else ">"
+                end = page.find(close, m.end())
+                return m.start(), end + len(close) if end >= 0 else len(page), False, None, ""
+            end = len(page) if self.unclosed else _REST.match(page, m.end()).end()
+            if end >= len(page) or page[end] != ">":
+                # Quotes that do not pair up: from here on a tag ends at the first bracket.
+                self.unclosed = True
+                end = page.find(">", m.end())
+                if end < 0:  # no tag ends any more; comments are still left out
+                    m = re.compile("<[!?]").search(page, m.end())
+                    return None if m is None else (m.start(), len(page), False, None, "")
+            return m.start(), end + 1, bool(m[1]), m[2].lower(), page[m.end():end]
+        return None
+
+
 def _judged(tag: str, attributes: str, in_article: bool) -> int:
     """FIXED_NAME for boilerplate, LOOSE_NAME for an element whose name says so but whose ratio has to confirm it."""
     if tag in DROPPED or tag == "header" and not in_article:
@@ -161,6 +191,42 @@ def blocks(page: str) -> list[Block]:
     linked, started = 0, False
     where: tuple = ((), False, False, (), 0)
     opened = 0
+    open_tags: Counter[str] = Counter()  # what the stack holds, by tag
+    around: tuple | None = None  # the path of the stack as it is, once asked for
+
+    def push(entry: tuple[str, bool, bool, int, int]) -> None:
+        nonlocal around
+        stack.append(entry)
+        open_tags[entry[0]] += 1
+        if entry[0] not in INLINE:
+            around = None
+
+    def cut(k: int, upto: int | None = None) -> None:
+        """Takes the elements from place k (up to another) off the stack."""
+        nonlocal around
+        for e in stack[k:upto]:
+            open_tags[e[0]] -= 1
+            if e[0] not in INLINE:
+                around = None
+        del stack[k:upto]
+
+    def close(tags: tuple[str, ...], barrier: frozenset | set) -> None:
+        """Ends the innermost open element among ``tags``, unless a barrier lies above it."""
+        if not any(open_tags[t] for t in tags):
+            return
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k][0] in tags:
+                cut(k)
+                return
+            if stack[k][0] in barrier:
+                return
+
+    def path() -> tuple:
+        nonlocal around
+        if around is None:
+            outer = [e for e in stack if e[0] not in INLINE]
+            around = tuple(e[0] for e in outer), tuple(e[3] for e in outer)
+        return around
 
     def state() -> tuple[bool, bool]:
         return (stack[-1][1], stack[-1][2]) if stack else (False, False)
@@ -180,37 +246,40 @@ def blocks(page: str) -> list[Block]:
         if not started and not text.isspace():
             started = True
             if stack and stack[-1][0] == "head":
-                stack.pop()
+                cut(len(stack) - 1)
             bad, inside = state()
-            around = [e for e in stack if e[0] not in INLINE]
-            where = (tuple(e[0] for e in around), bad, inside, tuple(e[3] for e in around), stack[-1][4] if stack else 0)
-        if any(e[0] == "a" for e in stack):
+            tags, nodes = path()
+            where = (tags, bad, inside, nodes, stack[-1][4] if stack else 0)
+        if open_tags["a"]:
             linked += len(text)
         # Inline boilerplate inside a block (a hidden span) is left out of it.
         if not state()[0] or where[1]:
             buffer.append(text)
 
     at, n = 0, len(page)
+    marks = _Marks(page)
     while at < n:
-        m = _MARK.search(page, at)
+        m = marks.next(at)
         if m is None:
             add(page[at:])
             break
-        add(page[at:m.start()])
-        at = m.end()
-        if m[2] is None:
+        start, end, closes, tag, attributes = m
+        add(page[at:start])
+        at = end
+        if tag is None:
             continue
-        tag = m[2].lower()
-        if m[1]:  # an end tag
-            if any(e[0] == tag for e in stack):
+        if closes:
+            if open_tags[tag]:
                 if tag not in INLINE:
                     flush()
-                    while stack.pop()[0] != tag:
-                        pass
+                    k = len(stack) - 1
+                    while stack[k][0] != tag:
+                        k -= 1
+                    cut(k)
                 else:  # closes the innermost one of its block only
                     for k in range(len(stack) - 1, -1, -1):
                         if stack[k][0] == tag:
-                            del stack[k]
+                            cut(k, k + 1)
                             break
                         if stack[k][0] not in INLINE:
                             break
@@ -219,42 +288,32 @@ def blocks(page: str) -> list[Block]:
             continue
         if stack and stack[-1][0] == "head" and tag not in METADATA:  # its end tag may be left out
             flush()
-            stack.pop()
+            cut(len(stack) - 1)
         if tag == "br":
             add(" ")
             continue
         if tag not in INLINE and tag not in UNSEEN:
             flush()
             if tag in ENDS_P:
-                _close(stack, ("p",), LISTS | {"td", "th", "div", "article", "section", "main", "body"})
+                close(("p",), LISTS | {"td", "th", "div", "article", "section", "main", "body"})
             if tag in IMPLIED:
-                _close(stack, IMPLIED[tag], LISTS - ({"table"} if tag == "li" else set()))
-        if tag in VOID or m[3].rstrip().endswith("/") and (tag in ("svg", "path") or tag in MATH):
+                close(IMPLIED[tag], LISTS - ({"table"} if tag == "li" else set()))
+        if tag in VOID or attributes.rstrip().endswith("/") and (tag in ("svg", "path") or tag in MATH):
             continue
         bad, inside = state()
         inside = inside or tag in ("article", "main")
         opened += 1
-        judged = _judged(tag, m[3], inside)
+        judged = _judged(tag, attributes, inside)
         suspect = stack[-1][4] if stack else 0
-        stack.append((tag, bad or judged == FIXED_NAME, inside, opened, suspect or (judged == LOOSE_NAME) * opened))
+        push((tag, bad or judged == FIXED_NAME, inside, opened, suspect or (judged == LOOSE_NAME) * opened))
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else n
-            stack.pop()
+            cut(len(stack) - 1)
     flush()
     return out
 
 
-def _close(stack: list, tags: tuple[str, ...], barrier: frozenset | set) -> None:
-    """Ends the innermost open element among ``tags``, unless a barrier lies above it."""
-    for k in range(len(stack) - 1, -1, -1):
-        if stack[k][0] in tags:
-            del stack[k:]
-            return
-        if stack[k][0] in barrier:
-            return
-
-
 def _fused(found: list[Block]) -> dict[tuple, float]:
     """Each tag path's text and punctuation ratio, smoothed with its parent's; 0 for mostly links."""
     sums: dict[tuple, list[float]] = {}
@@ -399,14 +458,46 @@ def _confirmed(some: list[Block]) -> list[Block]:
     for suspect, run in by.items():
         length, marks = sum(len(b.text) for b in run), sum(len(_POINTS.findall(b.text)) for b in run)
         ratio = 0.0 if _only_links(run) else (length / len(run) * (marks / len(run) + 0.5)) ** 0.5
-        if ratio >= CONFIRMED * mean and (run[0].inside or not articles):
+        if ratio >= CONFIRMED * mean and (run[0].inside or not articles) and not _notice(run, suspect):
             text.add(suspect)
     return [b for b in some if not b.suspect or b.suspect in text]
 
 
+#: Headings that introduce what readers wrote, and notices by what they say (beside a name that says so).
+READERS = re.compile(r"(?:\d[\d,.]*\s+)?(?:(?:reader|user|visitor)s?['’]?\s+)?(?:comments|opinions|feedback|replies)(?:\s*[(:]?\s*\d*\s*[):]?)?|"
+                     r"(?:leave|post|add|write)\s+(?:a|your)\s+(?:comment|reply|response)|"
+                     r"what\s+(?:do\s+you\s+think|readers\s+(?:say|think|wrote))\s*\??", re.I)
+NOTICE = re.compile(r"\bcookies?\b|privacy\s+policy|terms\s+of\s+(?:use|service)|\b(?:sign\s+up|subscribe|log\s*in)\b|all\s+rights\s+reserved",
+                    re.I)
+
+
+def _without_readers(some: list[Block]) -> list[Block]:
+    """Without what a heading of reader comments introduces: it, and all after it in the element around it. (Where the
+    element is that of the text itself, a heading of its own rank or above ends it.)"""
+    out: list[Block] = []
+    around: tuple[int, ...] | None = None
+    rank = ""
+    for b in some:
+        if around is not None and b.nodes[:len(around)] == around and not (_is_heading(b) and b.path[-1] <= rank
+                                                                           and not READERS.fullmatch(b.text)):
+            continue
+        around = None
+        if _is_heading(b) and READERS.fullmatch(b.text):
+            around, rank = b.nodes[:-1], b.path[-1]
+            continue
+        out.append(b)
+    return out
+
+
+def _notice(some: list[Block], suspect: int) -> bool:
+    """Whether a short suspect element is a notice by its words."""
+    own = [b for b in some if b.suspect == suspect]
+    return len(own) <= 3 and sum(len(b.text) for b in own) <= 400 and any(NOTICE.search(b.text) for b in own)
+
+
 def main_text(page: str | None, threshold: float = 0.1) -> str:
     found = blocks(page or "")
-    usable = _confirmed([b for b in found if not b.boilerplate])
+    usable = _without_readers(_confirmed([b for b in found if not b.boilerplate]))
     if not usable:
         return ""
     return "\n".join(b.text for b in _contents(found, usable, _dense(usable, threshold)))
