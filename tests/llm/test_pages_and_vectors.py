@@ -202,3 +202,40 @@ def test_blocks_are_pruned():
     every = np.concatenate([m for _, _, m in blocks])
     want = -np.sort(-(queries @ every.T), axis=1)[:, :5]
     assert score.reshape(20, 5).tolist() == want.tolist() and scored < 20 * 20 / 3
+
+
+def test_a_start_prunes_and_loses_nothing():
+    """With the k-th score of its own block a query leaves out every block that cannot reach it, also in other ranges."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(30, 16)) * 200
+    blocks = [(np.arange(64) + 64 * b, np.arange(64) + 64 * b, (c + rng.normal(size=(64, 16)) * 10).astype(np.int64))
+              for b, c in enumerate(centres)]
+    queries = np.concatenate([m[:1] for _, _, m in blocks])
+    every = np.concatenate([m for _, _, m in blocks])
+    own = np.array([np.sort(q @ m[1:].T)[-5] for q, (_, _, m) in zip(queries, blocks)])
+    q_at = np.array([ats[0] for _, ats, _ in blocks])
+    found, pairs = [], 0
+    for some in (blocks[:10], blocks[10:20], blocks[20:]):
+        of, score, ids, _, scored = search.search_range(some, q_at, queries, 5, own)
+        pairs += scored
+        found += list(zip(of.tolist(), (-score).tolist(), ids.tolist()))
+    alone = sum(search.search_range(some, q_at, queries, 5)[4] for some in (blocks[:10], blocks[10:20], blocks[20:]))
+    assert pairs < alone and pairs < 30 * 30 / 3
+    for n, q in enumerate(queries):
+        scores = every @ q
+        scores[q_at[n]] = -(1 << 62)
+        want = sorted(zip((-scores).tolist(), range(len(every))))[:5]
+        assert sorted((s, i) for m, s, i in found if m == n)[:5] == want
+
+
+def test_share_of_blocks_scored_on_the_given_vectors(spark):
+    """Random unit vectors: a block's extremes bound far above any score, so no layout of blocks is pruned (README)."""
+    given = search.integer_vectors(table(spark, "/root/testdata/sf0.01", "embeddings"), "vec_id", "embedding", 256)
+    m = np.array([r.v for r in given.orderBy("id").collect()], dtype=np.int64)
+    queries = m[::50]
+    scores = queries @ m.T
+    kth = np.sort(scores, axis=1)[:, -6]  # the best is the query itself
+    for size in (256, 16, 2):
+        high, low = (np.stack([f(m[i:i + size], axis=0) for i in range(0, len(m), size)]) for f in (np.max, np.min))
+        share = (search.block_bounds(queries, high, low) >= kth[:, None]).mean()
+        assert share > (0.99 if size > 2 else 0.3), (size, share)

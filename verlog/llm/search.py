@@ -10,9 +10,15 @@ block. Blocks are visited by falling bound; a block is scored only while its
 bound reaches the query's k-th score so far (equal bounds are scored, as ties
 go to smaller ids).
 
-Queries are a stated set, packed in chunks; chunks and ranges meet pair by pair
-in bounded groups, each pair returns at most k rows a query, and one window per
-query picks the best of the ranges.
+A query is a row itself, and the other rows of its own block point its way: when
+blocks are packed, their queries' k best in the same block give each query a k-th
+score to start from. Queries are a stated set, packed in chunks. First the chunks meet
+each range's component maxima and minima only (a 128th of its rows), which
+tells the queries that some block of the range can still serve; a range's blocks are
+sent to a chunk, and a query to a range, only where that is so. There the blocks are
+visited, each pair returns at most k rows a query, and one window per query picks the
+best of the ranges. Where no bound falls below any k-th score, every query meets every
+range, in blocks.
 
 Nulls and odd rows: vectors that are null or hold null or non-finite
 components, and rows with a null id, take no part; shorter vectors count as
@@ -56,8 +62,9 @@ def _matrix(vectors, width: int) -> np.ndarray:
     return out
 
 
-def _packed(size: int, width: int, label: str):
-    """Packs consecutive rows of a partition into (label, ids, ats, matrix) of ``size`` rows."""
+def _packed(size: int, width: int, label: str, k: int = 0):
+    """Packs consecutive rows of a partition into (label, ids, ats, matrix) of ``size`` rows; with ``k``, also the
+    component maxima and minima, and the rows that are queries with the k-th score that their own block gives them."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest, number = None, 0
@@ -73,8 +80,17 @@ def _packed(size: int, width: int, label: str):
     def one(rows: pd.DataFrame, number: int) -> pd.DataFrame:
         group = rows[label].iloc[0]
         m = _matrix(list(rows["v"]), width)
-        return pd.DataFrame({label: [group], "number": [number], "ids": [rows["id"].to_numpy(np.int64).tobytes()],
-                             "ats": [rows["at"].to_numpy(np.int64).tobytes()], "m": [m.tobytes()]})
+        ats = rows["at"].to_numpy(np.int64)
+        out = {label: [group], "number": [number], "ids": [rows["id"].to_numpy(np.int64).tobytes()], "ats": [ats.tobytes()],
+               "m": [m.tobytes()]}
+        if k:
+            asked = np.flatnonzero(rows["asked"].to_numpy(bool))
+            score = _product(m[asked], m)
+            score[np.arange(len(asked)), asked] = LEAST  # not itself
+            start = np.partition(score, len(m) - k, axis=1)[:, len(m) - k] if len(m) > k else np.full(len(asked), LEAST)
+            out |= {"high": [m.max(axis=0).tobytes()], "low": [m.min(axis=0).tobytes()], "q_ats": [ats[asked].tobytes()],
+                    "starts": [start.tobytes()]}
+        return pd.DataFrame(out)
 
     return run
 
@@ -95,14 +111,24 @@ def _best(query: np.ndarray, score: np.ndarray, id: np.ndarray, at: np.ndarray,
     return order[np.arange(len(order)) - first < k]
 
 
+#: A k-th score that every score reaches.
+LEAST = np.iinfo(np.int64).min
+
+
+def block_bounds(queries: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """No row of a block scores more with a query: the sum of its components' best products with the block's extremes."""
+    return _product(np.maximum(queries, 0), high) + _product(np.minimum(queries, 0), low)
+
+
 def search_range(blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]], q_at: np.ndarray, queries: np.ndarray,
-                 k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
-    """(query place, score, id, row) of each query's k best in these blocks, and the blocks scored."""
+                 k: int, start: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """(query place, score, id, row) of each query's k best in these blocks (of those that reach its ``start``), and the
+    pairs of a query and a block that were scored."""
     high = np.stack([m.max(axis=0) for _, _, m in blocks])
     low = np.stack([m.min(axis=0) for _, _, m in blocks])
-    bound = _product(np.maximum(queries, 0), high) + _product(np.minimum(queries, 0), low)
+    bound = block_bounds(queries, high, low)
     order = np.argsort(-bound, axis=1, kind="stable")
-    kth = np.full(len(queries), np.iinfo(np.int64).min)
+    kth = np.full(len(queries), LEAST) if start is None else start.copy()
     held = tuple(np.zeros(0, dtype=np.int64) for _ in range(4))
     scored = 0
     live = np.arange(len(queries))
@@ -126,7 +152,7 @@ def search_range(blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]], q_at:
         count = np.bincount(held[0], minlength=len(queries))
         last = np.cumsum(count) - 1  # held rows are ordered by query, then rank
         full = count == k
-        kth[full] = held[1][last[full]]
+        kth[full] = np.maximum(kth[full], held[1][last[full]])
     return (*held, scored)
 
 
@@ -143,17 +169,51 @@ def top_k(table: DataFrame, is_query: Column, id: str = "vec_id", vector: str =
     signs = F.lit(0)
     for d in range(min(_SIGNS, width)):
         signs = signs * 2 + F.when(F.try_element_at("v", F.lit(d + 1)) >= 0, 1).otherwise(0)
-    laid = (vectors.withColumn("order", signs).repartitionByRange(ranges, "order", "id", "at")
+    laid = (vectors.withColumn("asked", F.coalesce(is_query, F.lit(False))).withColumn("order", signs)
+            .repartitionByRange(ranges, "order", "id", "at")
             .sortWithinPartitions("order", "id", "at").withColumn("range", F.spark_partition_id()))
     packed = "int, number int, ids binary, ats binary, m binary"
-    blocks = stage(laid.select("range", "id", "at", "v").mapInPandas(_packed(BLOCK, width, "range"), f"range {packed}"),
-                   "search-blocks")
-    chunks = stage(wanted.withColumn("grp", F.pmod(F.xxhash64("at"), F.lit(groups)).cast("int"))
-                   .select("grp", "id", "at", "v").groupBy("grp").applyInPandas(
-                       _chunk(width), f"grp {packed}"), "search-queries")
-    # Every range meets every group of queries: the pair is the key on both sides.
-    left = blocks.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    right = chunks.withColumn("range", F.explode(F.sequence(F.lit(0), F.lit(ranges - 1))))
+    blocks = stage(laid.select("range", "id", "at", "v", "asked").mapInPandas(
+        _packed(BLOCK, width, "range", k), f"range {packed}, high binary, low binary, q_ats binary, starts binary"),
+        "search-blocks")
+    starts = blocks.select(F.explode(_longs("q_ats", "starts")).alias("s")).select(
+        F.col("s.q_at").alias("at"), F.col("s.start").alias("start"))
+    chunks = stage(wanted.join(starts, "at").withColumn("grp", F.pmod(F.xxhash64("at"), F.lit(groups)).cast("int"))
+                   .select("grp", "id", "at", "v", "start").groupBy("grp").applyInPandas(
+                       _chunk(width), f"grp {packed}, starts binary"), "search-queries")
+
+    # Every chunk meets the extremes of every range: the pair is the key on both sides.
+    extremes = blocks.select("range", "high", "low").withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    asking = chunks.withColumn("range", F.explode(F.sequence(F.lit(0), F.lit(ranges - 1))))
+
+    def reach(some: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if not len(some) or not len(asked):
+            return pd.DataFrame({"range": [], "grp": [], "places": []}).astype({"range": "int32", "grp": "int32"})
+        high, low = (np.stack([np.frombuffer(x, dtype=np.int64) for x in some[c]]) for c in ("high", "low"))
+        _, _, queries = _unpack(next(asked.itertuples()), width)
+        start = np.frombuffer(asked["starts"].iloc[0], dtype=np.int64)
+        places = np.flatnonzero(block_bounds(queries, high, low).max(axis=1) >= start)
+        if not len(places):
+            return pd.DataFrame({"range": [], "grp": [], "places": []}).astype({"range": "int32", "grp": "int32"})
+        return pd.DataFrame({"range": [some["range"].iloc[0]], "grp": [asked["grp"].iloc[0]],
+                             "places": [places.astype(np.int32).tobytes()]})
+
+    reached = stage(extremes.groupBy("range", "grp").cogroup(asking.groupBy("range", "grp")).applyInPandas(
+        reach, "range int, grp int, places binary"), "search-reached")
+    left = blocks.select("range", "number", "ids", "ats", "m").join(reached.select("range", "grp"), "range")
+
+    def only(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The queries of a chunk that a range can serve."""
+        for part in parts:
+            rows = []
+            for r in part.itertuples():
+                ids, ats, m = _unpack(r, width)
+                places = np.frombuffer(r.places, dtype=np.int32)
+                rows.append((r.range, r.grp, r.number, *[x[places].tobytes() for x in (
+                    ids, ats, m, np.frombuffer(r.starts, dtype=np.int64))]))
+            yield pd.DataFrame(rows, columns=["range", "grp", "number", "ids", "ats", "m", "starts"])
+
+    right = chunks.join(reached, "grp").mapInPandas(only, f"range int, grp {packed}, starts binary")
 
     def meet(some: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         names = ["q_at", "query_id", "score", "vec_id", "at"]
@@ -161,7 +221,8 @@ def top_k(table: DataFrame, is_query: Column, id: str = "vec_id", vector: str =
             return pd.DataFrame({c: np.zeros(0, dtype=np.int64) for c in names})
         held = [_unpack(r, width) for r in some.itertuples()]
         q_ids, q_ats, queries = (np.concatenate(x) for x in zip(*[_unpack(r, width) for r in asked.itertuples()]))
-        of, score, ids, ats, _ = search_range(held, q_ats, queries, k)
+        start = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in asked["starts"]])
+        of, score, ids, ats, _ = search_range(held, q_ats, queries, k, start)
         return pd.DataFrame(dict(zip(names, (q_ats[of], q_ids[of], score, ids, ats))))
 
     met = left.groupBy("range", "grp").cogroup(right.groupBy("range", "grp")).applyInPandas(
@@ -171,9 +232,21 @@ def top_k(table: DataFrame, is_query: Column, id: str = "vec_id", vector: str =
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 
 
+def _longs(keys: str, values: str) -> Column:
+    """array<struct<q_at, start>> of two packed columns of 64-bit integers."""
+
+    @F.pandas_udf("array<struct<q_at:long,start:long>>")
+    def pairs(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([[{"q_at": int(x), "start": int(y)} for x, y in zip(
+            np.frombuffer(i, dtype=np.int64), np.frombuffer(j, dtype=np.int64))] for i, j in zip(a, b)])
+
+    return pairs(keys, values)
+
+
 def _chunk(width: int):
     def one(rows: pd.DataFrame) -> pd.DataFrame:
-        return next(iter(_packed(len(rows), width, "grp")(iter([rows]))))
+        out = next(iter(_packed(len(rows), width, "grp")(iter([rows]))))
+        return out.assign(starts=[rows["start"].to_numpy(np.int64).tobytes()])
 
     return one
 
