@@ -159,7 +159,9 @@ def manifest(rows: DataFrame, fields: list[str], group: str, order: str, carry:
     top_levels = _levels(tops, arity, "manifest-top")
     root = _tops(tops, top_levels).first()
     ends = tops.select("_g").distinct().withColumn("_path", F.array().cast(_PATH))
-    above = _with_path(tops, top_levels, ends, arity).select(F.col("_name").alias("_g"), F.col("_h").alias("_sub"), "_path")
+    # Written, a row for each group, so that the rows' plan need not hold the tree of groups as well.
+    above = stage(_with_path(tops, top_levels, ends, arity).select(
+        F.col("_name").alias("_g"), F.col("_h").alias("_sub"), "_path"), "manifest-above")
 
     out = _with_path(placed, levels, above, arity).select(
         *back, *[F.col(f"_extra_{k}").alias(c) for k, c in enumerate(extra)], _hex(F.col("_h")).alias("leaf"),
