@@ -208,7 +208,7 @@ def test_plans_leave_the_base_where_it_is(spark, tmp_table, played):
 
 def test_random_histories(spark, tmp_table):
     rnd = random.Random(8)
-    for n in range(2):
+    for n in range(1):
         statements, used = [("insert", [(i, rnd.choice("abcd"), i) for i in range(20)])], 20
         for v in range(1, 9):
             kind = rnd.choice(["insert", "update", "delete", "move", "restore"])

@@ -12,6 +12,7 @@ from verlog.operators import govern, recover
 from verlog.operators.rules import RuleViolation
 from verlog.sources.versioned import VersionedTable
 
+# The rows below and their results are those of FIXTURES.md.
 D = dt.date.fromisoformat
 SCHEMA = T.StructType([
     T.StructField("order_id", T.LongType(), False), T.StructField("customer", T.StringType(), False),

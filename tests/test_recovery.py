@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from verlog.operators import layout, recover
 from verlog.sources.versioned import VersionedTable
 
+# The rows below and their results are those of FIXTURES.md.
 SCHEMA = T.StructType([
     T.StructField("payment_id", T.IntegerType()), T.StructField("customer", T.StringType()),
     T.StructField("region", T.StringType()), T.StructField("amount", T.DecimalType(10, 2)),

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from verlog.operators import changes as ch
 from verlog.sources.versioned import VersionedTable, VersionError
 
+# The rows below and their results are those of FIXTURES.md.
 SCHEMA = T.StructType([
     T.StructField("sku", T.StringType()), T.StructField("warehouse", T.StringType()),
     T.StructField("quantity", T.IntegerType()), T.StructField("updated_on", T.DateType()),

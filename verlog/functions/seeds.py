@@ -18,6 +18,10 @@ ORDER_STATUSES = ("placed", "shipped", "delivered", "cancelled")
 EVENT_TYPES = ("login", "view", "click", "purchase", "logout")
 SIGNUP_ANCHOR = "2024-01-01"
 TS_ANCHOR = "2025-06-01 00:00:00"
+# Factor and modulus of the seed formulas (days of sign-up, hours of orders, minutes of events).
+SIGNUP_STEP, SIGNUP_DAYS = 7, 600
+ORDER_STEP, ORDER_HOURS = 13, 4000
+EVENT_STEP, EVENT_MINUTES = 37, 90000
 
 
 def pick(values, idx: Column) -> Column:
@@ -32,7 +36,7 @@ def seed_customers(customer: DataFrame) -> DataFrame:
         i.alias("customer_id"),
         F.concat(F.lit("customer_"), i.cast("string")).alias("name"),
         pick(CITIES, i).alias("city"),
-        F.date_add(F.lit(SIGNUP_ANCHOR).cast("date"), F.pmod(i * 7, F.lit(600)).cast("int")).alias("signup_date"),
+        F.date_add(F.lit(SIGNUP_ANCHOR).cast("date"), F.pmod(i * SIGNUP_STEP, F.lit(SIGNUP_DAYS)).cast("int")).alias("signup_date"),
         pick(TIERS, i).alias("tier"),
     )
 
@@ -44,7 +48,7 @@ def seed_orders(orders: DataFrame) -> DataFrame:
         i.alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
-        F.expr(f"timestampadd(HOUR, -cast(pmod(o_orderkey * 13, 4000) AS INT), TIMESTAMP_NTZ'{TS_ANCHOR}')")
+        F.expr(f"timestampadd(HOUR, -cast(pmod(o_orderkey * {ORDER_STEP}, {ORDER_HOURS}) AS INT), TIMESTAMP_NTZ'{TS_ANCHOR}')")
         .alias("order_ts"),
         pick(ORDER_STATUSES, i).alias("status"),
     )
@@ -57,7 +61,7 @@ def seed_events(events: DataFrame) -> DataFrame:
         i.alias("event_id"),
         F.col("user_id").alias("customer_id"),
         pick(EVENT_TYPES, i).alias("event_type"),
-        F.expr(f"timestampadd(MINUTE, -cast(pmod(event_id * 37, 90000) AS INT), TIMESTAMP_NTZ'{TS_ANCHOR}')")
+        F.expr(f"timestampadd(MINUTE, -cast(pmod(event_id * {EVENT_STEP}, {EVENT_MINUTES}) AS INT), TIMESTAMP_NTZ'{TS_ANCHOR}')")
         .alias("event_ts"),
     )
 

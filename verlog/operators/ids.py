@@ -33,11 +33,16 @@ def number_files(written: DataFrame, id_col: str, start: int = 1) -> DataFrame:
     return placed.join(offsets, _FILE).withColumn(id_col, value).drop(_FILE, _ROW, "_off")
 
 
-def assign_ids(df: DataFrame, id_col: str, start: int = 1, order_by: Sequence | None = None) -> DataFrame:
-    """Fill ``id_col`` with ``start, start+1, ...`` in the order of ``order_by``, or as the rows come."""
+def assign_ids(df: DataFrame, id_col: str, start: int = 1, order_by: Sequence | None = None,
+               keep: Sequence[str] | None = None) -> DataFrame:
+    """Fill ``id_col`` with ``start, start+1, ...`` in the order of ``order_by``, or as the rows come. ``keep`` names the
+    columns to write beside it (default: all); the order may need more of them."""
     rows = df.drop(id_col)
     if order_by:
         rows = rows.orderBy(*order_by)
+    if keep is not None:
+        rows = rows.select(*keep)
+        df = df.select(*keep)
     path = f"{work_root(df.sparkSession)}/verlog-ids/{uuid.uuid4().hex}"
     rows.write.parquet(path)
     cols = df.columns if id_col in df.columns else [*df.columns, id_col]

@@ -19,8 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from verlog.operators.changes import (AS_OF, CHANGE_TYPE, COMMIT_VERSION, DELETE, ONLY_NEW, ONLY_OLD, PREIMAGE, UNCHANGED,
-                                      diff_versions, null_safe_differs)
+from verlog.operators.changes import (ADDED, AS_OF, CHANGE_TYPE, CHANGED, COMMIT_VERSION, DELETE, INSERT, ONLY_NEW,
+                                      ONLY_OLD, POSTIMAGE, PREIMAGE, REMOVED, UNCHANGED)
 
 VALID_FROM = "_valid_from"
 VALID_TO = "_valid_to"
@@ -73,15 +73,32 @@ def in_both(states: DataFrame, version: int, other: int) -> DataFrame:
     return holding(holding(states, version), other)
 
 
+def moved_between(states: DataFrame, old: int, new: int, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Keys whose state is not the same one in both versions: ``_old`` and ``_new``, structs of ``columns`` (NULL where the
+    key is not there). One pass over the states and one aggregate by key of those that begin or end between the
+    versions, two rows a key at most."""
+    def holds(version: int):
+        return (F.col(VALID_FROM) <= version) & _open_after(version)
+
+    row = F.struct(*columns) if columns else F.struct(F.lit(True).alias("_there"))
+    ends = states.withColumns({"_in_old": holds(old), "_in_new": holds(new)}).where(F.col("_in_old") != F.col("_in_new"))
+    return ends.groupBy(*keys).agg(F.first(F.when(F.col("_in_old"), row), ignorenulls=True).alias("_old"),
+                                   F.first(F.when(F.col("_in_new"), row), ignorenulls=True).alias("_new"))
+
+
 def diff_states(states: DataFrame, old: int, new: int, keys: Sequence[str], compare: Sequence[str],
-                changed_only: bool = False) -> DataFrame:
-    """``changes.diff_versions`` of two versions, joining only the states that begin or end between them."""
-    cols = [*keys, *compare]
-    moved = diff_versions(only_in(states, old, new).select(*cols), only_in(states, new, old).select(*cols), keys, compare,
-                          changed_only)
-    if changed_only:
-        return moved
-    same = in_both(states, old, new).select(
+                lasting: DataFrame | None) -> DataFrame:
+    """``changes.diff_versions`` of two versions: only the states that begin or end between them are brought together.
+    ``lasting`` has the states that hold in both (maybe among others); without it only what changed is given."""
+    moved = moved_between(states, old, new, keys, compare)
+    kind = (F.when(F.col("_old").isNull(), ADDED).when(F.col("_new").isNull(), REMOVED)
+            .when(~F.col("_old").eqNullSafe(F.col("_new")), CHANGED).otherwise(UNCHANGED))
+    moved = moved.select(*keys, *[x for c in compare for x in (F.col(f"_old.{c}").alias(f"{c}_old"),
+                                                               F.col(f"_new.{c}").alias(f"{c}_new"))],
+                         kind.alias("change_type"))
+    if lasting is None:
+        return moved.where(F.col("change_type") != UNCHANGED)
+    same = in_both(lasting, old, new).select(
         *keys, *[x for c in compare for x in (F.col(c).alias(f"{c}_old"), F.col(c).alias(f"{c}_new"))],
         F.lit(UNCHANGED).alias("change_type"))
     return same.unionByName(moved)
@@ -91,10 +108,31 @@ def except_states(states: DataFrame, old: int, new: int, keys: Sequence[str], co
     """``changes.diff_except`` of two versions: whole rows of one that the other lacks. Keys are unique in a version,
     so a row can only equal the other version's row of its key."""
     rest = [c for c in columns if c not in keys]
-    a = only_in(states, old, new).select(*keys, F.struct(F.lit(True), *rest).alias("_old"))
-    b = only_in(states, new, old).select(*keys, F.struct(F.lit(True), *rest).alias("_new"))
+    moved = moved_between(states, old, new, keys, rest).where(~F.col("_old").eqNullSafe(F.col("_new")))
     sides = F.array(F.struct(F.lit(ONLY_OLD).alias("found_in"), F.col("_old").alias("row")),
                     F.struct(F.lit(ONLY_NEW).alias("found_in"), F.col("_new").alias("row")))
-    return (a.join(b, list(keys), "full").where(null_safe_differs([F.col("_old")], [F.col("_new")]))
-            .select(*keys, F.inline(F.filter(sides, lambda s: s["row"].isNotNull())))
+    return (moved.select(*keys, F.inline(F.filter(sides, lambda s: s["row"].isNotNull())))
             .select("found_in", *[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in columns]))
+
+
+def net_states(states: DataFrame, now: int, then: int, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Change rows that turn version ``now`` into version ``then`` (what a restore writes), as ``changes.net_changes``."""
+    rest = [c for c in columns if c not in keys]
+    moved = moved_between(states, now, then, keys, rest)
+    before, after = F.col("_old").alias("row"), F.col("_new").alias("row")
+    emitted = (F.when(F.col("_old").isNull(), F.array(F.struct(F.lit(INSERT).alias(CHANGE_TYPE), after)))
+               .when(F.col("_new").isNull(), F.array(F.struct(F.lit(DELETE).alias(CHANGE_TYPE), before)))
+               .when(~F.col("_old").eqNullSafe(F.col("_new")), F.array(F.struct(F.lit(PREIMAGE).alias(CHANGE_TYPE), before),
+                                                                       F.struct(F.lit(POSTIMAGE).alias(CHANGE_TYPE), after))))
+    return (moved.select(*keys, F.inline(emitted))
+            .select(*[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in columns], CHANGE_TYPE))
+
+
+def totals_in(states: DataFrame, versions: Sequence[int], value: str) -> DataFrame:
+    """Rows and sum of ``value`` in each of ``versions``: one scan of the states, one aggregate, no row for each version."""
+    vs = sorted({int(v) for v in versions})
+    holds = {v: (F.col(VALID_FROM) <= v) & _open_after(v) for v in vs}
+    one = states.agg(*[x for v, there in holds.items() for x in (
+        F.count_if(there).alias(f"n{v}"), F.sum(F.when(there, F.col(value))).alias(f"s{v}"))])
+    return one.select(F.inline(F.array(*[F.struct(
+        F.lit(v).cast("long").alias(AS_OF), F.col(f"n{v}").alias("row_count"), F.col(f"s{v}").alias("value_sum")) for v in vs])))

@@ -42,7 +42,7 @@ from verlog.operators.changes import (
 )
 from verlog.operators.ids import number_files
 from verlog.operators.intervals import (
-    VALID_FROM, VALID_TO, diff_states, ended_by, except_states, holding, holding_in, intervals, only_in,
+    VALID_FROM, VALID_TO, diff_states, ended_by, except_states, holding, holding_in, intervals, net_states, only_in,
 )
 
 COMMITS_SCHEMA = T.StructType([
@@ -92,6 +92,8 @@ _HISTORY: dict[str, tuple[frozenset, list]] = {}
 _READS: dict[tuple, DataFrame] = {}
 # (path, version, history stamp, session) -> as_of DataFrame (committed versions never change)
 _AS_OF: dict[tuple, DataFrame] = {}
+# (path, version, history stamp, bases, schema, bounds, session) -> states DataFrame
+_STATES: dict[tuple, DataFrame] = {}
 # base folders known to be complete
 _COMPLETE: set[str] = set()
 #: Plans that a process keeps by table and version.
@@ -139,7 +141,7 @@ def forget(path: str) -> None:
     """Drop the process caches of a table (after it was moved or replaced)."""
     path = path.rstrip("/")
     _HISTORY.pop(path, None)
-    for cache in (_READS, _AS_OF):
+    for cache in (_READS, _AS_OF, _STATES):
         for k in [k for k in cache if k[0] == path]:
             cache.pop(k, None)
 
@@ -436,27 +438,38 @@ class VersionedTable:
                 out = out.unionByName(self._states_of(base, schema, live=False))
         return out
 
-    def _states_since(self, base: Base | None, upto: int, schema: T.StructType) -> DataFrame:
+    def _states_since(self, base: Base | None, upto: int, schema: T.StructType, began: int | None = None) -> DataFrame:
         """States after ``base``: those open in it, ended where a later change ends them, and those that came later."""
         columns = schema.fieldNames()
         if base is None:
             return intervals(self.log(upto=upto, schema=schema), self.keys, columns)
         delta = self.log(upto=upto, since=base.version + 1, schema=schema)
-        return ended_by(self._states_of(base, schema, live=True), delta, self.keys, columns, base.buckets).unionByName(
-            intervals(delta, self.keys, columns))
+        out = ended_by(self._states_of(base, schema, live=True), delta, self.keys, columns, base.buckets)
+        if began is not None and began <= base.version:
+            return out
+        return out.unionByName(intervals(delta, self.keys, columns))
 
-    def states(self, upto: int | None = None, schema: T.StructType | None = None, after: int = -1) -> DataFrame:
+    def states(self, upto: int | None = None, schema: T.StructType | None = None, after: int = -1,
+               began: int | None = None) -> DataFrame:
         """The table's states up to a version with ``_valid_from`` and ``_valid_to`` (NULL: holds in that version).
-        States that ended at or before version ``after`` may be left out."""
+        States that ended at or before version ``after``, or began later than ``began``, may be left out."""
         v = self.version() if upto is None else int(upto)
         self._row(v)
         schema = schema or self.schema(v)
-        base = self._newest_base()
+        bases = self._bases()
+        key = (self.path, v, _HISTORY[self.path][0], tuple(bases), schema.json(), after, began, id(self.spark),
+               self.spark.sparkContext.applicationId)
+        if key not in _STATES:
+            _keep(_STATES, key, self._states_plan(bases, v, schema, after, began))
+        return _STATES[key]
+
+    def _states_plan(self, bases: list[Base], v: int, schema: T.StructType, after: int, began: int | None) -> DataFrame:
+        base = next(iter(bases), None)
         if base and v <= base.version:
             known = self._recorded(schema, after).where(F.col(VALID_FROM) <= v)
             return known.withColumn(VALID_TO, F.when(F.col(VALID_TO) <= v, F.col(VALID_TO)))
-        out = self._states_since(base, v, schema)
-        for older in self._bases():
+        out = self._states_since(base, v, schema, began)
+        for older in bases:
             if older.version > after:
                 out = out.unionByName(self._states_of(older, schema, live=False))
         return out
@@ -495,7 +508,9 @@ class VersionedTable:
         new = self.version() if new is None else int(new)
         shared = [f for f in self.schema(new).fields if f.name in self.schema(old).fieldNames()]
         compare = list(compare) if compare is not None else [f.name for f in shared if f.name not in self.keys]
-        return diff_states(self._span(old, new, T.StructType(shared)), old, new, self.keys, compare, changed_only)
+        schema = T.StructType(shared)
+        lasting = None if changed_only else self._span(old, new, schema, lasting=True)
+        return diff_states(self._span(old, new, schema), old, new, self.keys, compare, lasting)
 
     def diff_rows(self, old: int, new: int | None = None) -> DataFrame:
         """Whole rows of one version that the other lacks (``changes.diff_except``)."""
@@ -504,11 +519,11 @@ class VersionedTable:
         shared = T.StructType([f for f in self.schema(new).fields if f.name in names])
         return except_states(self._span(old, new, shared), old, new, self.keys, shared.fieldNames())
 
-    def _span(self, a: int, b: int, schema: T.StructType) -> DataFrame:
-        """States that hold in version ``a``, ``b`` or between."""
+    def _span(self, a: int, b: int, schema: T.StructType, lasting: bool = False) -> DataFrame:
+        """States that hold in version ``a``, ``b`` or between; or at least those that hold in both."""
         self._row(a), self._row(b)
         lo, hi = sorted((int(a), int(b)))
-        return self.states(hi, schema, after=lo)
+        return self.states(hi, schema, after=lo, began=lo if lasting else None)
 
     def changed_between(self, a: int, b: int, schema: T.StructType | None = None) -> tuple[DataFrame, DataFrame]:
         """The rows of version ``a`` that version ``b`` does not have as they are, and the other way round."""
@@ -522,6 +537,15 @@ class VersionedTable:
         states = self._span(a, b, schema)
         return only_in(states, a, b).select(*names), only_in(states, b, a).select(*names)
 
+    def net_changes_to(self, version: int, schema: T.StructType | None = None) -> DataFrame:
+        """Change rows that make the newest version equal to ``version``: what a restore writes. Only states that end or
+        begin after ``version`` can differ from it."""
+        now = self.version()
+        schema = schema or self._wide_schema(now)
+        if self._newest_base() is None:
+            return net_changes(*self.changed_between(now, version, schema), self.keys)
+        return net_states(self._span(now, version, schema), now, int(version), self.keys, schema.fieldNames())
+
     def _snapshot_rows(self, version: int, schema: T.StructType) -> DataFrame:
         rows = self.as_of(version)
         return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -794,10 +818,7 @@ class VersionedTable:
         now = self.version()
         union = T.StructType([*self.schema(now).fields,
                               *[f for f in target_schema.fields if f.name not in self.schema(now).fieldNames()]])
-        # Only states that end or begin after ``version`` can differ from it.
-        cur, tgt = self.changed_between(now, version, union)
-        changes = net_changes(cur.select(*self.schema(now).fieldNames()), tgt.select(*target_schema.fieldNames()),
-                              self.keys)
+        changes = self.net_changes_to(version, union)
         cols = [*target_schema.fieldNames()]
         # Columns the old version did not have are dropped again.
         return self.commit(changes.select(*cols, CHANGE_TYPE), "RESTORE", {"version": version},
@@ -974,10 +995,11 @@ class VersionedTable:
             return t
         part = f"{t.changes_path}/{COMMIT_VERSION}=0"
         ts = _naive(_dt.datetime.now(_dt.timezone.utc))
-        (self.as_of(v).withColumn(CHANGE_TYPE, F.lit(INSERT))
+        seen = Observation(f"clone_{uuid.uuid4().hex[:12]}")
+        (self.as_of(v).observe(seen, F.count(F.lit(1)).alias("n")).withColumn(CHANGE_TYPE, F.lit(INSERT))
          .withColumn(COMMIT_TIMESTAMP, F.lit(ts.replace(tzinfo=_dt.timezone.utc)).cast("timestamp"))
          .write.mode("overwrite").parquet(part))
-        n = self.spark.read.parquet(part).count()
+        n = int(seen.get.get("n") or 0)
         t._write_commit(0, "CLONE", params, {"numOutputRows": n, "numInsertedRows": n}, schema, props, user, ts)
         return t
 
