@@ -302,6 +302,11 @@ def test_range_coder():
         for most in (1, 2, 300, 65536):
             ids = rng.integers(0, most, n)
             assert token_files.decode(token_files.encode(ids, 64)).tolist() == ids.tolist()
+            assert token_files.decode(token_files.encode(ids, 64, group=3)).tolist() == ids.tolist()
+    # Every id there is, rare ones beside a few that hold nearly all, and contexts that are always right.
+    for ids in (np.arange(65536), np.concatenate((np.arange(65536), rng.integers(0, 4, 300_000))),
+                np.concatenate((np.zeros(90_000, int), np.arange(65536)[::-1])), rng.zipf(1.2, 90_000) % 65536):
+        assert (token_files.decode(token_files.encode(ids)) == ids).all()
     text = np.tile(np.arange(40), 50)
     coded = token_files.encode(text)
     assert len(coded) < len(text)  # predicted from its contexts
@@ -309,6 +314,22 @@ def test_range_coder():
     broken[-3] ^= 1
     with pytest.raises(ValueError):
         token_files.decode(bytes(broken))
+    broken = bytearray(coded)
+    broken[30] ^= 1  # in the group's start
+    with pytest.raises(ValueError):
+        token_files.decode(bytes(broken))
+
+
+def test_coded_size_is_below_zlib_and_order_0(docs):
+    import zlib
+
+    words = token_files.words(public_tokenizers.path("word_bpe_49k.json"))
+    ids = np.frombuffer(b"".join(words.encode(r["text"] or "") for r in docs.select("text").collect()), "<u2")
+    share = np.bincount(ids)[np.unique(ids)] / len(ids)
+    coded = token_files.encode(ids)
+    assert (token_files.decode(coded) == ids).all()
+    assert len(coded) < len(zlib.compress(ids.tobytes(), 9))
+    assert len(coded) * 8 < -(share * np.log2(share)).sum() * len(ids)
 
 
 # --- secrets ---------------------------------------------------------------

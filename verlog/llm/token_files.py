@@ -2,17 +2,20 @@
 
 Documents are tokenised, dealt by id into ranges and written in ascending id
 order. A file row is a chunk of consecutive whole documents: their ids and
-token counts, and the chunk's ids coded in blocks of ``BLOCK``. Every block
-starts from a fresh model and carries its length and CRC-32, so blocks decode
-on their own, and a damaged one is found.
+token counts, and the chunk's ids coded in blocks of ``BLOCK``. Blocks are coded
+in groups of at most 1,024. A group has a checksummed start: its ids with
+their counts, dealt to classes of about equal weight, and counts of which class
+follows which. Every block starts afresh from it and carries its length and CRC-32, so
+blocks decode on their own, and a damaged one is found.
 
 Model: an order-2 and an order-1 context (the last two ids, the last id) each
 predict one id with a confidence that grows while the prediction comes true and
-falls when it fails; the confidences set the weights. The two predictions and an order-0
-distribution (adaptive counts of the ids' upper bytes, the lower byte even) are
-mixed into one distribution, which drives a range coder (62-bit range, 32-bit
-words, carries resolved at the end). All blocks of a chunk are coded side by
-side, one id of each block a step. The arithmetic is integer only, so the
+falls when it fails; the confidences set the weights. What they leave goes to
+counts on two levels, the id's class and the id in its class. The class is a mix of
+the start's order-1 counts (by the last id's class) and of the block's own adaptive
+order-0 counts. The mixed distribution drives a range coder (62-bit range, 32-bit
+words, carries resolved at the end). All blocks of a group are coded side by
+side, one id of each block a step. The coder's arithmetic is integer, so the
 decoder repeats it exactly.
 
 The files are Parquet rows written by Spark: any store that Spark writes to
@@ -20,9 +23,9 @@ will do, and a lost task is written again.
 
 Nulls and odd rows: a null text counts as empty; an empty text is its end id
 alone; null ids come first; equal ids and repeated rows keep some fixed order;
-a very long document makes one long chunk of many blocks; an empty table gives
-no files and an empty result; extra columns are ignored. Vocabularies of more
-than 65,536 ids are refused.
+a very long document makes one long chunk of many groups, coded one after
+another; an empty table gives no files and an empty result; extra columns are
+ignored. Vocabularies of more than 65,536 ids are refused.
 """
 
 from __future__ import annotations
@@ -48,53 +51,129 @@ from verlog.llm.token_count import _byte_letters, _unknown
 BLOCK = 2048
 #: Ids of a chunk, at least, before the next document starts a new one.
 CHUNK = 1 << 21
-MAGIC = b"VTK1"
-
-_ONE = 1 << 16  # the whole of the mixed distribution
-_SLOTS1, _SLOTS2, _LEVELS, _BUCKETS, _TOTAL = 512, 1024, 8, 256, 4096
+MAGIC = b"VTK2"
+
+_ONE = 1 << 16  # the whole of a step's weights
+_SLOTS1, _SLOTS2, _LEVELS = 128, 256, 8
+_CLASSES, _GROUP = 256, 1024  # classes of ids at most; blocks that are coded side by side at most
+_STATIC, _OWN = 3 << 14, 1 << 14  # the shares of the start's counts and of the block's own, of 2 ** 16
+_EVEN = 3 << 10  # what the static share deals evenly to all ids
+_WITHIN, _WITHIN_EVEN = 17, 1 << 14  # bits of a class's ids, and what of it they share evenly
 _REFRESH = 64
 _TOP, _RANGE, _LOW = 1 << 62, 1 << 30, (1 << 62) - 1  # the coder's range; 32-bit words
-_FINE = 24  # bits of a step's distribution: the mix, then the lower byte
+_FINE = 28  # bits of a step's distribution
+_UP = _FINE - 16
+#: Counts are kept by their logarithms, in eighths of a bit.
+_KEPT_COUNTS = np.array([0] + [int(2 ** (k / 8)) for k in range(255)], dtype=np.int64)
 
 
 def _weights() -> tuple[np.ndarray, np.ndarray]:
     """Shares of the order-2 and order-1 predictions by their confidences (order-2's times 8, plus order-1's):
     a prediction that came true k times running weighs (k + 0.1) / (k + 2), at most 3/4; order 1 has that
-    share of what order 2 leaves, and order 0 at least 1/16."""
+    share of what order 2 leaves, at most a half, so at least 1/8 stays for the counts."""
     weight = [min((k + 0.1) / (k + 2), 0.75) for k in range(_LEVELS)]
     second = [int(_ONE * weight[k2]) for k2 in range(_LEVELS) for _ in range(_LEVELS)]
-    first = [int((_ONE - m2) * weight[k1]) for m2, k1 in zip(second, list(range(_LEVELS)) * _LEVELS)]
+    first = [int((_ONE - m2) * min(weight[k1], 0.5)) for m2, k1 in zip(second, list(range(_LEVELS)) * _LEVELS)]
     return np.array(second, dtype=np.int64), np.array(first, dtype=np.int64)
 
 
 _SECOND, _FIRST = _weights()
 
 
+def _logs(counts: np.ndarray) -> np.ndarray:
+    """The nearest kept count below each count, as its place."""
+    return (np.searchsorted(_KEPT_COUNTS, counts, side="right") - 1).astype(np.uint8)
+
+
+class _Start:
+    """What every block of a group starts from: the group's ids with their counts, the ids' classes
+    (runs of ids of about equal weight) and how often a class follows another. Ids are their ranks here."""
+
+    def __init__(self, names: np.ndarray, logs: np.ndarray, classes: int, follow: np.ndarray | None = None):
+        self.names, self.logs, self.classes = names, logs, classes
+        counts = np.maximum(_KEPT_COUNTS[logs], 1)
+        total, before = int(counts.sum()), np.cumsum(counts) - counts
+        self.of = before * classes // total
+        members = np.bincount(self.of, minlength=classes)
+        self.mass = np.bincount(self.of, weights=counts, minlength=classes).astype(np.int64)
+        starts = np.cumsum(members) - members
+        own = before - before[np.minimum(starts, len(names) - 1)][self.of]
+        rank, mass, many = np.arange(len(names)) - starts[self.of], self.mass[self.of], members[self.of]
+        part = (1 << _WITHIN) - _WITHIN_EVEN
+        self.place = own * part // mass + rank * _WITHIN_EVEN // many
+        self.width = (own + counts) * part // mass + (rank + 1) * _WITHIN_EVEN // many - self.place
+        self.keys = self.of << _WITHIN | self.place
+        self.even = np.cumsum(-(-members * _EVEN // len(names)))
+        if follow is not None:
+            self.follows(follow)
+
+    def follows(self, logs: np.ndarray) -> None:
+        """Edges of each class's row: seen pairs, eight more dealt as order 0 has them, some evenly."""
+        self.follow = logs
+        seen = _KEPT_COUNTS[logs].reshape(self.classes, self.classes)
+        sums = np.cumsum(seen * int(self.mass.sum()) + 8 * self.mass, axis=1)
+        edges = np.zeros((self.classes, self.classes + 1), dtype=np.int32)
+        edges[:, 1:] = sums * (_STATIC - int(self.even[-1])) // sums[:, -1:] + self.even
+        self.edges = edges.ravel()
+
+    @classmethod
+    def of_ids(cls, ids: np.ndarray, block: int) -> tuple[_Start, np.ndarray]:
+        counts = np.bincount(ids)
+        names = np.flatnonzero(counts)
+        counts, ranks = counts[names], (np.cumsum(counts > 0) - 1)[ids]
+        classes = 1
+        while classes < _CLASSES and 64 * classes * classes <= len(ids):  # 16 ids for each pair of classes
+            classes *= 2
+        start = cls(names, _logs(counts), classes)
+        group = start.of[ranks]
+        last = np.concatenate(([0], group[:-1]))
+        last[::block] = 0
+        start.follows(_logs(np.bincount(last * classes + group, minlength=classes * classes)))
+        return start, ranks
+
+    def pack(self) -> bytes:
+        names = np.diff(self.names, prepend=0).astype("<u2").tobytes()
+        return zlib.compress(struct.pack("<II", len(self.names), self.classes) + names + self.logs.tobytes()
+                             + self.follow.tobytes(), 6)
+
+    @classmethod
+    def unpack(cls, data: bytes) -> _Start:
+        raw = zlib.decompress(data)
+        count, classes = struct.unpack_from("<II", raw)
+        names = np.cumsum(np.frombuffer(raw, dtype="<u2", count=count, offset=8).astype(np.int64))
+        return cls(names, np.frombuffer(raw, dtype=np.uint8, count=count, offset=8 + 2 * count), classes,
+                   np.frombuffer(raw, dtype=np.uint8, offset=8 + 3 * count))
+
+
 class _Model:
     """The models of many blocks, one row each; a step works on the first ``n`` rows.
 
-    A slot of a context holds its predicted id times 8 plus the prediction's confidence."""
+    A slot of a context holds its predicted rank times 8 plus the prediction's confidence."""
 
-    def __init__(self, rows: int):
+    def __init__(self, rows: int, start: _Start):
         lanes = np.arange(rows, dtype=np.int64)
-        self.base1, self.base2, self.base_0 = lanes * _SLOTS1, lanes * _SLOTS2, lanes * (_BUCKETS + 1)
+        classes = start.classes
+        self.base1, self.base2, self.base_own = lanes * _SLOTS1, lanes * _SLOTS2, lanes * (classes + 1)
         self.slot1, self.slot2 = np.zeros(rows * _SLOTS1, np.int32), np.zeros(rows * _SLOTS2, np.int32)
-        self.counts = np.zeros((rows, _BUCKETS), dtype=np.int32)
-        self.edges = np.empty((rows, _BUCKETS + 1), dtype=np.int64)
+        self.counts = np.zeros((rows, classes + 1), dtype=np.int32)  # laid out as ``own``
+        self.own = np.empty((rows, classes + 1), dtype=np.int32)
+        self.of_rank, self.row_of = start.of, start.of * (classes + 1)
         self.last = np.zeros(rows, dtype=np.int64)
         self.before = np.zeros(rows, dtype=np.int64)
+        # Own counts start as the group's: 32 of them, rounded.
+        self.floor = (start.mass * 32 // max(int(start.mass.sum()), 1)).astype(np.int32)
         self.step = 0
 
     def predict(self, n: int) -> None:
-        # Order 0 is refreshed at steps 1, 2, 4, ..., then every _REFRESH.
+        # A block's own counts are refreshed at steps 1, 2, 4, ..., then every _REFRESH.
         if self.step % _REFRESH == 0 or self.step < _REFRESH and self.step & (self.step - 1) == 0:
-            sums = np.cumsum(self.counts[:n], axis=1, dtype=np.int64)
-            edges = self.edges[:n]
+            sums = np.cumsum(self.counts[:n, :-1] + self.floor, axis=1, dtype=np.int64)
+            edges, classes = self.own[:n], len(self.floor)
             edges[:, 0] = 0
-            edges[:, 1:] = sums * (_TOTAL - _BUCKETS) // np.maximum(sums[:, -1:], 1)
-            empty = sums[:, -1] == 0
-            edges[empty] = np.arange(_BUCKETS + 1) * ((_TOTAL - _BUCKETS) // _BUCKETS)
-            edges += np.arange(_BUCKETS + 1)
+            edges[:, 1:] = sums * (_OWN - classes) // np.maximum(sums[:, -1:], 1)
+            edges[sums[:, -1] == 0, 1:] = np.arange(1, classes + 1) * ((_OWN - classes) // classes)
+            edges[:, -1] = _OWN - classes
+            edges += np.arange(classes + 1, dtype=np.int32)
         self.step += 1
         last, before = self.last[:n], self.before[:n]
         self.at1 = self.base1[:n] + ((last * 40503 >> 6) & (_SLOTS1 - 1))
@@ -108,17 +187,17 @@ class _Model:
         np.copyto(self.m2, self.known, where=same)
         np.copyto(self.m1, 0, where=same)
         self.rest = _ONE - self.known
+        self.row = self.row_of.take(last)
 
-    def update(self, ids: np.ndarray, missed: np.ndarray, wrong: np.ndarray) -> None:
-        n = len(ids)
+    def update(self, ranks: np.ndarray, mine: np.ndarray) -> None:
+        n = len(ranks)
         for p, held, at, slots in ((self.p1, self.held1, self.at1, self.slot1), (self.p2, self.held2, self.at2, self.slot2)):
             sure = held & 7
-            hit = ids == p
-            failed = np.where(sure > 0, held - sure + (sure >> 1), ids << 3)
-            slots[at] = np.where(hit, held + (sure < _LEVELS - 1), failed)
-        self.counts[missed, wrong >> 8] += 1
+            failed = np.where(sure > 0, held - sure + (sure >> 1), ranks << 3)
+            slots[at] = np.where(ranks == p, held + (sure < _LEVELS - 1), failed)
+        self.counts.ravel()[mine] += 1
         self.before[:n] = self.last[:n]
-        self.last[:n] = ids
+        self.last[:n] = ranks
 
 
 def _grid(ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,37 +225,43 @@ def _put(low, size, place, words, rows: int, n: int) -> None:
     size[short] <<= 32
 
 
-def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
-    """The coded form of a run of ids below 65,536."""
-    grid, lengths = _grid(ids, block)
+def encode(ids: np.ndarray, block: int = BLOCK, group: int = _GROUP) -> bytes:
+    """The coded form of a run of ids below 65,536, ``group`` blocks at a time."""
+    ids = np.asarray(ids)
+    return b"".join(_encode_group(ids[at:at + block * group], block) for at in range(0, len(ids), block * group))
+
+
+def _encode_group(ids: np.ndarray, block: int) -> bytes:
+    begin, ranks = _Start.of_ids(ids, block)
+    grid, lengths = _grid(ranks, block)
     rows = len(lengths)
-    head = MAGIC + struct.pack("<III", block, rows, len(ids))
-    if not rows:
-        return head
-    model = _Model(rows)
+    model = _Model(rows, begin)
     low, size = np.zeros(rows, dtype=np.int64), np.full(rows, _TOP, dtype=np.int64)
     place = np.zeros(rows, dtype=np.int64)
     words = np.zeros((block + 4) * rows, dtype=np.int64)  # word-major: place * rows + block
-    edges = model.edges.ravel()
+    own = model.own.ravel()
     for t in range(int(lengths.max())):
         n = rows if t < lengths[-1] else rows - 1
         x = grid[t, :n]
         model.predict(n)
         hit2 = x == model.p2
-        start = np.where(hit2, 0, model.m2) << 8
-        freq = np.where(hit2, model.m2, model.m1) << 8
+        start = np.where(hit2, 0, model.m2) << _UP
+        freq = np.where(hit2, model.m2, model.m1) << _UP
         missed = np.flatnonzero(~(hit2 | (x == model.p1)))
         wrong = x.take(missed)
-        edge, rest = model.base_0.take(missed) + (wrong >> 8), model.rest.take(missed)
-        lower = edges.take(edge) * rest >> 12
-        width = (edges.take(edge + 1) * rest >> 12) - lower
-        start[missed] = (model.known.take(missed) + lower << 8) + (wrong & 255) * width
-        freq[missed] = width
+        groups, rest = begin.of.take(wrong), model.rest.take(missed)
+        mine, follow = model.base_own.take(missed) + groups, model.row.take(missed) + groups
+        lower = (own.take(mine) + begin.edges.take(follow)) * rest >> 16 - _UP
+        wide = ((own.take(mine + 1) + begin.edges.take(follow + 1)) * rest >> 16 - _UP) - lower
+        inner = begin.place.take(wrong)
+        first = wide * inner >> _WITHIN
+        start[missed] = (model.known.take(missed) << _UP) + lower + first
+        freq[missed] = (wide * (inner + begin.width.take(wrong)) >> _WITHIN) - first
         step = size[:n] >> _FINE
         low[:n] += step * start
         size[:n] = step * freq
         _put(low, size, place, words, rows, n)
-        model.update(x, missed, wrong)
+        model.update(x, mine)
     every = np.arange(rows)
     for _ in range(2):  # the whole of low, as words
         over = np.flatnonzero(low >= _TOP)
@@ -190,27 +275,41 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
         table[j - 1] += table[j] >> 32
         table[j] &= 0xFFFFFFFF
     columns = np.ascontiguousarray(table.T.astype("<u4"))
-    raw = np.asarray(ids).astype("<u4")
+    raw = ids.astype("<u4")
+    packed = begin.pack()
     heads, bodies = [], []
     for b in range(rows):
         body = columns[b, :place[b]].tobytes().rstrip(b"\0")
         part = raw[b * block:b * block + int(lengths[b])]
         heads.append(struct.pack("<III", len(part), zlib.crc32(part.tobytes()), len(body)))
         bodies.append(body)
-    return b"".join([head, *heads, *bodies])
+    head = MAGIC + struct.pack("<IIIII", block, rows, len(ids), len(packed), zlib.crc32(packed))
+    return b"".join([head, packed, *heads, *bodies])
 
 
 def decode(data: bytes) -> np.ndarray:
-    """The ids of ``encode``'s result; a block whose checksum differs is an error."""
-    if data[:4] != MAGIC:
+    """The ids of ``encode``'s result; a block or a start whose checksum differs is an error."""
+    out, at = [np.zeros(0, dtype=np.uint32)], 0
+    while at < len(data):
+        ids, at = _decode_group(data, at)
+        out.append(ids)
+    return np.concatenate(out)
+
+
+def _decode_group(data: bytes, at: int) -> tuple[np.ndarray, int]:
+    if data[at:at + 4] != MAGIC:
         raise ValueError("not a token block")
-    block, rows, total = struct.unpack_from("<III", data, 4)
-    if not rows:
-        return np.zeros(0, dtype=np.uint32)
-    facts = np.frombuffer(data, dtype="<u4", count=3 * rows, offset=16).reshape(rows, 3).astype(np.int64)
+    block, rows, total, n_start, check = struct.unpack_from("<IIIII", data, at + 4)
+    at += 24
+    packed = data[at:at + n_start]
+    if zlib.crc32(packed) != check:
+        raise ValueError("the start of a group is damaged")
+    begin = _Start.unpack(packed)
+    at += n_start
+    facts = np.frombuffer(data, dtype="<u4", count=3 * rows, offset=at).reshape(rows, 3).astype(np.int64)
     lengths, sizes = facts[:, 0], facts[:, 2]
     columns = np.zeros((rows, block + 8), dtype="<u4")  # a step reads one word at most
-    at = 16 + 12 * rows
+    at += 12 * rows
     for b in range(rows):
         body = data[at:at + int(sizes[b])]
         columns[b, :(len(body) + 3) // 4] = np.frombuffer(body + b"\0" * (-len(body) % 4), dtype="<u4")
@@ -220,30 +319,41 @@ def decode(data: bytes) -> np.ndarray:
     rest_bits = words[rows:2 * rows].astype(np.int64) & 3  # the window is 62 bits: two bits of word 1 wait
     place = np.full(rows, 1, dtype=np.int64)
     size = np.full(rows, _TOP, dtype=np.int64)
-    model = _Model(rows)
-    edges = model.edges.ravel()
-    out = np.zeros((block, rows), dtype=np.uint32)
+    model = _Model(rows, begin)
+    own = model.own.ravel()
+    out = np.zeros((block, rows), dtype=np.int64)
+    bits = [1 << k for k in reversed(range(begin.classes.bit_length() - 1))]
     for t in range(int(lengths.max())):
         n = rows if t < lengths[-1] else rows - 1
         model.predict(n)
         step = size[:n] >> _FINE
         goal = np.minimum(value[:n] // step, (1 << _FINE) - 1)
-        mixed = goal >> 8
+        mixed = goal >> _UP
         hit2 = mixed < model.m2
         x = np.where(hit2, model.p2, model.p1).astype(np.int64)
-        start = np.where(hit2, 0, model.m2) << 8
-        freq = np.where(hit2, model.m2, model.m1) << 8
+        start = np.where(hit2, 0, model.m2) << _UP
+        freq = np.where(hit2, model.m2, model.m1) << _UP
         missed = np.flatnonzero(mixed >= model.known)
-        rest, edge, known = model.rest.take(missed), model.base_0.take(missed), model.known.take(missed)
-        y = goal.take(missed) - (known << 8)
-        first = edge.copy()
-        for bit in (128, 64, 32, 16, 8, 4, 2, 1):
-            edge += bit * ((edges.take(edge + bit) * rest >> 12 << 8) <= y)
-        lower = edges.take(edge) * rest >> 12
-        width = (edges.take(edge + 1) * rest >> 12) - lower
-        low_byte = np.minimum((y - (lower << 8)) // width, 255)
-        start[missed] = (known + lower << 8) + low_byte * width
-        freq[missed] = width
+        rest, known = model.rest.take(missed), model.known.take(missed) << _UP
+        y = goal.take(missed) - known
+        mine, follow = model.base_own.take(missed), model.row.take(missed)
+        # Both quotients are of numbers far below 2 ** 53 and come out exact as floats, which divide faster.
+        most = (((y + 1 << 16 - _UP) - 1) / rest).astype(np.int64)  # the class is the last whose edge is at most this
+        for bit in bits:
+            up = bit * (own.take(mine + bit) + begin.edges.take(follow + bit) <= most)
+            mine += up
+            follow += up
+        groups = follow - model.row.take(missed)
+        lower = (own.take(mine) + begin.edges.take(follow)) * rest >> 16 - _UP
+        wide = ((own.take(mine + 1) + begin.edges.take(follow + 1)) * rest >> 16 - _UP) - lower
+        inside = (((y - lower + 1 << _WITHIN) - 1) / wide).astype(np.int64)
+        # A damaged block must end in its checksum, not out of bounds.
+        inside = np.minimum(np.maximum(inside, 0), (1 << _WITHIN) - 1)
+        wrong = np.maximum(np.searchsorted(begin.keys, groups << _WITHIN | inside, side="right") - 1, 0)
+        inner = begin.place.take(wrong)
+        first = wide * inner >> _WITHIN
+        start[missed] = known + lower + first
+        freq[missed] = (wide * (inner + begin.width.take(wrong)) >> _WITHIN) - first
         value[:n] -= step * start
         size[:n] = step * freq
         short = np.flatnonzero(size[:n] < _RANGE)
@@ -253,15 +363,14 @@ def decode(data: bytes) -> np.ndarray:
         rest_bits[short] = two & 3
         place[short] += 1
         size[short] <<= 32
-        wrong = edge - first << 8 | low_byte
         x[missed] = wrong
         out[t, :n] = x
-        model.update(x, missed, wrong)
-    ids = np.ascontiguousarray(out.T).ravel()[:total]
+        model.update(x, mine)
+    ids = begin.names[np.ascontiguousarray(out.T).ravel()[:total]].astype(np.uint32)
     for b in range(rows):
         if zlib.crc32(ids[b * block:b * block + int(lengths[b])].astype("<u4").tobytes()) != facts[b, 1]:
             raise ValueError(f"block {b} is damaged")
-    return ids
+    return ids, at
 
 
 class Words(dict):
@@ -298,7 +407,10 @@ class Words(dict):
     def _piece(self, piece: str) -> bytes:
         packed = self.pieces.get(piece)
         if packed is None:
-            tokens = self.tool.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(_byte_letters()))
+            # Visible ASCII stands for itself.
+            letters = (piece if piece.isascii() and piece.isprintable()
+                       else piece.encode("utf-8").decode("latin-1").translate(_byte_letters()))
+            tokens = self.tool.model.tokenize(letters)
             packed = array("H", [t.id for t in tokens])
             if sys.byteorder == "big":
                 packed.byteswap()
