@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -228,6 +229,23 @@ def test_frequent_table_is_the_corpus_own(spark):
     assert token_count.frequent_lengths(frame.limit(0), path) == {}
 
 
+def test_frequent_table_by_lists(spark, docs, monkeypatch):
+    """Whatever the lists' merging, the table's counts are the pre-tokens' own; nothing is exchanged."""
+    import regex
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    many = docs.select("text").repartition(9)
+    pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+    every = Counter(p for r in docs.collect() for p in pattern.findall(r["text"] or ""))
+    top = [p for p, _ in every.most_common(50)]
+    for fan, held in ((32, 1 << 23), (2, 1 << 10)):
+        monkeypatch.setattr(token_count, "FAN", fan)
+        monkeypatch.setattr(token_count, "_HELD", held)
+        assert set(top[:40]) <= set(token_count.frequent_lengths(many, path, table=60))
+    texts = docs.select("text").where("text IS NOT NULL")
+    assert "Exchange" not in texts.mapInPandas(token_count._candidates(9), token_count.LISTS)._jdf.queryExecution().toString()
+
+
 def test_byte_bpe(odd, docs):
     import tiktoken
 

@@ -4,8 +4,13 @@ The first tier is a table of frequent pre-tokens and their token counts,
 broadcast once; the second is each worker's cache, which the tokenizer library
 fills for pre-tokens that the table misses. A text's count is the sum over its
 pre-tokens. The table only saves work: whatever it holds, counts are the
-library's. It is bounded to ``TABLE`` pre-tokens, found by bounded counters
-over all rows (one a task) and merged in a tree.
+library's.
+
+The table is bounded to ``TABLE`` pre-tokens, found over all rows without an
+exchange: a task counts what stands between single spaces, cuts each distinct such
+string once, and writes one list of at most ``TABLE`` candidates with their counts.
+Lists are merged ``FAN`` at a time by tasks that read several files, each result
+bounded again, until one list is left; only that reaches the driver.
 
 Texts are cut by ``pretokens`` (class arrays and scans). Its character classes
 are the library's for every code point that this Python's Unicode tables know;
@@ -26,20 +31,21 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verlog.llm.common import others, q
+from verlog.llm.common import others, q, small_batches, stage
 from verlog.llm.pretokens import batches, cut
 
 #: Pre-tokens in the broadcast table, and the share of rows they are looked for in.
 TABLE, SHARE = 32_768, 1.0
+#: Lists of candidates that one task merges.
+FAN = 32
 _CACHE = 250_000
-_ROWS = 256  # rows counted together
+_HELD = 1 << 23  # code points of distinct strings between spaces that a task holds before it cuts them
 _LONGEST = 64  # characters of a pre-token that is worth keeping
 
 
@@ -127,35 +133,83 @@ def counts(path: str) -> _Counts:
     return _Counts(path)
 
 
-def _pruned(counter: Counter, table: int) -> Counter:
-    return Counter(dict(counter.most_common(4 * table))) if len(counter) > 8 * table else counter
+LISTS = "pieces array<string>, counts array<long>"
+
+
+def _pruned(counter: Counter, bound: int) -> Counter:
+    return Counter(dict(counter.most_common(4 * bound))) if len(counter) > 8 * bound else counter
+
+
+def _list(counter: Counter, bound: int) -> pd.DataFrame:
+    kept = counter.most_common(bound)
+    return pd.DataFrame({"pieces": [[p for p, _ in kept]], "counts": [[n for _, n in kept]]})
+
+
+def _candidates(bound: int):
+    """One list for each partition of texts."""
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: Counter = Counter()
+        begins: Counter = Counter()  # what a text begins with, up to its first space
+        spaced: Counter = Counter()  # what follows a space, up to the next one
+
+        def cut_all() -> None:
+            nonlocal found
+            for strings, lead in ((begins, ""), (spaced, " ")):
+                for some in batches([lead + s for s in strings]):
+                    for string, pieces in zip(some, cut(some, as_bytes=False)):
+                        n = strings[string[len(lead):]]
+                        for p in pieces:
+                            if len(p) <= _LONGEST:
+                                found[p] += n
+                strings.clear()
+            found = _pruned(found, bound)
+
+        held = 0
+        for frame in parts:
+            for text in frame["text"]:
+                first, *rest = text.split(" ")
+                before = len(spaced) + len(begins)
+                begins[first] += 1
+                spaced.update(rest)
+                # A string that is new is about as long as a word, but in a text with few spaces.
+                held += len(text) if len(text) > 64 * (len(rest) + 1) else 16 * (len(spaced) + len(begins) - before)
+                if held > _HELD:
+                    cut_all()
+                    held = 0
+        cut_all()
+        if found:
+            yield _list(found, bound)
+
+    return run
+
+
+def _merged(bound: int):
+    """One list for each partition of lists."""
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: Counter = Counter()
+        for frame in parts:
+            for pieces, counts in zip(frame["pieces"], frame["counts"]):
+                for p, n in zip(pieces, counts):
+                    found[p] += int(n)
+                found = _pruned(found, bound)
+        if found:
+            yield _list(found, bound)
+
+    return run
 
 
 def frequent_lengths(docs: DataFrame, path: str, text: str = "text", table: int = TABLE,
                      share: float = SHARE) -> dict[str, int]:
     """At most ``table`` frequent pre-tokens and their token counts."""
-    def of_task(found) -> Iterator[Counter]:
-        counter: Counter = Counter()
-        texts = (row[0] for row in found)
-        while some := list(islice(texts, _ROWS)):
-            for few in batches(some):
-                for pieces in cut(few, as_bytes=False):
-                    counter.update([p for p in pieces if len(p) <= _LONGEST])
-                counter = _pruned(counter, table)
-        yield Counter(dict(counter.most_common(2 * table)))
-
-    def both(a: Counter, b: Counter) -> Counter:
-        a.update(b)
-        return _pruned(a, table)
-
-    rows = docs.select(q(text)).where(q(text).isNotNull())
-    rows = (rows if share >= 1 else rows.sample(share, seed=7)).rdd
-    if rows.getNumPartitions() == 0:
-        return {}
-    # Deep enough that the driver merges a handful of counters, however many tasks there are.
-    found = rows.mapPartitions(of_task).treeReduce(both, depth=4).most_common(table)
+    small_batches(docs.sparkSession)
+    rows = docs.select(q(text).alias("text")).where(q(text).isNotNull())
+    rows = rows if share >= 1 else rows.sample(share, seed=7)
+    lists = stage(rows.mapInPandas(_candidates(max(table, TABLE)), LISTS), "pre-token-lists")
+    while (n := lists.count()) > 1:
+        lists = stage(lists.coalesce(-(-n // FAN)).mapInPandas(_merged(max(table, TABLE)), LISTS), "pre-token-lists")
+    last = lists.select(F.slice("pieces", 1, table).alias("pieces")).first()
     tool = counts(path)
-    return {piece: tool.library(piece) for piece, _ in found}
+    return {piece: tool.library(piece) for piece in (last["pieces"] if last else [])}
 
 
 def token_counts(docs: DataFrame, path: str, text: str = "text", limit: int = 1024, table: int = TABLE,
