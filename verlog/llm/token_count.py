@@ -45,6 +45,7 @@ TABLE, SHARE = 32_768, 1.0
 #: Lists of candidates that one task merges.
 FAN = 32
 _CACHE = 250_000
+_MARKS = tuple(".,;:!?")
 _HELD = 1 << 23  # code points of distinct strings between spaces that a task holds before it cuts them
 _LONGEST = 64  # characters of a pre-token that is worth keeping
 
@@ -155,7 +156,18 @@ def _candidates(bound: int):
         def cut_all() -> None:
             nonlocal found
             for strings, lead in ((begins, ""), (spaced, " ")):
-                for some in batches([lead + s for s in strings]):
+                odd = []
+                for s, n in strings.items():
+                    # Letters are one pre-token, and a mark behind them is one of its own.
+                    stem = s[:-1] if s[-1:] in _MARKS else s
+                    if not stem.isalpha():
+                        odd.append(lead + s)
+                        continue
+                    if len(stem) < _LONGEST:
+                        found[lead + stem] += n
+                    if stem is not s:
+                        found[s[-1]] += n
+                for some in batches(odd):
                     for string, pieces in zip(some, cut(some, as_bytes=False)):
                         n = strings[string[len(lead):]]
                         for p in pieces:
