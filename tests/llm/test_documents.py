@@ -197,6 +197,33 @@ def test_mix_odd_rows(spark, odd):
     assert mixing.mixed_documents(many.withColumnRenamed("doc_id", "copies"), id="copies").columns == ["copies", "text", "source"]
 
 
+def test_flow_is_the_cheapest_of_all_flows():
+    """Against every flow there is, on small overlapping memberships: most words first, then least cost."""
+    from itertools import product
+
+    rng = random.Random(5)
+    for _ in range(150):
+        sources, passes = rng.randint(2, 3), 2
+        patterns = [(tuple(sorted(rng.sample(range(sources), rng.randint(1, 2)))), rng.randint(0, 2)) for _ in range(3)]
+        quotas = [rng.randint(0, 4) for _ in range(sources)]
+
+        def worth(flow):
+            if any(sum(f) > passes * n for f, (_, n) in zip(flow, patterns)):
+                return None
+            got = [0] * sources
+            for f, (members, _) in zip(flow, patterns):
+                for x, s in zip(f, members):
+                    got[s] += x
+            if any(g > quota for g, quota in zip(got, quotas)):
+                return None
+            again = sum(max(sum(f) - n, 0) for f, (_, n) in zip(flow, patterns))  # words of a second pass
+            return sum(got), -again
+
+        every = product(*[list(product(range(passes * n + 1), repeat=len(m))) for m, n in patterns])
+        best = max(w for w in map(worth, every) if w is not None)
+        assert worth(mixing.min_cost_flow(patterns, quotas, passes)) == best
+
+
 @pytest.mark.parametrize("n", [40, 41])
 def test_mix_rest_ends_with_a_bucket(spark, monkeypatch, n):
     monkeypatch.setattr(mixing, "BUCKET", 1)  # many buckets of one or two rows: rests end at their edges
