@@ -164,3 +164,25 @@ def test_drop_and_undrop(payments, spark, tmp_table):
                                      dt.datetime.now(dt.timezone.utc)).count() == 0
     with pytest.raises(ValueError):
         recover.undrop_table(spark, ledger, "payments")
+
+
+def _drop_tables(spark, sf, priorities):
+    spark.createDataFrame([(i, 1, "O", Decimal("1.00"), D("2001-01-01"), p) for i, p in enumerate(priorities)],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice decimal(18,2), o_orderdate date, "
+                          "o_orderpriority string").write.parquet(f"{sf}/orders.parquet")
+    at = dt.datetime(2025, 3, 5, tzinfo=dt.timezone.utc)
+    spark.createDataFrame(
+        [(1, at, "login"), (1, at - dt.timedelta(days=2), "error"), (2, at, "error"), (2, at, "signup"), (3, at, "error"),
+         (4, at - dt.timedelta(days=9), "error")],
+        "user_id long, ts timestamp, event_type string").write.parquet(f"{sf}/events.parquet")
+
+
+@pytest.mark.parametrize("priorities, dropped", [
+    (["1-URGENT", "2-HIGH", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", None], {"orders_high": 7, "orders_low": 7}),
+    (["1-URGENT", "5-LOW"], {"orders_low": 7}), ([], {})])
+def test_recoverable_drops_of_both_ledgers(spark, tmp_table, priorities, dropped):
+    from verlog.plans.catalog import QUERIES
+    sf = tmp_table("drops-sf")
+    _drop_tables(spark, sf, priorities)
+    got = {r.table_name: r.days_left for r in QUERIES["recoverable_drops"](spark, sf).collect()}
+    assert got == {**dropped, "table_1": 5}

@@ -141,11 +141,12 @@ def clones_ledger(copies: Mapping[str, "object"]) -> DataFrame:
 UNDROP_DAYS = 7
 
 
-def drop_table(spark, ledger_path: str, table_name: str, path: str, managed: bool = True) -> str | None:
+def drop_table(spark, ledger_path: str, table_name: str, path: str, managed: bool = True,
+               at: _dt.datetime | None = None) -> str | None:
     """``DROP TABLE``. Managed: the folder is moved aside (a metadata-only
     rename) and the drop recorded, so ``undrop_table`` can bring it back within
     the window. External: only the ledger row; the files stay where they are."""
-    at = _dt.datetime.now(_dt.timezone.utc)
+    at = at or _dt.datetime.now(_dt.timezone.utc)
     trash = None
     if managed:
         jvm = spark.sparkContext._jvm
