@@ -81,3 +81,29 @@ def test_optimize_twice(spark, new, by):
     t.delete(F.col("k") == "B")
     t.optimize(zorder_by=by)
     assert rows(t) == [("A", 1), ("C", 2)] and t.as_of(1).count() == 3
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_single_load_is_read_without_a_window(spark, new, tmp_table):
+    """A deep copy, and a table with one load, are plain scans; any later change brings the window back."""
+    t = new(("A", 1), ("B", 2), ("C", 3))
+    assert "Window" not in _plan(t.current()) and "Exchange" not in _plan(t.current())
+    t.update({"n": F.col("n") * 10}, F.col("k") == "B")
+    t.delete(F.col("k") == "C")
+    assert "Window" in _plan(t.current()) and rows(t) == [("A", 1), ("B", 20)]
+    c = t.clone(tmp_table("copy"))
+    assert c.version() == 0 and "Window" not in _plan(c.as_of(0)) and "Exchange" not in _plan(c.as_of(0))
+    assert rows(c) == [("A", 1), ("B", 20)]
+    c.add_columns(spark.createDataFrame([], "x string").schema.fields)
+    assert sorted(tuple(r) for r in c.current().collect()) == [("A", 1, None), ("B", 20, None)]
+    with pytest.raises(RuleViolation):
+        c.insert(spark.createDataFrame([("B", 5, "y")], "k string, n int, x string"))
+    c.insert(spark.createDataFrame([("B2", 5, "y")], "k string, n int, x string"))
+    assert sorted(tuple(r) for r in c.current().collect()) == [("A", 1, None), ("B", 20, None), ("B2", 5, "y")]
+    assert rows(new()) == []
+    s = t.clone(tmp_table("shallow"), shallow=True)
+    s.insert(spark.createDataFrame([("D", 4)], SCHEMA))
+    assert rows(s) == [("A", 1), ("B", 20), ("D", 4)]

@@ -377,11 +377,25 @@ class VersionedTable:
             df = base.select(*schema.fieldNames())
         elif base is not None:
             df = as_of_base(base, self.log(upto=v, since=b + 1, schema=schema), self.keys, schema.fieldNames())
+        elif (only := self._only_load(v)) is not None:
+            # All rows came as inserts of one version, whose keys were checked: a plain scan.
+            df = self.log(upto=v, since=only, schema=schema).select(*schema.fieldNames())
         else:
             df = as_of(self.log(upto=v, schema=schema), self.keys, None, schema.fieldNames())
         _keep(_AS_OF, key, df)
         return df
 
+    def _only_load(self, upto: int) -> int | None:
+        """The one version up to ``upto`` that wrote change rows, if it wrote inserts only: a commit gives a key to one
+        row, and a deep copy starts from a state, so it holds each key once."""
+        if CLONE_SOURCE in self.properties(upto):
+            return None
+        wrote = {int(r.version): r.operationMetrics or {} for r in self._rows() if r.version <= upto and _changed(r)}
+        if len(wrote) != 1:
+            return None
+        (version, metrics), = wrote.items()
+        return None if any(int(metrics.get(m) or 0) for m in ("numUpdatedRows", "numDeletedRows")) else version
+
     # ------------------------------------------------------------------ bases
     @property
     def bases_path(self) -> str:
@@ -498,8 +512,7 @@ class VersionedTable:
         """Versions from ``lo`` to ``hi`` that wrote change rows whose files are no longer there."""
         there = set(list_children(self.spark, self.changes_path))
         return [int(r.version) for r in self._rows() if lo <= r.version <= hi and f"{COMMIT_VERSION}={r.version}" not in there
-                and any(int((r.operationMetrics or {}).get(m) or 0) for m in
-                        ("numInsertedRows", "numUpdatedRows", "numDeletedRows"))]
+                and _changed(r)]
 
     def diff(self, old: int, new: int | None = None, compare: Sequence[str] | None = None,
              changed_only: bool = False) -> DataFrame:
@@ -565,8 +578,8 @@ class VersionedTable:
         self._row(v)
         schema = self.schema(v)
         pred = F.coalesce(F.expr(predicate) if isinstance(predicate, str) else predicate, F.lit(False))
-        if self._newest_base() or self._base(v)[1] is not None:
-            return self.as_of(v).where(pred)  # reaches the scan of the base by itself
+        if self._newest_base() or self._base(v)[1] is not None or self._only_load(v) is not None:
+            return self.as_of(v).where(pred)  # reaches the scan of the base or of the load by itself
         log = self.log(upto=v, schema=schema)
         live = F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)
         candidates = log.where(live & pred).select(*self.keys).distinct()
@@ -583,7 +596,7 @@ class VersionedTable:
         for k in self.keys:
             keyed = keyed & F.col(k).isNotNull()
         wanted = keys.where(keyed).select(*self.keys)
-        if self._newest_base() or self._base(v)[1] is not None:
+        if self._newest_base() or self._base(v)[1] is not None or self._only_load(v) is not None:
             return restrict_to(self.as_of(v), self.keys, wanted)
         part = restrict_to(self.log(upto=v, schema=schema), self.keys, wanted.distinct())
         return as_of(part, self.keys, None, schema.fieldNames())
@@ -747,12 +760,12 @@ class VersionedTable:
         written = self.spark.read.schema(full).parquet(part)
         twice = (written.where(F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)).groupBy(*keys)
                  .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
-        found = twice.select(*keys).take(1)
-        if not found and against_table and inserted and self.version() > 0:
+        found = _any_key(twice, keys)
+        if found is None and against_table and inserted and self.version() > 0:
             added = written.where(F.col(CHANGE_TYPE) == INSERT).select(*keys)
             gone = written.where(F.col(CHANGE_TYPE) == DELETE).select(*keys)
-            found = self.rows_for_keys(added.join(gone, keys, "left_anti")).select(*keys).take(1)
-        return tuple(found[0]) if found else None
+            found = _any_key(self.rows_for_keys(added.join(gone, keys, "left_anti")), keys)
+        return found
 
     def _fill_identity(self, rows: DataFrame, id_col: str, props: Mapping[str, str], stage: str,
                        check_explicit: bool = True) -> DataFrame:
@@ -1004,6 +1017,18 @@ class VersionedTable:
         return t
 
 
+def _changed(row: Row) -> bool:
+    """Whether the version of a history row wrote change rows."""
+    metrics = row.operationMetrics or {}
+    return any(int(metrics.get(m) or 0) for m in ("numInsertedRows", "numUpdatedRows", "numDeletedRows"))
+
+
+def _any_key(rows: DataFrame, keys: Sequence[str]) -> tuple | None:
+    """A key of ``rows``, or None: one job, where ``take`` on rows that are none runs several, one after another."""
+    found = rows.agg(F.first(F.struct(*keys)).alias("key")).first()["key"]
+    return None if found is None else tuple(found)
+
+
 def _conform_changes(changes: DataFrame, schema: T.StructType) -> tuple[DataFrame, dict[str, str]]:
     """The change rows in the table's types, with a flag column for each column whose values those types may not hold."""
     row_part = changes.drop(CHANGE_TYPE, COMMIT_VERSION, COMMIT_TIMESTAMP)
