@@ -132,12 +132,12 @@ def boundaries(kinds: np.ndarray) -> np.ndarray:
     return begins
 
 
-def batches(texts: list[str]) -> Iterator[list[str]]:
-    """Consecutive texts of up to ``TOGETHER`` code points in all."""
+def batches(texts: list[str], together: int = TOGETHER) -> Iterator[list[str]]:
+    """Consecutive texts of up to ``together`` code points in all."""
     at = 0
     while at < len(texts):
         upto, size = at, 0
-        while upto < len(texts) and (upto == at or size + len(texts[upto]) <= TOGETHER):
+        while upto < len(texts) and (upto == at or size + len(texts[upto]) <= together):
             size += len(texts[upto])
             upto += 1
         yield texts[at:upto]

@@ -3,7 +3,7 @@
 Documents are tokenised, dealt by id into ranges and written in ascending id
 order. A file row is a chunk of consecutive whole documents: their ids and
 token counts, and the chunk's ids coded in blocks of ``BLOCK``. Blocks are coded
-in groups of at most 1,024. A group has a checksummed start: its ids with
+in groups of at most 4,096. A group has a checksummed start: its ids with
 their counts, dealt to classes of about equal weight, and counts of which class
 follows which. Every block starts afresh from it and carries its length and CRC-32, so
 blocks decode on their own, and a damaged one is found.
@@ -38,46 +38,56 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verlog.llm.common import partitions, q, stage
+from verlog.llm.common import partitions, q, small_batches, stage
+from verlog.llm.pretokens import batches
 from verlog.llm.token_count import _byte_letters, _unknown
 
 BLOCK = 2048
 #: Ids of a chunk, at least, before the next document starts a new one.
-CHUNK = 1 << 21
-MAGIC = b"VTK2"
+CHUNK = 1 << 23
+MAGIC = b"VTK3"
 
 _ONE = 1 << 16  # the whole of a step's weights
 _SLOTS1, _SLOTS2, _LEVELS = 128, 256, 8
-_CLASSES, _GROUP = 256, 1024  # classes of ids at most; blocks that are coded side by side at most
-_STATIC, _OWN = 3 << 14, 1 << 14  # the shares of the start's counts and of the block's own, of 2 ** 16
+_CLASSES, _GROUP = 256, 4096  # classes of ids at most; blocks that are coded side by side at most
+_STATIC, _OWN = (3 << 14) - 1, 1 << 14  # the shares of the start's counts and of the block's own, 2 ** 16 - 1 in all
 _EVEN = 3 << 10  # what the static share deals evenly to all ids
-_WITHIN, _WITHIN_EVEN = 17, 1 << 14  # bits of a class's ids, and what of it they share evenly
-_REFRESH = 64
-_TOP, _RANGE, _LOW = 1 << 62, 1 << 30, (1 << 62) - 1  # the coder's range; 32-bit words
+_REFRESH, _TOGETHER = 256, 128  # steps between, and blocks at a time, when a block's own counts become edges
+_EARLY = (2, 8, 32, 96)
+_TOP, _RANGE, _WORD = 1 << 62, 1 << 30, (1 << 30) - 1  # the coder's range; 32-bit words
 _FINE = 28  # bits of a step's distribution
 _UP = _FINE - 16
+_SPAN = 1 << 18  # ids that are counted at once
+_FAN, _LAST = 16, (1 << 16) - 2  # edges compared at once by the decoder; the last number that an id can have
 #: Counts are kept by their logarithms, in eighths of a bit.
 _KEPT_COUNTS = np.array([0] + [int(2 ** (k / 8)) for k in range(255)], dtype=np.int64)
 
 
 def _weights() -> tuple[np.ndarray, np.ndarray]:
-    """Shares of the order-2 and order-1 predictions by their confidences (order-2's times 8, plus order-1's):
-    a prediction that came true k times running weighs (k + 0.1) / (k + 2), at most 3/4; order 1 has that
-    share of what order 2 leaves, at most a half, so at least 1/8 stays for the counts."""
+    """Shares of order 2's and of both predictions by their confidences (order-2's times 8, plus order-1's): a
+    prediction that came true k times running weighs (k + 0.1) / (k + 2), at most 3/4; order 1 has that
+    share of what order 2 leaves, at most a half, so at least 1/8 stays for the counts. The upper half
+    of the places is for predictions that agree: order 2's share is then both."""
     weight = [min((k + 0.1) / (k + 2), 0.75) for k in range(_LEVELS)]
     second = [int(_ONE * weight[k2]) for k2 in range(_LEVELS) for _ in range(_LEVELS)]
-    first = [int((_ONE - m2) * min(weight[k1], 0.5)) for m2, k1 in zip(second, list(range(_LEVELS)) * _LEVELS)]
-    return np.array(second, dtype=np.int64), np.array(first, dtype=np.int64)
+    both = [m2 + int((_ONE - m2) * min(weight[k1], 0.5)) for m2, k1 in zip(second, list(range(_LEVELS)) * _LEVELS)]
+    return np.array(second + both, dtype=np.int64), np.array(both + both, dtype=np.int64)
 
 
-_SECOND, _FIRST = _weights()
+_SECOND, _KNOWN = _weights()
+_SHARES = _SECOND << 17 | _KNOWN
+#: What a slot gains by its confidence, where its prediction fails and (from 8 on) where it comes true.
+_GAIN = np.array([(k >> 1) - k for k in range(_LEVELS)] + [int(k < _LEVELS - 1) for k in range(_LEVELS)], dtype=np.int32)
 
 
 def _logs(counts: np.ndarray) -> np.ndarray:
@@ -85,24 +95,55 @@ def _logs(counts: np.ndarray) -> np.ndarray:
     return (np.searchsorted(_KEPT_COUNTS, counts, side="right") - 1).astype(np.uint8)
 
 
+def _coarse(edges: np.ndarray, none: int) -> np.ndarray:
+    """The lower edges of every ``_FAN`` classes but the first, one row for each row of edges; ``none`` fills the row."""
+    classes = edges.shape[1] - 1
+    out = np.full((len(edges), _FAN), none, dtype=np.uint16)
+    inner = edges[:, _FAN:classes:_FAN]
+    out[:, :inner.shape[1]] = inner
+    return out
+
+
+def _fine(edges: np.ndarray, none: int) -> np.ndarray:
+    """The lower edges within every ``_FAN`` classes but the first, one row for each of these runs."""
+    classes = edges.shape[1] - 1
+    fan = min(classes, _FAN)
+    out = np.full((len(edges), classes // fan, _FAN), none, dtype=np.uint16)
+    out[:, :, :fan - 1] = edges[:, :-1].reshape(len(edges), -1, fan)[:, :, 1:]
+    return out.reshape(-1, _FAN)
+
+
+def _packed(edges: np.ndarray) -> np.ndarray:
+    """Each class's lower edge, and its width in the upper 16 bits: sums of packed numbers are packed sums."""
+    return (edges[:, :-1] | np.diff(edges, axis=1) << 16).astype(np.uint32)
+
+
+def _upto(edges: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many of a row's edges are at most the row's number."""
+    found = np.bitwise_count((edges <= most).view(np.uint64))
+    return (found[:, 0] + found[:, 1]).astype(np.int64)
+
+
 class _Start:
     """What every block of a group starts from: the group's ids with their counts, the ids' classes
-    (runs of ids of about equal weight) and how often a class follows another. Ids are their ranks here."""
+    (runs of ids of about equal weight) and how often a class follows another. Ids are ranks
+    by their kept counts here, so that those of a class weigh about the same."""
 
     def __init__(self, names: np.ndarray, logs: np.ndarray, classes: int, follow: np.ndarray | None = None):
-        self.names, self.logs, self.classes = names, logs, classes
-        counts = np.maximum(_KEPT_COUNTS[logs], 1)
-        total, before = int(counts.sum()), np.cumsum(counts) - counts
-        self.of = before * classes // total
+        self.stored, self.stored_logs, self.classes = names, logs, classes
+        self.order = np.argsort(255 - logs, kind="stable")
+        self.names = names[self.order]
+        counts = np.maximum(_KEPT_COUNTS[logs[self.order]], 1)
+        weight = counts  # an id weighs a class at most
+        for _ in range(4):
+            weight = np.minimum(counts, max(int(weight.sum()) // classes, 1))
+        self.of = (np.cumsum(weight) - weight) * classes // int(weight.sum())
         members = np.bincount(self.of, minlength=classes)
         self.mass = np.bincount(self.of, weights=counts, minlength=classes).astype(np.int64)
-        starts = np.cumsum(members) - members
-        own = before - before[np.minimum(starts, len(names) - 1)][self.of]
-        rank, mass, many = np.arange(len(names)) - starts[self.of], self.mass[self.of], members[self.of]
-        part = (1 << _WITHIN) - _WITHIN_EVEN
-        self.place = own * part // mass + rank * _WITHIN_EVEN // many
-        self.width = (own + counts) * part // mass + (rank + 1) * _WITHIN_EVEN // many - self.place
-        self.keys = self.of << _WITHIN | self.place
+        self.first = np.cumsum(members) - members
+        self.many = np.maximum(members, 1)
+        # One id's share of a class, a little less than the quotient: no product of it exceeds its class.
+        self.each = (1 - 2.0 ** -40) / (self.many << 16 - _UP)
         self.even = np.cumsum(-(-members * _EVEN // len(names)))
         if follow is not None:
             self.follows(follow)
@@ -112,28 +153,37 @@ class _Start:
         self.follow = logs
         seen = _KEPT_COUNTS[logs].reshape(self.classes, self.classes)
         sums = np.cumsum(seen * int(self.mass.sum()) + 8 * self.mass, axis=1)
-        edges = np.zeros((self.classes, self.classes + 1), dtype=np.int32)
-        edges[:, 1:] = sums * (_STATIC - int(self.even[-1])) // sums[:, -1:] + self.even
-        self.edges = edges.ravel()
+        self.edges = np.zeros((self.classes, self.classes + 1), dtype=np.int64)
+        self.edges[:, 1:] = sums * (_STATIC - int(self.even[-1])) // sums[:, -1:] + self.even
+        self.packed = _packed(self.edges).ravel()
 
     @classmethod
-    def of_ids(cls, ids: np.ndarray, block: int) -> tuple[_Start, np.ndarray]:
-        counts = np.bincount(ids)
+    def of_ids(cls, ids: np.ndarray, block: int) -> tuple[_Start, np.ndarray, np.ndarray]:
+        """The start, and the ids' ranks and classes."""
+        spans = [slice(at, at + _SPAN) for at in range(0, len(ids), _SPAN)]
+        counts = np.zeros(1 << 16, dtype=np.int64)
+        for some in spans:
+            counts += np.bincount(ids[some], minlength=1 << 16)
         names = np.flatnonzero(counts)
-        counts, ranks = counts[names], (np.cumsum(counts > 0) - 1)[ids]
         classes = 1
         while classes < _CLASSES and 64 * classes * classes <= len(ids):  # 16 ids for each pair of classes
             classes *= 2
-        start = cls(names, _logs(counts), classes)
-        group = start.of[ranks]
-        last = np.concatenate(([0], group[:-1]))
+        start = cls(names, _logs(counts[names]), classes)
+        rank = np.zeros(1 << 16, dtype=np.uint16)
+        rank[start.names] = np.arange(len(names))
+        ranks = rank[ids]
+        group = start.of.astype(np.uint8)[ranks]
+        last = np.concatenate((np.zeros(1, dtype=np.uint8), group[:-1]))
         last[::block] = 0
-        start.follows(_logs(np.bincount(last * classes + group, minlength=classes * classes)))
-        return start, ranks
+        follow = np.zeros(classes * classes, dtype=np.int64)
+        for some in spans:
+            follow += np.bincount(last[some].astype(np.int64) * classes + group[some], minlength=classes * classes)
+        start.follows(_logs(follow))
+        return start, ranks, group
 
     def pack(self) -> bytes:
-        names = np.diff(self.names, prepend=0).astype("<u2").tobytes()
-        return zlib.compress(struct.pack("<II", len(self.names), self.classes) + names + self.logs.tobytes()
+        names = np.diff(self.stored, prepend=0).astype("<u2").tobytes()
+        return zlib.compress(struct.pack("<II", len(self.stored), self.classes) + names + self.stored_logs.tobytes()
                              + self.follow.tobytes(), 6)
 
     @classmethod
@@ -150,79 +200,84 @@ class _Model:
 
     A slot of a context holds its predicted rank times 8 plus the prediction's confidence."""
 
-    def __init__(self, rows: int, start: _Start):
+    def __init__(self, rows: int, start: _Start, steps: int, search: bool = False):
         lanes = np.arange(rows, dtype=np.int64)
         classes = start.classes
-        self.base1, self.base2, self.base_own = lanes * _SLOTS1, lanes * _SLOTS2, lanes * (classes + 1)
+        self.classes, self.search = classes, search
+        self.base1, self.base2, self.base_own = lanes * _SLOTS1, lanes * _SLOTS2, lanes * classes
         self.slot1, self.slot2 = np.zeros(rows * _SLOTS1, np.int32), np.zeros(rows * _SLOTS2, np.int32)
-        self.counts = np.zeros((rows, classes + 1), dtype=np.int32)  # laid out as ``own``
-        self.own = np.empty((rows, classes + 1), dtype=np.int32)
-        self.of_rank, self.row_of = start.of, start.of * (classes + 1)
-        self.last = np.zeros(rows, dtype=np.int64)
-        self.before = np.zeros(rows, dtype=np.int64)
-        # Own counts start as the group's: 32 of them, rounded.
-        self.floor = (start.mass * 32 // max(int(start.mass.sum()), 1)).astype(np.int32)
-        self.step = 0
+        # Own counts start as the group's: about 32 of them, kept in 32nds.
+        self.counts = np.zeros((rows, classes), dtype=np.int64) + (start.mass * 1024 // int(start.mass.sum()) + 1)
+        self.own = np.zeros((rows, classes), dtype=np.uint32)  # packed edges
+        self.seen = np.zeros((steps, rows), dtype=np.uint8)  # the classes of a block's ids, by step
+        if search:
+            fan = min(classes, _FAN)
+            self.coarse = np.zeros((rows, _FAN), dtype=np.uint16)
+            self.fine = np.zeros((rows, classes // fan, _FAN), dtype=np.uint16)
+        self.last, self.before = np.zeros(rows, dtype=np.int64), np.zeros(rows, dtype=np.int64)
+        self.step, self.counted = 0, 0
+
+    def refresh(self, n: int) -> None:
+        """A block's own counts as edges."""
+        classes = self.classes
+        for at in range(0, n, _TOGETHER):
+            some = slice(at, min(at + _TOGETHER, n))
+            counts, seen = self.counts[some], self.seen[self.counted:self.step, some]
+            if len(seen):
+                cells = seen + np.arange(len(counts)) * classes
+                counts += 32 * np.bincount(cells.ravel(), minlength=counts.size).reshape(counts.shape)
+            sums = np.cumsum(counts, axis=1)
+            edges = np.zeros((len(counts), classes + 1), dtype=np.int64)
+            # A division and a product, each rounded once: the same on every machine.
+            edges[:, 1:] = sums * ((_OWN - classes) / sums[:, -1:])
+            edges[:, -1] = _OWN - classes
+            edges += np.arange(classes + 1)
+            self.own[some] = _packed(edges)
+            if self.search:
+                self.coarse[some] = _coarse(edges, 0)
+                self.fine[some] = _fine(edges, 0).reshape(len(counts), -1, _FAN)
+        self.counted = self.step
 
     def predict(self, n: int) -> None:
-        # A block's own counts are refreshed at steps 1, 2, 4, ..., then every _REFRESH.
-        if self.step % _REFRESH == 0 or self.step < _REFRESH and self.step & (self.step - 1) == 0:
-            sums = np.cumsum(self.counts[:n, :-1] + self.floor, axis=1, dtype=np.int64)
-            edges, classes = self.own[:n], len(self.floor)
-            edges[:, 0] = 0
-            edges[:, 1:] = sums * (_OWN - classes) // np.maximum(sums[:, -1:], 1)
-            edges[sums[:, -1] == 0, 1:] = np.arange(1, classes + 1) * ((_OWN - classes) // classes)
-            edges[:, -1] = _OWN - classes
-            edges += np.arange(classes + 1, dtype=np.int32)
-        self.step += 1
-        last, before = self.last[:n], self.before[:n]
-        self.at1 = self.base1[:n] + ((last * 40503 >> 6) & (_SLOTS1 - 1))
-        self.at2 = self.base2[:n] + ((last * 40503 + before * 30011 >> 7) & (_SLOTS2 - 1))
+        if self.step % _REFRESH == 0 or self.step in _EARLY:
+            self.refresh(n)
+        mixed = self.last[:n] * 40503
+        self.at1 = mixed >> 6
+        self.at1 &= _SLOTS1 - 1
+        self.at1 += self.base1[:n]
+        mixed += self.before[:n] * 30011
+        mixed >>= 7
+        mixed &= _SLOTS2 - 1
+        mixed += self.base2[:n]
+        self.at2 = mixed
         self.held1, self.held2 = self.slot1.take(self.at1), self.slot2.take(self.at2)
         self.p1, self.p2 = self.held1 >> 3, self.held2 >> 3
-        both = (self.held2 & 7) << 3 | self.held1 & 7
-        self.m2, self.m1 = _SECOND.take(both), _FIRST.take(both)
-        same = self.p1 == self.p2
-        self.known = self.m1 + self.m2
-        np.copyto(self.m2, self.known, where=same)
-        np.copyto(self.m1, 0, where=same)
-        self.rest = _ONE - self.known
-        self.row = self.row_of.take(last)
-
-    def update(self, ranks: np.ndarray, mine: np.ndarray) -> None:
-        n = len(ranks)
-        for p, held, at, slots in ((self.p1, self.held1, self.at1, self.slot1), (self.p2, self.held2, self.at2, self.slot2)):
-            sure = held & 7
-            failed = np.where(sure > 0, held - sure + (sure >> 1), ranks << 3)
-            slots[at] = np.where(ranks == p, held + (sure < _LEVELS - 1), failed)
-        self.counts.ravel()[mine] += 1
-        self.before[:n] = self.last[:n]
-        self.last[:n] = ranks
-
-
-def _grid(ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids by (step, block), and the blocks' lengths (only the last may be shorter)."""
-    blocks = -(-len(ids) // block)
-    out = np.zeros(blocks * block, dtype=np.int64)
+        self.sure1, self.sure2 = self.held1 & 7, self.held2 & 7
+        both = (self.p1 == self.p2).astype(np.int32) << 3
+        both |= self.sure2
+        both <<= 3
+        both |= self.sure1
+        shares = _SHARES.take(both)
+        self.m2, self.known = shares >> 17, shares & (1 << 17) - 1
+
+    def update(self, ranks: np.ndarray, group: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> None:
+        new = ranks.astype(np.int32)
+        new <<= 3
+        for hit, sure, held, at, slots in ((hit1, self.sure1, self.held1, self.at1, self.slot1),
+                                           (hit2, self.sure2, self.held2, self.at2, self.slot2)):
+            sure += hit.view(np.int8) << 3
+            held += _GAIN.take(sure)
+            slots[at] = np.where(sure == 0, new, held)  # failed without confidence
+        self.seen[self.step, :len(ranks)] = group
+        self.step += 1
+        self.before, self.last = self.last, ranks
+
+
+def _grid(ids: np.ndarray, block: int, lengths: np.ndarray) -> np.ndarray:
+    """Ids by (step, block)."""
+    out = np.zeros(len(lengths) * block, dtype=ids.dtype)
     out[:len(ids)] = ids
-    lengths = np.full(blocks, block)
-    if blocks:
-        lengths[-1] = len(ids) - (blocks - 1) * block
-    return np.ascontiguousarray(out.reshape(blocks, block).T), lengths
-
-
-def _put(low, size, place, words, rows: int, n: int) -> None:
-    """Passes on a carry, then a word where the range has become short."""
-    over = np.flatnonzero(low[:n] >= _TOP)
-    if len(over):
-        words[(place[over] - 1) * rows + over] += 1
-        low[over] &= _LOW
-    short = np.flatnonzero(size[:n] < _RANGE)
-    kept = low.take(short)
-    words[place.take(short) * rows + short] = kept >> 30
-    place[short] += 1
-    low[short] = (kept << 32) & _LOW
-    size[short] <<= 32
+    return np.ascontiguousarray(out.reshape(len(lengths), block)[:, :int(lengths.max())].T)
 
 
 def encode(ids: np.ndarray, block: int = BLOCK, group: int = _GROUP) -> bytes:
@@ -232,46 +287,61 @@ def encode(ids: np.ndarray, block: int = BLOCK, group: int = _GROUP) -> bytes:
 
 
 def _encode_group(ids: np.ndarray, block: int) -> bytes:
-    begin, ranks = _Start.of_ids(ids, block)
-    grid, lengths = _grid(ranks, block)
-    rows = len(lengths)
-    model = _Model(rows, begin)
+    begin, ranks, of = _Start.of_ids(ids, block)
+    rows = -(-len(ids) // block)
+    lengths = np.full(rows, block)
+    lengths[-1] = len(ids) - (rows - 1) * block
+    grid, groups = _grid(ranks, block, lengths), _grid(of, block, lengths)
+    inside = _grid(ranks - begin.first.astype(np.uint16)[of], block, lengths)
+    del ranks, of
+    steps = len(grid)
+    model = _Model(rows, begin, steps)
     low, size = np.zeros(rows, dtype=np.int64), np.full(rows, _TOP, dtype=np.int64)
-    place = np.zeros(rows, dtype=np.int64)
-    words = np.zeros((block + 4) * rows, dtype=np.int64)  # word-major: place * rows + block
+    place = np.arange(rows)  # of a block's next word
+    words = np.zeros((steps + 4) * rows, dtype=np.int64)  # word-major: number * rows + block
     own = model.own.ravel()
-    for t in range(int(lengths.max())):
+    row = np.zeros(rows, dtype=np.int64)
+    for t in range(steps):
         n = rows if t < lengths[-1] else rows - 1
-        x = grid[t, :n]
+        x, group = grid[t, :n].astype(np.int64), groups[t, :n].astype(np.int64)
         model.predict(n)
-        hit2 = x == model.p2
-        start = np.where(hit2, 0, model.m2) << _UP
-        freq = np.where(hit2, model.m2, model.m1) << _UP
-        missed = np.flatnonzero(~(hit2 | (x == model.p1)))
-        wrong = x.take(missed)
-        groups, rest = begin.of.take(wrong), model.rest.take(missed)
-        mine, follow = model.base_own.take(missed) + groups, model.row.take(missed) + groups
-        lower = (own.take(mine) + begin.edges.take(follow)) * rest >> 16 - _UP
-        wide = ((own.take(mine + 1) + begin.edges.take(follow + 1)) * rest >> 16 - _UP) - lower
-        inner = begin.place.take(wrong)
-        first = wide * inner >> _WITHIN
-        start[missed] = (model.known.take(missed) << _UP) + lower + first
-        freq[missed] = (wide * (inner + begin.width.take(wrong)) >> _WITHIN) - first
+        hit1, hit2 = x == model.p1, x == model.p2
+        edges = own.take(model.base_own[:n] + group)
+        edges += begin.packed.take(row[:n] + group)
+        rest = _ONE - model.known
+        start = (edges & 0xFFFF) * rest
+        start >>= 16 - _UP
+        edges >>= 16
+        rest *= edges
+        freq = (rest * begin.each.take(group)).astype(np.int64)
+        start += freq * inside[t, :n]
+        known = model.known << _UP
+        start += known
+        m2 = model.m2 << _UP
+        known -= m2
+        start = np.where(hit2, 0, np.where(hit1, m2, start))
+        freq = np.where(hit2, m2, np.where(hit1, known, freq))
         step = size[:n] >> _FINE
-        low[:n] += step * start
-        size[:n] = step * freq
-        _put(low, size, place, words, rows, n)
-        model.update(x, mine)
-    every = np.arange(rows)
+        start *= step
+        low[:n] += start
+        np.multiply(step, freq, out=size[:n])
+        # A word where the range has become short, with its carry: low and size stay below 2 ** 63 together.
+        short = np.flatnonzero(size[:n] < _RANGE)
+        kept, at = low.take(short), place.take(short)
+        words[at] = kept >> 30
+        place[short] = at + rows
+        low[short] = (kept & _WORD) << 32
+        size[short] = size.take(short) << 32
+        model.update(x, group, hit1, hit2)
+        group *= begin.classes
+        row = group
     for _ in range(2):  # the whole of low, as words
-        over = np.flatnonzero(low >= _TOP)
-        words[(place[over] - 1) * rows + over] += 1
-        low &= _LOW
-        words[place * rows + every] = low >> 30
-        low = (low << 32) & _LOW
-        place += 1
-    table = words.reshape(-1, rows)
-    for j in range(int(place.max()) - 1, 0, -1):
+        words[place] = low >> 30
+        low = (low & _WORD) << 32
+        place += rows
+    place //= rows
+    table = words.reshape(-1, rows)[:int(place.max())]
+    for j in range(len(table) - 1, 0, -1):
         table[j - 1] += table[j] >> 32
         table[j] &= 0xFFFFFFFF
     columns = np.ascontiguousarray(table.T.astype("<u4"))
@@ -308,7 +378,9 @@ def _decode_group(data: bytes, at: int) -> tuple[np.ndarray, int]:
     at += n_start
     facts = np.frombuffer(data, dtype="<u4", count=3 * rows, offset=at).reshape(rows, 3).astype(np.int64)
     lengths, sizes = facts[:, 0], facts[:, 2]
-    columns = np.zeros((rows, block + 8), dtype="<u4")  # a step reads one word at most
+    steps = int(lengths.max())
+    # A step reads one word at most; beyond the longest block's words there are zeros.
+    columns = np.zeros((rows, min(int(sizes.max()) // 4 + 8, steps + 8)), dtype="<u4")
     at += 12 * rows
     for b in range(rows):
         body = data[at:at + int(sizes[b])]
@@ -317,56 +389,69 @@ def _decode_group(data: bytes, at: int) -> tuple[np.ndarray, int]:
     words = np.ascontiguousarray(columns.T).ravel()
     value = words[:rows].astype(np.int64) << 30 | words[rows:2 * rows].astype(np.int64) >> 2
     rest_bits = words[rows:2 * rows].astype(np.int64) & 3  # the window is 62 bits: two bits of word 1 wait
-    place = np.full(rows, 1, dtype=np.int64)
+    place = np.arange(2 * rows, 3 * rows)  # of a block's next word
     size = np.full(rows, _TOP, dtype=np.int64)
-    model = _Model(rows, begin)
-    own = model.own.ravel()
-    out = np.zeros((block, rows), dtype=np.int64)
-    bits = [1 << k for k in reversed(range(begin.classes.bit_length() - 1))]
-    for t in range(int(lengths.max())):
+    model = _Model(rows, begin, steps, search=True)
+    own, classes = model.own.ravel(), begin.classes
+    coarse, fine, fan = _coarse(begin.edges, _LAST + 1), _fine(begin.edges, _LAST + 1), min(classes, _FAN)
+    runs, own_fine = classes // fan, model.fine.reshape(-1, _FAN)
+    lanes, group = np.arange(rows) * runs, np.zeros(rows, dtype=np.int64)
+    of, firsts = begin.of.astype(np.uint8), np.minimum(begin.first, len(begin.names) - 1)
+    out = np.zeros((steps, rows), dtype=np.uint16)
+    for t in range(steps):
         n = rows if t < lengths[-1] else rows - 1
+        last = group[:n]
         model.predict(n)
         step = size[:n] >> _FINE
         goal = np.minimum(value[:n] // step, (1 << _FINE) - 1)
-        mixed = goal >> _UP
-        hit2 = mixed < model.m2
-        x = np.where(hit2, model.p2, model.p1).astype(np.int64)
-        start = np.where(hit2, 0, model.m2) << _UP
-        freq = np.where(hit2, model.m2, model.m1) << _UP
-        missed = np.flatnonzero(mixed >= model.known)
-        rest, known = model.rest.take(missed), model.known.take(missed) << _UP
-        y = goal.take(missed) - known
-        mine, follow = model.base_own.take(missed), model.row.take(missed)
-        # Both quotients are of numbers far below 2 ** 53 and come out exact as floats, which divide faster.
-        most = (((y + 1 << 16 - _UP) - 1) / rest).astype(np.int64)  # the class is the last whose edge is at most this
-        for bit in bits:
-            up = bit * (own.take(mine + bit) + begin.edges.take(follow + bit) <= most)
-            mine += up
-            follow += up
-        groups = follow - model.row.take(missed)
-        lower = (own.take(mine) + begin.edges.take(follow)) * rest >> 16 - _UP
-        wide = ((own.take(mine + 1) + begin.edges.take(follow + 1)) * rest >> 16 - _UP) - lower
-        inside = (((y - lower + 1 << _WITHIN) - 1) / wide).astype(np.int64)
-        # A damaged block must end in its checksum, not out of bounds.
-        inside = np.minimum(np.maximum(inside, 0), (1 << _WITHIN) - 1)
-        wrong = np.maximum(np.searchsorted(begin.keys, groups << _WITHIN | inside, side="right") - 1, 0)
-        inner = begin.place.take(wrong)
-        first = wide * inner >> _WITHIN
-        start[missed] = known + lower + first
-        freq[missed] = (wide * (inner + begin.width.take(wrong)) >> _WITHIN) - first
-        value[:n] -= step * start
-        size[:n] = step * freq
+        known, m2 = model.known << _UP, model.m2 << _UP
+        in2, in1 = goal < m2, goal < known
+        # As if all had missed; a prediction's rank, start and size come over it. A damaged block must end
+        # in its checksum, not out of bounds. Quotients of numbers far below 2 ** 53 come out exact as floats.
+        rest, y = _ONE - model.known, np.maximum(goal - known, 0)
+        most = y << 16 - _UP
+        most |= (1 << 16 - _UP) - 1
+        most = np.minimum(most / rest, _LAST).astype(np.uint16)[:, None]  # the class is the last whose edge is at most this
+        guess, lane, row = 0, lanes[:n], last * runs
+        if runs > 1:
+            run = _upto(coarse.take(last, axis=0) + model.coarse[:n], most)
+            guess, lane = run * fan, lane + run
+            row += run
+        found = fine.take(row, axis=0)
+        found += own_fine.take(lane, axis=0)
+        guess = _upto(found, most) + guess
+        last = last * classes
+        last += guess
+        edges = own.take(model.base_own[:n] + guess)
+        edges += begin.packed.take(last)
+        lower = (edges & 0xFFFF) * rest
+        lower >>= 16 - _UP
+        edges >>= 16
+        rest *= edges
+        freq = (rest * begin.each.take(guess)).astype(np.int64)
+        y -= lower
+        inner = np.minimum((y / freq).astype(np.int64), begin.many.take(guess) - 1)
+        lower += known
+        lower += inner * freq
+        inner += firsts.take(guess)
+        known -= m2
+        x = np.where(in2, model.p2, np.where(in1, model.p1, inner))
+        start = np.where(in2, 0, np.where(in1, m2, lower))
+        freq = np.where(in2, m2, np.where(in1, known, freq))
+        start *= step
+        value[:n] -= start
+        np.multiply(step, freq, out=size[:n])
         short = np.flatnonzero(size[:n] < _RANGE)
         at_word = place.take(short)
-        two = words.take((at_word + 1) * rows + short).astype(np.int64)
+        two = words.take(at_word, mode="clip").astype(np.int64)
         value[short] = value.take(short) << 32 | rest_bits.take(short) << 30 | two >> 2
         rest_bits[short] = two & 3
-        place[short] += 1
-        size[short] <<= 32
-        x[missed] = wrong
+        place[short] = at_word + rows
+        size[short] = size.take(short) << 32
         out[t, :n] = x
-        model.update(x, mine)
-    ids = begin.names[np.ascontiguousarray(out.T).ravel()[:total]].astype(np.uint32)
+        group = of.take(x).astype(np.int64)
+        model.update(x, group, x == model.p1, x == model.p2)
+    ids = begin.names.astype(np.uint32)[np.ascontiguousarray(out.T).ravel()[:total]]
     for b in range(rows):
         if zlib.crc32(ids[b * block:b * block + int(lengths[b])].astype("<u4").tobytes()) != facts[b, 1]:
             raise ValueError(f"block {b} is damaged")
@@ -374,7 +459,7 @@ def _decode_group(data: bytes, at: int) -> tuple[np.ndarray, int]:
 
 
 class Words(dict):
-    """White-space separated word -> its packed ids (little-endian unsigned 16-bit).
+    """White-space separated word -> its packed ids (little-endian unsigned 16-bit). Words of letters are kept.
 
     For tokenizers that compose (NFC), lower-case and drop white space, then split into
     contractions, letters, single digits and the rest: no token then spans white space."""
@@ -384,7 +469,9 @@ class Words(dict):
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
     #: Separators for Python's split() that are not white space for the tokenizer.
     ODD = "\x1c\x1d\x1e\x1f"
-    KEPT, LONGEST = 300_000, 64
+    KEPT, LONGEST = 400_000, 64
+    #: Code points of texts that are split together; a longer text is taken alone.
+    TOGETHER = 1 << 23
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -403,6 +490,7 @@ class Words(dict):
         self.specials = [t["content"] for t in spec["added_tokens"]]
         self.split = regex.compile(self.SPLIT).findall
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the words kept before, of which those met again move over
 
     def _piece(self, piece: str) -> bytes:
         packed = self.pieces.get(piece)
@@ -415,7 +503,7 @@ class Words(dict):
             if sys.byteorder == "big":
                 packed.byteswap()
             packed = packed.tobytes()
-            if len(piece) <= 4 and len(self.pieces) < 100_000:  # punctuation, digits, endings: the rest is kept by word
+            if len(piece) <= 4 and not piece.isalpha() and len(self.pieces) < 100_000:  # punctuation, digits, endings
                 self.pieces[piece] = packed
         return packed
 
@@ -423,24 +511,49 @@ class Words(dict):
         return np.array(self.tool.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        stem, last = word[:-1], word[-1]
-        if word.isalpha():
+        if not word.isalpha():
+            stem = word.rstrip(punctuation)
+            if stem.isalpha():
+                return self[stem] + self._piece(word[len(stem):])
+            return b"".join(self[p] if p.isalpha() else self._piece(p) for p in self.split(word))
+        packed = self.older.get(word)
+        if packed is None:
             packed = self._piece(word)
-        elif last in ".,;:!?" and stem.isalpha():
-            packed = self[stem] + self._piece(last)
-        else:
-            packed = b"".join(map(self._piece, self.split(word)))
         if len(word) <= self.LONGEST:
             if len(self) >= self.KEPT:
+                self.older = dict(self)
                 self.clear()
             self[word] = packed
         return packed
 
+    def plain(self, text: str) -> bool:
+        """Whether the text may be taken word by word."""
+        known = text.isascii() or ("Σ" not in text and unicodedata.is_normalized("NFC", text) and not _unknown(text))
+        return self.by_word and known and not any(s in text for s in self.specials) and not any(c in text for c in self.ODD)
+
     def encode(self, text: str) -> bytes:
-        plain = text.isascii() or ("Σ" not in text and unicodedata.is_normalized("NFC", text) and not _unknown(text))
-        if not self.by_word or not plain or any(s in text for s in self.specials) or any(c in text for c in self.ODD):
-            return self.library(text)
-        return b"".join(map(self.__getitem__, text.lower().split()))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str], end: bytes = b"") -> list[bytes]:
+        """The packed ids of each text, each followed by ``end``. Each distinct word of a run of texts is looked up once."""
+        out: list[bytes] = []
+        for some in batches(texts, self.TOGETHER):
+            plain = [self.plain(t) for t in some]
+            lists = pc.utf8_split_whitespace(pa.array([t.lower() if p else "" for t, p in zip(some, plain)], pa.large_string()))
+            coded = lists.values.dictionary_encode()
+            once = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary.cast(pa.string()))
+            packed = list(map(self.__getitem__, pc.binary_join(once, "\n")[0].as_py().split("\n")))
+            sizes = np.array([len(x) // 2 for x in packed], dtype=np.int64)
+            held, firsts = np.frombuffer(b"".join(packed), dtype="<u2"), np.cumsum(sizes) - sizes
+            word = coded.indices.to_numpy()
+            size = sizes.take(word)
+            ends = np.cumsum(size)
+            at = np.repeat(firsts.take(word) - (ends - size), size)
+            at += np.arange(len(at))
+            ids = held.take(at).tobytes()
+            edges = np.concatenate(([0], ends))[lists.offsets.to_numpy()] * 2
+            out += [(ids[a:b] if p else self.library(t)) + end for t, p, a, b in zip(some, plain, edges.tolist(), edges[1:].tolist())]
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -454,14 +567,14 @@ def packed_ids(text: Column, path: str, end_id: int | None) -> Column:
 
     @F.pandas_udf("binary")
     def one(texts: pd.Series) -> pd.Series:
-        tool = words(path)
-        return pd.Series([tool.encode(t or "") + end for t in texts], dtype=object)
+        return pd.Series(words(path).encode_all([t or "" for t in texts], end), dtype=object)
 
     return one(text)
 
 
 def _chunks(block: int, chunk: int):
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words.cache_clear()  # of a worker that tokenised before
         ids: list = []
         held: list[bytes] = []
         size = number = before = 0
@@ -498,6 +611,7 @@ FILE_SCHEMA = ("part int, chunk int, before long, n_docs long, n_tokens long, do
 def write_token_files(docs: DataFrame, path: str, text: str = "text", id: str = "doc_id", end_id: int | None = None,
                       block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
     """Writes the token files of ``docs`` below the shared work folder and returns them as read back."""
+    small_batches(docs.sparkSession)
     coded = stage(docs.select(q(id).cast("long").alias("id"), packed_ids(q(text), path, end_id).alias("ids")), "token-ids")
     ordered = (coded.repartitionByRange(partitions(docs.sparkSession), F.col("id").asc_nulls_first())
                .sortWithinPartitions(F.col("id").asc_nulls_first(), F.xxhash64("ids")))
