@@ -158,8 +158,7 @@ class _Start:
         self.packed = _packed(self.edges).ravel()
 
     @classmethod
-    def of_ids(cls, ids: np.ndarray, block: int) -> tuple[_Start, np.ndarray, np.ndarray]:
-        """The start, and the ids' ranks and classes."""
+    def of_ids(cls, ids: np.ndarray, block: int) -> tuple[_Start, np.ndarray]:
         spans = [slice(at, at + _SPAN) for at in range(0, len(ids), _SPAN)]
         counts = np.zeros(1 << 16, dtype=np.int64)
         for some in spans:
@@ -171,15 +170,18 @@ class _Start:
         start = cls(names, _logs(counts[names]), classes)
         rank = np.zeros(1 << 16, dtype=np.uint16)
         rank[start.names] = np.arange(len(names))
-        ranks = rank[ids]
-        group = start.of.astype(np.uint8)[ranks]
-        last = np.concatenate((np.zeros(1, dtype=np.uint8), group[:-1]))
-        last[::block] = 0
-        follow = np.zeros(classes * classes, dtype=np.int64)
+        ranks, group = np.empty(len(ids), dtype=np.uint16), np.zeros(len(ids) + 1, dtype=np.uint8)
+        of, follow = start.of.astype(np.uint8), np.zeros(classes * classes, dtype=np.int64)
         for some in spans:
-            follow += np.bincount(last[some].astype(np.int64) * classes + group[some], minlength=classes * classes)
+            ranks[some] = rank.take(ids[some])
+            group[1:][some] = of.take(ranks[some])
+            pairs = group[:-1][some].astype(np.int64)
+            pairs[-some.start % block::block] = 0
+            pairs *= classes
+            pairs += group[1:][some]
+            follow += np.bincount(pairs, minlength=classes * classes)
         start.follows(_logs(follow))
-        return start, ranks, group
+        return start, ranks
 
     def pack(self) -> bytes:
         names = np.diff(self.stored, prepend=0).astype("<u2").tobytes()
@@ -277,7 +279,11 @@ def _grid(ids: np.ndarray, block: int, lengths: np.ndarray) -> np.ndarray:
     """Ids by (step, block)."""
     out = np.zeros(len(lengths) * block, dtype=ids.dtype)
     out[:len(ids)] = ids
-    return np.ascontiguousarray(out.reshape(len(lengths), block)[:, :int(lengths.max())].T)
+    blocks = out.reshape(len(lengths), block)[:, :int(lengths.max())]
+    grid = np.empty(blocks.T.shape, dtype=ids.dtype)
+    for at in range(0, len(blocks), 64):
+        grid[:, at:at + 64] = blocks[at:at + 64].T
+    return grid
 
 
 def encode(ids: np.ndarray, block: int = BLOCK, group: int = _GROUP) -> bytes:
@@ -287,13 +293,11 @@ def encode(ids: np.ndarray, block: int = BLOCK, group: int = _GROUP) -> bytes:
 
 
 def _encode_group(ids: np.ndarray, block: int) -> bytes:
-    begin, ranks, of = _Start.of_ids(ids, block)
+    begin, ranks = _Start.of_ids(ids, block)
     rows = -(-len(ids) // block)
     lengths = np.full(rows, block)
     lengths[-1] = len(ids) - (rows - 1) * block
-    grid, groups = _grid(ranks, block, lengths), _grid(of, block, lengths)
-    inside = _grid(ranks - begin.first.astype(np.uint16)[of], block, lengths)
-    del ranks, of
+    grid, of = _grid(ranks, block, lengths), begin.of.astype(np.uint8)
     steps = len(grid)
     model = _Model(rows, begin, steps)
     low, size = np.zeros(rows, dtype=np.int64), np.full(rows, _TOP, dtype=np.int64)
@@ -303,7 +307,8 @@ def _encode_group(ids: np.ndarray, block: int) -> bytes:
     row = np.zeros(rows, dtype=np.int64)
     for t in range(steps):
         n = rows if t < lengths[-1] else rows - 1
-        x, group = grid[t, :n].astype(np.int64), groups[t, :n].astype(np.int64)
+        x = grid[t, :n].astype(np.int64)
+        group = of.take(x).astype(np.int64)
         model.predict(n)
         hit1, hit2 = x == model.p1, x == model.p2
         edges = own.take(model.base_own[:n] + group)
@@ -314,7 +319,7 @@ def _encode_group(ids: np.ndarray, block: int) -> bytes:
         edges >>= 16
         rest *= edges
         freq = (rest * begin.each.take(group)).astype(np.int64)
-        start += freq * inside[t, :n]
+        start += freq * (x - begin.first.take(group))
         known = model.known << _UP
         start += known
         m2 = model.m2 << _UP
@@ -482,6 +487,7 @@ class Words(dict):
         self.tool = Tokenizer.from_file(path)
         self.tool.no_padding()
         self.tool.no_truncation()
+        self.tokenize = self.tool.model.tokenize
         if self.tool.get_vocab_size() > 1 << 16:
             raise ValueError("more than 65,536 ids")
         steps = (spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
@@ -498,8 +504,7 @@ class Words(dict):
             # Visible ASCII stands for itself.
             letters = (piece if piece.isascii() and piece.isprintable()
                        else piece.encode("utf-8").decode("latin-1").translate(_byte_letters()))
-            tokens = self.tool.model.tokenize(letters)
-            packed = array("H", [t.id for t in tokens])
+            packed = array("H", [t.id for t in self.tokenize(letters)])
             if sys.byteorder == "big":
                 packed.byteswap()
             packed = packed.tobytes()
@@ -514,7 +519,8 @@ class Words(dict):
         if not word.isalpha():
             stem = word.rstrip(punctuation)
             if stem.isalpha():
-                return self[stem] + self._piece(word[len(stem):])
+                mark = word[len(stem):]
+                return self[stem] + (self.pieces.get(mark) or self._piece(mark))
             return b"".join(self[p] if p.isalpha() else self._piece(p) for p in self.split(word))
         packed = self.older.get(word)
         if packed is None:
