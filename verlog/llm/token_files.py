@@ -32,10 +32,8 @@ from __future__ import annotations
 
 import json
 import struct
-import sys
 import unicodedata
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from string import punctuation
@@ -62,8 +60,8 @@ _SLOTS1, _SLOTS2, _LEVELS = 128, 256, 8
 _CLASSES, _GROUP = 256, 4096  # classes of ids at most; blocks that are coded side by side at most
 _STATIC, _OWN = (3 << 14) - 1, 1 << 14  # the shares of the start's counts and of the block's own, 2 ** 16 - 1 in all
 _EVEN = 3 << 10  # what the static share deals evenly to all ids
-_REFRESH, _TOGETHER = 256, 128  # steps between, and blocks at a time, when a block's own counts become edges
-_EARLY = (2, 8, 32, 96)
+_REFRESH, _TOGETHER = 512, 128  # steps between, and blocks at a time, when a block's own counts become edges
+_EARLY = (2, 8, 32, 96, 256)
 _TOP, _RANGE, _WORD = 1 << 62, 1 << 30, (1 << 30) - 1  # the coder's range; 32-bit words
 _FINE = 28  # bits of a step's distribution
 _UP = _FINE - 16
@@ -86,6 +84,7 @@ def _weights() -> tuple[np.ndarray, np.ndarray]:
 
 _SECOND, _KNOWN = _weights()
 _SHARES = _SECOND << 17 | _KNOWN
+_MASKS = np.array([[_SLOTS1 - 1], [_SLOTS2 - 1]])
 #: What a slot gains by its confidence, where its prediction fails and (from 8 on) where it comes true.
 _GAIN = np.array([(k >> 1) - k for k in range(_LEVELS)] + [int(k < _LEVELS - 1) for k in range(_LEVELS)], dtype=np.int32)
 
@@ -206,8 +205,10 @@ class _Model:
         lanes = np.arange(rows, dtype=np.int64)
         classes = start.classes
         self.classes, self.search = classes, search
-        self.base1, self.base2, self.base_own = lanes * _SLOTS1, lanes * _SLOTS2, lanes * classes
-        self.slot1, self.slot2 = np.zeros(rows * _SLOTS1, np.int32), np.zeros(rows * _SLOTS2, np.int32)
+        # The slots of order 1, then those of order 2; what is held of both stands in two rows.
+        self.base = np.stack((lanes * _SLOTS1, rows * _SLOTS1 + lanes * _SLOTS2))
+        self.base_own = lanes * classes
+        self.slots = np.zeros(rows * (_SLOTS1 + _SLOTS2), np.int32)
         # Own counts start as the group's: about 32 of them, kept in 32nds.
         self.counts = np.zeros((rows, classes), dtype=np.int64) + (start.mass * 1024 // int(start.mass.sum()) + 1)
         self.own = np.zeros((rows, classes), dtype=np.uint32)  # packed edges
@@ -243,33 +244,31 @@ class _Model:
     def predict(self, n: int) -> None:
         if self.step % _REFRESH == 0 or self.step in _EARLY:
             self.refresh(n)
-        mixed = self.last[:n] * 40503
-        self.at1 = mixed >> 6
-        self.at1 &= _SLOTS1 - 1
-        self.at1 += self.base1[:n]
+        self.at = np.empty((2, n), dtype=np.int64)
+        mixed = np.multiply(self.last[:n], 40503, out=self.at[1])
+        np.right_shift(mixed, 6, out=self.at[0])
         mixed += self.before[:n] * 30011
         mixed >>= 7
-        mixed &= _SLOTS2 - 1
-        mixed += self.base2[:n]
-        self.at2 = mixed
-        self.held1, self.held2 = self.slot1.take(self.at1), self.slot2.take(self.at2)
-        self.p1, self.p2 = self.held1 >> 3, self.held2 >> 3
-        self.sure1, self.sure2 = self.held1 & 7, self.held2 & 7
+        self.at &= _MASKS
+        self.at += self.base[:, :n]
+        self.held = self.slots.take(self.at)
+        self.p, self.sure = self.held >> 3, self.held & 7
+        self.p1, self.p2 = self.p
+        sure1, sure2 = self.sure
         both = (self.p1 == self.p2).astype(np.int32) << 3
-        both |= self.sure2
+        both |= sure2
         both <<= 3
-        both |= self.sure1
+        both |= sure1
         shares = _SHARES.take(both)
         self.m2, self.known = shares >> 17, shares & (1 << 17) - 1
 
-    def update(self, ranks: np.ndarray, group: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> None:
+    def update(self, ranks: np.ndarray, group: np.ndarray, hit: np.ndarray) -> None:
+        """``hit``: where order 1's and order 2's predictions are the ids."""
         new = ranks.astype(np.int32)
         new <<= 3
-        for hit, sure, held, at, slots in ((hit1, self.sure1, self.held1, self.at1, self.slot1),
-                                           (hit2, self.sure2, self.held2, self.at2, self.slot2)):
-            sure += hit.view(np.int8) << 3
-            held += _GAIN.take(sure)
-            slots[at] = np.where(sure == 0, new, held)  # failed without confidence
+        self.sure += hit.view(np.int8) << 3
+        self.held += _GAIN.take(self.sure)
+        self.slots[self.at.ravel()] = np.where(self.sure == 0, new, self.held).ravel()  # failed without confidence
         self.seen[self.step, :len(ranks)] = group
         self.step += 1
         self.before, self.last = self.last, ranks
@@ -310,7 +309,8 @@ def _encode_group(ids: np.ndarray, block: int) -> bytes:
         x = grid[t, :n].astype(np.int64)
         group = of.take(x).astype(np.int64)
         model.predict(n)
-        hit1, hit2 = x == model.p1, x == model.p2
+        hit = model.p == x
+        hit1, hit2 = hit
         edges = own.take(model.base_own[:n] + group)
         edges += begin.packed.take(row[:n] + group)
         rest = _ONE - model.known
@@ -337,7 +337,7 @@ def _encode_group(ids: np.ndarray, block: int) -> bytes:
         place[short] = at + rows
         low[short] = (kept & _WORD) << 32
         size[short] = size.take(short) << 32
-        model.update(x, group, hit1, hit2)
+        model.update(x, group, hit)
         group *= begin.classes
         row = group
     for _ in range(2):  # the whole of low, as words
@@ -455,7 +455,7 @@ def _decode_group(data: bytes, at: int) -> tuple[np.ndarray, int]:
         size[short] = size.take(short) << 32
         out[t, :n] = x
         group = of.take(x).astype(np.int64)
-        model.update(x, group, x == model.p1, x == model.p2)
+        model.update(x, group, model.p == x)
     ids = begin.names.astype(np.uint32)[np.ascontiguousarray(out.T).ravel()[:total]]
     for b in range(rows):
         if zlib.crc32(ids[b * block:b * block + int(lengths[b])].astype("<u4").tobytes()) != facts[b, 1]:
@@ -488,6 +488,7 @@ class Words(dict):
         self.tool.no_padding()
         self.tool.no_truncation()
         self.tokenize = self.tool.model.tokenize
+        self.packed = [struct.pack("<H", k) for k in range(1 << 16)]
         if self.tool.get_vocab_size() > 1 << 16:
             raise ValueError("more than 65,536 ids")
         steps = (spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
@@ -504,10 +505,7 @@ class Words(dict):
             # Visible ASCII stands for itself.
             letters = (piece if piece.isascii() and piece.isprintable()
                        else piece.encode("utf-8").decode("latin-1").translate(_byte_letters()))
-            packed = array("H", [t.id for t in self.tokenize(letters)])
-            if sys.byteorder == "big":
-                packed.byteswap()
-            packed = packed.tobytes()
+            packed = b"".join([self.packed[t.id] for t in self.tokenize(letters)])
             if len(piece) <= 4 and not piece.isalpha() and len(self.pieces) < 100_000:  # punctuation, digits, endings
                 self.pieces[piece] = packed
         return packed
@@ -524,7 +522,8 @@ class Words(dict):
             return b"".join(self[p] if p.isalpha() else self._piece(p) for p in self.split(word))
         packed = self.older.get(word)
         if packed is None:
-            packed = self._piece(word)
+            # Words of letters are printable; visible ASCII stands for itself.
+            packed = b"".join([self.packed[t.id] for t in self.tokenize(word)]) if word.isascii() else self._piece(word)
         if len(word) <= self.LONGEST:
             if len(self) >= self.KEPT:
                 self.older = dict(self)
@@ -533,9 +532,9 @@ class Words(dict):
         return packed
 
     def plain(self, text: str) -> bool:
-        """Whether the text may be taken word by word."""
-        known = text.isascii() or ("Σ" not in text and unicodedata.is_normalized("NFC", text) and not _unknown(text))
-        return self.by_word and known and not any(s in text for s in self.specials) and not any(c in text for c in self.ODD)
+        """Whether the text may be taken word by word, if it has no code point unknown here."""
+        normal = text.isascii() or ("Σ" not in text and unicodedata.is_normalized("NFC", text))
+        return self.by_word and normal and not any(s in text for s in self.specials) and not any(c in text for c in self.ODD)
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
@@ -545,10 +544,11 @@ class Words(dict):
         out: list[bytes] = []
         for some in batches(texts, self.TOGETHER):
             plain = [self.plain(t) for t in some]
-            lists = pc.utf8_split_whitespace(pa.array([t.lower() if p else "" for t, p in zip(some, plain)], pa.large_string()))
-            coded = lists.values.dictionary_encode()
-            once = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary.cast(pa.string()))
-            packed = list(map(self.__getitem__, pc.binary_join(once, "\n")[0].as_py().split("\n")))
+            lists, coded, once = _distinct(some, plain)
+            if not once.isascii() and _unknown(once):
+                plain = [p and not _unknown(t) for t, p in zip(some, plain)]
+                lists, coded, once = _distinct(some, plain)
+            packed = list(map(self.__getitem__, once.split("\n")))
             sizes = np.array([len(x) // 2 for x in packed], dtype=np.int64)
             held, firsts = np.frombuffer(b"".join(packed), dtype="<u2"), np.cumsum(sizes) - sizes
             word = coded.indices.to_numpy()
@@ -562,6 +562,14 @@ class Words(dict):
         return out
 
 
+def _distinct(texts: list[str], plain: list[bool]) -> tuple[pa.Array, pa.Array, str]:
+    """The words of the plain texts as lists, all of them as a dictionary array, and the distinct ones, a line each."""
+    lists = pc.utf8_split_whitespace(pa.array([t.lower() if p else "" for t, p in zip(texts, plain)], pa.large_string()))
+    coded = lists.values.dictionary_encode()
+    once = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary.cast(pa.string()))
+    return lists, coded, pc.binary_join(once, "\n")[0].as_py()
+
+
 @lru_cache(maxsize=2)
 def words(path: str) -> Words:
     return Words(path)
