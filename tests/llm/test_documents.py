@@ -365,6 +365,30 @@ def test_range_coder():
         token_files.decode(bytes(broken))
 
 
+def test_tokenizer_meets_each_distinct_word_once():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words = token_files.Words(path)
+    met = []
+    words.tokenize = lambda piece, real=words.tokenize: met.append(piece) or real(piece)
+    texts = ["Thinghe!! OF!! thinghe, of thinghe", "thinghe### of%%% thinghe!!", "", "caf\u00e9s caf\u00e9s!!", "it's \u0378odd of", "<|endoftext|> of"]
+    coded = words.encode_all(texts * 3, b"\1\0")
+    assert [np.frombuffer(x, "<u2").tolist() for x in coded] == [
+        [*words.tool.encode(t, add_special_tokens=False).ids, 1] for t in texts * 3]
+    assert met.count("thinghe") == 1 and met.count("of") == 1 and len(met) == len(set(met))
+    words.encode_all(texts)
+    assert len(met) == len(set(met))
+
+
+def test_blocks_of_a_group_are_coded_in_the_same_steps(monkeypatch):
+    steps = []
+    predict = token_files._Model.predict
+    monkeypatch.setattr(token_files._Model, "predict", lambda self, n: steps.append(n) or predict(self, n))
+    ids = np.random.default_rng(2).integers(0, 500, 16 * 3000 + 5)
+    coded = token_files.encode(ids, 16)
+    assert len(steps) == 16 and sum(steps) == len(ids)
+    assert (token_files.decode(coded) == ids).all() and len(steps) == 32
+
+
 def test_coded_size_is_below_zlib_and_order_0(docs):
     import zlib
 

@@ -4,19 +4,20 @@ Documents are tokenised, dealt by id into ranges and written in ascending id
 order. A file row is a chunk of consecutive whole documents: their ids and
 token counts, and the chunk's ids coded in blocks of ``BLOCK``. Blocks are coded
 in groups of at most 4,096. A group has a checksummed start: its ids with
-their counts, dealt to classes of about equal weight, and counts of which class
-follows which. Every block starts afresh from it and carries its length and CRC-32, so
+their counts, by which they are ranked and dealt to classes of about equal weight, and
+counts of which class follows which. Every block starts afresh from it and carries its length and CRC-32, so
 blocks decode on their own, and a damaged one is found.
 
 Model: an order-2 and an order-1 context (the last two ids, the last id) each
 predict one id with a confidence that grows while the prediction comes true and
 falls when it fails; the confidences set the weights. What they leave goes to
-counts on two levels, the id's class and the id in its class. The class is a mix of
+counts on two levels, the id's class and, evenly, the id in its class, whose ids weigh
+about the same. The class is a mix of
 the start's order-1 counts (by the last id's class) and of the block's own adaptive
 order-0 counts. The mixed distribution drives a range coder (62-bit range, 32-bit
 words, carries resolved at the end). All blocks of a group are coded side by
-side, one id of each block a step. The coder's arithmetic is integer, so the
-decoder repeats it exactly.
+side, one id of each block a step. The coder's quotients are exact or rounded once, so the
+decoder repeats them exactly.
 
 The files are Parquet rows written by Spark: any store that Spark writes to
 will do, and a lost task is written again.
